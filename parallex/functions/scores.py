@@ -10,17 +10,22 @@ def as_double(x: Column) -> Column:
     return F.transform(x, lambda v: v.cast("double"))
 
 
+def _minus_each(xd: Column, c: Column) -> Column:
+    """``xd - c`` element-wise. ``c`` is passed as an argument (evaluated once),
+    never captured in the lambda (which Spark evaluates per element)."""
+    return F.zip_with(xd, F.array_repeat(c, F.size(xd)), lambda v, k: v - k)
+
+
 def logsumexp(x: Column) -> Column:
     """``log(sum(exp(x)))`` shifted by the maximum for stability."""
     xd = as_double(x)
     m = F.array_max(xd)
-    return m + F.log(F.aggregate(xd, F.lit(0.0), lambda acc, v: acc + F.exp(v - m)))
+    return m + F.log(F.aggregate(_minus_each(xd, m), F.lit(0.0), lambda acc, v: acc + F.exp(v)))
 
 
 def log_softmax(x: Column) -> Column:
     """Log-softmax over the vocabulary axis of one score vector."""
-    lse = logsumexp(x)
-    return F.transform(as_double(x), lambda v: v - lse)
+    return _minus_each(as_double(x), logsumexp(x))
 
 
 def top1(x: Column) -> Column:

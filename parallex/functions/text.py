@@ -65,5 +65,11 @@ def symbol(index: Column) -> Column:
 def as_symbols(tokens: Column, alphabet: Column) -> Column:
     """Rewrite a token array as a string with one character per token, the
     character chosen by the token's position in ``alphabet`` (distinct tokens).
-    Edit distance on such strings equals edit distance on the token arrays."""
-    return F.array_join(F.transform(tokens, lambda t: symbol(F.array_position(alphabet, t))), "")
+    Edit distance on such strings equals edit distance on the token arrays.
+
+    ``tokens`` and ``alphabet`` must be column references (or other cheap
+    expressions): Spark evaluates a lambda body once per element, so an
+    expression captured inside it is recomputed for every element.
+    """
+    idx = F.transform(tokens, lambda t: F.array_position(alphabet, t))
+    return F.array_join(F.transform(idx, symbol), "")

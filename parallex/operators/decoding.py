@@ -36,11 +36,12 @@ def bigram_scores(encoded: DataFrame, ids: str = "trg_ids", sos: int = SOS_ID,
                   eos: int = EOS_ID) -> DataFrame:
     """``(prev_id, next_id, score)``: counts of consecutive ids in
     ``[SOS] + ids + [EOS]`` (partial + final aggregate)."""
-    seq = F.concat(F.array(F.lit(sos)), F.col(ids), F.array(F.lit(eos)))
+    seqs = encoded.select(F.concat(F.array(F.lit(sos)), F.col(ids), F.array(F.lit(eos))).alias("_seq"))
+    seq = F.col("_seq")  # a column reference: the lambda below captures it
     steps = F.transform(F.sequence(F.lit(1), F.size(seq) - 1),
                         lambda i: F.struct(F.element_at(seq, i).alias("prev_id"),
                                            F.element_at(seq, i + 1).alias("next_id")))
-    return (encoded.select(F.inline(steps)).groupBy("prev_id", "next_id")
+    return (seqs.select(F.inline(steps)).groupBy("prev_id", "next_id")
             .agg(F.count(F.lit(1)).cast("double").alias("score")))
 
 

@@ -20,14 +20,21 @@ def char_edits(pred: Column, exp: Column) -> Column:
     return F.levenshtein(pred, exp)
 
 
-def word_edits(pred: Column, exp: Column) -> Column:
-    """Word-level edit distance of two texts (exact; fails loudly beyond ~1.1M
-    distinct words in one pair)."""
-    h, r = words(pred), words(exp)
-    alphabet = F.array_distinct(F.concat(h, r))
-    guard = F.when(F.size(alphabet) > MAX_SYMBOLS, F.raise_error(F.lit("too many distinct words in one pair")))
-    dist = F.levenshtein(as_symbols(h, alphabet), as_symbols(r, alphabet))
-    return F.coalesce(guard.cast("int"), dist)
+def with_word_edits(df: DataFrame, pred: str, exp: str, out: str = "word_edits",
+                    ref_len: str | None = None) -> DataFrame:
+    """Add the word-level edit distance of two text columns (exact; fails loudly
+    beyond ~1.1M distinct words in one pair).
+
+    Word arrays and the per-row alphabet are projected first, as columns, so the
+    lambdas that map words to symbols only reference columns.
+    """
+    keep = df.columns
+    w = df.select(*keep, words(F.col(pred)).alias("_h"), words(F.col(exp)).alias("_r"))
+    w = w.select(*keep, "_h", "_r", F.array_distinct(F.concat("_h", "_r")).alias("_a"))
+    guard = F.when(F.size("_a") > MAX_SYMBOLS, F.raise_error(F.lit("too many distinct words in one pair")))
+    dist = F.levenshtein(as_symbols(F.col("_h"), F.col("_a")), as_symbols(F.col("_r"), F.col("_a")))
+    extra = [F.size("_r").alias(ref_len)] if ref_len else []
+    return w.select(*keep, F.coalesce(guard.cast("int"), dist).alias(out), *extra)
 
 
 def _rate(df: DataFrame, edits: Column, total: Column, by: Sequence[str], name: str) -> DataFrame:
@@ -45,7 +52,8 @@ def char_error_rate(ev: DataFrame, pred: str = "predicted", exp: str = "expected
 def word_error_rate(ev: DataFrame, pred: str = "predicted", exp: str = "expected",
                     by: Sequence[str] = ()) -> DataFrame:
     """WER = sum of word edits / sum of expected words."""
-    return _rate(ev, word_edits(F.col(pred), F.col(exp)), F.size(words(F.col(exp))), by, "wer")
+    scored = with_word_edits(ev.select(*by, pred, exp), pred, exp, "_edits", "_ref_len")
+    return _rate(scored, F.col("_edits"), F.col("_ref_len"), by, "wer")
 
 
 def _ngrams(tokens: Column, n: int) -> Column:
@@ -69,8 +77,9 @@ def bleu_ngrams(ev: DataFrame, pred: str = "predicted", exp: str = "expected",
     counting hypothesis and reference occurrences in one pass, so no join is
     needed to clip.
     """
-    parted = ev.repartition(key)
-    h, r = words(F.col(pred)), words(F.col(exp))
+    parted = ev.repartition(key).select(key, *by, words(F.col(pred)).alias("_h"),
+                                        words(F.col(exp)).alias("_r"))
+    h, r = F.col("_h"), F.col("_r")  # column references: the n-gram lambdas capture them
     tagged = F.concat(*[_tagged(toks, n, side)
                         for n in range(1, max_n + 1) for side, toks in ((0, h), (1, r))])
     grams = parted.select(key, *by, F.inline(tagged))
