@@ -56,7 +56,8 @@ def collate(batched: DataFrame, fields: Sequence[str], by: Sequence[str] = ("epo
             rank_col: str = "rank") -> DataFrame:
     """Stack each field of a batch into an array, in rank order. A group holds
     at most ``batch_size`` rows, so the collected arrays are bounded."""
-    packed = F.array_sort(F.collect_list(F.struct(rank_col, *fields))).alias("_rows")
+    packed = F.array_sort(F.collect_list(
+        F.struct(rank_col, *[f for f in fields if f != rank_col]))).alias("_rows")
     grouped = batched.groupBy(*by).agg(packed)
     return grouped.select(*by, *[F.transform("_rows", _field(f)).alias(f) for f in fields])
 
