@@ -121,8 +121,13 @@ def greedy_decode(prompts: DataFrame, scorer: Scorer, max_len: int, eos: int = E
 
 
 def markov_decode(prompts: DataFrame, scorer: BigramScorer, max_len: int, eos: int = EOS_ID,
-                  key: str = "seq_id", ids: str = "ids") -> DataFrame:
-    """Greedy decoding for a first-order scorer by pointer doubling."""
+                  key: str = "seq_id", ids: str = "ids", checkpoint_every: int = 3) -> DataFrame:
+    """Greedy decoding for a first-order scorer by pointer doubling.
+
+    Each level joins the path table with itself, so its plan doubles; a
+    checkpoint every ``checkpoint_every`` levels keeps it at most
+    ``2 ** checkpoint_every`` scans of the last checkpoint.
+    """
     need = max_len - 1
     best = scorer.best()
     n_tok = scorer._rows
@@ -131,9 +136,11 @@ def markov_decode(prompts: DataFrame, scorer: BigramScorer, max_len: int, eos: i
     # ``open`` = the path may still grow.
     paths = best.select(F.col("prev_id").alias("tok"), F.array(F.col("next_id")).alias("path"),
                         (F.col("next_id") != F.lit(eos)).alias("open"))
-    length = 1
+    length, level = 1, 0
     while length < need and need > 0:
-        paths = pin(paths)
+        if level % checkpoint_every == 0:
+            paths = pin(paths)
+        level += 1
         ext = paths.select(F.col("tok").alias("_tok"), F.col("path").alias("_path"),
                            F.col("open").alias("_open"))
         grown = lookup_join(paths, F.element_at("path", -1), ext, "_tok", "left",

@@ -5,7 +5,8 @@ up with a broadcast join (vocabulary size checked first) and regrouped per key.
 Because explode and the broadcast join keep the key partitioning, the regroup
 and the join back to the input need no further shuffle: one exchange in total,
 on the input rows. A vocabulary above the broadcast bound falls back to a
-shuffle join, where AQE splits the partitions of very frequent tokens.
+salted shuffle join on (token, position), so a very frequent token is spread
+over many tasks instead of one.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from parallex.config import UNK_ID
 from parallex.functions.text import joiner, tokenize
-from parallex.session import broadcast_checked
+from parallex.operators.lookup import lookup_join
 
 
 def _exploded(df: DataFrame, key: str, arrays: list[Column]) -> DataFrame:
@@ -42,8 +43,11 @@ def encode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: st
     outs = list(columns)
     parted = df.repartition(key)
     exploded = _exploded(parted, key, [tokenize(F.col(t), mode) for t in columns.values()])
-    lookup = broadcast_checked(vocab.select(F.col("token").alias("item"), "id"), known_rows=vocab_rows)
-    looked = exploded.join(lookup, "item", "left").select(
+    # many-to-one lookup: broadcast when the vocabulary is small enough, else a
+    # salted join keyed on (token, position) so frequent tokens spread out
+    lookup = vocab.select(F.col("token").alias("_tok"), "id")
+    looked = lookup_join(exploded, F.col("item"), lookup, "_tok", "left", small_rows=vocab_rows,
+                         salt_source=F.col("pos")).select(
         key, "side", "pos", F.coalesce(F.col("id"), F.lit(unk)).cast("int").alias("id"))
     ids = _regroup(looked, key, "id", outs)
     out = parted.join(ids, key, "left")
@@ -59,9 +63,9 @@ def decode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: st
     outs = list(columns)
     parted = df.repartition(key)
     exploded = _exploded(parted, key, [F.col(c) for c in columns.values()])
-    lookup = broadcast_checked(
-        vocab.select(F.col("id").alias("item"), "token", "is_special"), known_rows=vocab_rows)
-    looked = exploded.join(lookup, "item", "left")
+    lookup = vocab.select(F.col("id").alias("_id"), "token", "is_special")
+    looked = lookup_join(exploded, F.col("item"), lookup, "_id", "left", small_rows=vocab_rows,
+                         salt_source=F.col("pos"))
     if strip_special:
         looked = looked.where(~F.coalesce(F.col("is_special"), F.lit(False)))
     looked = looked.select(key, "side", "pos", F.coalesce(F.col("token"), F.lit("[UNK]")).alias("token"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,31 +26,41 @@ def specials_frame(spark: SparkSession) -> DataFrame:
 
 
 def build_vocab(texts: DataFrame, text_col: str = "text", mode: str = "word",
-                min_count: int = 1, max_size: int | None = None) -> DataFrame:
-    """Vocabulary ``(token, id, n, is_special)`` from a text column.
+                min_count: int = 1, max_size: int | None = None,
+                by: Sequence[str] = ()) -> DataFrame:
+    """Vocabulary ``(*by, token, id, n, is_special)`` from a text column.
 
     Special tokens take ids 0-3; real tokens follow from id 4, most frequent
-    first, ties by token. Counting is a partial + final hash aggregate, so a very
-    frequent token is pre-summed on every map task before the shuffle.
+    first, ties by token. ``by`` builds one vocabulary per group (e.g. per
+    language). Counting is a partial + final hash aggregate, so a very frequent
+    token is pre-summed on every map task before the shuffle; ids come from an
+    exact distributed rank, not a single-task window.
     """
     spark = texts.sparkSession
+    by = list(by)
     counts = (
-        texts.select(F.explode(tokenize(F.col(text_col), mode)).alias("token"))
-        .groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+        texts.select(*by, F.explode(tokenize(F.col(text_col), mode)).alias("token"))
+        .groupBy(*by, "token").agg(F.count(F.lit(1)).alias("n"))
         .where((F.col("n") >= min_count) & ~F.col("token").isin(*SPECIAL_TOKENS))
     )
     order = [F.col("n").desc(), F.col("token").asc()]
+    ranked = exact_rank(counts, order, group=by)
     if max_size is not None:
-        # top-k is the feature here: TakeOrderedAndProject keeps k rows per task
-        counts = counts.orderBy(*order).limit(max(max_size - len(SPECIAL_TOKENS), 0))
-    ranked = exact_rank(counts, order)
+        # a cut on the exact rank: distributed, unlike a limit of ``max_size`` rows
+        ranked = ranked.where(F.col("rank") <= max(max_size - len(SPECIAL_TOKENS), 0))
     real = ranked.select(
-        "token",
+        *by, "token",
         (F.col("rank") + len(SPECIAL_TOKENS) - 1).cast("int").alias("id"),
         F.col("n").cast("long").alias("n"),
         F.lit(False).alias("is_special"),
     )
-    return specials_frame(spark).unionByName(real)
+    if not by:
+        return specials_frame(spark).unionByName(real)
+    specials = F.array(*[F.struct(F.lit(t).alias("token"), F.lit(i).alias("id"))
+                         for i, t in enumerate(SPECIAL_TOKENS)])
+    groups = texts.select(*by).distinct().select(*by, F.inline(specials))
+    return groups.select(*by, "token", F.col("id").cast("int").alias("id"),
+                         F.lit(0).cast("long").alias("n"), F.lit(True).alias("is_special")).unionByName(real)
 
 
 def special_ids(vocab: DataFrame) -> dict[str, int]:

@@ -208,6 +208,21 @@ VAL_CURVE = f"""vc AS (
   FROM lps WHERE tag = '{T.VAL_TAG}' GROUP BY 1)"""
 
 
+TRANSLATE = f"""{SHARED.replace('WITH ', 'WITH RECURSIVE ', 1)},
+{BIGRAM},
+{ROUTING},
+{decode_rec("SELECT 0 AS k, [2] AS ids", 'k')},
+chain AS (SELECT string_agg(coalesce(v.token, '[UNK]'), ' ' ORDER BY t.pos) AS text
+          FROM (SELECT unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM decoded) t
+          LEFT JOIN svocab v ON v.id = t.id),
+chk AS (SELECT *, len({words('source')}) > {L - 2} AS too_long FROM routed),
+tr AS (
+  SELECT input_id, input, is_row_id, found, source, expected,
+         CASE WHEN found AND NOT too_long THEN (SELECT text FROM chain) END AS predicted,
+         CASE WHEN NOT found THEN 'unknown_id' WHEN too_long THEN 'src_too_long' END AS reason
+  FROM chk)"""
+
+
 def _quarantine(seq_len: int) -> str:
     return f"""WITH {PAIRS}
 SELECT pair_id, CAST(len({words('src_text')}) AS BIGINT) AS n_src, CAST(len({words('trg_text')}) AS BIGINT) AS n_trg,
@@ -227,6 +242,13 @@ ORACLE: dict[str, str] = {
     "input_routing": f"WITH {PAIRS},\n{ROUTING}\nSELECT * FROM routed",
     "sentences_lang": f"SELECT doc_id AS id, text AS sentence FROM documents WHERE lang = '{OPTS.src_lang}'",
     "vocab_build": f"WITH {PAIRS},\n{SPECIALS},\n{SRC_VOCAB}\nSELECT token, id, n, is_special FROM vocab",
+    "vocab_by_lang": f"""WITH {SPECIALS},
+c AS (SELECT lang, token, count(*) AS n FROM (SELECT lang, unnest({words('text')}) AS token FROM documents)
+      GROUP BY lang, token HAVING count(*) >= {MIN_COUNT} AND token NOT IN ('[UNK]', '[PAD]', '[SOS]', '[EOS]'))
+SELECT l.lang, s.token, s.id, s.n, s.is_special FROM (SELECT DISTINCT lang FROM documents) l, specials s
+UNION ALL
+SELECT lang, token, CAST(row_number() OVER (PARTITION BY lang ORDER BY n DESC, token) + 3 AS INTEGER) AS id,
+       CAST(n AS BIGINT) AS n, false AS is_special FROM c""",
     "vocab_size": f"WITH {PAIRS},\n{SPECIALS},\n{SRC_VOCAB}\nSELECT CAST(count(*) AS BIGINT) AS vocab_size FROM vocab",
     "encode_word": f"WITH {PAIRS},\n{SPECIALS},\n{SRC_VOCAB},\n{encode_cte('enc', 'vocab')}\n"
                    f"SELECT pair_id, {rs('src_ids')}, {rs('trg_ids')} FROM enc",
@@ -328,18 +350,17 @@ SELECT pair_id, CAST(k AS INTEGER) AS line_no, line FROM (
 {BIGRAM},
 {decode_rec(f"SELECT pair_id, [2] || trg_ids[1:1] AS ids FROM enc WHERE len(src_ids) <= {L - 2} AND len(trg_ids) <= {L - 1}", 'pair_id')}
 SELECT pair_id, {rs('ids')}, CAST(steps AS INTEGER) AS steps FROM decoded""",
-    "translate_batch": f"""{SHARED.replace('WITH ', 'WITH RECURSIVE ', 1)},
-{BIGRAM},
-{ROUTING},
-{decode_rec(f"SELECT 0 AS k, [2] AS ids", 'k')},
-chain AS (SELECT string_agg(coalesce(v.token, '[UNK]'), ' ' ORDER BY t.pos) AS text
-          FROM (SELECT unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM decoded) t
-          LEFT JOIN svocab v ON v.id = t.id),
-chk AS (SELECT input_id, is_row_id, found, len({words('source')}) > {L - 2} AS too_long FROM routed)
-SELECT input_id, is_row_id, found,
-       CASE WHEN found AND NOT too_long THEN (SELECT text FROM chain) END AS predicted,
-       CASE WHEN NOT found THEN 'unknown_id' WHEN too_long THEN 'src_too_long' END AS reason
-FROM chk""",
+    "translate_batch": f"""{TRANSLATE}
+SELECT input_id, is_row_id, found, predicted, reason FROM tr""",
+    "translation_report": f"""{TRANSLATE}
+SELECT input_id, CAST(k - 1 AS INTEGER) AS line_no, line FROM (
+  SELECT input_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS k FROM (
+    SELECT input_id, list_filter([
+        CASE WHEN is_row_id THEN lpad('ID: ', 12, ' ') || input END,
+        lpad('SOURCE: ', 12, ' ') || coalesce(source, ''),
+        CASE WHEN is_row_id THEN lpad('TARGET: ', 12, ' ') || coalesce(expected, '') END,
+        lpad('PREDICTED: ', 12, ' ') || coalesce(predicted, '')], lambda x: x IS NOT NULL) AS ls
+    FROM tr))""",
     "artifact_latest": f"WITH {ARTIFACTS} SELECT run, epoch, global_step, path FROM latest",
     "resume_point": f"""WITH {ARTIFACTS}
 SELECT r.run, coalesce(l.epoch + 1, 0) AS initial_epoch, coalesce(l.global_step, 0) AS global_step
@@ -355,3 +376,4 @@ tc AS (SELECT CAST(step // {SPE} AS BIGINT) AS epoch, avg(value) AS train_loss,
 SELECT tc.epoch, round(train_loss, 6) AS train_loss, train_steps, vc.val_loss
 FROM tc LEFT JOIN vc USING (epoch)""",
 }
+

@@ -92,6 +92,11 @@ def q_vocab_build(spark, d):
     return src_vocab(spark, d)
 
 
+def q_vocab_by_lang(spark, d):
+    docs = T.table(spark, d, "documents")
+    return build_vocab(docs, "text", "word", min_count=MIN_COUNT, by=["lang"])
+
+
 def q_vocab_size(spark, d):
     return vocab_size(src_vocab(spark, d))
 
@@ -294,6 +299,13 @@ def q_translate_batch(spark, d):
 
 # ---- A5-A7, J: run log and curves -----------------------------------------------------
 
+def q_translation_report(spark, d):
+    routed = corpus.route_inputs(T.routing_inputs(spark, d), T.pairs(spark, d))
+    tr = translate_batch(routed, shared_vocab(spark, d), _bigram(spark, d), OPTS.seq_len)
+    return runlog.translation_report(tr).select(
+        "input_id", F.col("line_no").cast("int").alias("line_no"), "line")
+
+
 def q_artifact_latest(spark, d):
     recs = runlog.artifact_records(T.artifact_log(spark, d), OPTS)
     return runlog.latest_artifact(recs, "latest")
@@ -329,6 +341,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "input_routing": q_input_routing,
     "sentences_lang": q_sentences_lang,
     "vocab_build": q_vocab_build,
+    "vocab_by_lang": q_vocab_by_lang,
     "vocab_size": q_vocab_size,
     "encode_word": q_encode_word,
     "encode_char": q_encode_char,
@@ -364,6 +377,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "comparison_report": q_comparison_report,
     "greedy_decode": q_greedy_decode,
     "translate_batch": q_translate_batch,
+    "translation_report": q_translation_report,
     "artifact_latest": q_artifact_latest,
     "resume_point": q_resume_point,
     "metric_log_by_tag": q_metric_log_by_tag,
