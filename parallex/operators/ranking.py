@@ -31,11 +31,13 @@ def exact_rank(df: DataFrame, order: Sequence[Column], group: Sequence[str] = ()
     count pass and the numbering pass read the same partitions. ``total_col``
     adds the row count of the row's group.
     """
-    spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g) for g in group] + list(order)
+    # Without an explicit count AQE may merge neighbouring ranges; merged
+    # partitions stay contiguous in the order, so the numbering still holds.
+    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+              else df.repartitionByRange(*keys))
     numbered = (
-        df.repartitionByRange(n_parts, *keys)
+        ranged
         .sortWithinPartitions(*keys)
         .withColumn("_rid", F.monotonically_increasing_id())
     )
