@@ -76,6 +76,22 @@ class BigramScorer:
         return out.select(key, "next_id", F.lit(0.0).alias("score"))
 
 
+CANDIDATE_SCHEMA = "seq_id long, next_id int, score double"
+
+
+def pandas_scorer(fn, schema: str = CANDIDATE_SCHEMA):
+    """Wrap ``fn(pandas.DataFrame frontier) -> pandas.DataFrame candidates`` as a
+    scorer. It runs per Arrow batch inside ``mapInPandas`` (the plug point for a
+    neural model); the frontier it sees has the key, ``ids`` and any extra
+    prompt columns."""
+    def scorer(frontier: DataFrame) -> DataFrame:
+        def run(batches):
+            for pdf in batches:
+                yield fn(pdf)
+        return frontier.mapInPandas(run, schema)
+    return scorer
+
+
 def _finish_flags(ids, max_len: int, eos: int):
     return (F.element_at(ids, -1) == F.lit(eos)) | (F.size(ids) >= max_len)
 

@@ -74,3 +74,13 @@ def decode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: st
     sep = joiner(mode)
     return out.select(*[c for c in df.columns if c not in outs],
                       *[F.coalesce(F.array_join(F.col(o), sep), F.lit("")).alias(o) for o in outs])
+
+
+def encode_with(df: DataFrame, columns: Mapping[str, str], tokenizer) -> DataFrame:
+    """Encode with a user tokenizer: ``tokenizer(Column) -> Column`` of
+    ``array<int>``, typically a ``pandas_udf``. Row-local (no shuffle), so it
+    also runs on a streaming DataFrame."""
+    out = df
+    for o, t in columns.items():
+        out = out.withColumn(o, tokenizer(F.col(t)))
+    return out

@@ -37,3 +37,18 @@ def mean_val_loss(batch_losses: DataFrame, loss: str = "loss", by: Sequence[str]
     return batch_losses.groupBy(*by).agg(
         F.coalesce(F.avg(loss), F.lit(0.0)).alias("mean_loss"),
         F.count(F.lit(1)).cast("long").alias("n_batches"))
+
+
+def to_long(scores: DataFrame, keys: Sequence[str], logits: str = "logits",
+            token: str = "token_id", score: str = "score") -> DataFrame:
+    """Array scores to long form ``(*keys, token_id, score)``."""
+    return scores.select(*keys, F.posexplode(logits).alias(token, score)).select(
+        *keys, F.col(token).cast("int").alias(token), F.col(score).cast("double").alias(score))
+
+
+def top1_long(scores_long: DataFrame, by: Sequence[str], token: str = "token_id",
+              score: str = "score") -> DataFrame:
+    """Best token per ``by`` group of a long score table (ties: lowest id). A
+    partial + final ``max_by``: each map task keeps one candidate per group."""
+    return scores_long.groupBy(*by).agg(
+        F.max_by(token, F.struct(F.col(score), -F.col(token))).alias("top1"))

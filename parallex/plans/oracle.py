@@ -305,6 +305,11 @@ SELECT pair_id, CAST(rank AS BIGINT) AS rank FROM ranked ORDER BY rank LIMIT {OP
 SELECT vec_id, CAST(k - 1 AS INTEGER) AS k, round(v - lse, 6) AS log_prob
 FROM (SELECT vec_id, lse, unnest(x) AS v, generate_subscripts(x, 1) AS k FROM sc)""",
     "top1_token": "SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS top1 FROM embeddings",
+    "top1_long": """SELECT vec_id, CAST(token_id AS INTEGER) AS top1 FROM (
+  SELECT vec_id, token_id, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, token_id) AS rk
+  FROM (SELECT vec_id, unnest(embedding)::DOUBLE AS score, generate_subscripts(embedding, 1) - 1 AS token_id
+        FROM embeddings))
+WHERE rk = 1""",
     "flatten_scores": f"""SELECT CAST(vec_id // {T.POSITIONS_PER_EXAMPLE} AS BIGINT) AS example_id,
        CAST(row_number() OVER (PARTITION BY vec_id // {T.POSITIONS_PER_EXAMPLE}
             ORDER BY vec_id % {T.POSITIONS_PER_EXAMPLE}) - 1 AS INTEGER) AS pos,

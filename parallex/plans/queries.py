@@ -223,6 +223,11 @@ def q_top1_token(spark, d):
     return T.scores(spark, d).select("vec_id", S.top1(F.col("logits")).alias("top1"))
 
 
+def q_top1_long(spark, d):
+    long = scoring.to_long(T.scores(spark, d), ["vec_id"])
+    return scoring.top1_long(long, ["vec_id"])
+
+
 def q_flatten_scores(spark, d):
     s = T.scores(spark, d)
     nested = s.groupBy("example_id").agg(F.array_sort(F.collect_list(F.struct("pos", "logits", "label"))).alias("r"))
@@ -366,6 +371,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "val_sample": q_val_sample,
     "log_softmax": q_log_softmax,
     "top1_token": q_top1_token,
+    "top1_long": q_top1_long,
     "flatten_scores": q_flatten_scores,
     "masked_ce": q_masked_ce,
     "smoothed_ce": q_smoothed_ce,
