@@ -21,7 +21,7 @@ ROW_ID = r"^[0-9]+\z"  # ASCII digits only; \z so a trailing newline does not ma
 
 def words(text: Column) -> Column:
     """Whitespace-separated words (no empty strings)."""
-    return F.filter(F.split(text, WHITESPACE_RUN), lambda w: w != F.lit(""))
+    return F.array_remove(F.split(text, WHITESPACE_RUN), "")
 
 
 def chars(text: Column) -> Column:

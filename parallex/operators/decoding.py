@@ -63,8 +63,11 @@ class BigramScorer:
         self._rows = None
 
     def best(self) -> DataFrame:
+        """The best-next table, cached (it is small: one row per previous id) and
+        counted once for the broadcast decision. It is deterministic, so a lost
+        cached block is simply recomputed."""
         if self._best is None:
-            self._best = pin(best_next(self.next_scores))
+            self._best = best_next(self.next_scores).persist()
             self._rows = self._best.count()
         return self._best
 
@@ -154,7 +157,7 @@ def markov_decode(prompts: DataFrame, scorer: BigramScorer, max_len: int, eos: i
                         (F.col("next_id") != F.lit(eos)).alias("open"))
     length, level = 1, 0
     while length < need and need > 0:
-        if level % checkpoint_every == 0:
+        if level and level % checkpoint_every == 0:
             paths = pin(paths)
         level += 1
         ext = paths.select(F.col("tok").alias("_tok"), F.col("path").alias("_path"),
@@ -167,7 +170,7 @@ def markov_decode(prompts: DataFrame, scorer: BigramScorer, max_len: int, eos: i
             F.when(can, F.slice(F.concat("path", "_path"), 1, need)).otherwise(F.col("path")).alias("path"),
             F.when(can, F.col("_open")).otherwise(F.lit(False)).alias("open"))
         length *= 2
-    paths = pin(paths.select("tok", "path"))
+    paths = paths.select("tok", "path")
     extra = [c for c in prompts.columns if c not in (key, ids)]
     base = prompts.select(key, F.col(ids).alias("_ids"), *extra)
     joined = lookup_join(base, F.element_at("_ids", -1), paths, "tok", "left",
@@ -182,7 +185,7 @@ def markov_decode(prompts: DataFrame, scorer: BigramScorer, max_len: int, eos: i
 
 def translate_batch(routed: DataFrame, vocab: DataFrame, scorer: Scorer, seq_len: int,
                     mode: str = "word", key: str = "input_id", sos: int = SOS_ID,
-                    eos: int = EOS_ID) -> DataFrame:
+                    eos: int = EOS_ID, vocab_rows: int | None = None) -> DataFrame:
     """Translate routed inputs ``(key, source, expected, found, ...)``.
 
     Encode the source, apply the length check (too-long or unknown inputs get
@@ -192,13 +195,17 @@ def translate_batch(routed: DataFrame, vocab: DataFrame, scorer: Scorer, seq_len
     """
     from parallex.operators.encode import decode, encode
 
+    if vocab_rows is None:
+        vocab_rows = vocab.count()
     ok = routed.where(F.col("found"))
-    enc = encode(ok.select(key, "source"), {"src_ids": "source"}, vocab, mode, key=key)
+    enc = encode(ok.select(key, "source"), {"src_ids": "source"}, vocab, mode, key=key,
+                 vocab_rows=vocab_rows)
     enc = enc.withColumn("reason", F.when(F.size("src_ids") > seq_len - 2, F.lit("src_too_long")))
     prompts = enc.where(F.col("reason").isNull()).select(
         key, F.array(F.lit(sos)).alias("ids"), "src_ids")
     out = greedy_decode(prompts, scorer, seq_len, eos, key=key)
-    text = decode(out.select(key, "ids"), {"predicted": "ids"}, vocab, mode, key=key)
+    text = decode(out.select(key, "ids"), {"predicted": "ids"}, vocab, mode, key=key,
+                  vocab_rows=vocab_rows)
     reasons = enc.select(key, "reason")
     return (routed.join(text, key, "left").join(reasons, key, "left")
             .withColumn("reason", F.when(~F.col("found"), F.lit("unknown_id")).otherwise(F.col("reason"))))

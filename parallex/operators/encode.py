@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from parallex.config import UNK_ID
 from parallex.functions.text import joiner, tokenize
 from parallex.operators.lookup import lookup_join
+from parallex.session import by_key
 
 
 def _exploded(df: DataFrame, key: str, arrays: list[Column]) -> DataFrame:
@@ -41,7 +42,7 @@ def encode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: st
     """Add one ``array<int>`` column per ``{out_col: text_col}``; unknown tokens map
     to ``unk``; an empty text gives ``[]``. ``key`` must be unique."""
     outs = list(columns)
-    parted = df.repartition(key)
+    parted = by_key(df, key)
     exploded = _exploded(parted, key, [tokenize(F.col(t), mode) for t in columns.values()])
     # many-to-one lookup: broadcast when the vocabulary is small enough, else a
     # salted join keyed on (token, position) so frequent tokens spread out
@@ -61,7 +62,7 @@ def decode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: st
     """Add one text column per ``{out_col: ids_col}``. Special tokens are kept
     unless ``strip_special``; an id missing from the vocabulary decodes to [UNK]."""
     outs = list(columns)
-    parted = df.repartition(key)
+    parted = by_key(df, key)
     exploded = _exploded(parted, key, [F.col(c) for c in columns.values()])
     lookup = vocab.select(F.col("id").alias("_id"), "token", "is_special")
     looked = lookup_join(exploded, F.col("item"), lookup, "_id", "left", small_rows=vocab_rows,

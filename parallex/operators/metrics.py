@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parallex.functions.text import MAX_SYMBOLS, as_symbols, words
+from parallex.session import by_key, spread
 
 
 def char_edits(pred: Column, exp: Column) -> Column:
@@ -46,13 +47,13 @@ def _rate(df: DataFrame, edits: Column, total: Column, by: Sequence[str], name:
 def char_error_rate(ev: DataFrame, pred: str = "predicted", exp: str = "expected",
                     by: Sequence[str] = ()) -> DataFrame:
     """CER = sum of character edits / sum of expected characters."""
-    return _rate(ev, char_edits(F.col(pred), F.col(exp)), F.length(exp), by, "cer")
+    return _rate(spread(ev), char_edits(F.col(pred), F.col(exp)), F.length(exp), by, "cer")
 
 
 def word_error_rate(ev: DataFrame, pred: str = "predicted", exp: str = "expected",
                     by: Sequence[str] = ()) -> DataFrame:
     """WER = sum of word edits / sum of expected words."""
-    scored = with_word_edits(ev.select(*by, pred, exp), pred, exp, "_edits", "_ref_len")
+    scored = with_word_edits(spread(ev.select(*by, pred, exp)), pred, exp, "_edits", "_ref_len")
     return _rate(scored, F.col("_edits"), F.col("_ref_len"), by, "wer")
 
 
@@ -77,7 +78,7 @@ def bleu_ngrams(ev: DataFrame, pred: str = "predicted", exp: str = "expected",
     counting hypothesis and reference occurrences in one pass, so no join is
     needed to clip.
     """
-    parted = ev.repartition(key).select(key, *by, words(F.col(pred)).alias("_h"),
+    parted = by_key(ev, key).select(key, *by, words(F.col(pred)).alias("_h"),
                                         words(F.col(exp)).alias("_r"))
     h, r = F.col("_h"), F.col("_r")  # column references: the n-gram lambdas capture them
     tagged = F.concat(*[_tagged(toks, n, side)
@@ -96,7 +97,7 @@ def bleu(ev: DataFrame, pred: str = "predicted", exp: str = "expected", max_n: i
     """Corpus BLEU with uniform weights, no smoothing (0 when any n has no
     match) and brevity penalty ``1`` if ``c > r`` else ``exp(1 - r / c)``."""
     stats = bleu_ngrams(ev, pred, exp, max_n, key, by)
-    lens = ev.groupBy(*by).agg(
+    lens = spread(ev).groupBy(*by).agg(
         F.sum(F.size(words(F.col(pred)))).cast("long").alias("hyp_len"),
         F.sum(F.size(words(F.col(exp)))).cast("long").alias("ref_len"))
     wide = stats.groupBy(*by).agg(

@@ -65,3 +65,42 @@ def exact_rank(df: DataFrame, order: Sequence[Column], group: Sequence[str] = ()
     else:
         drop.append("_total")
     return ranked.drop(*drop)
+
+
+HASH_PREFIX_HEX = 4  # 65 536 buckets
+
+
+def hash_rank(df: DataFrame, hash_col: str, tiebreak: Sequence[str], group: Sequence[str] = (),
+              rank_col: str = "rank", total_col: str | None = None,
+              prefix_hex: int = HASH_PREFIX_HEX, n_groups: int | None = None) -> DataFrame:
+    """Exact rank in ``(hash_col, *tiebreak)`` order, for a uniform hex hash
+    (md5) — deterministic, with no sampling and no checkpoint.
+
+    The leading ``prefix_hex`` hex digits cut the order into ``16**prefix_hex``
+    contiguous buckets of equal expected size. A rank is the number of rows in
+    earlier buckets (from a per-bucket count table, at most one row per bucket
+    and group, broadcast) plus the row number inside the bucket (a window
+    partitioned by bucket, so buckets spread over all tasks). ``n_groups``
+    (when known) bounds the count table without counting it.
+    """
+    gcols = list(group)
+    bucket = F.conv(F.substring(F.col(hash_col), 1, prefix_hex), 16, 10).cast("int")
+    b = df.withColumn("_bucket", bucket)
+    counts = b.groupBy(*gcols, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*gcols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*gcols)
+    offsets = counts.select(*gcols, "_bucket",
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+                            F.sum("_n").over(whole).alias("_total"))
+    bound = 16 ** prefix_hex * (n_groups if n_groups is not None else 1) if (n_groups or not gcols) else None
+    offsets = broadcast_checked(offsets, known_rows=bound)
+    inside = Window.partitionBy(*gcols, "_bucket").orderBy(F.col(hash_col), *[F.col(c) for c in tiebreak])
+    ranked = (b.withColumn("_rn", F.row_number().over(inside))
+              .join(offsets, [*gcols, "_bucket"], "inner")
+              .withColumn(rank_col, F.col("_offset") + F.col("_rn")))
+    drop = ["_bucket", "_rn", "_offset"]
+    if total_col:
+        ranked = ranked.withColumnRenamed("_total", total_col)
+    else:
+        drop.append("_total")
+    return ranked.drop(*drop)

@@ -1,8 +1,9 @@
 """Exact split, per-epoch shuffle, batches, collate, schedule, sample (F1-F6).
 
 Order comes from ``md5(key | seed [| epoch])``: reproducible, independent of
-partitioning, and evenly spread, so a range partition on it is balanced. Ranks
-come from ``exact_rank`` (no single-task window).
+partitioning, and evenly spread. Ranks come from ``hash_rank``: buckets on the
+hash prefix, a bounded per-bucket count table and a window per bucket (no
+single-task window, no sampling, no checkpoint).
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parallex.operators.ranking import exact_rank
+from parallex.operators.ranking import hash_rank
 
 
 def order_hash(keys: Sequence[str], *salt: Column | str | int) -> Column:
@@ -26,8 +27,7 @@ def split_exact(df: DataFrame, keys: Sequence[str], fraction: float = 0.9,
     """Random split with exact sizes: ``floor(fraction * N)`` rows get
     ``split = 'train'``, the rest ``'val'``. Adds ``split_rank``."""
     h = order_hash(keys, seed)
-    ranked = exact_rank(df.withColumn("_h", h), [F.col("_h"), *[F.col(k) for k in keys]],
-                        rank_col="split_rank", total_col="_total")
+    ranked = hash_rank(df.withColumn("_h", h), "_h", keys, rank_col="split_rank", total_col="_total")
     cut = F.floor(F.lit(float(fraction)) * F.col("_total"))
     return ranked.withColumn(
         "split", F.when(F.col("split_rank") <= cut, F.lit("train")).otherwise(F.lit("val"))
@@ -42,8 +42,8 @@ def shuffle_rank(df: DataFrame, keys: Sequence[str], seed: int, epochs: Sequence
         raise ValueError("no epochs")
     per_epoch = df.withColumn("epoch", F.explode(F.array(*[F.lit(e) for e in ep])))
     h = order_hash(keys, seed, F.col("epoch").cast("string"))
-    ranked = exact_rank(per_epoch.withColumn("_h", h), [F.col("_h"), *[F.col(k) for k in keys]],
-                        group=["epoch"], rank_col="rank", total_col="epoch_rows")
+    ranked = hash_rank(per_epoch.withColumn("_h", h), "_h", keys, group=["epoch"],
+                       rank_col="rank", total_col="epoch_rows", n_groups=len(ep))
     return ranked.drop("_h")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from parallex.config import SPECIAL_TOKENS
 from parallex.functions.text import tokenize
 from parallex.operators.ranking import exact_rank
+from parallex.session import spread
 
 VOCAB_SCHEMA = T.StructType([
     T.StructField("token", T.StringType(), False),
@@ -39,7 +40,8 @@ def build_vocab(texts: DataFrame, text_col: str = "text", mode: str = "word",
     spark = texts.sparkSession
     by = list(by)
     counts = (
-        texts.select(*by, F.explode(tokenize(F.col(text_col), mode)).alias("token"))
+        spread(texts.select(*by, text_col))
+        .select(*by, F.explode(tokenize(F.col(text_col), mode)).alias("token"))
         .groupBy(*by, "token").agg(F.count(F.lit(1)).alias("n"))
         .where((F.col("n") >= min_count) & ~F.col("token").isin(*SPECIAL_TOKENS))
     )

@@ -47,8 +47,9 @@ def shared_vocab(spark, d):
     return build_vocab(texts, "text", "word", min_count=MIN_COUNT)
 
 
-def encoded_shared(spark, d):
-    return encode(T.pairs(spark, d), SIDES, shared_vocab(spark, d), "word")
+def encoded_shared(spark, d, vocab=None):
+    v = vocab if vocab is not None else shared_vocab(spark, d)
+    return encode(T.pairs(spark, d), SIDES, v, "word")
 
 
 def examples_df(spark, d):
@@ -283,8 +284,7 @@ def q_comparison_report(spark, d):
 
 # ---- I: decoding ---------------------------------------------------------------------
 
-def _bigram(spark, d, enc=None):
-    enc = enc if enc is not None else encoded_shared(spark, d)
+def _bigram(spark, d, enc):
     return BigramScorer(bigram_scores(enc, "trg_ids"))
 
 
@@ -296,18 +296,22 @@ def q_greedy_decode(spark, d):
     return out.select("pair_id", render(F.col("ids")).alias("ids"), F.col("steps").cast("int").alias("steps"))
 
 
-def q_translate_batch(spark, d):
+def _translated(spark, d):
+    v = shared_vocab(spark, d)
+    rows = v.count()  # one count, reused by every lookup below
     routed = corpus.route_inputs(T.routing_inputs(spark, d), T.pairs(spark, d))
-    tr = translate_batch(routed, shared_vocab(spark, d), _bigram(spark, d), OPTS.seq_len)
-    return tr.select("input_id", "is_row_id", "found", "predicted", "reason")
+    scorer = _bigram(spark, d, encode(T.pairs(spark, d), SIDES, v, "word", vocab_rows=rows))
+    return translate_batch(routed, v, scorer, OPTS.seq_len, vocab_rows=rows)
+
+
+def q_translate_batch(spark, d):
+    return _translated(spark, d).select("input_id", "is_row_id", "found", "predicted", "reason")
 
 
 # ---- A5-A7, J: run log and curves -----------------------------------------------------
 
 def q_translation_report(spark, d):
-    routed = corpus.route_inputs(T.routing_inputs(spark, d), T.pairs(spark, d))
-    tr = translate_batch(routed, shared_vocab(spark, d), _bigram(spark, d), OPTS.seq_len)
-    return runlog.translation_report(tr).select(
+    return runlog.translation_report(_translated(spark, d)).select(
         "input_id", F.col("line_no").cast("int").alias("line_no"), "line")
 
 

@@ -84,3 +84,25 @@ def broadcast_checked(df: DataFrame, max_rows: int | None = None,
     limit = max_rows if max_rows is not None else broadcast_limit(row_bytes)
     n = known_rows if known_rows is not None else df.count()
     return F.broadcast(df) if n <= limit else df
+
+
+def work_partitions(spark: SparkSession) -> int:
+    """Partition count for CPU-heavy keyed stages: the shuffle setting, but
+    never below the cluster's task slots."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+               spark.sparkContext.defaultParallelism)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the task slots when it has fewer partitions than
+    slots (e.g. a small file with one row group) and the per-row work that
+    follows is CPU-heavy. A large input already has more partitions than
+    slots and is returned unchanged, without a shuffle."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
+def by_key(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition on ``key`` into ``work_partitions`` partitions (an explicit
+    count, so the CPU-heavy stage that follows is not merged into few tasks)."""
+    return df.repartition(work_partitions(df.sparkSession), key)
