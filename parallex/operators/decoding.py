@@ -21,13 +21,14 @@ Two plans:
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parallex.config import EOS_ID, SOS_ID
 from parallex.operators.lookup import lookup_join
-from parallex.session import pin
+from parallex.session import pin, work_partitions
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -101,22 +102,29 @@ def _finish_flags(ids, max_len: int, eos: int):
 
 def greedy_decode(prompts: DataFrame, scorer: Scorer, max_len: int, eos: int = EOS_ID,
                   key: str = "seq_id", ids: str = "ids", checkpoint_every: int = 4) -> DataFrame:
-    """Decode every prompt; returns ``(key, ids, steps)`` (``steps`` = tokens added)."""
+    """Decode every prompt; returns ``(key, ids, steps)`` (``steps`` = tokens added).
+
+    Step loop: only unfinished sequences are scored. Rows that finish are set
+    aside and written to the checkpoint folder once per ``checkpoint_every``
+    steps; the active rows are checkpointed at the same time. No union grows
+    across steps, so partition counts and plans stay bounded.
+    """
     if getattr(scorer, "markov", False):
         return markov_decode(prompts, scorer, max_len, eos, key, ids)
+    spark = prompts.sparkSession
+    n_parts = work_partitions(spark)
     extra = [c for c in prompts.columns if c not in (key, ids)]
-    state = prompts.select(key, F.col(ids).alias("ids"), *extra, F.lit(0).alias("steps"),
-                           _finish_flags(F.col(ids), max_len, eos).alias("done"))
-    state = pin(state)
-    step = 0
+    state = pin(prompts.select(key, F.col(ids).alias("ids"), *extra, F.lit(0).alias("steps"),
+                               _finish_flags(F.col(ids), max_len, eos).alias("done"))
+                .repartition(n_parts, key))
+    pieces = []                             # finished rows, each piece written once
+    pending = [state.where(F.col("done"))]  # finished since the last checkpoint
+    active = state.where(~F.col("done"))
     cached = []
-    while True:
-        active = state.where(~F.col("done"))
-        if active.isEmpty():
-            break
-        cand = scorer(active.select(key, "ids", *extra).withColumnRenamed("ids", ids)) \
-            if ids != "ids" else scorer(active.select(key, "ids", *extra))
-        best = cand.groupBy(key).agg(
+    step = 0
+    while not active.isEmpty():
+        frontier = active.select(key, F.col("ids").alias(ids) if ids != "ids" else F.col("ids"), *extra)
+        best = scorer(frontier).groupBy(key).agg(
             F.max_by("next_id", F.struct("score", -F.col("next_id"))).alias("_next"))
         moved = active.join(best, key, "left")
         new_ids = F.when(F.col("_next").isNull(), F.col("ids")).otherwise(
@@ -125,18 +133,26 @@ def greedy_decode(prompts: DataFrame, scorer: Scorer, max_len: int, eos: int = E
             key, new_ids.alias("ids"), *extra,
             (F.col("steps") + F.col("_next").isNotNull().cast("int")).alias("steps"),
             (F.col("_next").isNull() | _finish_flags(new_ids, max_len, eos)).alias("done"))
-        state = state.where(F.col("done")).unionByName(moved)
         step += 1
         if step % checkpoint_every == 0:
-            state = pin(state)
+            moved = pin(moved.repartition(n_parts, key))
+            pending.append(moved.where(F.col("done")))
+            pieces.append(pin(reduce(DataFrame.unionByName, pending).coalesce(n_parts)))
+            pending = []
             for c in cached:
                 c.unpersist()
             cached = []
         else:
-            state = state.persist()
-            cached.append(state)
-    out = state.select(key, F.col("ids").alias(ids), *extra, "steps")
-    return out
+            moved = moved.persist()
+            cached.append(moved)
+            pending.append(moved.where(F.col("done")))
+        active = moved.where(~F.col("done"))
+    if pending:
+        pieces.append(pin(reduce(DataFrame.unionByName, pending).coalesce(n_parts)))
+    for c in cached:
+        c.unpersist()
+    out = reduce(DataFrame.unionByName, pieces).coalesce(n_parts)
+    return out.select(key, F.col("ids").alias(ids), *extra, "steps")
 
 
 def markov_decode(prompts: DataFrame, scorer: BigramScorer, max_len: int, eos: int = EOS_ID,
