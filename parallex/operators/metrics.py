@@ -95,21 +95,30 @@ def bleu_ngrams(ev: DataFrame, pred: str = "predicted", exp: str = "expected",
 def bleu(ev: DataFrame, pred: str = "predicted", exp: str = "expected", max_n: int = 4,
          key: str = "pair_id", by: Sequence[str] = ()) -> DataFrame:
     """Corpus BLEU with uniform weights, no smoothing (0 when any n has no
-    match) and brevity penalty ``1`` if ``c > r`` else ``exp(1 - r / c)``."""
-    stats = bleu_ngrams(ev, pred, exp, max_n, key, by)
-    lens = spread(ev).groupBy(*by).agg(
-        F.sum(F.size(words(F.col(pred)))).cast("long").alias("hyp_len"),
-        F.sum(F.size(words(F.col(exp)))).cast("long").alias("ref_len"))
-    wide = stats.groupBy(*by).agg(
-        F.min("matches").alias("_min_match"),
-        F.sum(F.log(F.col("matches") / F.nullif(F.col("candidates"), F.lit(0))) / max_n).alias("_log_p"),
-        F.count(F.lit(1)).alias("_orders"))
-    on = list(by) or ["_one"]
-    if not by:  # both sides are a single row: join them on a constant key
-        lens, wide = lens.withColumn("_one", F.lit(1)), wide.withColumn("_one", F.lit(1))
-    joined = lens.join(wide, on, "left")
+    match) and brevity penalty ``1`` if ``c > r`` else ``exp(1 - r / c)``.
+
+    The n-gram statistics and the corpus lengths are stacked into one table and
+    reduced by a single aggregate, so the final step needs no join.
+    """
+    by = list(by)
+    stats = bleu_ngrams(ev, pred, exp, max_n, key, by).select(
+        *by, F.col("n").cast("int").alias("n"), "matches", "candidates",
+        F.lit(0).cast("long").alias("hyp_len"), F.lit(0).cast("long").alias("ref_len"))
+    lens = spread(ev).select(
+        *by, F.lit(None).cast("int").alias("n"), F.lit(0).cast("long").alias("matches"),
+        F.lit(0).cast("long").alias("candidates"),
+        F.size(words(F.col(pred))).cast("long").alias("hyp_len"),
+        F.size(words(F.col(exp))).cast("long").alias("ref_len"))
+    is_n = F.col("n").isNotNull()
+    log_p = F.log(F.col("matches") / F.nullif(F.col("candidates"), F.lit(0))) / max_n
+    wide = stats.unionByName(lens).groupBy(*by).agg(
+        F.min(F.when(is_n, F.col("matches"))).alias("_min_match"),
+        F.sum(F.when(is_n, log_p)).alias("_log_p"),
+        F.count(F.when(is_n, F.lit(1))).alias("_orders"),
+        F.sum("hyp_len").cast("long").alias("hyp_len"),
+        F.sum("ref_len").cast("long").alias("ref_len"))
     bp = F.when(F.col("hyp_len") > F.col("ref_len"), F.lit(1.0)).otherwise(
         F.exp(1 - F.col("ref_len") / F.nullif(F.col("hyp_len"), F.lit(0))))
-    score = F.when(F.coalesce(F.col("_orders"), F.lit(0)) < max_n, F.lit(0.0)).when(
+    score = F.when(F.col("_orders") < max_n, F.lit(0.0)).when(
         F.col("_min_match") == 0, F.lit(0.0)).otherwise(bp * F.exp(F.col("_log_p")))
-    return joined.select(*by, F.coalesce(score, F.lit(0.0)).alias("bleu"), "hyp_len", "ref_len")
+    return wide.select(*by, F.coalesce(score, F.lit(0.0)).alias("bleu"), "hyp_len", "ref_len")
