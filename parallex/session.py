@@ -9,9 +9,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               executor_memory_gb: float = 16.0, expansion: float = 3.0) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` of (compressed) input.
+
+    Scan splits are sized so every core gets several, between 128 MB and 1 GB.
+    Shuffle partitions are sized from the expected shuffle volume
+    (``expansion`` x input: exploded tokens and n-grams are wider than text)
+    so that one partition is ~200 MB, well under a core's share of executor
+    memory, and never fewer than three waves of tasks.
+    """
+    cores = max(executors * cores_per_executor, 1)
+    split = min(max(input_bytes // (cores * 4), 128 << 20), 1 << 30)
+    per_core_mem = executor_memory_gb * (1 << 30) / max(cores_per_executor, 1)
+    target = int(min(200 << 20, per_core_mem / 4))
+    shuffle = max(int(input_bytes * expansion) // max(target, 1), cores * 3)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(int(split)),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    }
+
+
 def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
-              app_name: str = "parallex") -> SparkSession:
-    spark = (
+              app_name: str = "parallex", extra_conf: dict[str, str] | None = None) -> SparkSession:
+    builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -23,8 +47,10 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
-        .getOrCreate()
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
