@@ -9,21 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
 def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
-               executor_memory_gb: float = 16.0, expansion: float = 3.0) -> dict[str, str]:
+               executor_memory_gb: float = 16.0, expansion: float = 1.5) -> dict[str, str]:
     """Partition sizing for a run over ``input_bytes`` of (compressed) input.
 
     Scan splits are sized so every core gets several, between 128 MB and 1 GB.
     Shuffle partitions are sized from the expected shuffle volume
-    (``expansion`` x input: exploded tokens and n-grams are wider than text)
-    so that one partition is ~200 MB, well under a core's share of executor
-    memory, and never fewer than three waves of tasks.
+    (``expansion`` x input: the encode and BLEU plans shuffle the input rows
+    once, the aggregates shuffle pre-summed rows) so that one partition is at
+    most a quarter of a core's share of executor memory, with at least three
+    waves of tasks and at most ``MAX_SHUFFLE_PARTITIONS`` reducers (beyond
+    that, map-output tracking costs more than larger, spilling partitions).
     """
     cores = max(executors * cores_per_executor, 1)
     split = min(max(input_bytes // (cores * 4), 128 << 20), 1 << 30)
     per_core_mem = executor_memory_gb * (1 << 30) / max(cores_per_executor, 1)
-    target = int(min(200 << 20, per_core_mem / 4))
-    shuffle = max(int(input_bytes * expansion) // max(target, 1), cores * 3)
+    target = int(per_core_mem / 4)
+    shuffle = min(max(int(input_bytes * expansion) // max(target, 1), cores * 3), MAX_SHUFFLE_PARTITIONS)
     return {
         "spark.sql.files.maxPartitionBytes": str(int(split)),
         "spark.sql.shuffle.partitions": str(int(shuffle)),

@@ -22,5 +22,7 @@ def test_prepare_and_translate(spark, tmp_dir, capsys):
 def test_scale_conf_bounds():
     c = scale_conf(100 << 40, executors=1000, cores_per_executor=8)
     assert 128 << 20 <= int(c["spark.sql.files.maxPartitionBytes"]) <= 1 << 30
-    assert int(c["spark.sql.shuffle.partitions"]) >= 3 * 8000
-    assert int(c["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) <= 200 << 20
+    assert 3 * 8000 <= int(c["spark.sql.shuffle.partitions"]) <= 200_000
+    assert int(c["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) <= (16 << 30) // 8 // 4
+    small = scale_conf(1 << 30, executors=2, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
