@@ -19,10 +19,18 @@ def max_lengths(encoded: DataFrame, src: str = "src_ids", trg: str = "trg_ids")
                        F.max(F.size(trg)).cast("long").alias("max_trg"))
 
 
-def length_reason(seq_len: int, src: str = "src_ids", trg: str = "trg_ids"):
+TEXT_COLUMNS = ("src_text", "trg_text")
+
+
+def length_reason(seq_len: int, src: str = "src_ids", trg: str = "trg_ids",
+                  texts: tuple[str, ...] = ()):
     """NULL when the pair fits ``seq_len`` (source + SOS + EOS, target + SOS),
-    else why it does not."""
-    return (F.when(F.size(src) > seq_len - 2, F.lit("src_too_long"))
+    else why it does not; a NULL text (when text columns are given) is
+    ``null_text``."""
+    reason = F.when(F.lit(False), F.lit(None).cast("string"))
+    for t in texts:
+        reason = reason.when(F.col(t).isNull(), F.lit("null_text"))
+    return (reason.when(F.size(src) > seq_len - 2, F.lit("src_too_long"))
             .when(F.size(trg) > seq_len - 1, F.lit("trg_too_long")))
 
 
@@ -31,13 +39,15 @@ def check_lengths(encoded: DataFrame, seq_len: int, on_error: str = "fail",
     """Length check.
 
     ``fail``: the rows unchanged, with a ``raise_error`` evaluated per row, so the
-    first action over a too-long pair fails as the reference does.
+    first action over a too-long pair fails as the reference does. A NULL
+    ``src_text``/``trg_text`` (when present) counts as ``null_text``.
     ``quarantine``: ``(kept, rejected)`` where rejected carries ``reason``.
     ``annotate``: every row with a ``reason`` column (NULL when kept).
     """
-    reason = length_reason(seq_len, src, trg)
+    texts = tuple(t for t in TEXT_COLUMNS if t in encoded.columns)
+    reason = length_reason(seq_len, src, trg, texts)
     if on_error == "fail":
-        guard = F.when(reason.isNotNull(), F.raise_error(F.lit("Sentence is too long")))
+        guard = F.when(reason.isNotNull(), F.raise_error(F.concat(F.lit("Sentence is too long or missing: "), reason)))
         return encoded.where(guard.isNull())
     annotated = encoded.withColumn("reason", reason)
     if on_error == "annotate":

@@ -226,7 +226,8 @@ tr AS (
 def _quarantine(seq_len: int) -> str:
     return f"""WITH {PAIRS}
 SELECT pair_id, CAST(len({words('src_text')}) AS BIGINT) AS n_src, CAST(len({words('trg_text')}) AS BIGINT) AS n_trg,
-       CASE WHEN len({words('src_text')}) > {seq_len - 2} THEN 'src_too_long'
+       CASE WHEN src_text IS NULL OR trg_text IS NULL THEN 'null_text'
+            WHEN len({words('src_text')}) > {seq_len - 2} THEN 'src_too_long'
             WHEN len({words('trg_text')}) > {seq_len - 1} THEN 'trg_too_long' END AS reason
 FROM pairs"""
 

@@ -90,7 +90,7 @@ def route_inputs(inputs: DataFrame, pairs: DataFrame, input_col: str = "input",
     corpus, so text rows never pile up under a NULL join key. An id with no pair
     gives NULL source and ``found = false``."""
     tagged = inputs.select(key, F.col(input_col).alias("input"),
-                           is_row_id(F.col(input_col)).alias("is_row_id"))
+                           F.coalesce(is_row_id(F.col(input_col)), F.lit(False)).alias("is_row_id"))
     texts = tagged.where(~F.col("is_row_id")).select(
         key, "input", "is_row_id", F.col("input").alias("source"),
         F.lit("").alias("expected"), F.lit(True).alias("found"))

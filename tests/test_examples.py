@@ -60,3 +60,17 @@ def test_lengths(spark):
     e = encoded(spark, [(3, 5), (7, 1)])
     assert {r["pair_id"]: (r["n_src"], r["n_trg"]) for r in token_lengths(e).collect()} == {0: (3, 5), 1: (7, 1)}
     assert tuple(max_lengths(e).first()) == (7, 5)
+
+
+def test_null_text_is_quarantined(spark):
+    from parallex.operators.encode import encode
+    from parallex.operators.vocab import build_vocab
+    df = spark.createDataFrame([(1, "a b", "c"), (2, None, "c"), (3, "a", None)],
+                               "pair_id long, src_text string, trg_text string")
+    v = build_vocab(df.where("pair_id = 1"), "src_text")
+    enc = encode(df, {"src_ids": "src_text", "trg_ids": "trg_text"}, v)
+    kept, rejected = check_lengths(enc, 480, "quarantine")
+    assert [r["pair_id"] for r in kept.collect()] == [1]
+    assert sorted((r["pair_id"], r["reason"]) for r in rejected.collect()) == [(2, "null_text"), (3, "null_text")]
+    with pytest.raises(Exception, match="null_text"):
+        build_examples(enc, 480).collect()

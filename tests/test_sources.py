@@ -49,10 +49,11 @@ def test_conversation_pairs_and_sentences(spark):
 
 def test_route_inputs(spark):
     pairs = spark.createDataFrame([(12, "src12", "trg12")], "pair_id long, src_text string, trg_text string")
-    inputs = spark.createDataFrame([(1, "12"), (2, "12a"), (3, "13"), (4, "99999999999999999999999")],
+    inputs = spark.createDataFrame([(1, "12"), (2, "12a"), (3, "13"), (4, "99999999999999999999999"), (5, None)],
                                    "input_id long, input string")
     out = {r["input_id"]: r for r in route_inputs(inputs, pairs).collect()}
     assert (out[1]["source"], out[1]["expected"], out[1]["found"]) == ("src12", "trg12", True)
     assert (out[2]["is_row_id"], out[2]["source"], out[2]["found"]) == (False, "12a", True)
     assert (out[3]["found"], out[3]["source"]) == (False, None)
     assert out[4]["found"] is False
+    assert out[5]["is_row_id"] is False and out[5]["source"] is None
