@@ -300,7 +300,8 @@ def _translated(spark, d):
     v = shared_vocab(spark, d)
     rows = v.count()  # one count, reused by every lookup below
     routed = corpus.route_inputs(T.routing_inputs(spark, d), T.pairs(spark, d))
-    scorer = _bigram(spark, d, encode(T.pairs(spark, d), SIDES, v, "word", vocab_rows=rows))
+    targets = T.pairs(spark, d).select("pair_id", "trg_text")  # the bigram table needs the target side only
+    scorer = _bigram(spark, d, encode(targets, {"trg_ids": "trg_text"}, v, "word", vocab_rows=rows))
     return translate_batch(routed, v, scorer, OPTS.seq_len, vocab_rows=rows)
 
 
