@@ -53,3 +53,17 @@ def test_vocab_by_group(spark):
     got = sorted((r["lang"], r["token"], r["id"], r["n"]) for r in v.collect())
     specials = [(lang, t, i, 0) for lang in ("en", "fr") for i, t in enumerate(("[UNK]", "[PAD]", "[SOS]", "[EOS]"))]
     assert got == sorted(specials + [("en", "a", 4, 2), ("en", "b", 5, 2), ("fr", "c", 4, 2), ("fr", "d", 5, 1)])
+
+
+def test_hot_key_is_split(spark, monkeypatch):
+    from parallex.operators.lookup import hot_keys, lookup_join
+    # key 0 holds a third of all rows
+    rows = [(i, 0 if i % 3 == 0 else i) for i in range(3000)]
+    big = spark.createDataFrame(rows, "rid long, k long")
+    small = spark.createDataFrame([(k, f"v{k}") for k in range(3000)], "key long, val string")
+    hot = {r["_k"]: r["_salts"] for r in hot_keys(big.withColumnRenamed("k", "_k"), "_k", 16).collect()}
+    assert list(hot) == [0] and hot[0] >= 5
+    monkeypatch.setattr(session, "MAX_BROADCAST_BYTES", 1)
+    out = lookup_join(big, F.col("k"), small, "key", "left", salt_source=F.col("rid"), partitions=16)
+    got = sorted((r["rid"], r["val"]) for r in out.collect())
+    assert got == sorted((i, f"v{k}") for i, k in rows)
