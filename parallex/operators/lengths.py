@@ -27,11 +27,12 @@ def length_reason(seq_len: int, src: str = "src_ids", trg: str = "trg_ids",
     """NULL when the pair fits ``seq_len`` (source + SOS + EOS, target + SOS),
     else why it does not; a NULL text (when text columns are given) is
     ``null_text``."""
-    reason = F.when(F.lit(False), F.lit(None).cast("string"))
-    for t in texts:
-        reason = reason.when(F.col(t).isNull(), F.lit("null_text"))
-    return (reason.when(F.size(src) > seq_len - 2, F.lit("src_too_long"))
-            .when(F.size(trg) > seq_len - 1, F.lit("trg_too_long")))
+    rules = [(F.col(t).isNull(), "null_text") for t in texts]
+    rules += [(F.size(src) > seq_len - 2, "src_too_long"), (F.size(trg) > seq_len - 1, "trg_too_long")]
+    reason = F.when(rules[0][0], F.lit(rules[0][1]))
+    for cond, why in rules[1:]:
+        reason = reason.when(cond, F.lit(why))
+    return reason
 
 
 def check_lengths(encoded: DataFrame, seq_len: int, on_error: str = "fail",

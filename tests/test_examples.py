@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from parallex.operators.examples import assert_example_sizes, build_examples, causal_mask, decoder_mask
 from parallex.operators.lengths import check_lengths, max_lengths, token_lengths

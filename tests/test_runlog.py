@@ -1,6 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
 
 from parallex.config import Options
 from parallex.operators.curves import loss_curves, train_curve, val_curve

@@ -1,6 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
 
 from parallex.sources.corpus import (conversation_pairs, pair_by_id, pair_count, preview, read_pairs,
                                      route_inputs, sentences, to_pairs)
