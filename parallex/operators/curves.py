@@ -18,10 +18,22 @@ def train_curve(log: DataFrame, tag: str = "train loss") -> DataFrame:
     return last_per_step(log.where(F.col("tag") == tag)).select("step", "value").orderBy("step")
 
 
+def train_epoch(step, steps_per_epoch: int):
+    """Training losses are logged before the step counter moves: steps
+    ``e*S .. (e+1)*S - 1`` belong to epoch ``e``."""
+    return F.floor(step / F.lit(steps_per_epoch)).cast("long")
+
+
+def val_epoch(step, steps_per_epoch: int):
+    """Validation of epoch ``e`` is logged after its last batch, at step
+    ``(e+1)*S``: steps ``e*S + 1 .. (e+1)*S`` belong to epoch ``e``."""
+    return F.floor((step - 1) / F.lit(steps_per_epoch)).cast("long")
+
+
 def val_curve(log: DataFrame, steps_per_epoch: int, tag: str = "validation loss") -> DataFrame:
-    """One validation value per epoch (the last logged in that epoch)."""
+    """One validation value per epoch (the last logged for that epoch)."""
     per = last_per_step(log.where(F.col("tag") == tag))
-    return (per.withColumn("epoch", (F.col("step") / F.lit(steps_per_epoch)).cast("long"))
+    return (per.withColumn("epoch", val_epoch(F.col("step"), steps_per_epoch))
             .groupBy("epoch").agg(F.max_by("value", F.col("step")).alias("val_loss"))
             .orderBy("epoch"))
 
@@ -29,9 +41,9 @@ def val_curve(log: DataFrame, steps_per_epoch: int, tag: str = "validation loss"
 def loss_curves(log: DataFrame, steps_per_epoch: int, train_tag: str = "train loss",
                 val_tag: str = "validation loss") -> DataFrame:
     """Per epoch: mean training loss and the epoch's validation loss, aligned on
-    the epoch (``step div steps_per_epoch``)."""
+    the epoch (training steps ``e*S ..``, validation at ``(e+1)*S``)."""
     train = (last_per_step(log.where(F.col("tag") == train_tag))
-             .withColumn("epoch", (F.col("step") / F.lit(steps_per_epoch)).cast("long"))
+             .withColumn("epoch", train_epoch(F.col("step"), steps_per_epoch))
              .groupBy("epoch").agg(F.avg("value").alias("train_loss"),
                                    F.count(F.lit(1)).cast("long").alias("train_steps")))
     val = val_curve(log, steps_per_epoch, val_tag)

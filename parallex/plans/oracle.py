@@ -204,7 +204,7 @@ latest AS (
 
 SPE = T.STEPS_PER_EPOCH
 VAL_CURVE = f"""vc AS (
-  SELECT CAST(step // {SPE} AS BIGINT) AS epoch, arg_max(value, step) AS val_loss
+  SELECT CAST(floor((step - 1) / {SPE}) AS BIGINT) AS epoch, arg_max(value, step) AS val_loss
   FROM lps WHERE tag = '{T.VAL_TAG}' GROUP BY 1)"""
 
 
@@ -377,7 +377,7 @@ FROM (SELECT DISTINCT run FROM art) r LEFT JOIN latest l USING (run)""",
     "val_curve": f"WITH {METRIC},\n{VAL_CURVE}\nSELECT epoch, val_loss FROM vc",
     "loss_curves": f"""WITH {METRIC},
 {VAL_CURVE},
-tc AS (SELECT CAST(step // {SPE} AS BIGINT) AS epoch, avg(value) AS train_loss, CAST(count(*) AS BIGINT) AS train_steps
+tc AS (SELECT CAST(floor(step / {SPE}) AS BIGINT) AS epoch, avg(value) AS train_loss, CAST(count(*) AS BIGINT) AS train_steps
        FROM lps WHERE tag = '{T.TRAIN_TAG}' GROUP BY 1)
 SELECT tc.epoch, round(train_loss, 6) AS train_loss, train_steps, vc.val_loss
 FROM tc LEFT JOIN vc USING (epoch)""",

@@ -55,9 +55,9 @@ def test_metrics_roundtrip_and_curves(spark, tmp_dir):
     tc = [r["step"] for r in train_curve(back).collect()]
     assert tc == list(range(30))
     vc = [(r["epoch"], r["val_loss"]) for r in val_curve(back, 10).collect()]
-    assert vc == [(1, 0.0), (2, 1.0), (3, 2.0)]
+    assert vc == [(0, 0.0), (1, 1.0), (2, 2.0)]  # validation of epoch e is logged at step (e+1)*10
     lc = {r["epoch"]: (r["train_steps"], r["val_loss"]) for r in loss_curves(back, 10).collect()}
-    assert lc == {0: (10, None), 1: (10, 0.0), 2: (10, 1.0)}
+    assert lc == {0: (10, 0.0), 1: (10, 1.0), 2: (10, 2.0)}
 
 
 def test_stream_equals_batch(spark, tmp_dir):
