@@ -206,8 +206,9 @@ def translate_batch(routed: DataFrame, vocab: DataFrame, scorer: Scorer, seq_len
 
     Encode the source, apply the length check (too-long or unknown inputs get
     NULL ``predicted`` and a ``reason``), decode greedily from [SOS] up to
-    ``seq_len`` tokens, and turn ids back into text (special tokens kept, as in
-    the reference).
+    ``seq_len`` tokens, and turn ids back into text: ``predicted`` is the whole
+    sequence (special tokens kept, as the reference returns it), ``generated``
+    the tokens after the prompt (what the reference prints).
     """
     from parallex.operators.encode import decode, encode
 
@@ -220,7 +221,8 @@ def translate_batch(routed: DataFrame, vocab: DataFrame, scorer: Scorer, seq_len
     prompts = enc.where(F.col("reason").isNull()).select(
         key, F.array(F.lit(sos)).alias("ids"), "src_ids")
     out = greedy_decode(prompts, scorer, seq_len, eos, key=key)
-    text = decode(out.select(key, "ids"), {"predicted": "ids"}, vocab, mode, key=key,
+    out = out.select(key, "ids", F.slice("ids", 2, F.greatest(F.size("ids") - 1, F.lit(0))).alias("gen_ids"))
+    text = decode(out, {"predicted": "ids", "generated": "gen_ids"}, vocab, mode, key=key,
                   vocab_rows=vocab_rows)
     reasons = enc.select(key, "reason")
     return (routed.join(text, key, "left").join(reasons, key, "left")

@@ -212,13 +212,15 @@ TRANSLATE = f"""{SHARED.replace('WITH ', 'WITH RECURSIVE ', 1)},
 {BIGRAM},
 {ROUTING},
 {decode_rec("SELECT 0 AS k, [2] AS ids", 'k')},
-chain AS (SELECT string_agg(coalesce(v.token, '[UNK]'), ' ' ORDER BY t.pos) AS text
+chain AS (SELECT string_agg(coalesce(v.token, '[UNK]'), ' ' ORDER BY t.pos) AS text,
+                 coalesce(string_agg(coalesce(v.token, '[UNK]'), ' ' ORDER BY t.pos) FILTER (WHERE t.pos > 1), '') AS gen
           FROM (SELECT unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM decoded) t
           LEFT JOIN svocab v ON v.id = t.id),
 chk AS (SELECT *, len({words('source')}) > {L - 2} AS too_long FROM routed),
 tr AS (
   SELECT input_id, input, is_row_id, found, source, expected,
          CASE WHEN found AND NOT too_long THEN (SELECT text FROM chain) END AS predicted,
+         CASE WHEN found AND NOT too_long THEN (SELECT gen FROM chain) END AS generated,
          CASE WHEN NOT found THEN 'unknown_id' WHEN too_long THEN 'src_too_long' END AS reason
   FROM chk)"""
 
@@ -365,7 +367,8 @@ SELECT input_id, CAST(k - 1 AS INTEGER) AS line_no, line FROM (
         CASE WHEN is_row_id THEN lpad('ID: ', 12, ' ') || input END,
         lpad('SOURCE: ', 12, ' ') || coalesce(source, ''),
         CASE WHEN is_row_id THEN lpad('TARGET: ', 12, ' ') || coalesce(expected, '') END,
-        lpad('PREDICTED: ', 12, ' ') || coalesce(predicted, '')], lambda x: x IS NOT NULL) AS ls
+        lpad('PREDICTED: ', 12, ' ') || coalesce(CASE WHEN generated <> '' THEN generated || ' ' END, '')],
+        lambda x: x IS NOT NULL) AS ls
     FROM tr))""",
     "artifact_latest": f"WITH {ARTIFACTS} SELECT run, epoch, global_step, path FROM latest",
     "resume_point": f"""WITH {ARTIFACTS}

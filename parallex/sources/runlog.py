@@ -112,7 +112,8 @@ def comparison_report(ev: DataFrame, key: str = "pair_id", source: str = "source
 
 def translation_report(tr: DataFrame, key: str = "input_id") -> DataFrame:
     """Inference report: labels right-aligned to 12 characters; ID and TARGET
-    only for row-id inputs."""
+    only for row-id inputs; PREDICTED lists the generated tokens, each
+    followed by a space."""
     def lab(text: str) -> Column:
         return F.lpad(F.lit(text), LABEL_WIDTH, " ")
 
@@ -120,7 +121,8 @@ def translation_report(tr: DataFrame, key: str = "input_id") -> DataFrame:
         F.when(F.col("is_row_id"), F.concat(lab("ID: "), F.col("input"))),
         F.concat(lab("SOURCE: "), F.coalesce(F.col("source"), F.lit(""))),
         F.when(F.col("is_row_id"), F.concat(lab("TARGET: "), F.coalesce(F.col("expected"), F.lit("")))),
-        F.concat(lab("PREDICTED: "), F.coalesce(F.col("predicted"), F.lit(""))),
+        F.concat(lab("PREDICTED: "), F.coalesce(
+            F.when(F.col("generated") != "", F.concat(F.col("generated"), F.lit(" "))), F.lit(""))),
     ), lambda x: x.isNotNull())
     return tr.select(key, F.posexplode(lines).alias("line_no", "line"))
 

@@ -80,10 +80,12 @@ def test_reports(spark):
     ev = spark.createDataFrame([(1, "src", "tgt", "pred")], "pair_id long, source string, expected string, predicted string")
     lines = [r["line"] for r in comparison_report(ev).orderBy("line_no").collect()]
     assert lines == ["-" * 80, "SOURCE:src", "TARGET:tgt", "PREDICTED:pred"]
-    tr = spark.createDataFrame([(7, "12", True, "a b", "c d", "x y"), (8, "hello", False, "hello", "", "z")],
-                               "input_id long, input string, is_row_id boolean, source string, expected string, predicted string")
+    tr = spark.createDataFrame([(7, "12", True, "a b", "c d", "[SOS] x y", "x y"),
+                                (8, "hello", False, "hello", "", "[SOS] z", "z")],
+                               "input_id long, input string, is_row_id boolean, source string, expected string, "
+                               "predicted string, generated string")
     out = {}
     for r in translation_report(tr).orderBy("input_id", "line_no").collect():
         out.setdefault(r["input_id"], []).append(r["line"])
-    assert out[7] == ["        ID: 12", "    SOURCE: a b", "    TARGET: c d", " PREDICTED: x y"]
-    assert out[8] == ["    SOURCE: hello", " PREDICTED: z"]
+    assert out[7] == ["        ID: 12", "    SOURCE: a b", "    TARGET: c d", " PREDICTED: x y "]
+    assert out[8] == ["    SOURCE: hello", " PREDICTED: z "]
