@@ -13,12 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parallex.config import Options
-from parallex.operators.encode import encode
+from parallex.config import SOS_ID
+from parallex.operators.decoding import Scorer, greedy_decode
+from parallex.operators.encode import decode, encode
 from parallex.operators.lengths import check_lengths, max_lengths
 from parallex.operators.metrics import bleu, with_word_edits
-from parallex.operators.sampling import epoch_schedule, split_exact
-from parallex.session import spread
-from parallex.sources.runlog import append_metrics
+from parallex.operators.sampling import epoch_schedule, sample_examples, shuffle_rank, split_exact
+from parallex.operators.scoring import masked_ce, mean_val_loss
+from parallex.sources.runlog import append_metrics, comparison_report, write_report
 from parallex.sources.vocab_store import get_or_build_vocab
 
 # The metric tags the validation step logs under.
@@ -44,13 +46,14 @@ def prepare(spark: SparkSession, pairs: DataFrame, out_dir: str, opts: Options =
     enc = encode(pairs, SIDES, vocab, mode, vocab_rows=rows)
     split = split_exact(pairs.select("pair_id"), ["pair_id"], opts.train_fraction, opts.seed)
     annotated = check_lengths(enc, opts.seq_len, "annotate").join(split, "pair_id", "inner")
-    (annotated.where(F.col("reason").isNull())
-     .select("pair_id", "split", "src_text", "trg_text", "src_ids", "trg_ids",
-             F.size("src_ids").alias("n_src"), F.size("trg_ids").alias("n_trg"))
-     .write.mode("overwrite").partitionBy("split").parquet(f"{out_dir}/encoded"))
+    kept = (annotated.where(F.col("reason").isNull())
+            .select("pair_id", "src_text", "trg_text", "src_ids", "trg_ids",
+                    F.size("src_ids").alias("n_src"), F.size("trg_ids").alias("n_trg"), "split"))
+    kept.write.mode("overwrite").partitionBy("split").parquet(f"{out_dir}/encoded")
     (annotated.where(F.col("reason").isNotNull()).select("pair_id", "split", "reason")
      .write.mode("overwrite").parquet(f"{out_dir}/rejected"))
-    encoded = spark.read.parquet(f"{out_dir}/encoded")
+    # read back with the written schema: an empty split leaves no file to infer it from
+    encoded = spark.read.schema(kept.schema).parquet(f"{out_dir}/encoded")
     train = encoded.where(F.col("split") == "train").select("pair_id")
     (epoch_schedule(train, ["pair_id"], opts.seed, opts.batch_size, initial_epoch, opts.num_epochs, start_step)
      .select("epoch", "batch_id", "global_step", "rank", "pair_id")
@@ -61,9 +64,13 @@ def prepare(spark: SparkSession, pairs: DataFrame, out_dir: str, opts: Options =
         F.max("n_trg").cast("long").alias("max_trg"))
 
 
+ENCODED_SCHEMA = ("pair_id bigint, src_text string, trg_text string, src_ids array<int>, "
+                  "trg_ids array<int>, n_src int, n_trg int, split string")
+
+
 def read_prepared(spark: SparkSession, out_dir: str, split: str | None = None) -> DataFrame:
     """Encoded pairs of one split (a partition filter) or all of them."""
-    enc = spark.read.parquet(f"{out_dir}/encoded")
+    enc = spark.read.schema(ENCODED_SCHEMA).parquet(f"{out_dir}/encoded")
     return enc if split is None else enc.where(F.col("split") == split)
 
 
@@ -71,8 +78,7 @@ def evaluate(ev: DataFrame, pred: str = "predicted", exp: str = "expected", key:
              metric_log: str | None = None, step: int = 0, run: str = "default") -> DataFrame:
     """CER, WER and BLEU of an evaluation table in one row; with ``metric_log``,
     the three values are appended to it at ``step``."""
-    rows = spread(ev.select(key, pred, exp))
-    scored = with_word_edits(rows, pred, exp, "_wedits", "_wlen").select(
+    scored = with_word_edits(ev.select(key, pred, exp), pred, exp, "_wedits", "_wlen").select(
         "_wedits", "_wlen", F.levenshtein(pred, exp).alias("_cedits"), F.length(exp).alias("_clen"))
     rates = scored.agg(
         (F.sum("_cedits") / F.nullif(F.sum("_clen"), F.lit(0))).alias("cer"),
@@ -93,4 +99,47 @@ def evaluate(ev: DataFrame, pred: str = "predicted", exp: str = "expected", key:
     return out
 
 
-__all__ = ["prepare", "read_prepared", "evaluate", "max_lengths"]
+def validate(val_pairs: DataFrame, vocab: DataFrame, scorer: Scorer, opts: Options = Options(),
+             num_examples: int | None = None, epoch: int = 0, scores: DataFrame | None = None,
+             metric_log: str | None = None, step: int = 0, report_path: str | None = None,
+             strip_special: bool = False, mode: str = "word") -> dict[str, DataFrame]:
+    """The validation entry: greedy-decode the validation pairs from [SOS],
+    decode the ids to text, and score the predictions against the targets.
+
+    ``val_pairs`` holds ``(pair_id, src_text, trg_text, src_ids)``.
+    ``num_examples`` keeps only the first rows of the epoch's shuffled order (the
+    reference stops after 2; ``None`` keeps all). ``scores`` (per-position
+    score vectors with ``example_id``, ``logits`` and ``label``) adds the mean
+    validation loss. Returns ``eval`` (pair_id, source, expected, predicted),
+    ``metrics`` (cer, wer, bleu[, mean_loss]) and ``report``; the metrics are
+    appended to ``metric_log`` and the report written to ``report_path`` when
+    given.
+    """
+    rows = val_pairs
+    if num_examples is not None:
+        ranked = shuffle_rank(val_pairs.select("pair_id"), ["pair_id"], opts.seed, [epoch])
+        first = sample_examples(ranked, num_examples).select("pair_id")
+        rows = val_pairs.join(first, "pair_id", "left_semi")
+    n_vocab = vocab.count()
+    prompts = rows.select("pair_id", F.array(F.lit(SOS_ID)).alias("ids"), "src_ids")
+    out = greedy_decode(prompts, scorer, opts.seq_len, key="pair_id")
+    text = decode(out.select("pair_id", "ids"), {"predicted": "ids"}, vocab, mode, key="pair_id",
+                  strip_special=strip_special, vocab_rows=n_vocab)
+    # cached: the metrics and the report both read it (MEMORY_AND_DISK, and a
+    # lost block is recomputed from the deterministic decode)
+    ev = rows.select("pair_id", F.col("src_text").alias("source"), F.col("trg_text").alias("expected")) \
+        .join(text, "pair_id", "inner").persist()
+    metrics = evaluate(ev, metric_log=metric_log, step=step)
+    if scores is not None:
+        per_example = masked_ce(scores, smoothing=0.0, by=["example_id"])
+        loss = mean_val_loss(per_example).select("mean_loss")
+        # two one-row results stacked and folded (no join)
+        metrics = metrics.unionByName(loss, allowMissingColumns=True).agg(
+            *[F.max(c).alias(c) for c in ("cer", "wer", "bleu", "mean_loss")])
+    report = comparison_report(ev)
+    if report_path:
+        write_report(report, report_path)
+    return {"eval": ev, "metrics": metrics, "report": report}
+
+
+__all__ = ["prepare", "read_prepared", "evaluate", "validate", "max_lengths"]

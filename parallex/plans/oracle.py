@@ -156,9 +156,10 @@ st AS (
          CAST(sum(hc) AS BIGINT) AS candidates
   FROM gc GROUP BY n)"""
 
-BIGRAM = f"""bg AS (
+def bigram(where: str = "") -> str:
+    return f"""bg AS (
   SELECT seq[i] AS prev_id, seq[i + 1] AS next_id, count(*) AS score
-  FROM (SELECT seq, unnest(range(1, len(seq))) AS i FROM (SELECT [2] || trg_ids || [3] AS seq FROM enc))
+  FROM (SELECT seq, unnest(range(1, len(seq))) AS i FROM (SELECT [2] || trg_ids || [3] AS seq FROM enc {where}))
   GROUP BY ALL),
 best AS (
   SELECT prev_id, next_id FROM (
@@ -166,6 +167,9 @@ best AS (
   WHERE rk = 1)"""
 
 
+BIGRAM = bigram()
+
+
 def decode_rec(prompts: str, key: str) -> str:
     return f"""dec AS (
   SELECT {key}, ids, ids AS prompt, (ids[-1] = 3 OR len(ids) >= {L}) AS done FROM ({prompts})
@@ -225,6 +229,36 @@ tr AS (
   FROM chk)"""
 
 
+CER_SUMS = f"""cs AS (
+  SELECT sum(levenshtein(array_to_string(list_transform(h, lambda x: chr(list_position(a, x))), ''),
+                         array_to_string(list_transform(r, lambda x: chr(list_position(a, x))), ''))) AS edits,
+         sum(nr) AS total
+  FROM (SELECT h, r, nr, list_distinct(h || r) AS a FROM (
+        SELECT {chars('predicted')} AS h, {chars('expected')} AS r, length(expected) AS nr FROM ev)))"""
+
+BLEU_ROW = f"""bl AS (
+  SELECT CASE WHEN (SELECT count(*) FROM st) < 4 OR (SELECT min(matches) FROM st) = 0 THEN 0.0
+              ELSE (CASE WHEN hyp_len > ref_len THEN 1.0 ELSE exp(1 - ref_len / hyp_len) END)
+                   * exp((SELECT sum(ln(matches / candidates) / 4) FROM st)) END AS bleu
+  FROM (SELECT sum(len({words('predicted')})) AS hyp_len, sum(len({words('expected')})) AS ref_len FROM ev))"""
+
+VALIDATION = f"""{SHARED.replace('WITH ', 'WITH RECURSIVE ', 1)},
+{SPLIT.replace(PAIRS + ',', '', 1)},
+{bigram("WHERE pair_id IN (SELECT pair_id FROM split WHERE split = 'train') AND len(src_ids) <= " + str(L - 2) + " AND len(trg_ids) <= " + str(L - 1))},
+{decode_rec("SELECT 0 AS k, [2] AS ids", 'k')},
+chain AS (SELECT string_agg(coalesce(v.token, '[UNK]'), ' ' ORDER BY t.pos) AS text
+          FROM (SELECT unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM decoded) t
+          LEFT JOIN svocab v ON v.id = t.id),
+ev AS (SELECT pair_id, trg_text AS expected, (SELECT text FROM chain) AS predicted FROM enc
+       WHERE pair_id IN (SELECT pair_id FROM split WHERE split = 'val')
+         AND len(src_ids) <= {L - 2} AND len(trg_ids) <= {L - 1}),
+{WER_DP},
+fin AS (SELECT p1[n + 1] AS edits, m FROM dp WHERE d = n + m),
+{NGRAMS},
+{CER_SUMS},
+{BLEU_ROW}"""
+
+
 def _quarantine(seq_len: int) -> str:
     return f"""WITH {PAIRS}
 SELECT pair_id, CAST(len({words('src_text')}) AS BIGINT) AS n_src, CAST(len({words('trg_text')}) AS BIGINT) AS n_trg,
@@ -370,6 +404,10 @@ SELECT input_id, CAST(k - 1 AS INTEGER) AS line_no, line FROM (
         lpad('PREDICTED: ', 12, ' ') || coalesce(CASE WHEN generated <> '' THEN generated || ' ' END, '')],
         lambda x: x IS NOT NULL) AS ls
     FROM tr))""",
+    "validation_metrics": f"""{VALIDATION}
+SELECT round((SELECT edits / total FROM cs), 6) AS cer,
+       round((SELECT sum(edits) / sum(m) FROM fin), 6) AS wer,
+       round((SELECT bleu FROM bl), 6) AS bleu""",
     "artifact_latest": f"WITH {ARTIFACTS} SELECT run, epoch, global_step, path FROM latest",
     "resume_point": f"""WITH {ARTIFACTS}
 SELECT r.run, coalesce(l.epoch + 1, 0) AS initial_epoch, coalesce(l.global_step, 0) AS global_step

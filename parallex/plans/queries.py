@@ -309,6 +309,21 @@ def q_translate_batch(spark, d):
     return _translated(spark, d).select("input_id", "is_row_id", "found", "predicted", "reason")
 
 
+def q_validation_metrics(spark, d):
+    """Validation entry end to end: a bigram scorer learned from the training
+    split decodes every validation pair from [SOS]; CER, WER and BLEU of the
+    decoded text against the targets."""
+    from parallex.jobs import validate
+    v = shared_vocab(spark, d)
+    rows = v.count()
+    split = split_df(spark, d).select("pair_id", "split")
+    enc = encode(T.pairs(spark, d).join(split, "pair_id"), SIDES, v, "word", vocab_rows=rows)
+    enc = lengths.check_lengths(enc, OPTS.seq_len, "quarantine")[0]
+    scorer = _bigram(spark, d, enc.where(F.col("split") == "train"))
+    out = validate(enc.where(F.col("split") == "val"), v, scorer, OPTS)["metrics"]
+    return out.select(*[_r(F.col(c)).alias(c) for c in ("cer", "wer", "bleu")])
+
+
 # ---- A5-A7, J: run log and curves -----------------------------------------------------
 
 def q_translation_report(spark, d):
@@ -389,6 +404,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "greedy_decode": q_greedy_decode,
     "translate_batch": q_translate_batch,
     "translation_report": q_translation_report,
+    "validation_metrics": q_validation_metrics,
     "artifact_latest": q_artifact_latest,
     "resume_point": q_resume_point,
     "metric_log_by_tag": q_metric_log_by_tag,

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parallex.session import spread
 from parallex.sources.corpus import conversation_pairs
 
 POSITIONS_PER_EXAMPLE = 8
@@ -23,7 +24,10 @@ STEPS_PER_EPOCH = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. Each is one file with a single row group, which a scan
+    reads as one partition; ``spread`` deals it over the task slots so the
+    per-row work downstream runs on every core."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

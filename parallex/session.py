@@ -124,13 +124,18 @@ def work_partitions(spark: SparkSession) -> int:
                spark.sparkContext.defaultParallelism)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the task slots when it has fewer partitions than
-    slots (e.g. a small file with one row group) and the per-row work that
-    follows is CPU-heavy. A large input already has more partitions than
-    slots and is returned unchanged, without a shuffle."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+def spread(scan: DataFrame) -> DataFrame:
+    """Round-robin a freshly read table over the task slots when the files give
+    fewer partitions than slots (e.g. a small file with a single row group), so
+    the CPU-heavy per-row work downstream (tokenizing, edit distances) uses
+    every core. A large input already has more partitions than slots and is
+    returned unchanged, without a shuffle.
+
+    Use it on scans only: counting the partitions of a plan with exchanges
+    would run those exchanges.
+    """
+    slots = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(slots) if scan.rdd.getNumPartitions() < slots else scan
 
 
 def by_key(df: DataFrame, key: str) -> DataFrame:

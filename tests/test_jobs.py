@@ -43,3 +43,25 @@ def test_evaluate_matches_metrics_and_logs(spark, tmp_dir):
     assert abs(got["bleu"] - bleu(ev).first()["bleu"]) < 1e-12
     log = {r["tag"]: (r["step"], r["value"]) for r in read_metrics(spark, f"{tmp_dir}/log").collect()}
     assert set(log) == {CER_TAG, WER_TAG, BLEU_TAG} and log[CER_TAG][0] == 7
+
+
+def test_validate_end_to_end(spark, tmp_dir):
+    from parallex.jobs import validate
+    from parallex.operators.decoding import BigramScorer, bigram_scores
+    from parallex.operators.encode import encode
+    from parallex.operators.vocab import build_vocab
+    from parallex.plans.standins import scores
+    p = pairs(spark, SF001)
+    v = build_vocab(p.select(F.col("src_text").alias("text")).unionByName(p.select(F.col("trg_text").alias("text"))))
+    enc = encode(p, {"src_ids": "src_text", "trg_ids": "trg_text"}, v)
+    scorer = BigramScorer(bigram_scores(enc))
+    out = validate(enc, v, scorer, Options(), num_examples=2, scores=scores(spark, SF001),
+                   metric_log=f"{tmp_dir}/log", step=3, report_path=f"{tmp_dir}/rep")
+    ev = out["eval"].collect()
+    assert len(ev) == 2 and all(r["predicted"].startswith("[SOS]") for r in ev)
+    m = out["metrics"].first()
+    assert m["cer"] is not None and m["wer"] is not None and m["mean_loss"] > 0
+    assert out["report"].count() == 8  # 4 lines per example (texts may hold newlines themselves)
+    written = "\n".join(r["value"] for r in spark.read.text(f"{tmp_dir}/rep").collect())
+    assert all(r["line"] in written for r in out["report"].collect())
+    assert read_metrics(spark, f"{tmp_dir}/log").count() == 3
