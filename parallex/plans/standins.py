@@ -23,11 +23,16 @@ TRAIN_TAG, VAL_TAG = "click", "view"
 STEPS_PER_EPOCH = 1000
 
 
+TEXT_TABLES = ("conversations", "documents")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table. Each is one file with a single row group, which a scan
-    reads as one partition; ``spread`` deals it over the task slots so the
-    per-row work downstream runs on every core."""
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    reads as one partition. Text tables feed CPU-heavy per-row work
+    (tokenizing, edit distances), so ``spread`` deals them over the task
+    slots; the other tables are cheap per row and are read as they are."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
