@@ -40,19 +40,30 @@ def _rows(cols, rows):
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+                 "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP"}
+
+
 def compare(spark, con, name: str, sf_dir: str, query, sql: str) -> dict:
     t0 = time.time()
     sdf = query(spark, sf_dir)
     s_cols = sdf.columns
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in sdf.schema.fields}
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
     res = con.sql(sql)
     d_cols = list(res.columns)
+    d_types = {c: str(t) for c, t in zip(res.columns, res.types)}
     d_rows = res.fetchall()
     t2 = time.time()
     out = {"name": name, "spark_rows": len(s_rows), "duck_rows": len(d_rows),
            "cols_match": sorted(s_cols) == sorted(d_cols), "spark_s": round(t1 - t0, 2),
            "duck_s": round(t2 - t1, 2)}
+    out["types_match"] = s_types == d_types
+    if not out["types_match"]:
+        out["types"] = {c: (s_types.get(c), d_types.get(c)) for c in s_types if s_types.get(c) != d_types.get(c)}
     if out["cols_match"]:
         a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
         out["values_match"] = a == b
@@ -83,7 +94,7 @@ def main(argv):
             r = compare(spark, con, n, sf_dir, QUERIES[n], ORACLE[n])
         except Exception as e:  # report and continue
             r = {"name": n, "error": f"{type(e).__name__}: {str(e)[:800]}"}
-        ok = r.get("values_match") and r.get("spark_rows") == r.get("duck_rows")
+        ok = r.get("values_match") and r.get("types_match") and r.get("spark_rows") == r.get("duck_rows")
         bad += not ok
         print(("PASS " if ok else "FAIL ") + repr(r), flush=True)
     print(f"{len(names) - bad}/{len(names)} match")
