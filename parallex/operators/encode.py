@@ -5,8 +5,8 @@ up with a broadcast join (vocabulary size checked first) and regrouped per key.
 Because explode and the broadcast join keep the key partitioning, the regroup
 and the join back to the input need no further shuffle: one exchange in total,
 on the input rows. A vocabulary above the broadcast bound falls back to a
-salted shuffle join on (token, position), so a very frequent token is spread
-over many tasks instead of one.
+shuffle join in which each hot token is split over several salts (see
+``operators.lookup``), so a very frequent token is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ def encode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: st
     parted = by_key(df, key)
     exploded = _exploded(parted, key, [tokenize(F.col(t), mode) for t in columns.values()])
     # many-to-one lookup: broadcast when the vocabulary is small enough, else a
-    # salted join keyed on (token, position) so frequent tokens spread out
+    # shuffle join with hot tokens split over salts picked by position
     lookup = vocab.select(F.col("token").alias("_tok"), "id")
     looked = lookup_join(exploded, F.col("item"), lookup, "_tok", "left", small_rows=vocab_rows,
                          salt_source=F.col("pos")).select(

@@ -88,3 +88,19 @@ def test_write_report(spark, tmp_dir):
     lines = [r["value"] for r in spark.read.text(f"{tmp_dir}/rep").collect()]
     assert sorted(lines) == sorted(["-" * 80, "SOURCE:s1", "TARGET:t1", "PREDICTED:p1",
                                     "-" * 80, "SOURCE:s2", "TARGET:t2", "PREDICTED:p2"])
+
+
+def test_stateless_steps_accept_a_stream(spark, tmp_dir):
+    """Tokenizer plug-in, length check and example layout run on a streaming
+    DataFrame unchanged."""
+    from parallex.operators.lengths import check_lengths
+    p = pairs(spark, SF001)
+    p.write.parquet(f"{tmp_dir}/p2")
+    stream = spark.readStream.schema(p.schema).parquet(f"{tmp_dir}/p2")
+    enc = encode_with(stream, {"src_ids": "src_text", "trg_ids": "trg_text"}, code_points)
+    kept, _ = check_lengths(enc, 20000, "quarantine")
+    q = (build_examples(kept, 20000).select("pair_id", F.size("encoder_input").alias("n"))
+         .writeStream.format("memory").queryName("ex_stream").trigger(availableNow=True).start())
+    q.awaitTermination(180)
+    rows = spark.sql("select * from ex_stream").collect()
+    assert len(rows) == p.count() and all(r["n"] == 20000 for r in rows)
