@@ -40,13 +40,15 @@ def _regroup(exploded: DataFrame, key: str, value: str, outs: list[str]) -> Data
 def encode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: str = "word",
            key: str = "pair_id", unk: int = UNK_ID, vocab_rows: int | None = None) -> DataFrame:
     """Add one ``array<int>`` column per ``{out_col: text_col}``; unknown tokens map
-    to ``unk``; an empty text gives ``[]``. ``key`` must be unique."""
+    to ``unk``; an empty text gives ``[]``. ``key`` must be unique. Only real
+    tokens are looked up, so a literal "[PAD]" in a text is unknown, and the
+    ids never contain PAD, SOS or EOS (masks compare ids with PAD)."""
     outs = list(columns)
     parted = by_key(df, key)
     exploded = _exploded(parted, key, [tokenize(F.col(t), mode) for t in columns.values()])
     # many-to-one lookup: broadcast when the vocabulary is small enough, else a
     # shuffle join with hot tokens split over salts picked by position
-    lookup = vocab.select(F.col("token").alias("_tok"), "id")
+    lookup = vocab.where(~F.col("is_special")).select(F.col("token").alias("_tok"), "id")
     looked = lookup_join(exploded, F.col("item"), lookup, "_tok", "left", small_rows=vocab_rows,
                          salt_source=F.col("pos")).select(
         key, "side", "pos", F.coalesce(F.col("id"), F.lit(unk)).cast("int").alias("id"))

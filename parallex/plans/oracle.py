@@ -57,7 +57,7 @@ def encode_cte(name: str, vocab: str, tok: str = "word") -> str:
   SELECT t.pair_id,
          list(coalesce(v.id, 0) ORDER BY t.pos) FILTER (WHERE t.side = 0) AS src_ids,
          list(coalesce(v.id, 0) ORDER BY t.pos) FILTER (WHERE t.side = 1) AS trg_ids
-  FROM {name}_toks t LEFT JOIN {vocab} v ON v.token = t.token GROUP BY t.pair_id),
+  FROM {name}_toks t LEFT JOIN {vocab} v ON v.token = t.token AND NOT v.is_special GROUP BY t.pair_id),
 {name} AS (
   SELECT p.pair_id, p.src_text, p.trg_text,
          CAST(coalesce(a.src_ids, []) AS INTEGER[]) AS src_ids,
@@ -299,7 +299,7 @@ SELECT lang, token, CAST(row_number() OVER (PARTITION BY lang ORDER BY n DESC, t
 t AS (SELECT pair_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos
       FROM (SELECT pair_id, {words('src_text')} AS w FROM pairs)),
 d AS (SELECT t.pair_id, string_agg(CASE WHEN v.token IS NULL THEN '[UNK]' ELSE t.token END, ' ' ORDER BY t.pos) AS decoded
-      FROM t LEFT JOIN vocab v ON v.token = t.token GROUP BY t.pair_id)
+      FROM t LEFT JOIN vocab v ON v.token = t.token AND NOT v.is_special GROUP BY t.pair_id)
 SELECT p.pair_id, coalesce(d.decoded, '') AS decoded FROM pairs p LEFT JOIN d USING (pair_id)""",
     "token_lengths": f"WITH {PAIRS} SELECT pair_id, CAST(len({words('src_text')}) AS BIGINT) AS n_src, "
                      f"CAST(len({words('trg_text')}) AS BIGINT) AS n_trg FROM pairs",

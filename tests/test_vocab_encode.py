@@ -75,3 +75,11 @@ def test_get_or_build_vocab_reuses_stored(spark, tmp_dir):
     other = spark.createDataFrame([(0, "completely different words")], "pair_id long, text string")
     second = get_or_build_vocab(spark, path, other, min_count=1)
     assert sorted(tuple(r) for r in second.collect()) == a
+
+
+def test_literal_special_strings_are_unknown(spark):
+    df = spark.createDataFrame([(1, "a [PAD] [SOS] a")], "pair_id long, text string")
+    v = build_vocab(df, "text", "word", min_count=1)
+    ids = encode(df, {"ids": "text"}, v, "word").first()["ids"]
+    a = v.where("token = 'a'").first()["id"]
+    assert ids == [a, 0, 0, a]
