@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parallex.functions.text import is_row_id
+from parallex.session import broadcast_checked
 
 PAIRS_SCHEMA = T.StructType([
     T.StructField("pair_id", T.LongType(), False),
@@ -86,17 +87,24 @@ def sentences(texts: DataFrame, lang: str, lang_col: str = "lang",
 def route_inputs(inputs: DataFrame, pairs: DataFrame, input_col: str = "input",
                  key: str = "input_id") -> DataFrame:
     """Translate-style inputs: a numeric string is a pair id, anything else is the
-    sentence itself (B4 + A3, batched). Only id rows go through the join with the
-    corpus, so text rows never pile up under a NULL join key. An id with no pair
-    gives NULL source and ``found = false``."""
+    sentence itself (B4 + A3, batched). An id with no pair gives NULL source
+    and ``found = false``; a NULL input routes as text.
+
+    Only id rows take part in the lookup, so text rows never pile up under a
+    NULL join key. The corpus is first cut down to the requested ids by a
+    semi-join against the distinct ids (broadcast when their count is within
+    the bound, so the corpus is filtered where it is scanned instead of being
+    shuffled); the small result is then joined back to the id rows.
+    """
     tagged = inputs.select(key, F.col(input_col).alias("input"),
                            F.coalesce(is_row_id(F.col(input_col)), F.lit(False)).alias("is_row_id"))
     texts = tagged.where(~F.col("is_row_id")).select(
         key, "input", "is_row_id", F.col("input").alias("source"),
         F.lit("").alias("expected"), F.lit(True).alias("found"))
-    ids = (tagged.where(F.col("is_row_id"))
-           .withColumn("pair_id", F.col("input").try_cast("long"))
-           .join(pairs.select("pair_id", "src_text", "trg_text"), "pair_id", "left")
+    id_rows = tagged.where(F.col("is_row_id")).withColumn("pair_id", F.col("input").try_cast("long"))
+    wanted = broadcast_checked(id_rows.select("pair_id").where(F.col("pair_id").isNotNull()).distinct())
+    hits = pairs.select("pair_id", "src_text", "trg_text").join(wanted, "pair_id", "left_semi")
+    ids = (id_rows.join(hits, "pair_id", "left")
            .select(key, "input", "is_row_id", F.col("src_text").alias("source"),
                    F.col("trg_text").alias("expected"),
                    F.col("src_text").isNotNull().alias("found")))
