@@ -1,7 +1,8 @@
 """Batch greedy decoding (I1) and batch translation (I2).
 
 A *scorer* is any ``DataFrame -> DataFrame`` function: it receives the active
-frontier ``(key, ids, ...)`` and returns candidates ``(key, next_id, score)``.
+frontier ``(key, ids, ...)`` (the sequence key first, under the caller's name)
+and returns candidates ``(key, next_id, score)`` under the same key name.
 Greedy decoding keeps the best candidate per sequence (ties: lowest id),
 appends it, and stops a sequence on [EOS] (kept) or when it reaches
 ``max_len`` tokens, [SOS] included.
@@ -72,27 +73,27 @@ class BigramScorer:
             self._rows = self._best.count()
         return self._best
 
-    def __call__(self, frontier: DataFrame, key: str = "seq_id", ids: str = "ids") -> DataFrame:
+    def __call__(self, frontier: DataFrame) -> DataFrame:
         b = self.best()
+        key, ids = frontier.columns[0], frontier.columns[1]
         last = frontier.select(key, F.element_at(ids, -1).alias("_last"))
         out = lookup_join(last, F.col("_last"), b, "prev_id", "inner", small_rows=self._rows,
                           salt_source=F.col(key))
         return out.select(key, "next_id", F.lit(0.0).alias("score"))
 
 
-CANDIDATE_SCHEMA = "seq_id long, next_id int, score double"
-
-
-def pandas_scorer(fn, schema: str = CANDIDATE_SCHEMA):
+def pandas_scorer(fn, schema: str | None = None):
     """Wrap ``fn(pandas.DataFrame frontier) -> pandas.DataFrame candidates`` as a
     scorer. It runs per Arrow batch inside ``mapInPandas`` (the plug point for a
     neural model); the frontier it sees has the key, ``ids`` and any extra
-    prompt columns."""
+    prompt columns. The candidates schema defaults to
+    ``<key> long, next_id int, score double``."""
     def scorer(frontier: DataFrame) -> DataFrame:
         def run(batches):
             for pdf in batches:
                 yield fn(pdf)
-        return frontier.mapInPandas(run, schema)
+        out_schema = schema or f"{frontier.columns[0]} long, next_id int, score double"
+        return frontier.mapInPandas(run, out_schema)
     return scorer
 
 
