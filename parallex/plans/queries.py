@@ -284,7 +284,8 @@ def q_comparison_report(spark, d):
 
 # ---- I: decoding ---------------------------------------------------------------------
 
-def _bigram(spark, d, enc):
+def _bigram(enc):
+    """Stand-in model: greedy next-token choice learned from target-side bigrams."""
     return BigramScorer(bigram_scores(enc, "trg_ids"))
 
 
@@ -292,7 +293,7 @@ def q_greedy_decode(spark, d):
     enc = encoded_shared(spark, d)
     ok = lengths.check_lengths(enc, OPTS.seq_len, "quarantine")[0]
     prompts = ok.select(F.col("pair_id"), F.concat(F.array(F.lit(2)), F.slice("trg_ids", 1, 1)).alias("ids"))
-    out = greedy_decode(prompts, _bigram(spark, d, enc), OPTS.seq_len, key="pair_id")
+    out = greedy_decode(prompts, _bigram(enc), OPTS.seq_len, key="pair_id")
     return out.select("pair_id", render(F.col("ids")).alias("ids"), F.col("steps").cast("int").alias("steps"))
 
 
@@ -301,7 +302,7 @@ def _translated(spark, d):
     rows = v.count()  # one count, reused by every lookup below
     routed = corpus.route_inputs(T.routing_inputs(spark, d), T.pairs(spark, d))
     targets = T.pairs(spark, d).select("pair_id", "trg_text")  # the bigram table needs the target side only
-    scorer = _bigram(spark, d, encode(targets, {"trg_ids": "trg_text"}, v, "word", vocab_rows=rows))
+    scorer = _bigram(encode(targets, {"trg_ids": "trg_text"}, v, "word", vocab_rows=rows))
     return translate_batch(routed, v, scorer, OPTS.seq_len, vocab_rows=rows)
 
 
@@ -319,7 +320,7 @@ def q_validation_metrics(spark, d):
     split = split_df(spark, d).select("pair_id", "split")
     enc = encode(T.pairs(spark, d).join(split, "pair_id"), SIDES, v, "word", vocab_rows=rows)
     enc = lengths.check_lengths(enc, OPTS.seq_len, "quarantine")[0]
-    scorer = _bigram(spark, d, enc.where(F.col("split") == "train"))
+    scorer = _bigram(enc.where(F.col("split") == "train"))
     out = validate(enc.where(F.col("split") == "val"), v, scorer, OPTS)["metrics"]
     return out.select(*[_r(F.col(c)).alias(c) for c in ("cer", "wer", "bleu")])
 
