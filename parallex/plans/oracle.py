@@ -259,6 +259,38 @@ fin AS (SELECT p1[n + 1] AS edits, m FROM dp WHERE d = n + m),
 {BLEU_ROW}"""
 
 
+BY_TURN = f"""{EV.replace("ev AS (SELECT pair_id,", "ev AS (SELECT pair_id, CAST(pair_id % 1000 AS INTEGER) AS turn,", 1)},
+{WER_DP},
+wt AS (SELECT e.turn, sum(f.edits) AS edits, sum(f.m) AS total
+       FROM (SELECT pair_id, p1[n + 1] AS edits, m FROM dp WHERE d = n + m) f JOIN ev e USING (pair_id)
+       GROUP BY e.turn),
+ct AS (SELECT turn,
+              sum(levenshtein(array_to_string(list_transform(h, lambda x: chr(list_position(a, x))), ''),
+                              array_to_string(list_transform(r, lambda x: chr(list_position(a, x))), ''))) AS edits,
+              sum(nr) AS total
+       FROM (SELECT turn, h, r, nr, list_distinct(h || r) AS a FROM (
+             SELECT turn, {chars('predicted')} AS h, {chars('expected')} AS r, length(expected) AS nr FROM ev))
+       GROUP BY turn),
+gt AS (
+  SELECT turn, n, list_transform(range(1, len(t) - n + 2), lambda i: array_to_string(t[i:i + n - 1], ' ')) AS grams,
+         side, pair_id
+  FROM (SELECT pair_id, turn, 0 AS side, {words('predicted')} AS t FROM ev
+        UNION ALL SELECT pair_id, turn, 1 AS side, {words('expected')} AS t FROM ev),
+       (SELECT unnest([1, 2, 3, 4]) AS n)),
+gct AS (SELECT turn, pair_id, n, gram, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS hc,
+               sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS rc
+        FROM (SELECT turn, pair_id, n, side, unnest(grams) AS gram FROM gt) GROUP BY turn, pair_id, n, gram),
+stt AS (SELECT turn, n, sum(least(hc, rc)) AS matches, sum(hc) AS candidates FROM gct GROUP BY turn, n),
+lt AS (SELECT turn, sum(len({words('predicted')})) AS hyp_len, sum(len({words('expected')})) AS ref_len
+       FROM ev GROUP BY turn),
+bt AS (SELECT l.turn,
+              CASE WHEN coalesce(s.orders, 0) < 4 OR s.min_match = 0 THEN 0.0
+                   ELSE (CASE WHEN l.hyp_len > l.ref_len THEN 1.0 ELSE exp(1 - l.ref_len / l.hyp_len) END)
+                        * exp(s.log_p) END AS bleu
+       FROM lt l LEFT JOIN (SELECT turn, count(*) AS orders, min(matches) AS min_match,
+                                   sum(ln(matches / candidates) / 4) AS log_p FROM stt GROUP BY turn) s USING (turn))"""
+
+
 def _quarantine(seq_len: int) -> str:
     return f"""WITH {PAIRS}
 SELECT pair_id, CAST(len({words('src_text')}) AS BIGINT) AS n_src, CAST(len({words('trg_text')}) AS BIGINT) AS n_trg,
@@ -384,6 +416,9 @@ SELECT round(CASE WHEN (SELECT count(*) FROM st) < 4 OR (SELECT min(matches) FRO
                   ELSE (CASE WHEN hyp_len > ref_len THEN 1.0 ELSE exp(1 - ref_len / hyp_len) END)
                        * exp((SELECT sum(ln(matches / candidates) / 4) FROM st)) END, 6) AS bleu,
        hyp_len, ref_len FROM lens""",
+    "metrics_by_turn": f"""WITH RECURSIVE {BY_TURN}
+SELECT c.turn, round(c.edits / c.total, 6) AS cer, round(w.edits / w.total, 6) AS wer, round(b.bleu, 6) AS bleu
+FROM ct c JOIN wt w USING (turn) JOIN bt b USING (turn)""",
     "comparison_report": f"""WITH {EV}
 SELECT pair_id, CAST(k AS INTEGER) AS line_no, line FROM (
   SELECT pair_id, unnest(['{'-' * 80}', 'SOURCE:' || source, 'TARGET:' || expected, 'PREDICTED:' || predicted]) AS line,

@@ -277,6 +277,15 @@ def q_bleu(spark, d):
     return r.select(_r(F.col("bleu")).alias("bleu"), "hyp_len", "ref_len")
 
 
+def q_metrics_by_turn(spark, d):
+    """CER, WER and BLEU per user-turn position (the ``by`` form of H1-H3)."""
+    ev = T.eval_by_turn(spark, d)
+    c = metrics.char_error_rate(ev, by=["turn"]).select("turn", _r(F.col("cer")).alias("cer"))
+    w = metrics.word_error_rate(ev, by=["turn"]).select("turn", _r(F.col("wer")).alias("wer"))
+    b = metrics.bleu(ev, by=["turn"]).select("turn", _r(F.col("bleu")).alias("bleu"))
+    return c.join(w, "turn").join(b, "turn")
+
+
 def q_comparison_report(spark, d):
     return runlog.comparison_report(T.eval_set(spark, d)).select(
         "pair_id", F.col("line_no").cast("int").alias("line_no"), "line")
@@ -401,6 +410,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wer": q_wer,
     "bleu_ngrams": q_bleu_ngrams,
     "bleu": q_bleu,
+    "metrics_by_turn": q_metrics_by_turn,
     "comparison_report": q_comparison_report,
     "greedy_decode": q_greedy_decode,
     "translate_batch": q_translate_batch,

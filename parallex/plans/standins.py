@@ -45,6 +45,11 @@ def eval_set(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("src_text").alias("predicted"))
 
 
+def eval_by_turn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The evaluation set with the user turn of each pair as a grouping column."""
+    return eval_set(spark, sf_dir).withColumn("turn", F.pmod(F.col("pair_id"), F.lit(1000)).cast("int"))
+
+
 def routing_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation turn as an input: user turns as their row id (found
     when a reply follows), other turns as text."""
