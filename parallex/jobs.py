@@ -18,6 +18,7 @@ from parallex.operators.decoding import Scorer, greedy_decode
 from parallex.operators.encode import decode, encode
 from parallex.operators.lengths import check_lengths, max_lengths
 from parallex.operators.metrics import bleu, with_word_edits
+from parallex.operators.vocab import vocab_stats
 from parallex.operators.sampling import epoch_schedule, sample_examples, shuffle_rank, split_exact
 from parallex.operators.scoring import masked_ce, mean_val_loss
 from parallex.sources.runlog import append_metrics, comparison_report, write_report
@@ -42,8 +43,8 @@ def prepare(spark: SparkSession, pairs: DataFrame, out_dir: str, opts: Options =
     texts = pairs.select(F.col("src_text").alias("text")).unionByName(
         pairs.select(F.col("trg_text").alias("text")))
     vocab = get_or_build_vocab(spark, vocab_path or f"{out_dir}/vocab", texts, "text", mode, min_count)
-    rows = vocab.count()
-    enc = encode(pairs, SIDES, vocab, mode, vocab_rows=rows)
+    stats = vocab_stats(vocab)
+    enc = encode(pairs, SIDES, vocab, mode, vocab_stats=stats)
     split = split_exact(pairs.select("pair_id"), ["pair_id"], opts.train_fraction, opts.seed)
     annotated = check_lengths(enc, opts.seq_len, "annotate").join(split, "pair_id", "inner")
     kept = (annotated.where(F.col("reason").isNull())
@@ -120,11 +121,11 @@ def validate(val_pairs: DataFrame, vocab: DataFrame, scorer: Scorer, opts: Optio
         ranked = shuffle_rank(val_pairs.select("pair_id"), ["pair_id"], opts.seed, [epoch])
         first = sample_examples(ranked, num_examples).select("pair_id")
         rows = val_pairs.join(first, "pair_id", "left_semi")
-    n_vocab = vocab.count()
+    stats = vocab_stats(vocab)
     prompts = rows.select("pair_id", F.array(F.lit(SOS_ID)).alias("ids"), "src_ids")
     out = greedy_decode(prompts, scorer, opts.seq_len, key="pair_id")
     text = decode(out.select("pair_id", "ids"), {"predicted": "ids"}, vocab, mode, key="pair_id",
-                  strip_special=strip_special, vocab_rows=n_vocab)
+                  strip_special=strip_special, vocab_stats=stats)
     # cached: the metrics and the report both read it (MEMORY_AND_DISK, and a
     # lost block is recomputed from the deterministic decode)
     ev = rows.select("pair_id", F.col("src_text").alias("source"), F.col("trg_text").alias("expected")) \

@@ -202,7 +202,7 @@ def markov_decode(prompts: DataFrame, scorer: BigramScorer, max_len: int, eos: i
 
 def translate_batch(routed: DataFrame, vocab: DataFrame, scorer: Scorer, seq_len: int,
                     mode: str = "word", key: str = "input_id", sos: int = SOS_ID,
-                    eos: int = EOS_ID, vocab_rows: int | None = None) -> DataFrame:
+                    eos: int = EOS_ID, vocab_stats: tuple[int, int] | None = None) -> DataFrame:
     """Translate routed inputs ``(key, source, expected, found, ...)``.
 
     Encode the source, apply the length check (too-long or unknown inputs get
@@ -213,18 +213,19 @@ def translate_batch(routed: DataFrame, vocab: DataFrame, scorer: Scorer, seq_len
     """
     from parallex.operators.encode import decode, encode
 
-    if vocab_rows is None:
-        vocab_rows = vocab.count()
+    from parallex.operators.vocab import vocab_stats as measure
+    if vocab_stats is None:
+        vocab_stats = measure(vocab)
     ok = routed.where(F.col("found"))
     enc = encode(ok.select(key, "source"), {"src_ids": "source"}, vocab, mode, key=key,
-                 vocab_rows=vocab_rows)
+                 vocab_stats=vocab_stats)
     enc = enc.withColumn("reason", F.when(F.size("src_ids") > seq_len - 2, F.lit("src_too_long")))
     prompts = enc.where(F.col("reason").isNull()).select(
         key, F.array(F.lit(sos)).alias("ids"), "src_ids")
     out = greedy_decode(prompts, scorer, seq_len, eos, key=key)
     out = out.select(key, "ids", F.slice("ids", 2, F.greatest(F.size("ids") - 1, F.lit(0))).alias("gen_ids"))
     text = decode(out, {"predicted": "ids", "generated": "gen_ids"}, vocab, mode, key=key,
-                  vocab_rows=vocab_rows)
+                  vocab_stats=vocab_stats)
     reasons = enc.select(key, "reason")
     return (routed.join(text, key, "left").join(reasons, key, "left")
             .withColumn("reason", F.when(~F.col("found"), F.lit("unknown_id")).otherwise(F.col("reason"))))

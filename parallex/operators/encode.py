@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from parallex.config import UNK_ID
 from parallex.functions.text import joiner, tokenize
 from parallex.operators.lookup import lookup_join
+from parallex.operators.vocab import vocab_stats as measure
 from parallex.session import by_key
 
 
@@ -38,7 +39,8 @@ def _regroup(exploded: DataFrame, key: str, value: str, outs: list[str]) -> Data
 
 
 def encode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: str = "word",
-           key: str = "pair_id", unk: int = UNK_ID, vocab_rows: int | None = None) -> DataFrame:
+           key: str = "pair_id", unk: int = UNK_ID,
+           vocab_stats: tuple[int, int] | None = None) -> DataFrame:
     """Add one ``array<int>`` column per ``{out_col: text_col}``; unknown tokens map
     to ``unk``; an empty text gives ``[]``. ``key`` must be unique. Only real
     tokens are looked up, so a literal "[PAD]" in a text is unknown, and the
@@ -49,8 +51,9 @@ def encode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: st
     # many-to-one lookup: broadcast when the vocabulary is small enough, else a
     # shuffle join with hot tokens split over salts picked by position
     lookup = vocab.where(~F.col("is_special")).select(F.col("token").alias("_tok"), "id")
-    looked = lookup_join(exploded, F.col("item"), lookup, "_tok", "left", small_rows=vocab_rows,
-                         salt_source=F.col("pos")).select(
+    rows, row_bytes = vocab_stats or measure(vocab)
+    looked = lookup_join(exploded, F.col("item"), lookup, "_tok", "left", small_rows=rows,
+                         row_bytes=row_bytes, salt_source=F.col("pos")).select(
         key, "side", "pos", F.coalesce(F.col("id"), F.lit(unk)).cast("int").alias("id"))
     ids = _regroup(looked, key, "id", outs)
     out = parted.join(ids, key, "left")
@@ -60,15 +63,16 @@ def encode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: st
 
 def decode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: str = "word",
            key: str = "pair_id", strip_special: bool = False,
-           vocab_rows: int | None = None) -> DataFrame:
+           vocab_stats: tuple[int, int] | None = None) -> DataFrame:
     """Add one text column per ``{out_col: ids_col}``. Special tokens are kept
     unless ``strip_special``; an id missing from the vocabulary decodes to [UNK]."""
     outs = list(columns)
     parted = by_key(df, key)
     exploded = _exploded(parted, key, [F.col(c) for c in columns.values()])
     lookup = vocab.select(F.col("id").alias("_id"), "token", "is_special")
-    looked = lookup_join(exploded, F.col("item"), lookup, "_id", "left", small_rows=vocab_rows,
-                         salt_source=F.col("pos"))
+    rows, row_bytes = vocab_stats or measure(vocab)
+    looked = lookup_join(exploded, F.col("item"), lookup, "_id", "left", small_rows=rows,
+                         row_bytes=row_bytes, salt_source=F.col("pos"))
     if strip_special:
         looked = looked.where(~F.coalesce(F.col("is_special"), F.lit(False)))
     looked = looked.select(key, "side", "pos", F.coalesce(F.col("token"), F.lit("[UNK]")).alias("token"))

@@ -75,5 +75,19 @@ def special_ids(vocab: DataFrame) -> dict[str, int]:
     return ids
 
 
+ROW_OVERHEAD_BYTES = 32  # id, count, flag and row header of one broadcast vocabulary row
+
+
+def vocab_stats(vocab: DataFrame) -> tuple[int, int]:
+    """``(rows, bytes per row)`` of a vocabulary, measured in one aggregate:
+    the input to the broadcast decision. Token lengths are measured, not
+    assumed, so a vocabulary full of long junk tokens is not broadcast by
+    mistake."""
+    r = vocab.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("token")).alias("b")).first()
+    rows = int(r["n"])
+    total = int(r["b"] or 0) + ROW_OVERHEAD_BYTES * rows
+    return rows, -(-total // max(rows, 1))
+
+
 def vocab_size(vocab: DataFrame) -> DataFrame:
     return vocab.agg(F.count(F.lit(1)).cast("long").alias("vocab_size"))

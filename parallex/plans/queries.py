@@ -19,7 +19,7 @@ from parallex.operators import curves, examples, lengths, metrics, sampling, sco
 from parallex.operators.decoding import BigramScorer, bigram_scores, greedy_decode, translate_batch
 from parallex.operators.encode import decode, encode
 from parallex.operators.examples import build_examples
-from parallex.operators.vocab import build_vocab, vocab_size
+from parallex.operators.vocab import build_vocab, vocab_size, vocab_stats
 from parallex.plans import standins as T
 from parallex.sources import corpus, runlog
 
@@ -308,11 +308,11 @@ def q_greedy_decode(spark, d):
 
 def _translated(spark, d):
     v = shared_vocab(spark, d)
-    rows = v.count()  # one count, reused by every lookup below
+    stats = vocab_stats(v)  # measured once, reused by every lookup below
     routed = corpus.route_inputs(T.routing_inputs(spark, d), T.pairs(spark, d))
     targets = T.pairs(spark, d).select("pair_id", "trg_text")  # the bigram table needs the target side only
-    scorer = _bigram(encode(targets, {"trg_ids": "trg_text"}, v, "word", vocab_rows=rows))
-    return translate_batch(routed, v, scorer, OPTS.seq_len, vocab_rows=rows)
+    scorer = _bigram(encode(targets, {"trg_ids": "trg_text"}, v, "word", vocab_stats=stats))
+    return translate_batch(routed, v, scorer, OPTS.seq_len, vocab_stats=stats)
 
 
 def q_translate_batch(spark, d):
@@ -325,9 +325,8 @@ def q_validation_metrics(spark, d):
     decoded text against the targets."""
     from parallex.jobs import validate
     v = shared_vocab(spark, d)
-    rows = v.count()
     split = split_df(spark, d).select("pair_id", "split")
-    enc = encode(T.pairs(spark, d).join(split, "pair_id"), SIDES, v, "word", vocab_rows=rows)
+    enc = encode(T.pairs(spark, d).join(split, "pair_id"), SIDES, v, "word", vocab_stats=vocab_stats(v))
     enc = lengths.check_lengths(enc, OPTS.seq_len, "quarantine")[0]
     scorer = _bigram(enc.where(F.col("split") == "train"))
     out = validate(enc.where(F.col("split") == "val"), v, scorer, OPTS)["metrics"]

@@ -15,17 +15,18 @@ from pyspark.sql.streaming import StreamingQuery
 from parallex.operators.encode import encode
 from parallex.operators.examples import build_examples
 from parallex.operators.lengths import check_lengths
+from parallex.operators.vocab import vocab_stats
 
 
 def examples_stream(stream: DataFrame, vocab: DataFrame, seq_len: int, out_path: str,
                     checkpoint_path: str, rejected_path: str | None = None, mode: str = "word",
                     available_now: bool = True) -> StreamingQuery:
     """Build examples from a stream of ``(pair_id, src_text, trg_text)``."""
-    vocab_rows = vocab.count()
+    stats = vocab_stats(vocab)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         enc = encode(batch, {"src_ids": "src_text", "trg_ids": "trg_text"}, vocab, mode,
-                     vocab_rows=vocab_rows)
+                     vocab_stats=stats)
         kept, rejected = check_lengths(enc, seq_len, "quarantine")
         build_examples(kept, seq_len).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
         if rejected_path:
