@@ -41,3 +41,12 @@ def test_symbols_are_distinct_single_characters(spark):
     assert all(len(s) == 1 for s in syms)
     assert len(set(syms)) == len(syms)
     assert not any(0xD800 <= ord(s) <= 0xDFFF for s in syms)
+
+
+def test_whitespace_set_equals_python(spark):
+    spaces = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    near = ["​", "᠎", "﻿", "·", "_", "-"]  # not whitespace for str.split
+    rows = [(i, f"a{c}b") for i, c in enumerate(spaces + near)]
+    df = spark.createDataFrame(rows, "i int, t string").select("i", "t", words(F.col("t")).alias("w"))
+    for r in df.collect():
+        assert r["w"] == r["t"].split(), repr(r["t"])
