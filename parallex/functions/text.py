@@ -19,14 +19,20 @@ ONE_CHAR = r"(?s)."
 ROW_ID = r"^[0-9]+\z"  # ASCII digits only; \z so a trailing newline does not match
 
 
+def _no_tokens() -> Column:
+    return F.array().cast("array<string>")
+
+
 def words(text: Column) -> Column:
-    """Whitespace-separated words (no empty strings)."""
-    return F.array_remove(F.split(text, WHITESPACE_RUN), "")
+    """Whitespace-separated words (no empty strings); a NULL text has none
+    (so ``size`` is 0 whatever the session's ANSI setting)."""
+    return F.coalesce(F.array_remove(F.split(text, WHITESPACE_RUN), ""), _no_tokens())
 
 
 def chars(text: Column) -> Column:
-    """Code points of ``text`` (a surrogate pair stays one character)."""
-    return F.regexp_extract_all(text, F.lit(ONE_CHAR), 0)
+    """Code points of ``text`` (a surrogate pair stays one character); none for
+    a NULL text."""
+    return F.coalesce(F.regexp_extract_all(text, F.lit(ONE_CHAR), 0), _no_tokens())
 
 
 def tokenize(text: Column, mode: str = "word") -> Column:
