@@ -13,7 +13,11 @@ UNK_ID, PAD_ID, SOS_ID, EOS_ID = 0, 1, 2, 3
 
 @dataclass(frozen=True)
 class Options:
-    """Run settings; defaults are the reference's default configuration."""
+    """Run settings. The defaults are the reference's default
+    configuration (batch 6, 10 epochs, sequence length 480, en -> ja, artifact
+    folder ``opus100_weights`` with files ``tmodel_NN.pt``, latest artifact
+    preloaded, 90 % train split, label smoothing 0.1, 2 validation examples,
+    validation batch 1). ``seed`` is ours: the reference does not seed."""
 
     batch_size: int = 6
     num_epochs: int = 10
