@@ -11,7 +11,37 @@ import re
 import sys
 
 
+def _indent(line: str) -> int:
+    return len(line) - len(line.lstrip(" :+-"))
+
+
+def without_repeated_caches(plan: str) -> tuple[str, int]:
+    """Keep the first copy of each cached sub-plan; later reads of the same
+    cached relation are cut to their scan line. Returns the plan and the number
+    of cached reads."""
+    out, seen, reads = [], set(), 0
+    skip_below = None
+    for line in plan.split("\n"):
+        if skip_below is not None:
+            if _indent(line) > skip_below:
+                continue
+            skip_below = None
+        if "InMemoryRelation" in line:
+            reads += 1
+            sig = line.strip(" :+-")
+            if sig in seen:
+                skip_below = _indent(line)
+            seen.add(sig)
+        out.append(line)
+    return "\n".join(out), reads
+
+
 def summarize(plan: str) -> dict:
+    plan, cached_reads = without_repeated_caches(plan)
+    lines = plan.split("\n")
+    reused = sum(1 for ln in lines if "ReusedExchange" in ln)
+    # a reused exchange is printed as "ReusedExchange ..., Exchange ...": not a new shuffle
+    plan = "\n".join(ln for ln in lines if "ReusedExchange" not in ln)
     scans = []
     for m in re.finditer(r"FileScan parquet [^\n]*", plan):
         line = m.group(0)
@@ -28,6 +58,8 @@ def summarize(plan: str) -> dict:
         "broadcast_joins": plan.count("BroadcastHashJoin"),
         "sort_merge_joins": plan.count("SortMergeJoin"),
         "nested_loop_joins": plan.count("BroadcastNestedLoopJoin") + plan.count("CartesianProduct"),
+        "cached_reads": cached_reads,
+        "reused": reused,
         "scans": sorted(set((t, tuple(c), f) for t, c, f in scans)),
     }
 
@@ -43,17 +75,21 @@ def main(argv) -> int:
            "Static physical plans of the registered queries (`python -m parallex.plans.explain`),",
            "AQE off. Shuffles: hash / range / round-robin / single-partition (the last only",
            "gathers one partial row per task for a global aggregate or a bounded offset table).",
-           "Joins: broadcast / sort-merge / nested-loop. Scans list the columns read and the",
-           "filters pushed into Parquet.", "",
-           "| query | shuffles h/r/rr/1 | joins b/smj/nl | scans (table: columns; pushed filters) |",
-           "| --- | --- | --- | --- |"]
+           "Joins: broadcast / sort-merge / nested-loop (the nested-loop joins are the",
+           "decoding lookups of prompts that all end in the literal [SOS]: the key folds to",
+           "a constant and the broadcast side is filtered to one row). Reused: exchanges",
+           "whose output an identical subplan already produced (computed once). Cached:",
+           "reads of a cached relation, whose plan is counted once. Scans list the columns",
+           "read and the filters pushed into Parquet.", "",
+           "| query | shuffles h/r/rr/1 | joins b/smj/nl | reused | cached | scans (table: columns; pushed filters) |",
+           "| --- | --- | --- | --- | --- | --- |"]
     for name, q in QUERIES.items():
         plan = q(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         s = summarize(plan)
         scans = "<br>".join(f"{t}: {', '.join(c)}" + (f"; {f}" if f else "") for t, c, f in s["scans"])
         out.append(f"| `{name}` | {s['hash_shuffles']}/{s['range_shuffles']}/{s['round_robin']}/"
                    f"{s['single_partition']} | {s['broadcast_joins']}/{s['sort_merge_joins']}/"
-                   f"{s['nested_loop_joins']} | {scans} |")
+                   f"{s['nested_loop_joins']} | {s['reused']} | {s['cached_reads']} | {scans} |")
     text = "\n".join(out) + "\n"
     with open("PLANS.md", "w") as fh:
         fh.write(text)

@@ -21,6 +21,7 @@ from parallex.operators.encode import decode, encode
 from parallex.operators.examples import build_examples
 from parallex.operators.vocab import build_vocab, vocab_size, vocab_stats
 from parallex.plans import standins as T
+from parallex.session import pin
 from parallex.sources import corpus, runlog
 
 OPTS = Options()
@@ -327,7 +328,9 @@ def q_validation_metrics(spark, d):
     v = shared_vocab(spark, d)
     split = split_df(spark, d).select("pair_id", "split")
     enc = encode(T.pairs(spark, d).join(split, "pair_id"), SIDES, v, "word", vocab_stats=vocab_stats(v))
-    enc = lengths.check_lengths(enc, OPTS.seq_len, "quarantine")[0]
+    # the prepared table: written once to the checkpoint folder, then read by
+    # the scorer (training rows) and the decoder (validation rows)
+    enc = pin(lengths.check_lengths(enc, OPTS.seq_len, "quarantine")[0])
     scorer = _bigram(enc.where(F.col("split") == "train"))
     out = validate(enc.where(F.col("split") == "val"), v, scorer, OPTS)["metrics"]
     return out.select(*[_r(F.col(c)).alias(c) for c in ("cer", "wer", "bleu")])
