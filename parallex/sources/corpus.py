@@ -18,13 +18,17 @@ PAIRS_SCHEMA = T.StructType([
 
 def to_pairs(corpus: DataFrame, src: str, trg: str, id_col: str = "pair_id",
              translation_col: str = "translation") -> DataFrame:
-    """Nested ``translation`` record (map or struct keyed by language) to
-    ``(pair_id, src_text, trg_text)``; other columns (e.g. ``split``) are kept.
-    Only the two languages are read, so Parquet prunes the rest of the record."""
-    tr = F.col(translation_col)
-    keep = [c for c in corpus.columns if c not in (translation_col, id_col)]
-    return corpus.select(F.col(id_col).cast("long").alias("pair_id"),
-                         tr[src].alias("src_text"), tr[trg].alias("trg_text"), *keep)
+    """Corpus rows to ``(pair_id, src_text, trg_text)``; other columns (e.g.
+    ``split``) are kept. Either a nested ``translation`` record (map or struct
+    keyed by language; only the two languages are read, so Parquet prunes the
+    rest of the record) or a flat layout with one column per language (CSV)."""
+    if translation_col in corpus.columns:
+        tr = F.col(translation_col)
+        texts, drop = [tr[src].alias("src_text"), tr[trg].alias("trg_text")], {translation_col}
+    else:
+        texts, drop = [F.col(src).alias("src_text"), F.col(trg).alias("trg_text")], {src, trg}
+    keep = [c for c in corpus.columns if c not in drop | {id_col}]
+    return corpus.select(F.col(id_col).cast("long").alias("pair_id"), *texts, *keep)
 
 
 def read_pairs(spark: SparkSession, path: str, src: str, trg: str, split: str | None = None,
@@ -38,6 +42,8 @@ def read_pairs(spark: SparkSession, path: str, src: str, trg: str, split: str |
     DataFrames have no order, so a position is not an identity.
     """
     reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", "true").option("multiLine", "true").option("escape", '"')
     if schema is not None:
         reader = reader.schema(schema)
     corpus = reader.load(path)

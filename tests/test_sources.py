@@ -56,3 +56,17 @@ def test_route_inputs(spark):
     assert (out[3]["found"], out[3]["source"]) == (False, None)
     assert out[4]["found"] is False
     assert out[5]["is_row_id"] is False and out[5]["source"] is None
+
+
+def test_read_pairs_flat_csv(spark, tmp_dir):
+    import csv
+    path = f"{tmp_dir}/corpus.csv"
+    with open(path, "w", newline="", encoding="utf-8") as fh:
+        w = csv.writer(fh)
+        w.writerow(["pair_id", "split", "en", "ja"])
+        w.writerow([1, "test", "hello, world", "こんにちは"])
+        w.writerow([2, "train", "two\nlines", "二行"])
+    got = read_pairs(spark, path, "en", "ja", "all", fmt="csv",
+                     schema="pair_id long, split string, en string, ja string")
+    rows = {r["pair_id"]: (r["src_text"], r["trg_text"], r["split"]) for r in got.collect()}
+    assert rows == {1: ("hello, world", "こんにちは", "test"), 2: ("two\nlines", "二行", "train")}
