@@ -56,7 +56,10 @@ def exact_rank(df: DataFrame, order: Sequence[Column], group: Sequence[str] = ()
         "_part", *gcols, "_first",
         F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"),
         F.sum("_n").over(whole).alias("_total"))
-    offsets = broadcast_checked(offsets)
+    # without groups the table has one row per partition; the partition count of
+    # a checkpointed frame is known without running anything
+    bound = numbered.rdd.getNumPartitions() if (checkpoint and not gcols) else None
+    offsets = broadcast_checked(offsets, known_rows=bound)
     ranked = numbered.join(offsets, ["_part", *gcols], "inner").withColumn(
         rank_col, F.col("_offset") + F.col("_local") - F.col("_first") + 1)
     drop = ["_rid", "_part", "_local", "_first", "_offset"]
