@@ -74,3 +74,20 @@ def test_bigram_table_counts(spark):
     assert got == {(2, 5): 2.0, (5, 6): 1.0, (6, 3): 1.0, (5, 3): 1.0}
     best = {r["prev_id"]: r["next_id"] for r in best_next(bigram_scores(enc)).collect()}
     assert best == {2: 5, 5: 3, 6: 3}
+
+
+def test_translate_batch_reasons(spark):
+    from parallex.operators.decoding import translate_batch
+    from parallex.operators.vocab import build_vocab
+    from parallex.sources.corpus import route_inputs
+    pairs = spark.createDataFrame([(5, "a b", "x y"), (6, "a " * 30, "x")], "pair_id long, src_text string, trg_text string")
+    v = build_vocab(pairs.select(F.col("trg_text").alias("text")), "text", min_count=1)
+    from parallex.operators.encode import encode
+    sc = BigramScorer(bigram_scores(encode(pairs, {"trg_ids": "trg_text"}, v)))
+    inputs = spark.createDataFrame([(1, "5"), (2, "6"), (3, "7"), (4, "free text")], "input_id long, input string")
+    out = {r["input_id"]: r for r in translate_batch(route_inputs(inputs, pairs), v, sc, 10).collect()}
+    assert out[1]["reason"] is None and out[1]["predicted"].startswith("[SOS] x")
+    assert out[1]["generated"] == " ".join(out[1]["predicted"].split()[1:])
+    assert out[2]["reason"] == "src_too_long" and out[2]["predicted"] is None
+    assert out[3]["reason"] == "unknown_id" and out[3]["predicted"] is None
+    assert out[4]["reason"] is None and out[4]["source"] == "free text"

@@ -73,3 +73,21 @@ def test_null_text_is_quarantined(spark):
     assert sorted((r["pair_id"], r["reason"]) for r in rejected.collect()) == [(2, "null_text"), (3, "null_text")]
     with pytest.raises(Exception, match="null_text"):
         build_examples(enc, 480).collect()
+
+
+def test_size_check_flags_a_wrong_row(spark):
+    df = spark.createDataFrame([(1, [1, 2], [1, 2], [1, 2]), (2, [1], [1, 2], [1, 2])],
+                               "pair_id long, encoder_input array<int>, decoder_input array<int>, label array<int>")
+    r = assert_example_sizes(df, 2).first()
+    assert r["all_sized"] is False and r["n_examples"] == 2
+
+
+def test_collate_stacks_example_tensors(spark):
+    from parallex.operators.sampling import assign_batches, collate, shuffle_rank
+    ex = build_examples(encoded(spark, [(1, 1), (2, 2), (3, 3)]), 8)
+    ranked = assign_batches(shuffle_rank(ex.select("pair_id"), ["pair_id"], 42, 1).join(ex, "pair_id"), 2)
+    got = collate(ranked, ["pair_id", "encoder_input", "label"]).orderBy("batch_id").collect()
+    assert [len(b["pair_id"]) for b in got] == [2, 1]
+    by_id = {r["pair_id"]: r for r in ex.collect()}
+    for b in got:
+        assert [list(x) for x in b["encoder_input"]] == [by_id[i]["encoder_input"] for i in b["pair_id"]]
