@@ -41,6 +41,11 @@ def non_pad(ids: Column, pad: int = PAD_ID) -> Column:
     return F.transform(ids, lambda x: (x != F.lit(pad)).cast("int"))
 
 
+def encoder_mask(encoder_ids: Column, pad: int = PAD_ID) -> Column:
+    """The encoder mask: 1 where the encoder input is not PAD."""
+    return non_pad(encoder_ids, pad)
+
+
 def expand_decoder_mask(dec_valid: Column) -> Column:
     """Decoder mask ``m[i][j] = valid[j] AND j <= i`` as ``array<array<int>>``.
 

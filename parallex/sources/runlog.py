@@ -41,6 +41,14 @@ def append_artifacts(records: DataFrame, path: str) -> None:
     records.select(*[f.name for f in ARTIFACT_SCHEMA]).write.mode("append").parquet(path)
 
 
+def append_artifact(run: str, epoch: int, global_step: int, path: str, spark: SparkSession,
+                    opts: Options = Options()) -> None:
+    """Append the record of one saved epoch (what a training loop calls after
+    writing its weights)."""
+    row = spark.createDataFrame([(run, epoch, global_step)], "run string, epoch int, global_step long")
+    append_artifacts(artifact_records(row, opts), path)
+
+
 def read_artifacts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ARTIFACT_SCHEMA).parquet(path)
 

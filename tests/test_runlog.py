@@ -89,3 +89,11 @@ def test_reports(spark):
         out.setdefault(r["input_id"], []).append(r["line"])
     assert out[7] == ["        ID: 12", "    SOURCE: a b", "    TARGET: c d", " PREDICTED: x y "]
     assert out[8] == ["    SOURCE: hello", " PREDICTED: z "]
+
+
+def test_append_one_artifact(spark, tmp_dir):
+    from parallex.sources.runlog import append_artifact
+    for e in (0, 1):
+        append_artifact("r", e, 10 * (e + 1), f"{tmp_dir}/a", spark)
+    best = latest_artifact(read_artifacts(spark, f"{tmp_dir}/a")).first()
+    assert (best["epoch"], best["global_step"], best["path"]) == (1, 20, "opus100_weights/tmodel_01.pt")
