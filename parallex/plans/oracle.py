@@ -308,6 +308,10 @@ ORACLE: dict[str, str] = {
     "pairs_load": f"WITH {PAIRS} SELECT pair_id, src_text, trg_text FROM pairs",
     "pairs_count": f"WITH {PAIRS} SELECT CAST(count(*) AS BIGINT) AS n_pairs FROM pairs",
     "pair_preview": f"WITH {PAIRS} SELECT pair_id, src_text, trg_text FROM pairs ORDER BY pair_id LIMIT {PREVIEW_ROWS}",
+    "pair_lookup": f"""WITH {PAIRS}
+SELECT i.pair_id, p.src_text, p.trg_text, p.src_text IS NOT NULL AS found
+FROM (SELECT CAST(conv_id * 1000 + turn AS BIGINT) AS pair_id FROM conversations) i
+LEFT JOIN pairs p USING (pair_id)""",
     "input_routing": f"WITH {PAIRS},\n{ROUTING}\nSELECT * FROM routed",
     "sentences_lang": f"SELECT doc_id AS id, text AS sentence FROM documents WHERE lang = '{OPTS.src_lang}'",
     "vocab_build": f"WITH {PAIRS},\n{SPECIALS},\n{SRC_VOCAB}\nSELECT token, id, n, is_special FROM vocab",

@@ -80,6 +80,11 @@ def q_pair_preview(spark, d):
     return corpus.preview(T.pairs(spark, d), PREVIEW_ROWS)
 
 
+def q_pair_lookup(spark, d):
+    got = corpus.pairs_by_ids(T.pairs(spark, d), T.lookup_ids(spark, d))
+    return got.select("pair_id", "src_text", "trg_text", F.col("src_text").isNotNull().alias("found"))
+
+
 def q_input_routing(spark, d):
     return corpus.route_inputs(T.routing_inputs(spark, d), T.pairs(spark, d))
 
@@ -375,6 +380,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pairs_load": q_pairs_load,
     "pairs_count": q_pairs_count,
     "pair_preview": q_pair_preview,
+    "pair_lookup": q_pair_lookup,
     "input_routing": q_input_routing,
     "sentences_lang": q_sentences_lang,
     "vocab_build": q_vocab_build,

@@ -59,6 +59,13 @@ def routing_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(F.col("role") == "user", rid.cast("string")).otherwise(F.col("text")).alias("input"))
 
 
+def lookup_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation turn's row id as a lookup request (user turns with a
+    reply are pairs; the other ids miss)."""
+    c = table(spark, sf_dir, "conversations")
+    return c.select((F.col("conv_id") * 1000 + F.col("turn")).cast("long").alias("pair_id"))
+
+
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     return e.select("vec_id",

@@ -78,6 +78,18 @@ def pair_by_id(pairs: DataFrame, pair_id: int) -> DataFrame:
     return pairs.where(F.col("pair_id") == F.lit(pair_id))
 
 
+def pairs_by_ids(pairs: DataFrame, ids: DataFrame, id_col: str = "pair_id") -> DataFrame:
+    """Many lookups by id at once (A3, batched): every row of ``ids`` with its
+    pair's texts (NULL when there is none). The corpus is first cut down to the
+    requested ids by a semi-join against their distinct values (broadcast when
+    the count is within the bound, so the corpus is filtered where it is
+    scanned), then joined back to the id rows."""
+    wanted = broadcast_checked(ids.select(F.col(id_col).alias("pair_id"))
+                               .where(F.col("pair_id").isNotNull()).distinct())
+    hits = pairs.select("pair_id", "src_text", "trg_text").join(wanted, "pair_id", "left_semi")
+    return ids.join(hits.withColumnRenamed("pair_id", id_col), id_col, "left")
+
+
 def preview(pairs: DataFrame, n: int = 1) -> DataFrame:
     """First ``n`` pairs by id (top-k: one sorted pass, ``n`` rows per task)."""
     return pairs.orderBy("pair_id").limit(n)
@@ -108,9 +120,7 @@ def route_inputs(inputs: DataFrame, pairs: DataFrame, input_col: str = "input",
         key, "input", "is_row_id", F.col("input").alias("source"),
         F.lit("").alias("expected"), F.lit(True).alias("found"))
     id_rows = tagged.where(F.col("is_row_id")).withColumn("pair_id", F.col("input").try_cast("long"))
-    wanted = broadcast_checked(id_rows.select("pair_id").where(F.col("pair_id").isNotNull()).distinct())
-    hits = pairs.select("pair_id", "src_text", "trg_text").join(wanted, "pair_id", "left_semi")
-    ids = (id_rows.join(hits, "pair_id", "left")
+    ids = (pairs_by_ids(pairs, id_rows)
            .select(key, "input", "is_row_id", F.col("src_text").alias("source"),
                    F.col("trg_text").alias("expected"),
                    F.col("src_text").isNotNull().alias("found")))
