@@ -212,8 +212,8 @@ def translate_batch(routed: DataFrame, vocab: DataFrame, scorer: Scorer, seq_len
     the tokens after the prompt (what the reference prints).
     """
     from parallex.operators.encode import decode, encode
-
     from parallex.operators.vocab import vocab_stats as measure
+
     if vocab_stats is None:
         vocab_stats = measure(vocab)
     ok = routed.where(F.col("found"))
@@ -226,6 +226,8 @@ def translate_batch(routed: DataFrame, vocab: DataFrame, scorer: Scorer, seq_len
     out = out.select(key, "ids", F.slice("ids", 2, F.greatest(F.size("ids") - 1, F.lit(0))).alias("gen_ids"))
     text = decode(out, {"predicted": "ids", "generated": "gen_ids"}, vocab, mode, key=key,
                   vocab_stats=vocab_stats)
-    reasons = enc.select(key, "reason")
-    return (routed.join(text, key, "left").join(reasons, key, "left")
+    # every decoded row has an encoded row: attach the texts to the reasons,
+    # then join the inputs once
+    results = enc.select(key, "reason").join(text, key, "left")
+    return (routed.join(results, key, "left")
             .withColumn("reason", F.when(~F.col("found"), F.lit("unknown_id")).otherwise(F.col("reason"))))
