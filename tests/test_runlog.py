@@ -97,3 +97,14 @@ def test_append_one_artifact(spark, tmp_dir):
         append_artifact("r", e, 10 * (e + 1), f"{tmp_dir}/a", spark)
     best = latest_artifact(read_artifacts(spark, f"{tmp_dir}/a")).first()
     assert (best["epoch"], best["global_step"], best["path"]) == (1, 20, "opus100_weights/tmodel_01.pt")
+
+
+def test_file_listing_reads_no_content(spark, tmp_dir):
+    folder = f"{tmp_dir}/{Options().artifact_folder}"
+    os.makedirs(folder)
+    with open(f"{folder}/tmodel_03.pt", "wb") as fh:
+        fh.write(b"x" * 1000)
+    files = artifacts_from_files(spark, folder)
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<path:string>" in plan
+    assert files.first()["epoch"] == 3
