@@ -47,6 +47,11 @@ def test_examples_stream_equals_batch(spark, tmp_dir):
     cols = ["pair_id", "encoder_input", "decoder_input", "label"]
     norm = lambda df: sorted((r[0], tuple(r[1]), tuple(r[2]), tuple(r[3])) for r in df.select(*cols).collect())
     assert norm(got) == norm(want)
+    # restart on the same checkpoint: nothing replayed twice
+    q2 = examples_stream(spark.readStream.schema(p.schema).parquet(src), v, 480, f"{tmp_dir}/ex",
+                         f"{tmp_dir}/ck", f"{tmp_dir}/rej")
+    q2.awaitTermination(180)
+    assert read_examples(spark, f"{tmp_dir}/ex").count() == p.count()
 
 
 def test_pandas_scorer_matches_bigram(spark):
