@@ -1,5 +1,6 @@
-"""Session helpers: building a session, the shared checkpoint folder, and
-size-checked broadcasting."""
+"""Session helpers: partition sizing for a run, building a session, the shared
+checkpoint folder, size-checked broadcasting, and partition counts for
+CPU-heavy stages."""
 
 from __future__ import annotations
 
@@ -8,7 +9,6 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 MAX_SHUFFLE_PARTITIONS = 200_000
 
 
