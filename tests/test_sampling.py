@@ -71,3 +71,17 @@ def test_sample_examples(spark):
     ranked = shuffle_rank(ids_df(spark, 30), ["pair_id"], 42, [0])
     top = sample_examples(ranked, 2).collect()
     assert [r["rank"] for r in top] == [1, 2]
+
+
+def test_hash_rank_many_buckets_is_partitioning_independent(spark):
+    from parallex.operators.ranking import hash_rank
+    from parallex.operators.sampling import order_hash
+    base = spark.range(5000).select(F.col("id").alias("pair_id"))
+    results = []
+    for parts in (1, 7, 23):
+        df = base.repartition(parts).withColumn("h", order_hash(["pair_id"], 42))
+        got = {r["pair_id"]: (r["rank"], r["h"]) for r in hash_rank(df, "h", ["pair_id"], prefix_hex=2).collect()}
+        results.append({k: v[0] for k, v in got.items()})
+        order = sorted(got, key=lambda k: (got[k][1], k))
+        assert [got[k][0] for k in order] == list(range(1, 5001))
+    assert results[0] == results[1] == results[2]
