@@ -22,6 +22,7 @@ from parallex.session import get_spark
 from parallex.sources.corpus import read_pairs, route_inputs
 from parallex.sources.runlog import translation_report
 
+# Fixed value: the default sentence translated when no input is given.
 DEFAULT_SENTENCE = "I am not a very good a student."
 
 

@@ -103,18 +103,24 @@ def metric_summary(log: DataFrame) -> DataFrame:
                                   F.max_by("value", order).alias("last_value"))
 
 
+# The report layout. Validation: a rule of 80 dashes, then
+# "SOURCE:", "TARGET:" and "PREDICTED:" lines. Inference: "ID: ", "SOURCE: ",
+# "TARGET: " and "PREDICTED: " right-aligned to 12 characters.
 RULE_WIDTH = 80
+VAL_LABELS = ("SOURCE:", "TARGET:", "PREDICTED:")
 LABEL_WIDTH = 12
+INFER_LABELS = ("ID: ", "SOURCE: ", "TARGET: ", "PREDICTED: ")
 
 
 def comparison_report(ev: DataFrame, key: str = "pair_id", source: str = "source",
                       expected: str = "expected", predicted: str = "predicted") -> DataFrame:
     """Validation report: per example a dash rule and SOURCE / TARGET / PREDICTED
     lines, as ``(key, line_no, line)``."""
+    src_l, trg_l, pred_l = VAL_LABELS
     lines = F.array(F.lit("-" * RULE_WIDTH),
-                    F.concat(F.lit("SOURCE:"), F.col(source)),
-                    F.concat(F.lit("TARGET:"), F.col(expected)),
-                    F.concat(F.lit("PREDICTED:"), F.col(predicted)))
+                    F.concat(F.lit(src_l), F.col(source)),
+                    F.concat(F.lit(trg_l), F.col(expected)),
+                    F.concat(F.lit(pred_l), F.col(predicted)))
     return ev.select(key, F.posexplode(lines).alias("line_no", "line"))
 
 
@@ -125,11 +131,12 @@ def translation_report(tr: DataFrame, key: str = "input_id") -> DataFrame:
     def lab(text: str) -> Column:
         return F.lpad(F.lit(text), LABEL_WIDTH, " ")
 
+    id_l, src_l, trg_l, pred_l = INFER_LABELS
     lines = F.filter(F.array(
-        F.when(F.col("is_row_id"), F.concat(lab("ID: "), F.col("input"))),
-        F.concat(lab("SOURCE: "), F.coalesce(F.col("source"), F.lit(""))),
-        F.when(F.col("is_row_id"), F.concat(lab("TARGET: "), F.coalesce(F.col("expected"), F.lit("")))),
-        F.concat(lab("PREDICTED: "), F.coalesce(
+        F.when(F.col("is_row_id"), F.concat(lab(id_l), F.col("input"))),
+        F.concat(lab(src_l), F.coalesce(F.col("source"), F.lit(""))),
+        F.when(F.col("is_row_id"), F.concat(lab(trg_l), F.coalesce(F.col("expected"), F.lit("")))),
+        F.concat(lab(pred_l), F.coalesce(
             F.when(F.col("generated") != "", F.concat(F.col("generated"), F.lit(" "))), F.lit(""))),
     ), lambda x: x.isNotNull())
     return tr.select(key, F.posexplode(lines).alias("line_no", "line"))
