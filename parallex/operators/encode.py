@@ -23,6 +23,20 @@ from parallex.operators.vocab import vocab_stats as measure
 from parallex.session import by_key
 
 
+def _keyed(df: DataFrame, key: str) -> DataFrame:
+    """Rows with a key. The join back would infer this filter for the token side
+    only; stating it for both sides keeps the two reads of the partitioned input
+    identical, so Spark shuffles the texts once and reuses the exchange."""
+    return df.where(F.col(key).isNotNull())
+
+
+def _unkeyed(df: DataFrame, key: str, cols: list[str], outs: list[str], kind: str) -> DataFrame:
+    """Rows without a key cannot be regrouped; they are kept, with empty output
+    (a filter on the key, which Parquet answers from column statistics)."""
+    empty = F.array().cast("array<int>") if kind == "array<int>" else F.lit("")
+    return df.where(F.col(key).isNull()).select(*cols, *[empty.alias(o) for o in outs])
+
+
 def _exploded(df: DataFrame, key: str, arrays: list[Column]) -> DataFrame:
     sides = F.array(*[F.struct(F.lit(i).alias("side"), a.alias("items")) for i, a in enumerate(arrays)])
     return (df.select(key, F.inline(sides))
@@ -46,7 +60,7 @@ def encode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: st
     tokens are looked up, so a literal "[PAD]" in a text is unknown, and the
     ids never contain PAD, SOS or EOS (masks compare ids with PAD)."""
     outs = list(columns)
-    parted = by_key(df, key)
+    parted = by_key(_keyed(df, key), key)
     exploded = _exploded(parted, key, [tokenize(F.col(t), mode) for t in columns.values()])
     # many-to-one lookup: broadcast when the vocabulary is small enough, else a
     # shuffle join with hot tokens split over salts picked by position
@@ -57,8 +71,9 @@ def encode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: st
         key, "side", "pos", F.coalesce(F.col("id"), F.lit(unk)).cast("int").alias("id"))
     ids = _regroup(looked, key, "id", outs)
     out = parted.join(ids, key, "left")
-    return out.select(*[c for c in df.columns if c not in outs],
-                      *[F.coalesce(F.col(o), F.array().cast("array<int>")).alias(o) for o in outs])
+    cols = [c for c in df.columns if c not in outs]
+    out = out.select(*cols, *[F.coalesce(F.col(o), F.array().cast("array<int>")).alias(o) for o in outs])
+    return out.unionByName(_unkeyed(df, key, cols, outs, "array<int>"))
 
 
 def decode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: str = "word",
@@ -67,7 +82,7 @@ def decode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: st
     """Add one text column per ``{out_col: ids_col}``. Special tokens are kept
     unless ``strip_special``; an id missing from the vocabulary decodes to [UNK]."""
     outs = list(columns)
-    parted = by_key(df, key)
+    parted = by_key(_keyed(df, key), key)
     exploded = _exploded(parted, key, [F.col(c) for c in columns.values()])
     lookup = vocab.select(F.col("id").alias("_id"), "token", "is_special")
     rows, row_bytes = vocab_stats or measure(vocab)
@@ -79,8 +94,9 @@ def decode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: st
     toks = _regroup(looked, key, "token", outs)
     out = parted.join(toks, key, "left")
     sep = joiner(mode)
-    return out.select(*[c for c in df.columns if c not in outs],
-                      *[F.coalesce(F.array_join(F.col(o), sep), F.lit("")).alias(o) for o in outs])
+    cols = [c for c in df.columns if c not in outs]
+    out = out.select(*cols, *[F.coalesce(F.array_join(F.col(o), sep), F.lit("")).alias(o) for o in outs])
+    return out.unionByName(_unkeyed(df, key, cols, outs, "string"))
 
 
 def encode_with(df: DataFrame, columns: Mapping[str, str], tokenizer) -> DataFrame:
