@@ -32,9 +32,16 @@ def _keyed(df: DataFrame, key: str) -> DataFrame:
 
 def _unkeyed(df: DataFrame, key: str, cols: list[str], outs: list[str], kind: str) -> DataFrame:
     """Rows without a key cannot be regrouped; they are kept, with empty output
-    (a filter on the key, which Parquet answers from column statistics)."""
-    empty = F.array().cast("array<int>") if kind == "array<int>" else F.lit("")
-    return df.where(F.col(key).isNull()).select(*cols, *[empty.alias(o) for o in outs])
+    (a filter on the key, which Parquet answers from column statistics). The
+    empty values are built from a column, not written as literals, so a later
+    expression such as ``ids[0]`` is not constant-folded on this branch (which
+    would raise at planning time under ANSI even with no rows)."""
+    k = F.col(key)
+    if kind == "array<int>":
+        empty = F.slice(F.array(k.cast("int")), 1, 0)
+    else:
+        empty = F.substring(F.coalesce(k.cast("string"), F.lit("")), 1, 0)
+    return df.where(k.isNull()).select(*cols, *[empty.alias(o) for o in outs])
 
 
 def _exploded(df: DataFrame, key: str, arrays: list[Column]) -> DataFrame:
