@@ -79,7 +79,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="parallex-ckpt-"))
         return sc.getCheckpointDir()
     raise RuntimeError("set spark.checkpoint.dir to a shared folder")
