@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from parallex.llm import quality_rules
+from parallex.llm import quality_rules, simhash
 
 QUERIES = {
     "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op9_simhash": simhash.op9_simhash,
 }
 ORACLE = {
     "op4_quality_rules": quality_rules.ORACLE,
