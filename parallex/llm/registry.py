@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from parallex.llm import quality_rules, simhash
+from parallex.llm import decontaminate, quality_rules, simhash
 
 QUERIES = {
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op9_simhash": simhash.op9_simhash,
+    "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 ORACLE = {
     "op4_quality_rules": quality_rules.ORACLE,
+    "op10_decontaminate": decontaminate.ORACLE,
 }
