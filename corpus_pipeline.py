@@ -12,11 +12,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parallex.llm import quality_rules
+from parallex.llm import decontaminate, mixing, quality_rules, sharding, simhash
 from parallex.session import ensure_checkpoint_dir
 
 STAGES = [
     ("quality_rules", quality_rules.stage),
+    ("simhash_near_dedup", simhash.stage),
+    ("benchmark_decontamination", decontaminate.stage),
+    ("source_mixing", mixing.stage),
+    ("sharding", sharding.stage),
 ]
 
 #: the SimHash, hypergeometric and mixing stages are not SQL-expressible;

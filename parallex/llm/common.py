@@ -7,6 +7,7 @@ never depend on Unicode white space.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -14,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parallex.session import ensure_checkpoint_dir
+
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 4 << 20  # texts handled together inside a task
 
@@ -78,3 +81,11 @@ def add_columns(df: DataFrame, text: str, fn: Callable[[list], Sequence[Sequence
                     names=schema.names)
 
     return df.select(*cols).mapInArrow(run, schema)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared folder of the session and read
+    back: lineage ends here, columns can still be pruned."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from parallex.llm import decontaminate, quality_rules, simhash
+from parallex.llm import decontaminate, line_dedup, mixing, quality_rules, sharding, simhash
 
 QUERIES = {
+    "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op3_sharding": sharding.op3_sharding,
     "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op5_mixing": mixing.op5_mixing,
     "op9_simhash": simhash.op9_simhash,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 ORACLE = {
+    "op2_line_dedup": line_dedup.ORACLE,
     "op4_quality_rules": quality_rules.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
 }
