@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from parallex.llm import decontaminate, line_dedup, mixing, quality_rules, sharding, simhash
+from parallex.llm import decontaminate, line_dedup, mixing, quality_rules, sharding, simhash, substring_dedup, suffix_dedup
 
 QUERIES = {
+    "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_sharding": sharding.op3_sharding,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_mixing": mixing.op5_mixing,
+    "op8_suffix_array_dedup": suffix_dedup.op8_suffix_array_dedup,
     "op9_simhash": simhash.op9_simhash,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }

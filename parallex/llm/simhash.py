@@ -96,24 +96,25 @@ def links(fps: DataFrame, radius: int = RADIUS, max_bucket: int = MAX_BUCKET) ->
     ``fp`` within ``radius`` bits."""
     spark = fps.sparkSession
     full = (1 << 64) - 1
-    free = [full]  # the free bits of every bucket mask in use: fixed by the radius, not by data
-    rows = fps.select("fp").distinct().select("fp", F.lit(0).cast("long").alias("mask"))
+    # free bits of every bucket mask in use -> masks of the next level: fixed by the radius, not by data
+    cut = {full: covering(full, radius)}
+    rows = fps.select("fp").distinct().select("fp", F.explode(F.array(*[F.lit(signed(c)) for c in cut[full]])).alias("mask"))
     found = None
     while True:
-        cut = {m: covering(m, radius) for m in free}
-        table = spark.createDataFrame(
-            [(signed(full & ~m), [signed((full & ~m) | c) for c in cs]) for m, cs in cut.items()],
-            "mask long, masks array<long>")
-        rows = (rows.join(F.broadcast(table), "mask").select("fp", F.explode("masks").alias("mask"))
-                .distinct().withColumn("key", F.expr("fp & mask")))
+        rows = rows.distinct().withColumn("key", F.expr("fp & mask"))
         hot = pin(rows.groupBy("mask", "key").count().where(F.col("count") > max_bucket).select("mask", "key"))
         more = not hot.isEmpty()
         got = _linked(rows.join(hot, ["mask", "key"], "left_anti") if more else rows, radius)
         found = got if found is None else found.unionByName(got)
         if not more:
             return found.distinct()
-        rows = rows.join(hot, ["mask", "key"], "left_semi").select("fp", "mask")
         free = sorted({m & ~c for m, cs in cut.items() for c in cs})
+        cut = {m: covering(m, radius) for m in free}
+        table = spark.createDataFrame(
+            [(signed(full & ~m), [signed((full & ~m) | c) for c in cs]) for m, cs in cut.items()],
+            "mask long, masks array<long>")
+        rows = (rows.join(hot, ["mask", "key"], "left_semi").select("fp", "mask")
+                .join(F.broadcast(table), "mask").select("fp", F.explode("masks").alias("mask")))
 
 
 def _linked(rows: DataFrame, radius: int) -> DataFrame:
