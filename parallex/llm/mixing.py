@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parallex.llm.common import WORD, documents, stored, without
-from parallex.session import pin
+from parallex.session import broadcast_checked, pin
 
 MAX_REPEATS = 2.0
 BLOCK_TOKENS = 1 << 20
@@ -95,8 +95,9 @@ def draw(rows: DataFrame, max_repeats: float | None = MAX_REPEATS, target_entrop
     total = plan.agg(F.sum("tokens")).first()[0] or 0
     per_block = max(block_tokens, total // MAX_BLOCKS)
     blocks_of = plan.select("_s", F.ceil(F.col("tokens") / F.lit(per_block)).alias("_n"))
-    d = rows.join(blocks_of, "_s").select("_rid", "_s", "_t", F.expr(f"pmod(xxhash64(_rid, {seed}), _n)").alias("_b"))
-    blocks = d.groupBy("_s", "_b").agg(F.sum("_t").alias("_bt")).join(plan, "_s").select(
+    # a row per source: broadcast while that is small, else a shuffled join
+    d = rows.join(broadcast_checked(blocks_of), "_s").select("_rid", "_s", "_t", F.expr(f"pmod(xxhash64(_rid, {seed}), _n)").alias("_b"))
+    blocks = d.groupBy("_s", "_b").agg(F.sum("_t").alias("_bt")).join(broadcast_checked(plan), "_s").select(
         "*", F.explode(F.expr("sequence(0L, full)")).alias("epoch"))
     mixed = Window.partitionBy("_s", "epoch").orderBy(F.xxhash64("_s", "_b", "epoch", F.lit(seed + 1)), "_b")
     blocks = blocks.select(
