@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parallex.llm import decontaminate, line_dedup, lm_scoring, mixing, quality_rules, sharding, simhash, substring_dedup, suffix_dedup
+from parallex.llm import decontaminate, html_extract, line_dedup, lm_scoring, mixing, quality_rules, sharding, simhash, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_sharding": sharding.op3_sharding,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_mixing": mixing.op5_mixing,
+    "op6_html_extract": html_extract.op6_html_extract,
     "op7_lm_scoring": lm_scoring.op7_lm_scoring,
     "op8_suffix_array_dedup": suffix_dedup.op8_suffix_array_dedup,
     "op9_simhash": simhash.op9_simhash,
