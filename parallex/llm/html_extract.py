@@ -1,8 +1,8 @@
 """Main text of web pages by a linear-chain CRF over DOM leaf blocks.
 
 A page is the chain of its leaf blocks. Features of a block are the tags it is
-in, the words in their class, id and role, its link share, length, punctuation
-and place; neighbouring labels are tied by the chain. The model is trained on
+in, the words in their class, id and role, its link share, length and
+punctuation; neighbouring labels are tied by the chain. The model is trained on
 labelled pages (``training_pages``: layouts written out here with a label for
 every block, filled with seeded pseudo-words; their number is a parameter) and a
 page is decoded by Viterbi.
@@ -31,7 +31,7 @@ _STOPS = tuple(".!?\"'»”)…:")
 
 def features(found: list[Block]) -> list[list[str]]:
     out = []
-    for i, b in enumerate(found):
+    for b in found:
         n = b.text.count(" ") + 1
         f = ["bias", f"tag:{b.tags[-1] if b.tags else ''}",
              f"links:{0 if not b.linked else 1 if b.linked < 0.4 else 2 if b.linked < 0.8 else 3}",
@@ -39,10 +39,6 @@ def features(found: list[Block]) -> list[list[str]]:
              f"stop:{b.text.endswith(_STOPS)}"]
         if "©" in b.text:
             f.append("copyright")
-        if i == 0:
-            f.append("first")
-        if i == len(found) - 1:
-            f.append("last")
         f += [f"in:{t}" for t in set(b.tags) if t not in ("html", "body")]
         f += [f"is:{w}" for w in b.names]
         out.append(f)
