@@ -58,6 +58,13 @@ def expand_decoder_mask(dec_valid: Column) -> Column:
     )
 
 
+def decoder_mask_cells(dec_valid: Column) -> Column:
+    """Number of set cells of the decoder mask, without building it: a valid
+    position ``j`` is set in the rows ``j .. L-1``."""
+    n = F.size(dec_valid)
+    return F.aggregate(F.transform(dec_valid, lambda v, j: (v * (n - j)).cast("long")), F.lit(0).cast("long"), lambda a, x: a + x)
+
+
 def render(ids: Column, sep: str = ",") -> Column:
     """Array as text, for reports and cross-engine comparison."""
     return F.array_join(ids, sep)

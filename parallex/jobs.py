@@ -5,6 +5,7 @@ encode once, exact split, length check with quarantine, and the epoch schedule,
 all written as tables (each write also cuts the lineage for what follows).
 ``evaluate`` is the metric half of validation: CER, WER and BLEU of an
 evaluation table in one row, optionally appended to the metric log.
+``log_losses`` writes the training and validation losses that the curves read.
 """
 
 from __future__ import annotations
@@ -12,49 +13,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parallex.config import Options
-from parallex.config import SOS_ID
-from parallex.operators.decoding import Scorer, greedy_decode
-from parallex.operators.encode import decode, encode
-from parallex.operators.lengths import check_lengths, max_lengths
-from parallex.operators.metrics import bleu, with_word_edits
-from parallex.operators.vocab import vocab_stats
-from parallex.operators.sampling import epoch_schedule, sample_examples, shuffle_rank, split_exact
+from parallex.config import PAD_ID, Options
+from parallex.operators.curves import train_epoch
+from parallex.operators.decoding import Scorer, greedy_decode, source_prompts
+from parallex.operators.encode import decode, encode_sides
+from parallex.operators.examples import build_examples
+from parallex.operators.lengths import check_lengths
+from parallex.operators.metrics import bleu, char_count, char_edits, with_word_edits
+from parallex.operators.sampling import collate, epoch_schedule, first_shuffled, split_exact
 from parallex.operators.scoring import masked_ce, mean_val_loss
+from parallex.session import pin
 from parallex.sources.runlog import append_metrics, comparison_report, write_report
 from parallex.sources.vocab_store import get_or_build_vocab
 
-# The metric tags the validation step logs under.
+# The metric tags the training and validation steps log under.
 CER_TAG, WER_TAG, BLEU_TAG = "validation cer", "validation wer", "validation BLEU"
+TRAIN_LOSS_TAG, VAL_LOSS_TAG = "train loss", "validation loss"
 SIDES = {"src_ids": "src_text", "trg_ids": "trg_text"}
 
 
 def prepare(spark: SparkSession, pairs: DataFrame, out_dir: str, opts: Options = Options(),
             vocab_path: str | None = None, mode: str = "word", min_count: int = 1,
-            initial_epoch: int = 0, start_step: int = 0) -> DataFrame:
+            initial_epoch: int = 0, start_step: int = 0, shared_vocab: bool = True) -> DataFrame:
     """Prepare a corpus ``(pair_id, src_text, trg_text)`` for training.
 
-    Writes ``vocab`` (unless ``vocab_path`` already holds one), ``encoded``
-    (unpadded ids and lengths, partitioned by ``split``; examples are padded
-    on read with ``build_examples``), ``rejected`` (too long for
-    ``opts.seq_len``, with the reason) and ``schedule`` (train rows per epoch
-    with batch and global step). Returns a summary per split.
+    Writes ``vocab`` (unless ``vocab_path`` already holds one; with
+    ``shared_vocab=False`` one for each side, ``vocab_src`` and ``vocab_trg``),
+    ``encoded`` (every pair once: unpadded ids, lengths, and the ``reason`` of a
+    pair that does not fit ``opts.seq_len``, partitioned by ``status`` and
+    ``split``; examples are padded on read with ``build_examples``) and
+    ``schedule`` (train rows per epoch with batch and global step). Rows whose
+    ``pair_id`` is NULL are split and kept like any other. Returns a summary per
+    split.
     """
-    texts = pairs.select(F.col("src_text").alias("text")).unionByName(
-        pairs.select(F.col("trg_text").alias("text")))
-    vocab = get_or_build_vocab(spark, vocab_path or f"{out_dir}/vocab", texts, "text", mode, min_count)
-    stats = vocab_stats(vocab)
-    enc = encode(pairs, SIDES, vocab, mode, vocab_stats=stats)
-    split = split_exact(pairs.select("pair_id"), ["pair_id"], opts.train_fraction, opts.seed)
-    annotated = check_lengths(enc, opts.seq_len, "annotate").join(split, "pair_id", "inner")
-    kept = (annotated.where(F.col("reason").isNull())
-            .select("pair_id", "src_text", "trg_text", "src_ids", "trg_ids",
-                    F.size("src_ids").alias("n_src"), F.size("trg_ids").alias("n_trg"), "split"))
-    kept.write.mode("overwrite").partitionBy("split").parquet(f"{out_dir}/encoded")
-    (annotated.where(F.col("reason").isNotNull()).select("pair_id", "split", "reason")
-     .write.mode("overwrite").parquet(f"{out_dir}/rejected"))
-    # read back with the written schema: an empty split leaves no file to infer it from
-    encoded = spark.read.schema(kept.schema).parquet(f"{out_dir}/encoded")
+    path = vocab_path or f"{out_dir}/vocab"
+    sides = {"src": pairs.select(F.col("src_text").alias("text")), "trg": pairs.select(F.col("trg_text").alias("text"))}
+    if shared_vocab:
+        both = get_or_build_vocab(spark, path, sides["src"].unionByName(sides["trg"]), "text", mode, min_count)
+        vocabs = {"src_ids": both, "trg_ids": both}
+    else:
+        vocabs = {f"{s}_ids": get_or_build_vocab(spark, f"{path}_{s}", t, "text", mode, min_count) for s, t in sides.items()}
+    split = split_exact(pairs, ["pair_id", "src_text", "trg_text"], opts.train_fraction, opts.seed).drop("split_rank")
+    annotated = check_lengths(encode_sides(split, SIDES, vocabs, mode), opts.seq_len, "annotate")
+    (annotated.select("pair_id", "src_text", "trg_text", "src_ids", "trg_ids", F.size("src_ids").alias("n_src"),
+                      F.size("trg_ids").alias("n_trg"), "reason",
+                      F.when(F.col("reason").isNull(), "kept").otherwise("rejected").alias("status"), "split")
+     .write.mode("overwrite").partitionBy("status", "split").parquet(f"{out_dir}/encoded"))
+    encoded = read_prepared(spark, out_dir)
     train = encoded.where(F.col("split") == "train").select("pair_id")
     (epoch_schedule(train, ["pair_id"], opts.seed, opts.batch_size, initial_epoch, opts.num_epochs, start_step)
      .select("epoch", "batch_id", "global_step", "rank", "pair_id")
@@ -66,21 +71,59 @@ def prepare(spark: SparkSession, pairs: DataFrame, out_dir: str, opts: Options =
 
 
 ENCODED_SCHEMA = ("pair_id bigint, src_text string, trg_text string, src_ids array<int>, "
-                  "trg_ids array<int>, n_src int, n_trg int, split string")
+                  "trg_ids array<int>, n_src int, n_trg int, reason string, status string, split string")
 
 
-def read_prepared(spark: SparkSession, out_dir: str, split: str | None = None) -> DataFrame:
-    """Encoded pairs of one split (a partition filter) or all of them."""
-    enc = spark.read.schema(ENCODED_SCHEMA).parquet(f"{out_dir}/encoded")
+def read_prepared(spark: SparkSession, out_dir: str, split: str | None = None, status: str = "kept") -> DataFrame:
+    """Encoded pairs of one split or all of them, those that fit or (``status``
+    ``rejected``) those that do not: partition filters."""
+    enc = spark.read.schema(ENCODED_SCHEMA).parquet(f"{out_dir}/encoded").where(F.col("status") == status).drop("status")
+    enc = enc.drop("reason") if status == "kept" else enc
     return enc if split is None else enc.where(F.col("split") == split)
 
 
+BATCH_FIELDS = ("encoder_input", "decoder_input", "label", "encoder_mask", "dec_valid")
+
+
+def training_batches(encoded: DataFrame, schedule: DataFrame, seq_len: int) -> DataFrame:
+    """The batches that training reads: ``(epoch, batch_id, global_step, pair_id,
+    *BATCH_FIELDS)``, each field the stacked rows of the batch in their order.
+    Ids stay unpadded through the join; padding is the last projection before
+    the rows of a batch are stacked."""
+    rows = schedule.select("epoch", "batch_id", "global_step", "rank", "pair_id").join(
+        encoded.select("pair_id", "src_text", "trg_text", "src_ids", "trg_ids"), "pair_id")
+    by = ["epoch", "batch_id", "global_step"]
+    packed = rows.select(*by, "rank", F.struct("pair_id", "src_text", "trg_text", "src_ids", "trg_ids").alias("p"))
+    padded = build_examples(packed.select(*by, "rank", "p.*").withColumn("_k", F.struct(*by, "rank", "pair_id")),
+                            seq_len, key="_k").select("_k.*", *BATCH_FIELDS)
+    return collate(padded, ["pair_id", *BATCH_FIELDS], by)
+
+
+def log_losses(scores: DataFrame, metric_log: str, run: str, steps_per_epoch: int, pad: int = PAD_ID,
+               smoothing: float = 0.1, val_scores: DataFrame | None = None) -> None:
+    """Append what a run logs: the smoothed loss of every training batch (the
+    batch is ``example_id``, and its step) under the training tag and, at the
+    end of each epoch, the unweighted mean of the validation batches' losses
+    under the validation tag. ``val_scores`` has an ``epoch``; without it the
+    training batches of an epoch are scored."""
+    per_step = masked_ce(scores, pad, smoothing, by=["example_id"])
+    train = per_step.select(F.lit(run).alias("run"), F.lit(TRAIN_LOSS_TAG).alias("tag"),
+                            F.col("example_id").cast("long").alias("step"), F.col("loss").alias("value"))
+    if val_scores is None:
+        val_scores = scores.withColumn("epoch", train_epoch(F.col("example_id"), steps_per_epoch))
+    per_batch = masked_ce(val_scores, pad, 0.0, by=["epoch", "example_id"])
+    val = mean_val_loss(per_batch, by=["epoch"]).select(
+        F.lit(run).alias("run"), F.lit(VAL_LOSS_TAG).alias("tag"),
+        ((F.col("epoch") + 1) * steps_per_epoch).cast("long").alias("step"), F.col("mean_loss").alias("value"))
+    append_metrics(train.unionByName(val).withColumn("ts", F.current_timestamp()), metric_log)
+
+
 def evaluate(ev: DataFrame, pred: str = "predicted", exp: str = "expected", key: str = "pair_id",
              metric_log: str | None = None, step: int = 0, run: str = "default") -> DataFrame:
     """CER, WER and BLEU of an evaluation table in one row; with ``metric_log``,
     the three values are appended to it at ``step``."""
     scored = with_word_edits(ev.select(key, pred, exp), pred, exp, "_wedits", "_wlen").select(
-        "_wedits", "_wlen", F.levenshtein(pred, exp).alias("_cedits"), F.length(exp).alias("_clen"))
+        "_wedits", "_wlen", char_edits(F.col(pred), F.col(exp)).alias("_cedits"), char_count(F.col(exp)).alias("_clen"))
     rates = scored.agg(
         (F.sum("_cedits") / F.nullif(F.sum("_clen"), F.lit(0))).alias("cer"),
         (F.sum("_wedits") / F.nullif(F.sum("_wlen"), F.lit(0))).alias("wer"),
@@ -92,9 +135,10 @@ def evaluate(ev: DataFrame, pred: str = "predicted", exp: str = "expected", key:
     if metric_log:
         spark = ev.sparkSession
         vals = out.first()
+        # an empty set has no rate: its value is NULL, the entry stays
         log = spark.createDataFrame(
-            [(run, CER_TAG, step, float(vals["cer"])), (run, WER_TAG, step, float(vals["wer"])),
-             (run, BLEU_TAG, step, float(vals["bleu"]))],
+            [(run, tag, step, None if vals[c] is None else float(vals[c]))
+             for tag, c in ((CER_TAG, "cer"), (WER_TAG, "wer"), (BLEU_TAG, "bleu"))],
             "run string, tag string, step long, value double").withColumn("ts", F.current_timestamp())
         append_metrics(log, metric_log)
     return out
@@ -103,11 +147,14 @@ def evaluate(ev: DataFrame, pred: str = "predicted", exp: str = "expected", key:
 def validate(val_pairs: DataFrame, vocab: DataFrame, scorer: Scorer, opts: Options = Options(),
              num_examples: int | None = None, epoch: int = 0, scores: DataFrame | None = None,
              metric_log: str | None = None, step: int = 0, report_path: str | None = None,
-             strip_special: bool = False, mode: str = "word") -> dict[str, DataFrame]:
-    """The validation entry: greedy-decode the validation pairs from [SOS],
-    decode the ids to text, and score the predictions against the targets.
-
-    ``val_pairs`` holds ``(pair_id, src_text, trg_text, src_ids)``.
+             strip_special: bool = False, mode: str = "word", run: str = "default") -> dict[str, DataFrame]:
+    """The validation entry: greedy-decode the validation pairs from [SOS] given
+    their encoder input, decode the ids to text, and score the predictions
+    against the targets.
+
+    ``val_pairs`` holds ``(pair_id, src_text, trg_text, src_ids)``. A pair whose
+    source does not fit ``opts.seq_len`` keeps its row, without a prediction,
+    and counts as one in full error.
     ``num_examples`` keeps only the first rows of the epoch's shuffled order (the
     reference stops after 2; ``None`` keeps all). ``scores`` (per-position
     score vectors with ``example_id``, ``logits`` and ``label``) adds the mean
@@ -118,19 +165,14 @@ def validate(val_pairs: DataFrame, vocab: DataFrame, scorer: Scorer, opts: Optio
     """
     rows = val_pairs
     if num_examples is not None:
-        ranked = shuffle_rank(val_pairs.select("pair_id"), ["pair_id"], opts.seed, [epoch])
-        first = sample_examples(ranked, num_examples).select("pair_id")
+        first = first_shuffled(val_pairs.select("pair_id"), ["pair_id"], opts.seed, epoch, num_examples)
         rows = val_pairs.join(first, "pair_id", "left_semi")
-    stats = vocab_stats(vocab)
-    prompts = rows.select("pair_id", F.array(F.lit(SOS_ID)).alias("ids"), "src_ids")
-    out = greedy_decode(prompts, scorer, opts.seq_len, key="pair_id")
-    text = decode(out.select("pair_id", "ids"), {"predicted": "ids"}, vocab, mode, key="pair_id",
-                  strip_special=strip_special, vocab_stats=stats)
-    # cached: the metrics and the report both read it (MEMORY_AND_DISK, and a
-    # lost block is recomputed from the deterministic decode)
-    ev = rows.select("pair_id", F.col("src_text").alias("source"), F.col("trg_text").alias("expected")) \
-        .join(text, "pair_id", "inner").persist()
-    metrics = evaluate(ev, metric_log=metric_log, step=step)
+    out = greedy_decode(source_prompts(rows, opts.seq_len, "pair_id"), scorer, opts.seq_len, key="pair_id")
+    text = decode(out.select("pair_id", "ids"), {"predicted": "ids"}, vocab, mode, strip_special=strip_special)
+    # written once to the shared folder: the metrics and the report both read it
+    ev = pin(rows.select("pair_id", F.col("src_text").alias("source"), F.col("trg_text").alias("expected"))
+             .join(text.drop("ids"), "pair_id", "left"))
+    metrics = evaluate(ev, metric_log=metric_log, step=step, run=run)
     if scores is not None:
         per_example = masked_ce(scores, smoothing=0.0, by=["example_id"])
         loss = mean_val_loss(per_example).select("mean_loss")
@@ -142,5 +184,3 @@ def validate(val_pairs: DataFrame, vocab: DataFrame, scorer: Scorer, opts: Optio
         write_report(report, report_path)
     return {"eval": ev, "metrics": metrics, "report": report}
 
-
-__all__ = ["prepare", "read_prepared", "evaluate", "validate", "max_lengths"]

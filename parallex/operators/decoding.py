@@ -9,77 +9,134 @@ appends it, and stops a sequence on [EOS] (kept) or when it reaches
 
 Two plans:
 
-* the general loop, one frontier join per step, for any scorer (a neural
-  scorer is a user ``mapInPandas``); lineage is cut with ``checkpoint`` into
-  the shared folder every few steps;
-* for a first-order (bigram) scorer the next token depends only on the last
-  one, so every continuation is a path in a best-next function over the
-  vocabulary. Paths of length 1, 2, 4, ... are built by joining the path table
-  with itself (pointer doubling): ``log2(max_len)`` joins over a table the size
-  of the vocabulary replace ``max_len`` frontier steps over all sequences.
+* a *row-local* scorer (``row_local``: a step function of one sequence, with a
+  model small enough to broadcast) decodes every sequence to its end inside its
+  Arrow batch: one pass over the prompts, no shuffle;
+* the general loop, a frontier join per step, for any other scorer. Several
+  steps are chained into one job; lineage is cut and finished rows are set aside
+  at a checkpoint in the shared folder every few steps.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parallex.config import EOS_ID, SOS_ID
+from parallex.functions import arrays as A
 from parallex.operators.lookup import lookup_join
-from parallex.session import pin, work_partitions
+from parallex.session import is_broadcastable, pin, work_partitions
 
 Scorer = Callable[[DataFrame], DataFrame]
+SOURCE_CLASSES = 32
+BACK_OFF = -1  # the class of the rows that hold for every source
+
+
+def source_class(encoder_input: Column, mask: Column, classes: int = SOURCE_CLASSES) -> Column:
+    """What the stand-in model knows of a source: a class made of the unmasked
+    ids of its encoder input."""
+    ids = F.zip_with(encoder_input, mask, lambda x, m: (x * m).cast("long"))
+    return F.pmod(F.aggregate(ids, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(classes)).cast("int")
 
 
 def bigram_scores(encoded: DataFrame, ids: str = "trg_ids", sos: int = SOS_ID,
-                  eos: int = EOS_ID) -> DataFrame:
-    """``(prev_id, next_id, score)``: counts of consecutive ids in
+                  eos: int = EOS_ID, by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, prev_id, next_id, score)``: counts of consecutive ids in
     ``[SOS] + ids + [EOS]`` (partial + final aggregate)."""
-    seqs = encoded.select(F.concat(F.array(F.lit(sos)), F.col(ids), F.array(F.lit(eos))).alias("_seq"))
+    seqs = encoded.select(*by, F.concat(F.array(F.lit(sos)), F.col(ids), F.array(F.lit(eos))).alias("_seq"))
     seq = F.col("_seq")  # a column reference: the lambda below captures it
     steps = F.transform(F.sequence(F.lit(1), F.size(seq) - 1),
                         lambda i: F.struct(F.element_at(seq, i).alias("prev_id"),
                                            F.element_at(seq, i + 1).alias("next_id")))
-    return (seqs.select(F.inline(steps)).groupBy("prev_id", "next_id")
+    return (seqs.select(*by, F.inline(steps)).groupBy(*by, "prev_id", "next_id")
             .agg(F.count(F.lit(1)).cast("double").alias("score")))
 
 
-def best_next(next_scores: DataFrame) -> DataFrame:
+def best_next(next_scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Best next id per previous id (highest score, then lowest id)."""
-    return next_scores.groupBy("prev_id").agg(
+    return next_scores.groupBy(*by, "prev_id").agg(
         F.max_by("next_id", F.struct("score", -F.col("next_id"))).alias("next_id"))
 
 
-class BigramScorer:
-    """First-order scorer over a ``(prev_id, next_id, score)`` table. Returns
-    only the arg-max candidate per sequence (exact for greedy decoding)."""
+class BigramStep:
+    """The next id of one sequence: the best after its last id for its source
+    class, else for any source."""
+
+    columns = ("src_class",)
 
-    markov = True
+    def __init__(self, table: dict[tuple[int, int], int]):
+        self.table = table
+
+    def __call__(self, ids: list[int], src_class: int | None) -> int | None:
+        if not ids:
+            return None
+        found = self.table.get((src_class, ids[-1]))
+        return self.table.get((BACK_OFF, ids[-1])) if found is None else found
+
+
+class BigramScorer:
+    """Scorer over a ``([src_class,] prev_id, next_id, score)`` table: the state is
+    the source class and the last id, with back-off to the last id alone.
+    Returns only the arg-max candidate per sequence (exact for greedy decoding)."""
 
     def __init__(self, next_scores: DataFrame):
+        self.classed = "src_class" in next_scores.columns
         self.next_scores = next_scores
-        self._best = None
-        self._rows = None
+        self._best: DataFrame | None = None
 
     def best(self) -> DataFrame:
-        """The best-next table, cached (it is small: one row per previous id) and
-        counted once for the broadcast decision. It is deterministic, so a lost
-        cached block is simply recomputed."""
+        """``(src_class, prev_id, next_id)``, written once; class ``BACK_OFF`` holds
+        for every source."""
         if self._best is None:
-            self._best = best_next(self.next_scores).persist()
-            self._rows = self._best.count()
+            every = best_next(self.next_scores.groupBy("prev_id", "next_id").agg(F.sum("score").alias("score")))
+            best = every.select(F.lit(BACK_OFF).alias("src_class"), "prev_id", "next_id")
+            if self.classed:
+                best = best.unionByName(best_next(self.next_scores, ["src_class"]))
+            self._best = pin(best)
         return self._best
 
+    def prepare(self, prompts: DataFrame) -> DataFrame:
+        """Reduce the encoder input and mask of a prompt to the state they give."""
+        arrays = ("encoder_input", "encoder_mask")
+        if all(c in prompts.columns for c in arrays):
+            cls = source_class(F.col("encoder_input"), F.col("encoder_mask"))
+            return prompts.withColumn("src_class", cls).drop(*arrays)
+        return prompts if "src_class" in prompts.columns else prompts.withColumn("src_class", F.lit(BACK_OFF))
+
+    def row_local(self) -> BigramStep | None:
+        """The table as a broadcastable step function, if its measured size allows."""
+        best = self.best()
+        if not is_broadcastable(best.count(), row_bytes=200):  # as Python objects
+            return None
+        return BigramStep({(r[0], r[1]): r[2] for r in best.collect()})
+
     def __call__(self, frontier: DataFrame) -> DataFrame:
-        b = self.best()
+        best = self.best()
+        n = best.count()
         key, ids = frontier.columns[0], frontier.columns[1]
-        last = frontier.select(key, F.element_at(ids, -1).alias("_last"))
-        out = lookup_join(last, F.col("_last"), b, "prev_id", "inner", small_rows=self._rows,
-                          salt_source=F.col(key))
-        return out.select(key, "next_id", F.lit(0.0).alias("score"))
+        last = frontier.select(key, "src_class", F.try_element_at(ids, F.lit(-1)).alias("_last"))
+        own = best.where(F.col("src_class") != BACK_OFF).select(
+            F.struct("src_class", "prev_id").alias("_state"), F.col("next_id").alias("_own"))
+        every = best.where(F.col("src_class") == BACK_OFF).select("prev_id", F.col("next_id").alias("_every"))
+        out = lookup_join(last, F.struct("src_class", F.col("_last").alias("prev_id")), own, "_state", "left",
+                          small_rows=n, salt_source=F.col(key))
+        out = lookup_join(out, F.col("_last"), every, "prev_id", "left", small_rows=n, salt_source=F.col(key))
+        return out.select(key, F.coalesce("_own", "_every").alias("next_id"), F.lit(0.0).alias("score")).where("next_id is not null")
+
+
+def row_local(step: Callable, columns: Sequence[str] = ()) -> Scorer:
+    """Declare ``step(ids, *values of columns) -> next id or None`` a row-local
+    scorer. The function, with whatever model it holds, is broadcast."""
+    class Local:
+        def row_local(self):
+            step.columns = tuple(columns)
+            return step
+    return Local()
 
 
 def pandas_scorer(fn, schema: str | None = None):
@@ -98,118 +155,108 @@ def pandas_scorer(fn, schema: str | None = None):
 
 
 def _finish_flags(ids, max_len: int, eos: int):
-    return (F.element_at(ids, -1) == F.lit(eos)) | (F.size(ids) >= max_len)
+    return F.coalesce(F.try_element_at(ids, F.lit(-1)) == F.lit(eos), F.lit(False)) | (F.size(ids) >= max_len)
 
 
 def greedy_decode(prompts: DataFrame, scorer: Scorer, max_len: int, eos: int = EOS_ID,
                   key: str = "seq_id", ids: str = "ids", checkpoint_every: int = 4) -> DataFrame:
-    """Decode every prompt; returns ``(key, ids, steps)`` (``steps`` = tokens added).
-
-    Step loop: only unfinished sequences are scored. Rows that finish are set
-    aside and written to the checkpoint folder once per ``checkpoint_every``
-    steps; the active rows are checkpointed at the same time. No union grows
-    across steps, so partition counts and plans stay bounded.
-    """
-    if getattr(scorer, "markov", False):
-        return markov_decode(prompts, scorer, max_len, eos, key, ids)
+    """Decode every prompt; returns ``(key, ids, ..., steps)`` (``steps`` = tokens
+    added; other prompt columns are kept). An empty prompt gets no token."""
+    if hasattr(scorer, "prepare"):
+        prompts = scorer.prepare(prompts)
+    step = scorer.row_local() if hasattr(scorer, "row_local") else None
+    if step is not None:
+        return decode_rows(prompts, step, max_len, eos, key, ids)
+    return decode_loop(prompts, scorer, max_len, eos, key, ids, checkpoint_every)
+
+
+def decode_rows(prompts: DataFrame, step: Callable, max_len: int, eos: int = EOS_ID,
+                key: str = "seq_id", ids: str = "ids") -> DataFrame:
+    """Decode each sequence to its end where it is, with a broadcast step function."""
+    extra = [c for c in prompts.columns if c not in (key, ids)]
+    rows = prompts.select(key, F.col(ids).cast("array<int>").alias(ids), *extra)
+    schema = T.StructType([*rows.schema, T.StructField("steps", T.IntegerType())])
+    reads = [rows.columns.index(c) for c in getattr(step, "columns", ())]
+    sent = prompts.sparkSession.sparkContext.broadcast(step)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nxt = sent.value
+        for batch in batches:
+            done, added = [], []
+            for start, *state in zip(batch.column(1).to_pylist(), *[batch.column(i).to_pylist() for i in reads], strict=True):
+                got = list(start or ())
+                while got and got[-1] != eos and len(got) < max_len:
+                    follow = nxt(got, *state)
+                    if follow is None:
+                        break
+                    got.append(follow)
+                done.append(None if start is None else got)
+                added.append(len(got) - len(start or ()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(done, pa.list_(pa.int32())), *batch.columns[2:], pa.array(added, pa.int32())],
+                names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def decode_loop(prompts: DataFrame, scorer: Scorer, max_len: int, eos: int = EOS_ID,
+                key: str = "seq_id", ids: str = "ids", checkpoint_every: int = 4) -> DataFrame:
+    """The step loop: only unfinished sequences are scored. ``checkpoint_every``
+    steps make one job; at its end the active rows and those that finished are
+    written to the checkpoint folder, and only there is the end tested. No
+    union grows across steps, so partition counts and plans stay bounded."""
     spark = prompts.sparkSession
     n_parts = work_partitions(spark)
     extra = [c for c in prompts.columns if c not in (key, ids)]
     state = pin(prompts.select(key, F.col(ids).alias("ids"), *extra, F.lit(0).alias("steps"),
-                               _finish_flags(F.col(ids), max_len, eos).alias("done"))
+                               (_finish_flags(F.col(ids), max_len, eos) | (F.size(ids) < 1)).alias("done"))
                 .repartition(n_parts, key))
-    pieces = []                             # finished rows, each piece written once
-    pending = [state.where(F.col("done"))]  # finished since the last checkpoint
+    pieces = [state.where(F.col("done"))]
     active = state.where(~F.col("done"))
-    cached = []
-    step = 0
     while not active.isEmpty():
-        frontier = active.select(key, F.col("ids").alias(ids) if ids != "ids" else F.col("ids"), *extra)
-        best = scorer(frontier).groupBy(key).agg(
-            F.max_by("next_id", F.struct("score", -F.col("next_id"))).alias("_next"))
-        moved = active.join(best, key, "left")
-        new_ids = F.when(F.col("_next").isNull(), F.col("ids")).otherwise(
-            F.concat(F.col("ids"), F.array(F.col("_next").cast("int"))))
-        moved = moved.select(
-            key, new_ids.alias("ids"), *extra,
-            (F.col("steps") + F.col("_next").isNotNull().cast("int")).alias("steps"),
-            (F.col("_next").isNull() | _finish_flags(new_ids, max_len, eos)).alias("done"))
-        step += 1
-        if step % checkpoint_every == 0:
-            moved = pin(moved.repartition(n_parts, key))
-            pending.append(moved.where(F.col("done")))
-            pieces.append(pin(reduce(DataFrame.unionByName, pending).coalesce(n_parts)))
-            pending = []
-            for c in cached:
-                c.unpersist()
-            cached = []
-        else:
-            moved = moved.persist()
+        cached, finished = [], []
+        for _ in range(checkpoint_every):
+            frontier = active.select(key, F.col("ids").alias(ids) if ids != "ids" else F.col("ids"), *extra)
+            best = scorer(frontier).groupBy(key).agg(
+                F.max_by("next_id", F.struct("score", -F.col("next_id"))).alias("_next"))
+            moved = active.join(best, key, "left")
+            new_ids = F.when(F.col("_next").isNull(), F.col("ids")).otherwise(
+                F.concat(F.col("ids"), F.array(F.col("_next").cast("int"))))
+            moved = moved.select(
+                key, new_ids.alias("ids"), *extra,
+                (F.col("steps") + F.col("_next").isNotNull().cast("int")).alias("steps"),
+                (F.col("_next").isNull() | _finish_flags(new_ids, max_len, eos)).alias("done")).persist()
             cached.append(moved)
-            pending.append(moved.where(F.col("done")))
-        active = moved.where(~F.col("done"))
-    if pending:
-        pieces.append(pin(reduce(DataFrame.unionByName, pending).coalesce(n_parts)))
-    for c in cached:
-        c.unpersist()
-    out = reduce(DataFrame.unionByName, pieces).coalesce(n_parts)
+            finished.append(moved.where(F.col("done")))
+            active = moved.where(~F.col("done"))
+        both = pin(reduce(DataFrame.unionByName, [active, *finished]).coalesce(n_parts))
+        for c in cached:
+            c.unpersist()
+        pieces.append(both.where(F.col("done")))
+        active = both.where(~F.col("done"))
+    out = reduce(DataFrame.unionByName, pieces)
     return out.select(key, F.col("ids").alias(ids), *extra, "steps")
 
 
-def markov_decode(prompts: DataFrame, scorer: BigramScorer, max_len: int, eos: int = EOS_ID,
-                  key: str = "seq_id", ids: str = "ids", checkpoint_every: int = 3) -> DataFrame:
-    """Greedy decoding for a first-order scorer by pointer doubling.
-
-    Each level joins the path table with itself, so its plan doubles; a
-    checkpoint every ``checkpoint_every`` levels keeps it at most
-    ``2 ** checkpoint_every`` scans of the last checkpoint.
-    """
-    need = max_len - 1
-    best = scorer.best()
-    n_tok = scorer._rows
-    # path(t): the ids greedy decoding appends after token t, stopping after
-    # [EOS] (kept), at a token with no successor, or at ``need`` ids.
-    # ``open`` = the path may still grow.
-    paths = best.select(F.col("prev_id").alias("tok"), F.array(F.col("next_id")).alias("path"),
-                        (F.col("next_id") != F.lit(eos)).alias("open"))
-    length, level = 1, 0
-    while length < need and need > 0:
-        if level and level % checkpoint_every == 0:
-            paths = pin(paths)
-        level += 1
-        ext = paths.select(F.col("tok").alias("_tok"), F.col("path").alias("_path"),
-                           F.col("open").alias("_open"))
-        grown = lookup_join(paths, F.element_at("path", -1), ext, "_tok", "left",
-                            small_rows=n_tok, row_bytes=16 + 4 * length, salt_source=F.col("tok"))
-        can = F.col("open") & F.col("_tok").isNotNull()
-        paths = grown.select(
-            "tok",
-            F.when(can, F.slice(F.concat("path", "_path"), 1, need)).otherwise(F.col("path")).alias("path"),
-            F.when(can, F.col("_open")).otherwise(F.lit(False)).alias("open"))
-        length *= 2
-    paths = paths.select("tok", "path")
-    extra = [c for c in prompts.columns if c not in (key, ids)]
-    base = prompts.select(key, F.col(ids).alias("_ids"), *extra)
-    joined = lookup_join(base, F.element_at("_ids", -1), paths, "tok", "left",
-                         small_rows=n_tok, row_bytes=16 + 4 * max(need, 1), salt_source=F.col(key))
-    room = F.greatest(F.lit(max_len) - F.size("_ids"), F.lit(0))
-    stopped = _finish_flags(F.col("_ids"), max_len, eos)
-    add = F.when(stopped | F.col("path").isNull(), F.array().cast("array<int>")).otherwise(
-        F.slice(F.col("path"), 1, room).cast("array<int>"))
-    return joined.select(key, F.concat("_ids", add).alias(ids), *extra,
-                         F.size(add).alias("steps"))
+def source_prompts(encoded: DataFrame, seq_len: int, key: str, sos: int = SOS_ID) -> DataFrame:
+    """``([SOS], encoder input, encoder mask)`` of every source that fits."""
+    enc = A.encoder_input(F.col("src_ids"), seq_len)
+    return encoded.where(F.size("src_ids") <= seq_len - 2).select(
+        key, F.array(F.lit(sos)).alias("ids"), enc.alias("encoder_input"), A.encoder_mask(enc).alias("encoder_mask"))
 
 
 def translate_batch(routed: DataFrame, vocab: DataFrame, scorer: Scorer, seq_len: int,
                     mode: str = "word", key: str = "input_id", sos: int = SOS_ID,
-                    eos: int = EOS_ID, vocab_stats: tuple[int, int] | None = None) -> DataFrame:
+                    eos: int = EOS_ID, vocab_stats: tuple[int, int] | None = None,
+                    trg_vocab: DataFrame | None = None) -> DataFrame:
     """Translate routed inputs ``(key, source, expected, found, ...)``.
 
     Encode the source, apply the length check (too-long or unknown inputs get
-    NULL ``predicted`` and a ``reason``), decode greedily from [SOS] up to
-    ``seq_len`` tokens, and turn ids back into text: ``predicted`` is the whole
-    sequence (special tokens kept, as the reference returns it), ``generated``
-    the tokens after the prompt (what the reference prints).
+    NULL ``predicted`` and a ``reason``), decode greedily from [SOS] given the
+    padded encoder input and its mask, up to ``seq_len`` tokens, and turn ids
+    back into text with ``trg_vocab`` (``vocab`` if not given): ``predicted`` is
+    the whole sequence (special tokens kept, as the reference returns it),
+    ``generated`` the tokens after the prompt (what the reference prints).
     """
     from parallex.operators.encode import decode, encode
     from parallex.operators.vocab import vocab_stats as measure
@@ -217,15 +264,13 @@ def translate_batch(routed: DataFrame, vocab: DataFrame, scorer: Scorer, seq_len
     if vocab_stats is None:
         vocab_stats = measure(vocab)
     ok = routed.where(F.col("found"))
-    enc = encode(ok.select(key, "source"), {"src_ids": "source"}, vocab, mode, key=key,
-                 vocab_stats=vocab_stats)
+    # written once: the prompts and the reasons both read it
+    enc = pin(encode(ok.select(key, "source"), {"src_ids": "source"}, vocab, mode, vocab_stats=vocab_stats).drop("source"))
     enc = enc.withColumn("reason", F.when(F.size("src_ids") > seq_len - 2, F.lit("src_too_long")))
-    prompts = enc.where(F.col("reason").isNull()).select(
-        key, F.array(F.lit(sos)).alias("ids"), "src_ids")
-    out = greedy_decode(prompts, scorer, seq_len, eos, key=key)
+    out = greedy_decode(source_prompts(enc, seq_len, key, sos), scorer, seq_len, eos, key=key)
     out = out.select(key, "ids", F.slice("ids", 2, F.greatest(F.size("ids") - 1, F.lit(0))).alias("gen_ids"))
-    text = decode(out, {"predicted": "ids", "generated": "gen_ids"}, vocab, mode, key=key,
-                  vocab_stats=vocab_stats)
+    text = decode(out, {"predicted": "ids", "generated": "gen_ids"}, trg_vocab if trg_vocab is not None else vocab, mode,
+                  vocab_stats=None if trg_vocab is not None else vocab_stats)
     # every decoded row has an encoded row: attach the texts to the reasons,
     # then join the inputs once
     results = enc.select(key, "reason").join(text, key, "left")

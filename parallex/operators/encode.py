@@ -1,17 +1,18 @@
 """Encode text to ids (C1) and decode ids to text (C3) with a vocabulary table.
 
-Plan: the input is hash-partitioned by its key once; tokens are exploded, looked
-up with a broadcast join (vocabulary size checked first) and regrouped per key.
-Because explode and the broadcast join keep the key partitioning, the regroup
-and the join back to the input need no further shuffle: one exchange in total,
-on the input rows. A vocabulary above the broadcast bound falls back to a
-shuffle join in which each hot token is split over several salts (see
-``operators.lookup``), so a very frequent token is spread over many tasks.
+Plan: every row gets a generated row id and the input is hash-partitioned by it
+once. Its tokens and, once, the row itself are then laid out as one stream, the
+tokens are looked up with a broadcast join (vocabulary size measured first) and
+everything is regrouped per row id. Explode and broadcast join keep the
+partitioning, so the input is evaluated once and shuffled once, rows need no key
+of their own (a NULL or repeated one is fine), and nothing is joined back. A
+vocabulary above the broadcast bound falls back to a shuffle join in which each
+hot token is split over several salts (see ``operators.lookup``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,91 +20,113 @@ from pyspark.sql import functions as F
 from parallex.config import UNK_ID
 from parallex.functions.text import joiner, tokenize
 from parallex.operators.lookup import lookup_join
+from parallex.operators.vocab import VOCAB_SCHEMA
 from parallex.operators.vocab import vocab_stats as measure
-from parallex.session import by_key
-
-
-def _keyed(df: DataFrame, key: str) -> DataFrame:
-    """Rows with a key. The join back would infer this filter for the token side
-    only; stating it for both sides keeps the two reads of the partitioned input
-    identical, so Spark shuffles the texts once and reuses the exchange."""
-    return df.where(F.col(key).isNotNull())
-
-
-def _unkeyed(df: DataFrame, key: str, cols: list[str], outs: list[str], kind: str) -> DataFrame:
-    """Rows without a key cannot be regrouped; they are kept, with empty output
-    (a filter on the key, which Parquet answers from column statistics). The
-    empty values are built from a column, not written as literals, so a later
-    expression such as ``ids[0]`` is not constant-folded on this branch (which
-    would raise at planning time under ANSI even with no rows)."""
-    k = F.col(key)
-    if kind == "array<int>":
-        empty = F.slice(F.array(k.cast("int")), 1, 0)
+from parallex.session import by_key, is_broadcastable
+
+_ROW = -1  # the side of a stream row that carries its input row
+
+
+def _stream(df: DataFrame, arrays: list[Column], by: Sequence[str]) -> DataFrame:
+    """``(_rid, side, pos, item, _row, *by)``: one row per token of each side, and
+    one with the input row itself."""
+    parted = by_key(df.withColumn("_rid", F.monotonically_increasing_id()), "_rid")
+    kind = arrays and df.select(arrays[0].alias("a")).schema["a"].dataType
+    none = F.array(F.lit(None)).cast(kind)
+    sides = [F.struct(F.lit(_ROW).alias("side"), none.alias("items"))]
+    sides += [F.struct(F.lit(i).alias("side"), a.alias("items")) for i, a in enumerate(arrays)]
+    row = F.struct(*df.columns)
+    return (parted.select("_rid", *[F.col(b).alias(f"_by_{b}") for b in by], row.alias("_in"), F.inline(F.array(*sides)))
+            .select("_rid", *[f"_by_{b}" for b in by], "side", F.when(F.col("side") == _ROW, F.col("_in")).alias("_row"),
+                    F.posexplode("items").alias("pos", "item")))
+
+
+def _looked_up(stream: DataFrame, small: DataFrame, small_key: str, by: Sequence[str],
+               stats: tuple[int, int]) -> DataFrame:
+    """The stream with the columns of ``small``; a hot item's rows differ in their
+    row id and place, which spreads them over its salts."""
+    rows, row_bytes = stats
+    if by:
+        pair = F.struct(*[F.col(f"_by_{b}") for b in by], F.col("item").alias(small_key))
+        small = small.select(F.struct(*by, small_key).alias("_pair"), *[c for c in small.columns if c not in by])
+        key, small_key = pair, "_pair"
     else:
-        empty = F.substring(F.coalesce(k.cast("string"), F.lit("")), 1, 0)
-    return df.where(k.isNull()).select(*cols, *[empty.alias(o) for o in outs])
+        key = F.col("item")
+    salt = F.xxhash64("_rid", "side", "pos")
+    if is_broadcastable(rows, row_bytes):
+        return lookup_join(stream, key, small, small_key, "left", small_rows=rows, row_bytes=row_bytes)
+    # the carried rows have no item: keep them out of the shuffle join
+    looked = lookup_join(stream.where(F.col("side") != _ROW), key, small, small_key, "left",
+                         small_rows=rows, row_bytes=row_bytes, salt_source=salt)
+    return looked.unionByName(stream.where(F.col("side") == _ROW), allowMissingColumns=True)
 
 
-def _exploded(df: DataFrame, key: str, arrays: list[Column]) -> DataFrame:
-    sides = F.array(*[F.struct(F.lit(i).alias("side"), a.alias("items")) for i, a in enumerate(arrays)])
-    return (df.select(key, F.inline(sides))
-            .select(key, "side", F.posexplode("items").alias("pos", "item")))
+def _regroup(looked: DataFrame, value: Column, columns: list[str], outs: list[str]) -> DataFrame:
+    """Input columns (without ``outs``) and one array per side, in token order."""
+    aggs = [F.array_sort(F.collect_list(F.when(F.col("side") == i, F.struct("pos", value.alias("v"))))).alias(f"_o{i}")
+            for i in range(len(outs))]
+    grouped = looked.groupBy("_rid").agg(F.first("_row", ignorenulls=True).alias("_row"), *aggs)
+    return grouped.select(*[F.col("_row")[c].alias(c) for c in columns if c not in outs],
+                          *[F.transform(f"_o{i}", lambda s: s["v"]).alias(o) for i, o in enumerate(outs)])
 
 
-def _regroup(exploded: DataFrame, key: str, value: str, outs: list[str]) -> DataFrame:
-    aggs = [
-        F.array_sort(F.collect_list(F.when(F.col("side") == i, F.struct("pos", value)))).alias(o)
-        for i, o in enumerate(outs)
-    ]
-    grouped = exploded.groupBy(key).agg(*aggs)
-    return grouped.select(key, *[F.transform(o, lambda s: s[value]).alias(o) for o in outs])
+def _check_groups(vocab: DataFrame, by: Sequence[str]) -> None:
+    extra = [c for c in vocab.columns if c not in VOCAB_SCHEMA.names and c not in by]
+    if extra:
+        raise ValueError(f"the vocabulary is grouped by {extra}; name these columns in `by`")
 
 
 def encode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: str = "word",
-           key: str = "pair_id", unk: int = UNK_ID,
+           unk: int = UNK_ID, by: Sequence[str] = (),
            vocab_stats: tuple[int, int] | None = None) -> DataFrame:
     """Add one ``array<int>`` column per ``{out_col: text_col}``; unknown tokens map
-    to ``unk``; an empty text gives ``[]``. ``key`` must be unique. Only real
-    tokens are looked up, so a literal "[PAD]" in a text is unknown, and the
-    ids never contain PAD, SOS or EOS (masks compare ids with PAD)."""
-    outs = list(columns)
-    parted = by_key(_keyed(df, key), key)
-    exploded = _exploded(parted, key, [tokenize(F.col(t), mode) for t in columns.values()])
-    # many-to-one lookup: broadcast when the vocabulary is small enough, else a
-    # shuffle join with hot tokens split over salts picked by position
-    lookup = vocab.where(~F.col("is_special")).select(F.col("token").alias("_tok"), "id")
-    rows, row_bytes = vocab_stats or measure(vocab)
-    looked = lookup_join(exploded, F.col("item"), lookup, "_tok", "left", small_rows=rows,
-                         row_bytes=row_bytes, salt_source=F.col("pos")).select(
-        key, "side", "pos", F.coalesce(F.col("id"), F.lit(unk)).cast("int").alias("id"))
-    ids = _regroup(looked, key, "id", outs)
-    out = parted.join(ids, key, "left")
-    cols = [c for c in df.columns if c not in outs]
-    out = out.select(*cols, *[F.coalesce(F.col(o), F.array().cast("array<int>")).alias(o) for o in outs])
-    return out.unionByName(_unkeyed(df, key, cols, outs, "array<int>"))
+    to ``unk``; an empty or NULL text gives ``[]``. Only real tokens are looked
+    up, so a literal "[PAD]" in a text is unknown, and the ids never contain
+    PAD, SOS or EOS (masks compare ids with PAD). ``by`` names the group columns
+    of a vocabulary built with ``by``; ``df`` has them too."""
+    _check_groups(vocab, by)
+    stats = vocab_stats or measure(vocab, by)
+    stream = _stream(df, [tokenize(F.col(t), mode) for t in columns.values()], by)
+    small = vocab.where(~F.col("is_special")).select(*by, F.col("token").alias("_tok"), F.col("id").alias("_id"))
+    looked = _looked_up(stream, small, "_tok", by, stats)
+    return _regroup(looked, F.coalesce("_id", F.lit(unk)).cast("int"), df.columns, list(columns))
+
+
+def encode_sides(df: DataFrame, columns: Mapping[str, str], vocabs: Mapping[str, DataFrame], mode: str = "word",
+                 unk: int = UNK_ID) -> DataFrame:
+    """``encode`` with a vocabulary of its own for each output column. The
+    vocabularies are stacked with their column's name, so the rows still take
+    one exchange."""
+    stacked, rows, size = None, 0, 0
+    for i, out in enumerate(columns):
+        _check_groups(vocabs[out], ())
+        n, row_bytes = measure(vocabs[out])
+        rows, size = rows + n, max(size, row_bytes)
+        part = vocabs[out].where(~F.col("is_special")).select(
+            F.lit(i).alias("_side"), F.col("token").alias("_tok"), F.col("id").alias("_id"))
+        stacked = part if stacked is None else stacked.unionByName(part)
+    stream = _stream(df, [tokenize(F.col(t), mode) for t in columns.values()], ()).withColumn("_by__side", F.col("side"))
+    looked = _looked_up(stream, stacked, "_tok", ["_side"], (rows, size + 4))
+    return _regroup(looked, F.coalesce("_id", F.lit(unk)).cast("int"), df.columns, list(columns))
 
 
 def decode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: str = "word",
-           key: str = "pair_id", strip_special: bool = False,
+           strip_special: bool = False, by: Sequence[str] = (),
            vocab_stats: tuple[int, int] | None = None) -> DataFrame:
     """Add one text column per ``{out_col: ids_col}``. Special tokens are kept
-    unless ``strip_special``; an id missing from the vocabulary decodes to [UNK]."""
+    unless ``strip_special``; an id missing from the vocabulary decodes to [UNK];
+    a NULL array decodes to an empty text."""
+    _check_groups(vocab, by)
     outs = list(columns)
-    parted = by_key(_keyed(df, key), key)
-    exploded = _exploded(parted, key, [F.col(c) for c in columns.values()])
-    lookup = vocab.select(F.col("id").alias("_id"), "token", "is_special")
-    rows, row_bytes = vocab_stats or measure(vocab)
-    looked = lookup_join(exploded, F.col("item"), lookup, "_id", "left", small_rows=rows,
-                         row_bytes=row_bytes, salt_source=F.col("pos"))
+    stats = vocab_stats or measure(vocab, by)
+    stream = _stream(df, [F.coalesce(F.col(c), F.array().cast("array<int>")) for c in columns.values()], by)
+    small = vocab.select(*by, F.col("id").alias("_id"), F.col("token").alias("_tok"), F.col("is_special").alias("_special"))
+    looked = _looked_up(stream, small, "_id", by, stats)
     if strip_special:
-        looked = looked.where(~F.coalesce(F.col("is_special"), F.lit(False)))
-    looked = looked.select(key, "side", "pos", F.coalesce(F.col("token"), F.lit("[UNK]")).alias("token"))
-    toks = _regroup(looked, key, "token", outs)
-    out = parted.join(toks, key, "left")
-    sep = joiner(mode)
-    cols = [c for c in df.columns if c not in outs]
-    out = out.select(*cols, *[F.coalesce(F.array_join(F.col(o), sep), F.lit("")).alias(o) for o in outs])
-    return out.unionByName(_unkeyed(df, key, cols, outs, "string"))
+        looked = looked.where((F.col("side") == _ROW) | ~F.coalesce(F.col("_special"), F.lit(False)))
+    toks = _regroup(looked, F.coalesce("_tok", F.lit("[UNK]")), df.columns, outs)
+    return toks.select(*[c for c in toks.columns if c not in outs],
+                       *[F.array_join(o, joiner(mode)).alias(o) for o in outs])
 
 
 def encode_with(df: DataFrame, columns: Mapping[str, str], tokenizer) -> DataFrame:

@@ -18,23 +18,21 @@ def build_examples(encoded: DataFrame, seq_len: int, on_error: str = "fail",
     Columns: ``encoder_input``, ``decoder_input``, ``label`` (``array<int>`` of
     length ``seq_len``), ``encoder_mask`` (0/1 per position), ``dec_valid``
     (non-PAD vector of the decoder input, the compact form of the decoder
-    mask; see ``decoder_mask``), and both texts. ``on_error="quarantine"``
-    drops too-long pairs instead of failing.
+    mask; see ``decoder_mask``), and both texts. ``on_error="annotate"`` keeps
+    a pair that does not fit: its arrays are NULL and ``reason`` says why.
+    ``"quarantine"`` drops such pairs, ``"fail"`` (as the reference) raises.
     """
     checked = check_lengths(encoded, seq_len, on_error)
     if on_error == "quarantine":
         checked = checked[0]
     enc = A.encoder_input(F.col("src_ids"), seq_len, sos, eos, pad)
     dec = A.decoder_input(F.col("trg_ids"), seq_len, sos, pad)
-    return checked.select(
-        key,
-        enc.alias("encoder_input"),
-        dec.alias("decoder_input"),
-        A.label(F.col("trg_ids"), seq_len, eos, pad).alias("label"),
-        A.non_pad(enc, pad).alias("encoder_mask"),
-        A.non_pad(dec, pad).alias("dec_valid"),
-        "src_text", "trg_text",
-    )
+    arrays = {"encoder_input": enc, "decoder_input": dec, "label": A.label(F.col("trg_ids"), seq_len, eos, pad),
+              "encoder_mask": A.non_pad(enc, pad), "dec_valid": A.non_pad(dec, pad)}
+    if on_error == "annotate":
+        arrays = {n: F.when(F.col("reason").isNull(), a) for n, a in arrays.items()}
+    keep = [c for c in ("split", "reason") if c in checked.columns]
+    return checked.select(key, *[a.alias(n) for n, a in arrays.items()], "src_text", "trg_text", *keep)
 
 
 def decoder_mask(examples: DataFrame, key: str = "pair_id") -> DataFrame:
@@ -54,8 +52,9 @@ def causal_mask(spark: SparkSession, size: int) -> DataFrame:
 
 
 def assert_example_sizes(examples: DataFrame, seq_len: int) -> DataFrame:
-    """One row: are all three id arrays exactly ``seq_len`` long, and how many rows."""
+    """One row: are all three id arrays exactly ``seq_len`` long, and how many rows
+    (rows without arrays, see ``reason``, have no size to check)."""
     ok = ((F.size("encoder_input") == seq_len) & (F.size("decoder_input") == seq_len)
           & (F.size("label") == seq_len))
     return examples.agg(F.coalesce(F.bool_and(ok), F.lit(True)).alias("all_sized"),
-                        F.count(F.lit(1)).cast("long").alias("n_examples"))
+                        F.count("encoder_input").cast("long").alias("n_examples"))

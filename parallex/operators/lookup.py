@@ -37,8 +37,9 @@ def lookup_join(big: DataFrame, big_key: Column, small: DataFrame, small_key: st
                 partitions: int | None = None) -> DataFrame:
     """Join ``big`` to ``small`` (unique ``small_key``) on ``big_key == small_key``.
 
-    ``salt_source`` is any big-side column that varies among rows sharing a key
-    (a position or a row id); it spreads a hot key's rows over its salts.
+    ``salt_source`` is a big-side expression that differs among the rows sharing
+    a key (a row id, with the position if a row has several); it spreads a hot
+    key's rows over its salts.
     """
     n = small_rows if small_rows is not None else small.count()
     if is_broadcastable(n, row_bytes):

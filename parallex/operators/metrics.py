@@ -18,13 +18,20 @@ from parallex.session import by_key
 
 
 def char_edits(pred: Column, exp: Column) -> Column:
-    return F.levenshtein(pred, exp)
+    """A missing prediction (or reference) counts as an empty text."""
+    return F.levenshtein(F.coalesce(pred, F.lit("")), F.coalesce(exp, F.lit("")))
+
+
+def char_count(exp: Column) -> Column:
+    return F.coalesce(F.length(exp), F.lit(0))
 
 
 def with_word_edits(df: DataFrame, pred: str, exp: str, out: str = "word_edits",
                     ref_len: str | None = None) -> DataFrame:
-    """Add the word-level edit distance of two text columns (exact; fails loudly
-    beyond ~1.1M distinct words in one pair).
+    """Add the word-level edit distance of two text columns, and ``{out}_reason``.
+
+    Exact up to ~1.1M distinct words in one pair; beyond that the distance and
+    the length are NULL (the rates leave the pair out) and the reason says so.
 
     Word arrays and the per-row alphabet are projected first, as columns, so the
     lambdas that map words to symbols only reference columns.
@@ -32,10 +39,11 @@ def with_word_edits(df: DataFrame, pred: str, exp: str, out: str = "word_edits",
     keep = df.columns
     w = df.select(*keep, words(F.col(pred)).alias("_h"), words(F.col(exp)).alias("_r"))
     w = w.select(*keep, "_h", "_r", F.array_distinct(F.concat("_h", "_r")).alias("_a"))
-    guard = F.when(F.size("_a") > MAX_SYMBOLS, F.raise_error(F.lit("too many distinct words in one pair")))
+    fits = F.size("_a") <= MAX_SYMBOLS
     dist = F.levenshtein(as_symbols(F.col("_h"), F.col("_a")), as_symbols(F.col("_r"), F.col("_a")))
-    extra = [F.size("_r").alias(ref_len)] if ref_len else []
-    return w.select(*keep, F.coalesce(guard.cast("int"), dist).alias(out), *extra)
+    extra = [F.when(fits, F.size("_r")).alias(ref_len)] if ref_len else []
+    return w.select(*keep, F.when(fits, dist).alias(out), *extra,
+                    F.when(~fits, F.lit("too_many_words")).alias(f"{out}_reason"))
 
 
 def _rate(df: DataFrame, edits: Column, total: Column, by: Sequence[str], name: str) -> DataFrame:
@@ -47,7 +55,7 @@ def _rate(df: DataFrame, edits: Column, total: Column, by: Sequence[str], name:
 def char_error_rate(ev: DataFrame, pred: str = "predicted", exp: str = "expected",
                     by: Sequence[str] = ()) -> DataFrame:
     """CER = sum of character edits / sum of expected characters."""
-    return _rate(ev, char_edits(F.col(pred), F.col(exp)), F.length(exp), by, "cer")
+    return _rate(ev, char_edits(F.col(pred), F.col(exp)), char_count(F.col(exp)), by, "cer")
 
 
 def word_error_rate(ev: DataFrame, pred: str = "predicted", exp: str = "expected",

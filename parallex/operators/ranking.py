@@ -22,13 +22,13 @@ _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row index in the low 3
 
 def exact_rank(df: DataFrame, order: Sequence[Column], group: Sequence[str] = (),
                rank_col: str = "rank", num_partitions: int | None = None,
-               checkpoint: bool = True, total_col: str | None = None) -> DataFrame:
+               total_col: str | None = None) -> DataFrame:
     """Add a 1-based ``rank_col``: the row's position in ``order`` within ``group``.
 
     ``order`` must be a total order (end it with a unique key), which makes the
-    numbering deterministic when a partition is recomputed. With ``checkpoint``
-    the numbered rows are written to the shared checkpoint folder first, so the
-    count pass and the numbering pass read the same partitions. ``total_col``
+    numbering deterministic when a partition is recomputed. The numbered rows
+    are written to the shared checkpoint folder first: range bounds are sampled,
+    so the count pass and the numbering pass must read the same partitions. ``total_col``
     adds the row count of the row's group.
     """
     keys = [F.col(g) for g in group] + list(order)
@@ -36,13 +36,11 @@ def exact_rank(df: DataFrame, order: Sequence[Column], group: Sequence[str] = ()
     # partitions stay contiguous in the order, so the numbering still holds.
     ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
               else df.repartitionByRange(*keys))
-    numbered = (
+    numbered = pin(
         ranged
         .sortWithinPartitions(*keys)
         .withColumn("_rid", F.monotonically_increasing_id())
     )
-    if checkpoint:
-        numbered = pin(numbered)
     part = F.shiftright(F.col("_rid"), _LOCAL_BITS)
     numbered = numbered.withColumn("_part", part).withColumn(
         "_local", F.col("_rid") - F.shiftleft(F.col("_part"), _LOCAL_BITS))
@@ -58,7 +56,7 @@ def exact_rank(df: DataFrame, order: Sequence[Column], group: Sequence[str] = ()
         F.sum("_n").over(whole).alias("_total"))
     # without groups the table has one row per partition; the partition count of
     # a checkpointed frame is known without running anything
-    bound = numbered.rdd.getNumPartitions() if (checkpoint and not gcols) else None
+    bound = numbered.rdd.getNumPartitions() if not gcols else None
     offsets = broadcast_checked(offsets, known_rows=bound)
     ranked = numbered.join(offsets, ["_part", *gcols], "inner").withColumn(
         rank_col, F.col("_offset") + F.col("_local") - F.col("_first") + 1)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parallex.operators.ranking import hash_rank
@@ -87,3 +87,12 @@ def epoch_schedule(df: DataFrame, keys: Sequence[str], seed: int, batch_size: in
 def sample_examples(df: DataFrame, n: int, order: Sequence[str] = ("rank",)) -> DataFrame:
     """The first ``n`` rows in ``order`` (a top-k: each task keeps ``n`` rows)."""
     return df.orderBy(*order).limit(n)
+
+
+def first_shuffled(df: DataFrame, keys: Sequence[str], seed: int, epoch: int, n: int) -> DataFrame:
+    """The first ``n`` rows of an epoch's shuffled order with their ``rank``: a
+    top-k on the order hash, without ranking the other rows."""
+    h = order_hash(keys, seed, str(epoch))
+    top = df.withColumn("_h", h).orderBy("_h", *keys).limit(n)
+    # at most n rows: numbering them in one task is bounded by the feature itself
+    return top.withColumn("rank", F.row_number().over(Window.orderBy("_h", *keys)).cast("long")).drop("_h")

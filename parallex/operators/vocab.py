@@ -78,13 +78,16 @@ def special_ids(vocab: DataFrame) -> dict[str, int]:
 ROW_OVERHEAD_BYTES = 32  # id, count, flag and row header of one broadcast vocabulary row
 
 
-def vocab_stats(vocab: DataFrame) -> tuple[int, int]:
-    """``(rows, bytes per row)`` of a vocabulary, measured in one aggregate:
-    the input to the broadcast decision. Token lengths are measured, not
-    assumed, so a vocabulary full of long junk tokens is not broadcast by
-    mistake."""
-    r = vocab.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("token")).alias("b")).first()
-    rows = int(r["n"])
+def vocab_stats(vocab: DataFrame, by: Sequence[str] = ()) -> tuple[int, int]:
+    """``(rows, bytes per row)`` of a vocabulary: the input to the broadcast
+    decision. Token lengths are measured, not assumed, so a vocabulary full of
+    long junk tokens is not broadcast by mistake. A token with several rows (in
+    a group of ``by``) is an error: a lookup would multiply its occurrences."""
+    per = vocab.groupBy(*by, "token").agg(F.count(F.lit(1)).alias("n"))
+    r = per.agg(F.sum("n").alias("n"), F.sum(F.octet_length("token")).alias("b"), F.max("n").alias("most")).first()
+    rows = int(r["n"] or 0)
+    if (r["most"] or 0) > 1:
+        raise ValueError("a token has more than one row in the vocabulary")
     total = int(r["b"] or 0) + ROW_OVERHEAD_BYTES * rows
     return rows, -(-total // max(rows, 1))
 

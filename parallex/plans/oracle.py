@@ -1,14 +1,22 @@
 """DuckDB SQL equivalents of the registered queries (the correctness oracle).
 
 Written independently of the Spark plans: global window functions, recursive
-CTEs and list lambdas, over the same driver tables.
+CTEs and list lambdas, over the same driver tables. Constants are stated here
+again, so that a wrong one in the library shows.
 """
 
 from __future__ import annotations
 
-from parallex.functions.text import WHITESPACE_RUN
-from parallex.plans import standins as T
-from parallex.plans.queries import CHECK_SEQ_LEN, MIN_COUNT, OPTS, PREVIEW_ROWS, SEED
+from types import SimpleNamespace
+
+# The settings of the registered queries.
+OPTS = SimpleNamespace(seq_len=480, batch_size=6, num_epochs=10, train_fraction=0.9, label_smoothing=0.1, val_examples=2,
+                       src_lang="en", artifact_folder="opus100_weights", model_basename="tmodel_")
+SEED, PREVIEW_ROWS, CHECK_SEQ_LEN, MASK_SEQ_LEN, LOOP_LEN, CLASSES = 42, 5, 128, 64, 8, 32
+T = SimpleNamespace(POSITIONS_PER_EXAMPLE=8, SCORE_PAD=0, STEPS_PER_EPOCH=1000, TRAIN_TAG="click", VAL_TAG="view", BATCHES=50)
+# Python's str.split() white space: everything RE2 calls \s or a separator, and U+001C-U+001F, U+0085.
+WHITESPACE_RUN = r"[\s\p{Z}\x{0b}\x{1c}-\x{1f}\x{85}]+"
+TURN = 2147483648  # ids of one conversation
 
 L = OPTS.seq_len
 BIG = 1_000_000_000
@@ -22,24 +30,25 @@ def chars(expr: str) -> str:
     return f"regexp_extract_all({expr}, '(?s).')"
 
 
-PAIRS = """pairs AS (
-  SELECT CAST(u.conv_id * 1000 + u.turn AS BIGINT) AS pair_id, u.text AS src_text, a.text AS trg_text
+PAIRS = f"""pairs AS (
+  SELECT CAST(u.conv_id::BIGINT * {TURN} + u.turn AS BIGINT) AS pair_id, u.text AS src_text, a.text AS trg_text
   FROM conversations u JOIN conversations a ON u.conv_id = a.conv_id AND a.turn = u.turn + 1
   WHERE u.role = 'user' AND a.role = 'assistant')"""
 
 EV = PAIRS + """,
-ev AS (SELECT pair_id, src_text AS source, trg_text AS expected, src_text AS predicted FROM pairs)"""
+ev AS (SELECT pair_id, src_text AS source, trg_text AS expected,
+              CASE WHEN pair_id % 2147483648 % 3 <> 2 THEN src_text ELSE '' END AS predicted FROM pairs)"""
 
 SPECIALS = """specials AS (SELECT token, CAST(id AS INTEGER) AS id, CAST(n AS BIGINT) AS n, is_special
   FROM (VALUES ('[UNK]', 0, 0, true), ('[PAD]', 1, 0, true), ('[SOS]', 2, 0, true), ('[EOS]', 3, 0, true))
   t(token, id, n, is_special))"""
 
 
-def vocab_cte(name: str, texts_sql: str, tok: str = "word", min_count: int = MIN_COUNT) -> str:
+def vocab_cte(name: str, texts_sql: str, tok: str = "word") -> str:
     split = words("text") if tok == "word" else chars("text")
     return f"""{name}_counts AS (
   SELECT token, count(*) AS n FROM (SELECT unnest({split}) AS token FROM ({texts_sql}))
-  GROUP BY token HAVING count(*) >= {min_count} AND token NOT IN ('[UNK]', '[PAD]', '[SOS]', '[EOS]')),
+  GROUP BY token HAVING token NOT IN ('[UNK]', '[PAD]', '[SOS]', '[EOS]')),
 {name} AS (
   SELECT * FROM specials
   UNION ALL
@@ -66,7 +75,8 @@ def encode_cte(name: str, vocab: str, tok: str = "word") -> str:
 
 
 SRC_VOCAB = vocab_cte("vocab", "SELECT src_text AS text FROM pairs")
-SHARED_VOCAB = vocab_cte("svocab", "SELECT src_text AS text FROM pairs UNION ALL SELECT trg_text FROM pairs")
+BOTH_TEXTS = "SELECT src_text AS text FROM pairs UNION ALL SELECT trg_text FROM pairs"
+SHARED_VOCAB = vocab_cte("svocab", BOTH_TEXTS)
 SHARED = f"WITH {PAIRS},\n{SPECIALS},\n{SHARED_VOCAB},\n{encode_cte('enc', 'svocab')}"
 
 
@@ -74,19 +84,28 @@ def pads(n: str) -> str:
     return f"list_transform(range({n}), lambda x: 1)"
 
 
-EXAMPLES = SHARED + f""",
+REASON = """CASE WHEN src_text IS NULL OR trg_text IS NULL THEN 'null_text' WHEN len(src_ids) > {0} - 2 THEN 'src_too_long'
+              WHEN len(trg_ids) > {0} - 1 THEN 'trg_too_long' END"""
+
+
+def examples_cte(n: int) -> str:
+    return f""",
+exr AS (SELECT *, {REASON.format(n)} AS reason FROM enc),
 ex AS (
-  SELECT pair_id, src_text, trg_text,
-         [2] || src_ids || [3] || {pads(f'{L} - len(src_ids) - 2')} AS encoder_input,
-         [2] || trg_ids || {pads(f'{L} - len(trg_ids) - 1')} AS decoder_input,
-         trg_ids || [3] || {pads(f'{L} - len(trg_ids) - 1')} AS label
-  FROM enc WHERE len(src_ids) <= {L - 2} AND len(trg_ids) <= {L - 1}),
+  SELECT pair_id, src_text, trg_text, reason,
+         CASE WHEN reason IS NULL THEN [2] || src_ids || [3] || {pads(f'{n} - len(src_ids) - 2')} END AS encoder_input,
+         CASE WHEN reason IS NULL THEN [2] || trg_ids || {pads(f'{n} - len(trg_ids) - 1')} END AS decoder_input,
+         CASE WHEN reason IS NULL THEN trg_ids || [3] || {pads(f'{n} - len(trg_ids) - 1')} END AS label
+  FROM exr),
 exm AS (
   SELECT *, list_transform(encoder_input, lambda x: CASE WHEN x <> 1 THEN 1 ELSE 0 END) AS encoder_mask,
          list_transform(decoder_input, lambda x: CASE WHEN x <> 1 THEN 1 ELSE 0 END) AS dec_valid
   FROM ex)"""
 
 
+EXAMPLES = SHARED + examples_cte(L)
+
+
 def rs(col: str) -> str:
     return f"array_to_string({col}, ',') AS {col}"
 
@@ -156,34 +175,55 @@ st AS (
          CAST(sum(hc) AS BIGINT) AS candidates
   FROM gc GROUP BY n)"""
 
+def cls(ids: str) -> str:
+    """Source class: the ids with [SOS] and [EOS], summed."""
+    return f"CAST((2 + 3 + coalesce(list_sum({ids}), 0)) % {CLASSES} AS INTEGER)"
+
+
 def bigram(where: str = "") -> str:
+    """Best next id by class and last id; every last id is given every class, the
+    classes that never saw it by the counts of all."""
     return f"""bg AS (
-  SELECT seq[i] AS prev_id, seq[i + 1] AS next_id, count(*) AS score
-  FROM (SELECT seq, unnest(range(1, len(seq))) AS i FROM (SELECT [2] || trg_ids || [3] AS seq FROM enc {where}))
+  SELECT c, seq[i] AS prev_id, seq[i + 1] AS next_id, count(*) AS score
+  FROM (SELECT c, seq, unnest(range(1, len(seq))) AS i
+        FROM (SELECT {cls('src_ids')} AS c, [2] || trg_ids || [3] AS seq FROM enc {where}))
   GROUP BY ALL),
-best AS (
-  SELECT prev_id, next_id FROM (
-    SELECT prev_id, next_id, row_number() OVER (PARTITION BY prev_id ORDER BY score DESC, next_id) AS rk FROM bg)
-  WHERE rk = 1)"""
+own AS (SELECT c, prev_id, next_id FROM bg
+        QUALIFY row_number() OVER (PARTITION BY c, prev_id ORDER BY score DESC, next_id) = 1),
+every AS (SELECT prev_id, next_id FROM (SELECT prev_id, next_id, sum(score) AS score FROM bg GROUP BY ALL)
+          QUALIFY row_number() OVER (PARTITION BY prev_id ORDER BY score DESC, next_id) = 1),
+best AS (SELECT k.c, e.prev_id, coalesce(o.next_id, e.next_id) AS next_id
+         FROM every e CROSS JOIN (SELECT unnest(range({CLASSES})) AS c) k
+         LEFT JOIN own o ON o.c = k.c AND o.prev_id = e.prev_id)"""
 
 
 BIGRAM = bigram()
 
 
-def decode_rec(prompts: str, key: str) -> str:
+def decode_rec(n: int = L) -> str:
+    """What each class decodes to from [SOS]."""
     return f"""dec AS (
-  SELECT {key}, ids, ids AS prompt, (ids[-1] = 3 OR len(ids) >= {L}) AS done FROM ({prompts})
+  SELECT k AS c, [2] AS ids, false AS done FROM (SELECT unnest(range({CLASSES})) AS k)
   UNION ALL
-  SELECT d.{key}, d.ids || [b.next_id], d.prompt, (b.next_id = 3 OR len(d.ids) + 1 >= {L})
-  FROM dec d JOIN best b ON b.prev_id = d.ids[-1] WHERE NOT d.done),
-decoded AS (
-  SELECT {key}, arg_max(ids, len(ids)) AS ids, max(len(ids)) - min(len(prompt)) AS steps
-  FROM dec GROUP BY {key})"""
+  SELECT d.c, d.ids || [b.next_id], (b.next_id = 3 OR len(d.ids) + 1 >= {n})
+  FROM dec d JOIN best b ON b.prev_id = d.ids[-1] AND b.c = d.c WHERE NOT d.done),
+decoded AS (SELECT c, arg_max(ids, len(ids)) AS ids, max(len(ids)) - 1 AS steps FROM dec GROUP BY c)"""
+
+
+def decoded_pairs(n: int) -> str:
+    return f"""{SHARED.replace('WITH ', 'WITH RECURSIVE ', 1)},
+{BIGRAM},
+{decode_rec(n)},
+r AS (SELECT *, {cls('src_ids')} AS c, CASE WHEN len(src_ids) > {L} - 2 THEN 'src_too_long'
+                                            WHEN len(trg_ids) > {L} - 1 THEN 'trg_too_long' END AS reason FROM enc)
+SELECT r.pair_id, CASE WHEN reason IS NULL THEN array_to_string(d.ids, ',') END AS ids,
+       CASE WHEN reason IS NULL THEN CAST(d.steps AS INTEGER) END AS steps, reason
+FROM r JOIN decoded d ON d.c = r.c"""
 
 
 ROUTING = f"""inp AS (
-  SELECT CAST(conv_id * 1000 + turn AS BIGINT) AS input_id,
-         CASE WHEN role = 'user' THEN CAST(conv_id * 1000 + turn AS VARCHAR) ELSE text END AS input
+  SELECT CAST(conv_id::BIGINT * {TURN} + turn AS BIGINT) AS input_id,
+         CASE WHEN role = 'user' THEN CAST(conv_id::BIGINT * {TURN} + turn AS VARCHAR) ELSE text END AS input
   FROM conversations),
 routed AS (
   SELECT i.input_id, i.input, regexp_full_match(i.input, '[0-9]+') AS is_row_id,
@@ -193,9 +233,9 @@ routed AS (
   FROM inp i LEFT JOIN pairs p
     ON regexp_full_match(i.input, '[0-9]+') AND p.pair_id = TRY_CAST(i.input AS BIGINT))"""
 
-METRIC = """ml AS (SELECT event_type AS tag, CAST(event_id AS BIGINT) AS step, CAST(value AS DOUBLE) AS value, ts
-  FROM events),
-lps AS (SELECT tag, step, arg_max(value, ts) AS value FROM ml GROUP BY tag, step)"""
+METRIC = """ml AS (SELECT CAST(user_id % 7 AS VARCHAR) AS run, event_type AS tag, CAST(event_id AS BIGINT) AS step,
+  CAST(value AS DOUBLE) AS value, ts FROM events),
+lps AS (SELECT run, tag, step, arg_max(value, ts) AS value FROM ml GROUP BY run, tag, step)"""
 
 ARTIFACTS = f"""art AS (
   SELECT event_type AS run, CAST(user_id AS INTEGER) AS epoch, CAST(event_id AS BIGINT) AS global_step,
@@ -208,25 +248,29 @@ latest AS (
 
 SPE = T.STEPS_PER_EPOCH
 VAL_CURVE = f"""vc AS (
-  SELECT CAST(floor((step - 1) / {SPE}) AS BIGINT) AS epoch, arg_max(value, step) AS val_loss
-  FROM lps WHERE tag = '{T.VAL_TAG}' GROUP BY 1)"""
+  SELECT run, CAST(floor((step - 1) / {SPE}) AS BIGINT) AS epoch, arg_max(value, step) AS val_loss
+  FROM lps WHERE tag = '{T.VAL_TAG}' GROUP BY 1, 2)"""
 
 
 TRANSLATE = f"""{SHARED.replace('WITH ', 'WITH RECURSIVE ', 1)},
 {BIGRAM},
 {ROUTING},
-{decode_rec("SELECT 0 AS k, [2] AS ids", 'k')},
-chain AS (SELECT string_agg(coalesce(v.token, '[UNK]'), ' ' ORDER BY t.pos) AS text,
+{decode_rec()},
+chain AS (SELECT c, string_agg(coalesce(v.token, '[UNK]'), ' ' ORDER BY t.pos) AS text,
                  coalesce(string_agg(coalesce(v.token, '[UNK]'), ' ' ORDER BY t.pos) FILTER (WHERE t.pos > 1), '') AS gen
-          FROM (SELECT unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM decoded) t
-          LEFT JOIN svocab v ON v.id = t.id),
-chk AS (SELECT *, len({words('source')}) > {L - 2} AS too_long FROM routed),
+          FROM (SELECT c, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM decoded) t
+          LEFT JOIN svocab v ON v.id = t.id GROUP BY c),
+rid AS (SELECT *, row_number() OVER () AS rid FROM routed),
+stok AS (SELECT rid, unnest({words('source')}) AS token FROM rid),
+scls AS (SELECT rid, CAST((5 + sum(coalesce(v.id, 0))) % {CLASSES} AS INTEGER) AS c, count(*) AS n
+         FROM stok s LEFT JOIN svocab v ON v.token = s.token AND NOT v.is_special GROUP BY rid),
+chk AS (SELECT r.*, coalesce(s.c, 5) AS c, coalesce(s.n, 0) > {L - 2} AS too_long FROM rid r LEFT JOIN scls s USING (rid)),
 tr AS (
   SELECT input_id, input, is_row_id, found, source, expected,
-         CASE WHEN found AND NOT too_long THEN (SELECT text FROM chain) END AS predicted,
-         CASE WHEN found AND NOT too_long THEN (SELECT gen FROM chain) END AS generated,
+         CASE WHEN found AND NOT too_long THEN chain.text END AS predicted,
+         CASE WHEN found AND NOT too_long THEN chain.gen END AS generated,
          CASE WHEN NOT found THEN 'unknown_id' WHEN too_long THEN 'src_too_long' END AS reason
-  FROM chk)"""
+  FROM chk JOIN chain ON chain.c = chk.c)"""
 
 
 CER_SUMS = f"""cs AS (
@@ -244,14 +288,14 @@ BLEU_ROW = f"""bl AS (
 
 VALIDATION = f"""{SHARED.replace('WITH ', 'WITH RECURSIVE ', 1)},
 {SPLIT.replace(PAIRS + ',', '', 1)},
-{bigram("WHERE pair_id IN (SELECT pair_id FROM split WHERE split = 'train') AND len(src_ids) <= " + str(L - 2) + " AND len(trg_ids) <= " + str(L - 1))},
-{decode_rec("SELECT 0 AS k, [2] AS ids", 'k')},
-chain AS (SELECT string_agg(coalesce(v.token, '[UNK]'), ' ' ORDER BY t.pos) AS text
-          FROM (SELECT unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM decoded) t
-          LEFT JOIN svocab v ON v.id = t.id),
-ev AS (SELECT pair_id, trg_text AS expected, (SELECT text FROM chain) AS predicted FROM enc
-       WHERE pair_id IN (SELECT pair_id FROM split WHERE split = 'val')
-         AND len(src_ids) <= {L - 2} AND len(trg_ids) <= {L - 1}),
+{bigram("WHERE pair_id IN (SELECT pair_id FROM split WHERE split = 'train')")},
+{decode_rec()},
+chain AS (SELECT c, string_agg(coalesce(v.token, '[UNK]'), ' ' ORDER BY t.pos) AS text
+          FROM (SELECT c, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM decoded) t
+          LEFT JOIN svocab v ON v.id = t.id GROUP BY c),
+ev AS (SELECT pair_id, trg_text AS expected, CASE WHEN len(src_ids) <= {L - 2} THEN chain.text ELSE '' END AS predicted
+       FROM enc JOIN chain ON chain.c = {cls('src_ids')}
+       WHERE pair_id IN (SELECT pair_id FROM split WHERE split = 'val')),
 {WER_DP},
 fin AS (SELECT p1[n + 1] AS edits, m FROM dp WHERE d = n + m),
 {NGRAMS},
@@ -259,7 +303,7 @@ fin AS (SELECT p1[n + 1] AS edits, m FROM dp WHERE d = n + m),
 {BLEU_ROW}"""
 
 
-BY_TURN = f"""{EV.replace("ev AS (SELECT pair_id,", "ev AS (SELECT pair_id, CAST(pair_id % 1000 AS INTEGER) AS turn,", 1)},
+BY_TURN = f"""{EV.replace("ev AS (SELECT pair_id,", "ev AS (SELECT pair_id, CAST(pair_id % 2147483648 AS INTEGER) AS turn,", 1)},
 {WER_DP},
 wt AS (SELECT e.turn, sum(f.edits) AS edits, sum(f.m) AS total
        FROM (SELECT pair_id, p1[n + 1] AS edits, m FROM dp WHERE d = n + m) f JOIN ev e USING (pair_id)
@@ -305,38 +349,51 @@ def _examples_col(col: str) -> str:
 
 
 ORACLE: dict[str, str] = {
-    "pairs_load": f"WITH {PAIRS} SELECT pair_id, src_text, trg_text FROM pairs",
+    "pairs_load": f"WITH {PAIRS} SELECT pair_id, src_text, trg_text, CASE WHEN pair_id % 10 = 0 THEN 'test' ELSE 'train' END AS split FROM pairs",
+    "pairs_load_split": f"WITH {PAIRS} SELECT pair_id, src_text, trg_text, 'test' AS split FROM pairs WHERE pair_id % 10 = 0",
     "pairs_count": f"WITH {PAIRS} SELECT CAST(count(*) AS BIGINT) AS n_pairs FROM pairs",
     "pair_preview": f"WITH {PAIRS} SELECT pair_id, src_text, trg_text FROM pairs ORDER BY pair_id LIMIT {PREVIEW_ROWS}",
     "pair_lookup": f"""WITH {PAIRS}
 SELECT i.pair_id, p.src_text, p.trg_text, p.src_text IS NOT NULL AS found
-FROM (SELECT CAST(conv_id * 1000 + turn AS BIGINT) AS pair_id FROM conversations) i
+FROM (SELECT CAST(conv_id::BIGINT * {TURN} + turn AS BIGINT) AS pair_id FROM conversations) i
 LEFT JOIN pairs p USING (pair_id)""",
     "input_routing": f"WITH {PAIRS},\n{ROUTING}\nSELECT * FROM routed",
     "sentences_lang": f"SELECT doc_id AS id, text AS sentence FROM documents WHERE lang = '{OPTS.src_lang}'",
     "vocab_build": f"WITH {PAIRS},\n{SPECIALS},\n{SRC_VOCAB}\nSELECT token, id, n, is_special FROM vocab",
     "vocab_by_lang": f"""WITH {SPECIALS},
 c AS (SELECT lang, token, count(*) AS n FROM (SELECT lang, unnest({words('text')}) AS token FROM documents)
-      GROUP BY lang, token HAVING count(*) >= {MIN_COUNT} AND token NOT IN ('[UNK]', '[PAD]', '[SOS]', '[EOS]'))
+      GROUP BY lang, token HAVING token NOT IN ('[UNK]', '[PAD]', '[SOS]', '[EOS]'))
 SELECT l.lang, s.token, s.id, s.n, s.is_special FROM (SELECT DISTINCT lang FROM documents) l, specials s
 UNION ALL
 SELECT lang, token, CAST(row_number() OVER (PARTITION BY lang ORDER BY n DESC, token) + 3 AS INTEGER) AS id,
        CAST(n AS BIGINT) AS n, false AS is_special FROM c""",
+    "special_ids": """SELECT DISTINCT lang, token, CAST(id AS INTEGER) AS id FROM documents,
+       (VALUES ('[UNK]', 0), ('[PAD]', 1), ('[SOS]', 2), ('[EOS]', 3)) t(token, id)""",
+    "vocab_store": f"WITH {PAIRS},\n{SPECIALS},\n{vocab_cte('tvocab', 'SELECT trg_text AS text FROM pairs')}\n"
+                   "SELECT token, id, n, is_special FROM tvocab",
     "vocab_size": f"WITH {PAIRS},\n{SPECIALS},\n{SRC_VOCAB}\nSELECT CAST(count(*) AS BIGINT) AS vocab_size FROM vocab",
-    "encode_word": f"WITH {PAIRS},\n{SPECIALS},\n{SRC_VOCAB},\n{encode_cte('enc', 'vocab')}\n"
-                   f"SELECT pair_id, {rs('src_ids')}, {rs('trg_ids')} FROM enc",
+    "encode_word": f"{SHARED}\nSELECT pair_id, {rs('src_ids')}, {rs('trg_ids')} FROM enc",
+    "encode_two_vocabs": f"WITH {PAIRS},\n{SPECIALS},\n{SRC_VOCAB},\n{vocab_cte('tvocab', 'SELECT trg_text AS text FROM pairs')},\n"
+                         f"{encode_cte('es', 'vocab')},\n{encode_cte('et', 'tvocab')}\n"
+                         "SELECT es.pair_id, array_to_string(es.src_ids, ',') AS src_ids, array_to_string(et.trg_ids, ',') AS trg_ids "
+                         "FROM es JOIN et USING (pair_id)",
+    "encode_by_lang": f"""WITH c AS (
+  SELECT lang, token, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, token) + 3 AS id
+  FROM (SELECT lang, unnest({words('text')}) AS token FROM documents)
+  WHERE token NOT IN ('[UNK]', '[PAD]', '[SOS]', '[EOS]') GROUP BY lang, token),
+t AS (SELECT doc_id, lang, unnest(w) AS token, generate_subscripts(w, 1) AS pos
+      FROM (SELECT doc_id, lang, {words('text')} AS w FROM documents))
+SELECT d.doc_id, coalesce(string_agg(CAST(coalesce(c.id, 0) AS VARCHAR), ',' ORDER BY t.pos) FILTER (t.pos IS NOT NULL), '') AS ids
+FROM documents d LEFT JOIN t USING (doc_id) LEFT JOIN c ON c.lang = t.lang AND c.token = t.token GROUP BY d.doc_id""",
     "encode_char": f"WITH {PAIRS},\n{SPECIALS},\n"
-                   f"{vocab_cte('cvocab', 'SELECT src_text AS text FROM pairs', 'char', 1)},\n"
+                   f"{vocab_cte('cvocab', BOTH_TEXTS, 'char')},\n"
                    f"{encode_cte('enc', 'cvocab', 'char')}\n"
                    f"SELECT pair_id, {rs('src_ids')}, {rs('trg_ids')} FROM enc",
+    # every word of both sides is in the vocabulary (a literal special string is not looked up)
     "decode_roundtrip": f"""WITH {PAIRS},
-{SPECIALS},
-{SRC_VOCAB},
-t AS (SELECT pair_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos
-      FROM (SELECT pair_id, {words('src_text')} AS w FROM pairs)),
-d AS (SELECT t.pair_id, string_agg(CASE WHEN v.token IS NULL THEN '[UNK]' ELSE t.token END, ' ' ORDER BY t.pos) AS decoded
-      FROM t LEFT JOIN vocab v ON v.token = t.token AND NOT v.is_special GROUP BY t.pair_id)
-SELECT p.pair_id, coalesce(d.decoded, '') AS decoded FROM pairs p LEFT JOIN d USING (pair_id)""",
+u AS (SELECT pair_id, list_transform({words('src_text')}, lambda x: CASE WHEN x IN ('[UNK]', '[PAD]', '[SOS]', '[EOS]') THEN '[UNK]' ELSE x END) AS s,
+             list_transform({words('trg_text')}, lambda x: CASE WHEN x IN ('[UNK]', '[PAD]', '[SOS]', '[EOS]') THEN '[UNK]' ELSE x END) AS t FROM pairs)
+SELECT pair_id, array_to_string(s, ' ') AS src_back, array_to_string(t, ' ') AS trg_back FROM u""",
     "token_lengths": f"WITH {PAIRS} SELECT pair_id, CAST(len({words('src_text')}) AS BIGINT) AS n_src, "
                      f"CAST(len({words('trg_text')}) AS BIGINT) AS n_trg FROM pairs",
     "max_lengths": f"WITH {PAIRS} SELECT CAST(max(len({words('src_text')})) AS BIGINT) AS max_src, "
@@ -344,21 +401,22 @@ SELECT p.pair_id, coalesce(d.decoded, '') AS decoded FROM pairs p LEFT JOIN d US
     "length_quarantine": _quarantine(L),
     "length_quarantine_128": _quarantine(CHECK_SEQ_LEN),
     "examples": f"{EXAMPLES}\nSELECT pair_id, {rs('encoder_input')}, {rs('decoder_input')}, {rs('label')}, "
-                f"{rs('encoder_mask')}, {rs('dec_valid')}, src_text, trg_text FROM exm",
+                f"{rs('encoder_mask')}, {rs('dec_valid')}, src_text, trg_text, reason FROM exm",
+    "examples_128": f"{SHARED}{examples_cte(CHECK_SEQ_LEN)}\nSELECT pair_id, {rs('encoder_input')}, {rs('label')}, reason FROM exm",
     "encoder_input": _examples_col("encoder_input"),
     "decoder_input": _examples_col("decoder_input"),
     "label_ids": _examples_col("label"),
     "encoder_mask": _examples_col("encoder_mask"),
-    "decoder_mask": f"""{EXAMPLES},
-rsum AS (SELECT pair_id, list_transform(range(1, len(dec_valid) + 1), lambda i: list_sum(dec_valid[1:i])) AS row_sums FROM exm)
-SELECT pair_id, CAST(list_sum(row_sums) AS BIGINT) AS cells_set, {rs('row_sums')} FROM rsum""",
-    "causal_mask": f"""{SHARED},
-s AS (SELECT max(len(trg_ids)) + 1 AS s FROM enc)
-SELECT CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, j <= i AS allowed
-FROM (SELECT i, unnest(range(s)) AS j FROM (SELECT unnest(range(s)) AS i, s FROM s))""",
+    "decoder_mask": f"""{EXAMPLES}
+SELECT pair_id, CAST(list_sum(list_transform(range(1, len(dec_valid) + 1), lambda i: list_sum(dec_valid[1:i]))) AS BIGINT) AS cells_set
+FROM exm""",
+    "decoder_mask_cells": f"""{SHARED}{examples_cte(MASK_SEQ_LEN)}
+SELECT pair_id, array_to_string(list_transform(range(1, len(dec_valid) + 1), lambda i: array_to_string(
+  list_transform(range(1, len(dec_valid) + 1), lambda j: CASE WHEN dec_valid[j] = 1 AND j <= i THEN 1 ELSE 0 END), '')), ';') AS cells
+FROM exm""",
     "example_sizes": f"""{EXAMPLES}
 SELECT coalesce(bool_and(len(encoder_input) = {L} AND len(decoder_input) = {L} AND len(label) = {L}), true) AS all_sized,
-       CAST(count(*) AS BIGINT) AS n_examples FROM exm""",
+       CAST(count(encoder_input) AS BIGINT) AS n_examples FROM exm""",
     "split_exact": f"WITH {SPLIT} SELECT pair_id, CAST(split_rank AS BIGINT) AS split_rank, split FROM split",
     "shuffle_rank": f"{TRAIN_RANKED} SELECT pair_id, epoch, CAST(rank AS BIGINT) AS rank FROM ranked",
     "batch_assign": f"{TRAIN_RANKED} SELECT pair_id, epoch, CAST(rank AS BIGINT) AS rank, "
@@ -371,6 +429,19 @@ FROM ranked GROUP BY 1, 2""",
 SELECT pair_id, epoch, CAST(rank AS BIGINT) AS rank, CAST((rank - 1) // {B} AS BIGINT) AS batch_id,
        CAST(epoch * CAST(ceil(epoch_rows / {B}) AS BIGINT) + (rank - 1) // {B} AS BIGINT) AS global_step
 FROM ranked""",
+    "train_batches": f"""{SHARED},
+{SPLIT.replace(PAIRS + ',', '', 1)}{examples_cte(CHECK_SEQ_LEN)},
+fit AS (SELECT e.* FROM exm e JOIN split s USING (pair_id) WHERE s.split = 'train' AND reason IS NULL),
+rk AS (SELECT f.*, CAST(e.epoch AS INTEGER) AS epoch, row_number() OVER (PARTITION BY e.epoch ORDER BY
+         md5(CAST(pair_id AS VARCHAR) || '|{SEED}|' || CAST(e.epoch AS VARCHAR)), pair_id) AS rank,
+         count(*) OVER (PARTITION BY e.epoch) AS n
+       FROM fit f, (SELECT unnest(range({OPTS.num_epochs})) AS epoch) e)
+SELECT epoch, CAST((rank - 1) // {B} AS BIGINT) AS batch_id,
+       CAST(epoch * CAST(ceil(any_value(n) / {B}) AS BIGINT) + (rank - 1) // {B} AS BIGINT) AS global_step,
+       string_agg(CAST(pair_id AS VARCHAR), ',' ORDER BY rank) AS pair_ids,
+       {', '.join(f"md5(string_agg(array_to_string({f}, ','), ';' ORDER BY rank)) AS {f}" for f in
+                  ('encoder_input', 'decoder_input', 'label', 'encoder_mask', 'dec_valid'))}
+FROM rk GROUP BY epoch, (rank - 1) // {B}""",
     "val_sample": f"""WITH {SPLIT},
 {ranked_cte('val', '[0]')}
 SELECT pair_id, CAST(rank AS BIGINT) AS rank FROM ranked ORDER BY rank LIMIT {OPTS.val_examples}""",
@@ -427,10 +498,8 @@ FROM ct c JOIN wt w USING (turn) JOIN bt b USING (turn)""",
 SELECT pair_id, CAST(k AS INTEGER) AS line_no, line FROM (
   SELECT pair_id, unnest(['{'-' * 80}', 'SOURCE:' || source, 'TARGET:' || expected, 'PREDICTED:' || predicted]) AS line,
          unnest(range(4)) AS k FROM ev)""",
-    "greedy_decode": f"""{SHARED.replace('WITH ', 'WITH RECURSIVE ', 1)},
-{BIGRAM},
-{decode_rec(f"SELECT pair_id, [2] || trg_ids[1:1] AS ids FROM enc WHERE len(src_ids) <= {L - 2} AND len(trg_ids) <= {L - 1}", 'pair_id')}
-SELECT pair_id, {rs('ids')}, CAST(steps AS INTEGER) AS steps FROM decoded""",
+    "greedy_decode": decoded_pairs(L),
+    "decode_loop": decoded_pairs(LOOP_LEN),
     "translate_batch": f"""{TRANSLATE}
 SELECT input_id, is_row_id, found, predicted, reason FROM tr""",
     "translation_report": f"""{TRANSLATE}
@@ -451,15 +520,21 @@ SELECT round((SELECT edits / total FROM cs), 6) AS cer,
     "resume_point": f"""WITH {ARTIFACTS}
 SELECT r.run, coalesce(l.epoch + 1, 0) AS initial_epoch, coalesce(l.global_step, 0) AS global_step
 FROM (SELECT DISTINCT run FROM art) r LEFT JOIN latest l USING (run)""",
-    "metric_log_by_tag": """SELECT event_type AS tag, CAST(count(*) AS BIGINT) AS n, CAST(max(event_id) AS BIGINT) AS last_step,
-       arg_max(value, event_id) AS last_value FROM events GROUP BY event_type""",
-    "train_curve": f"WITH {METRIC} SELECT step, value FROM lps WHERE tag = '{T.TRAIN_TAG}'",
-    "val_curve": f"WITH {METRIC},\n{VAL_CURVE}\nSELECT epoch, val_loss FROM vc",
+    "artifact_log": f"WITH {ARTIFACTS} SELECT run, epoch, global_step, path FROM art",
+    "metric_log_by_tag": """SELECT CAST(user_id % 7 AS VARCHAR) AS run, event_type AS tag, CAST(count(*) AS BIGINT) AS n,
+       CAST(max(event_id) AS BIGINT) AS last_step, arg_max(value, event_id) AS last_value FROM events GROUP BY 1, 2""",
+    "loss_log": f"""WITH {SCORES},
+b AS (SELECT example_id, avg({1 - EPS} * {NLL} + {EPS} * {SMOOTH}) AS smooth, avg({NLL}) AS plain
+      FROM sc WHERE label <> {T.SCORE_PAD} GROUP BY example_id)
+SELECT 'run' AS run, CAST(example_id // {T.BATCHES} AS BIGINT) AS epoch, round(avg(smooth), 6) AS train_loss,
+       CAST(count(*) AS BIGINT) AS train_steps, round(avg(plain), 6) AS val_loss FROM b GROUP BY 2""",
+    "train_curve": f"WITH {METRIC} SELECT run, step, value FROM lps WHERE tag = '{T.TRAIN_TAG}'",
+    "val_curve": f"WITH {METRIC},\n{VAL_CURVE}\nSELECT run, epoch, val_loss FROM vc",
     "loss_curves": f"""WITH {METRIC},
 {VAL_CURVE},
-tc AS (SELECT CAST(floor(step / {SPE}) AS BIGINT) AS epoch, avg(value) AS train_loss, CAST(count(*) AS BIGINT) AS train_steps
-       FROM lps WHERE tag = '{T.TRAIN_TAG}' GROUP BY 1)
-SELECT tc.epoch, round(train_loss, 6) AS train_loss, train_steps, vc.val_loss
-FROM tc LEFT JOIN vc USING (epoch)""",
+tc AS (SELECT run, CAST(floor(step / {SPE}) AS BIGINT) AS epoch, avg(value) AS train_loss, CAST(count(*) AS BIGINT) AS train_steps
+       FROM lps WHERE tag = '{T.TRAIN_TAG}' GROUP BY 1, 2)
+SELECT tc.run, tc.epoch, round(train_loss, 9) AS train_loss, train_steps, vc.val_loss
+FROM tc LEFT JOIN vc USING (run, epoch)""",
 }
 

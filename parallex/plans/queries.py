@@ -7,6 +7,7 @@ return real arrays and full-precision doubles.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,19 +16,24 @@ from pyspark.sql import functions as F
 from parallex.config import Options
 from parallex.functions import scores as S
 from parallex.functions.arrays import render
+from parallex.functions import arrays as A
+from parallex.jobs import log_losses, training_batches, validate
 from parallex.operators import curves, examples, lengths, metrics, sampling, scoring
-from parallex.operators.decoding import BigramScorer, bigram_scores, greedy_decode, translate_batch
-from parallex.operators.encode import decode, encode
+from parallex.operators.decoding import (BigramScorer, bigram_scores, decode_loop, greedy_decode, source_class,
+                                         source_prompts, translate_batch)
+from parallex.operators.encode import decode, encode, encode_sides
 from parallex.operators.examples import build_examples
 from parallex.operators.vocab import build_vocab, vocab_size, vocab_stats
 from parallex.plans import standins as T
-from parallex.session import pin
+from parallex.session import ensure_checkpoint_dir, pin
 from parallex.sources import corpus, runlog
+from parallex.sources.vocab_store import get_or_build_vocab
 
 OPTS = Options()
 SEED = OPTS.seed
-MIN_COUNT = 2
 CHECK_SEQ_LEN = 128  # a second length-check setting that rejects pairs in the stand-in corpus
+MASK_SEQ_LEN = 64    # a setting at which whole decoder masks are compared
+LOOP_LEN = 8         # tokens decoded by the general step loop
 PREVIEW_ROWS = 5
 SIDES = {"src_ids": "src_text", "trg_ids": "trg_text"}
 
@@ -36,16 +42,21 @@ def _r(c, places: int = 6):
     return F.round(c, places)
 
 
+def _folder(spark, name: str) -> str:
+    """A new folder for a table that a query writes and reads again."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 # ---- shared plans -------------------------------------------------------------
 
 def src_vocab(spark, d):
-    return build_vocab(T.pairs(spark, d), "src_text", "word", min_count=MIN_COUNT)
+    return build_vocab(T.pairs(spark, d), "src_text", "word")
 
 
 def shared_vocab(spark, d):
     p = T.pairs(spark, d)
     texts = p.select(F.col("src_text").alias("text")).unionByName(p.select(F.col("trg_text").alias("text")))
-    return build_vocab(texts, "text", "word", min_count=MIN_COUNT)
+    return build_vocab(texts, "text", "word")
 
 
 def encoded_shared(spark, d, vocab=None):
@@ -54,7 +65,7 @@ def encoded_shared(spark, d, vocab=None):
 
 
 def examples_df(spark, d):
-    return build_examples(encoded_shared(spark, d), OPTS.seq_len)
+    return build_examples(encoded_shared(spark, d), OPTS.seq_len, "annotate")
 
 
 def split_df(spark, d):
@@ -68,8 +79,22 @@ def train_ranked(spark, d):
 
 # ---- A, B: sources, lookups, predicates ---------------------------------------
 
+def _stored_corpus(spark, d):
+    """The corpus as a parallel corpus is stored: a translation record per pair,
+    laid out by split."""
+    path = _folder(spark, "corpus")
+    (T.pairs(spark, d).select("pair_id", F.struct(F.col("src_text").alias("en"), F.col("trg_text").alias("ja")).alias("translation"),
+                              F.when(F.col("pair_id") % 10 == 0, "test").otherwise("train").alias("split"))
+     .write.partitionBy("split").parquet(path))
+    return path
+
+
 def q_pairs_load(spark, d):
-    return T.pairs(spark, d)
+    return corpus.read_pairs(spark, _stored_corpus(spark, d), "en", "ja", "all")
+
+
+def q_pairs_load_split(spark, d):
+    return corpus.read_pairs(spark, _stored_corpus(spark, d), "en", "ja", "test")
 
 
 def q_pairs_count(spark, d):
@@ -101,7 +126,19 @@ def q_vocab_build(spark, d):
 
 def q_vocab_by_lang(spark, d):
     docs = T.table(spark, d, "documents")
-    return build_vocab(docs, "text", "word", min_count=MIN_COUNT, by=["lang"])
+    return build_vocab(docs, "text", "word", by=["lang"])
+
+
+def q_special_ids(spark, d):
+    v = build_vocab(T.table(spark, d, "documents"), "text", "word", by=["lang"])
+    return v.where("is_special").select("lang", "token", "id")
+
+
+def q_vocab_store(spark, d):
+    """Stored by the first call; the second finds it and does not look at its texts."""
+    p, path = T.pairs(spark, d), _folder(spark, "vocab")
+    get_or_build_vocab(spark, path, p, "trg_text")
+    return get_or_build_vocab(spark, path, p.where(F.lit(False)), "src_text")
 
 
 def q_vocab_size(spark, d):
@@ -109,24 +146,38 @@ def q_vocab_size(spark, d):
 
 
 def q_encode_word(spark, d):
-    e = encode(T.pairs(spark, d), SIDES, src_vocab(spark, d), "word")
+    e = encoded_shared(spark, d)
+    return e.select("pair_id", render(F.col("src_ids")).alias("src_ids"),
+                    render(F.col("trg_ids")).alias("trg_ids"))
+
+
+def q_encode_two_vocabs(spark, d):
+    p = T.pairs(spark, d)
+    e = encode_sides(p, SIDES, {"src_ids": build_vocab(p, "src_text"), "trg_ids": build_vocab(p, "trg_text")})
     return e.select("pair_id", render(F.col("src_ids")).alias("src_ids"),
                     render(F.col("trg_ids")).alias("trg_ids"))
 
 
+def q_encode_by_lang(spark, d):
+    """Documents encoded with the vocabulary of their language."""
+    docs = T.table(spark, d, "documents").select("doc_id", "lang", "text")
+    v = build_vocab(docs, "text", "word", by=["lang"])
+    return encode(docs, {"ids": "text"}, v, by=["lang"]).select("doc_id", render(F.col("ids")).alias("ids"))
+
+
 def q_encode_char(spark, d):
     p = T.pairs(spark, d)
-    v = build_vocab(p, "src_text", "char", min_count=1)
-    e = encode(p, SIDES, v, "char")
+    texts = p.select(F.col("src_text").alias("text")).unionByName(p.select(F.col("trg_text").alias("text")))
+    e = encode(p, SIDES, build_vocab(texts, "text", "char"), "char")
     return e.select("pair_id", render(F.col("src_ids")).alias("src_ids"),
                     render(F.col("trg_ids")).alias("trg_ids"))
 
 
 def q_decode_roundtrip(spark, d):
-    v = src_vocab(spark, d)
-    e = encode(T.pairs(spark, d).select("pair_id", "src_text"), {"src_ids": "src_text"}, v, "word")
-    return decode(e.select("pair_id", "src_ids"), {"decoded": "src_ids"}, v, "word").select(
-        "pair_id", "decoded")
+    v = shared_vocab(spark, d)
+    e = encoded_shared(spark, d, v)
+    return decode(e.select("pair_id", "src_ids", "trg_ids"), {"src_back": "src_ids", "trg_back": "trg_ids"}, v, "word").select(
+        "pair_id", "src_back", "trg_back")
 
 
 # ---- D: lengths -------------------------------------------------------------------
@@ -159,7 +210,14 @@ def q_examples(spark, d):
     ex = examples_df(spark, d)
     return ex.select("pair_id", *[render(F.col(c)).alias(c) for c in
                                   ("encoder_input", "decoder_input", "label", "encoder_mask", "dec_valid")],
-                     "src_text", "trg_text")
+                     "src_text", "trg_text", "reason")
+
+
+def q_examples_128(spark, d):
+    """At a length that rejects pairs: they stay, without arrays."""
+    ex = build_examples(encoded_shared(spark, d), CHECK_SEQ_LEN, "annotate")
+    return ex.select("pair_id", render(F.col("encoder_input")).alias("encoder_input"),
+                     render(F.col("label")).alias("label"), "reason")
 
 
 def _one_column(name):
@@ -169,16 +227,14 @@ def _one_column(name):
 
 
 def q_decoder_mask(spark, d):
-    m = examples.decoder_mask(examples_df(spark, d))
-    row_sums = F.transform("decoder_mask", lambda r: F.aggregate(r, F.lit(0), lambda a, x: a + x))
-    return m.select("pair_id",
-                    F.aggregate(row_sums, F.lit(0).cast("long"), lambda a, x: a + x).alias("cells_set"),
-                    render(row_sums).alias("row_sums"))
+    """Set cells at the full length, from the compact form."""
+    return examples_df(spark, d).select("pair_id", A.decoder_mask_cells(F.col("dec_valid")).alias("cells_set"))
 
 
-def q_causal_mask(spark, d):
-    size = lengths.max_lengths(encoded_shared(spark, d)).first()["max_trg"] + 1
-    return examples.causal_mask(spark, int(size))
+def q_decoder_mask_cells(spark, d):
+    """Every cell, at a length where a mask is small: rows of 0 and 1."""
+    m = examples.decoder_mask(build_examples(encoded_shared(spark, d), MASK_SEQ_LEN, "annotate"))
+    return m.select("pair_id", F.array_join(F.transform("decoder_mask", lambda r: F.array_join(r, "")), ";").alias("cells"))
 
 
 def q_example_sizes(spark, d):
@@ -214,8 +270,18 @@ def q_epoch_schedule(spark, d):
 
 def q_val_sample(spark, d):
     val = split_df(spark, d).where(F.col("split") == "val").select("pair_id")
-    ranked = sampling.shuffle_rank(val, ["pair_id"], SEED, [0])
-    return sampling.sample_examples(ranked, OPTS.val_examples).select("pair_id", "rank")
+    return sampling.first_shuffled(val, ["pair_id"], SEED, 0, OPTS.val_examples).select("pair_id", "rank")
+
+
+def q_train_batches(spark, d):
+    """The stacked batches of all epochs over the training pairs that fit."""
+    enc = pin(encoded_shared(spark, d).join(split_df(spark, d).select("pair_id", "split"), "pair_id")
+              .where((F.col("split") == "train") & lengths.length_reason(CHECK_SEQ_LEN).isNull()))
+    schedule = sampling.epoch_schedule(enc.select("pair_id"), ["pair_id"], SEED, OPTS.batch_size, 0, OPTS.num_epochs)
+    b = training_batches(enc, schedule, CHECK_SEQ_LEN)
+    fields = ("encoder_input", "decoder_input", "label", "encoder_mask", "dec_valid")
+    return b.select("epoch", "batch_id", "global_step", render(F.col("pair_id")).alias("pair_ids"),
+                    *[F.md5(F.array_join(F.transform(f, lambda x: render(x)), ";")).alias(f) for f in fields])
 
 
 # ---- G: scores --------------------------------------------------------------------
@@ -300,24 +366,39 @@ def q_comparison_report(spark, d):
 # ---- I: decoding ---------------------------------------------------------------------
 
 def _bigram(enc):
-    """Stand-in model: greedy next-token choice learned from target-side bigrams."""
-    return BigramScorer(bigram_scores(enc, "trg_ids"))
+    """Stand-in model: greedy next-token choice learned from target-side bigrams
+    by source class, with back-off to all sources."""
+    enc_in = A.encoder_input(F.col("src_ids"), OPTS.seq_len)
+    classed = enc.withColumn("src_class", source_class(enc_in, A.encoder_mask(enc_in)))
+    return BigramScorer(bigram_scores(classed, "trg_ids", by=["src_class"]))
+
+
+def _decoded(spark, d, decode_with, max_len):
+    """Every pair with its decoded ids, or none and the reason."""
+    enc = pin(encoded_shared(spark, d).select("pair_id", "src_ids", "trg_ids"))
+    scorer = _bigram(enc)
+    out = decode_with(source_prompts(enc, OPTS.seq_len, "pair_id"), scorer, max_len)
+    reason = lengths.length_reason(OPTS.seq_len, texts=())
+    return enc.select("pair_id", reason.alias("reason")).join(out, "pair_id", "left").select(
+        "pair_id", render(F.when(F.col("reason").isNull(), F.col("ids"))).alias("ids"),
+        F.when(F.col("reason").isNull(), F.col("steps")).cast("int").alias("steps"), "reason")
 
 
 def q_greedy_decode(spark, d):
-    enc = encoded_shared(spark, d)
-    ok = lengths.check_lengths(enc, OPTS.seq_len, "quarantine")[0]
-    prompts = ok.select(F.col("pair_id"), F.concat(F.array(F.lit(2)), F.slice("trg_ids", 1, 1)).alias("ids"))
-    out = greedy_decode(prompts, _bigram(enc), OPTS.seq_len, key="pair_id")
-    return out.select("pair_id", render(F.col("ids")).alias("ids"), F.col("steps").cast("int").alias("steps"))
+    return _decoded(spark, d, lambda p, s, n: greedy_decode(p, s, n, key="pair_id"), OPTS.seq_len)
+
+
+def q_decode_loop(spark, d):
+    """The general step loop, over the same scorer used as joins."""
+    return _decoded(spark, d, lambda p, s, n: decode_loop(s.prepare(p), s, n, key="pair_id"), LOOP_LEN)
 
 
 def _translated(spark, d):
-    v = shared_vocab(spark, d)
+    v = pin(shared_vocab(spark, d))
     stats = vocab_stats(v)  # measured once, reused by every lookup below
-    routed = corpus.route_inputs(T.routing_inputs(spark, d), T.pairs(spark, d))
-    targets = T.pairs(spark, d).select("pair_id", "trg_text")  # the bigram table needs the target side only
-    scorer = _bigram(encode(targets, {"trg_ids": "trg_text"}, v, "word", vocab_stats=stats))
+    pairs = pin(T.pairs(spark, d))
+    scorer = _bigram(pin(encode(pairs, SIDES, v, "word", vocab_stats=stats).select("src_ids", "trg_ids")))
+    routed = pin(corpus.route_inputs(T.routing_inputs(spark, d), pairs))
     return translate_batch(routed, v, scorer, OPTS.seq_len, vocab_stats=stats)
 
 
@@ -329,13 +410,11 @@ def q_validation_metrics(spark, d):
     """Validation entry end to end: a bigram scorer learned from the training
     split decodes every validation pair from [SOS]; CER, WER and BLEU of the
     decoded text against the targets."""
-    from parallex.jobs import validate
-    v = shared_vocab(spark, d)
+    v = pin(shared_vocab(spark, d))
     split = split_df(spark, d).select("pair_id", "split")
-    enc = encode(T.pairs(spark, d).join(split, "pair_id"), SIDES, v, "word", vocab_stats=vocab_stats(v))
     # the prepared table: written once to the checkpoint folder, then read by
     # the scorer (training rows) and the decoder (validation rows)
-    enc = pin(lengths.check_lengths(enc, OPTS.seq_len, "quarantine")[0])
+    enc = pin(encode(T.pairs(spark, d).join(split, "pair_id"), SIDES, v, "word", vocab_stats=vocab_stats(v)))
     scorer = _bigram(enc.where(F.col("split") == "train"))
     out = validate(enc.where(F.col("split") == "val"), v, scorer, OPTS)["metrics"]
     return out.select(*[_r(F.col(c)).alias(c) for c in ("cer", "wer", "bleu")])
@@ -358,9 +437,29 @@ def q_resume_point(spark, d):
     return runlog.resume_point(recs, runlog.latest_artifact(recs, "latest"))
 
 
+def q_artifact_log(spark, d):
+    """Records appended in two parts and read back."""
+    path = _folder(spark, "artifacts")
+    recs = runlog.artifact_records(T.artifact_log(spark, d), OPTS)
+    for part in (F.col("global_step") % 2 == 0, F.col("global_step") % 2 == 1):
+        runlog.append_artifacts(recs.where(part), path)
+    return runlog.read_artifacts(spark, path)
+
+
 def q_metric_log_by_tag(spark, d):
-    r = runlog.metric_summary(T.metric_log(spark, d))
-    return r.select("tag", "n", "last_step", F.col("last_value").alias("last_value"))
+    """Written to the log, read back and summed up by run and tag."""
+    path = _folder(spark, "metrics")
+    runlog.append_metrics(T.metric_log(spark, d), path)
+    r = runlog.metric_summary(runlog.read_metrics(spark, path))
+    return r.select("run", "tag", "n", "last_step", "last_value")
+
+
+def q_loss_log(spark, d):
+    """Losses computed, logged under their fixed tags, read back as curves."""
+    path = _folder(spark, "losses")
+    log_losses(T.scores(spark, d), path, "run", T.BATCHES_PER_EPOCH, T.SCORE_PAD, OPTS.label_smoothing)
+    r = curves.loss_curves(runlog.read_metrics(spark, path), T.BATCHES_PER_EPOCH)
+    return r.select("run", "epoch", _r(F.col("train_loss")).alias("train_loss"), "train_steps", _r(F.col("val_loss")).alias("val_loss"))
 
 
 def q_train_curve(spark, d):
@@ -373,11 +472,12 @@ def q_val_curve(spark, d):
 
 def q_loss_curves(spark, d):
     r = curves.loss_curves(T.metric_log(spark, d), T.STEPS_PER_EPOCH, T.TRAIN_TAG, T.VAL_TAG)
-    return r.select("epoch", _r(F.col("train_loss")).alias("train_loss"), "train_steps", "val_loss")
+    return r.select("run", "epoch", _r(F.col("train_loss"), 9).alias("train_loss"), "train_steps", "val_loss")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pairs_load": q_pairs_load,
+    "pairs_load_split": q_pairs_load_split,
     "pairs_count": q_pairs_count,
     "pair_preview": q_pair_preview,
     "pair_lookup": q_pair_lookup,
@@ -385,8 +485,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sentences_lang": q_sentences_lang,
     "vocab_build": q_vocab_build,
     "vocab_by_lang": q_vocab_by_lang,
+    "special_ids": q_special_ids,
+    "vocab_store": q_vocab_store,
     "vocab_size": q_vocab_size,
     "encode_word": q_encode_word,
+    "encode_two_vocabs": q_encode_two_vocabs,
+    "encode_by_lang": q_encode_by_lang,
     "encode_char": q_encode_char,
     "decode_roundtrip": q_decode_roundtrip,
     "token_lengths": q_token_lengths,
@@ -394,18 +498,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "length_quarantine": q_length_quarantine,
     "length_quarantine_128": q_length_quarantine_128,
     "examples": q_examples,
+    "examples_128": q_examples_128,
     "encoder_input": _one_column("encoder_input"),
     "decoder_input": _one_column("decoder_input"),
     "label_ids": _one_column("label"),
     "encoder_mask": _one_column("encoder_mask"),
     "decoder_mask": q_decoder_mask,
-    "causal_mask": q_causal_mask,
+    "decoder_mask_cells": q_decoder_mask_cells,
     "example_sizes": q_example_sizes,
     "split_exact": q_split_exact,
     "shuffle_rank": q_shuffle_rank,
     "batch_assign": q_batch_assign,
     "batch_collate": q_batch_collate,
     "epoch_schedule": q_epoch_schedule,
+    "train_batches": q_train_batches,
     "val_sample": q_val_sample,
     "log_softmax": q_log_softmax,
     "top1_token": q_top1_token,
@@ -421,12 +527,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metrics_by_turn": q_metrics_by_turn,
     "comparison_report": q_comparison_report,
     "greedy_decode": q_greedy_decode,
+    "decode_loop": q_decode_loop,
     "translate_batch": q_translate_batch,
     "translation_report": q_translation_report,
     "validation_metrics": q_validation_metrics,
+    "artifact_log": q_artifact_log,
     "artifact_latest": q_artifact_latest,
     "resume_point": q_resume_point,
     "metric_log_by_tag": q_metric_log_by_tag,
+    "loss_log": q_loss_log,
     "train_curve": q_train_curve,
     "val_curve": q_val_curve,
     "loss_curves": q_loss_curves,

@@ -4,8 +4,10 @@ CPU-heavy stages."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,23 +42,30 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
 
 def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
               app_name: str = "parallex", extra_conf: dict[str, str] | None = None) -> SparkSession:
-    builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+    """A session with these settings, each only where the submitted application
+    has none: under ``spark-submit`` the cluster's master, sizes and partition
+    counts stand."""
+    settings = {
+        "spark.master": master,
+        "spark.app.name": app_name,
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "16g",
         # checkpoint files of frames no longer referenced are removed
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-    )
-    for k, v in (extra_conf or {}).items():
-        builder = builder.config(k, v)
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    } | (extra_conf or {})
+    submitted = SparkConf() if os.environ.get("PYSPARK_GATEWAY_PORT") else None
+    if submitted is not None:
+        # the application was given a master; its other settings come with it
+        local_only = {"spark.sql.shuffle.partitions", "spark.driver.memory", "spark.app.name"}
+        settings = {k: v for k, v in settings.items() if not submitted.contains(k) and k not in local_only}
+    builder = SparkSession.builder.config(map=settings)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parallex.functions.text import is_row_id
+from parallex.operators.lookup import lookup_join
 from parallex.session import broadcast_checked
 
-PAIRS_SCHEMA = T.StructType([
-    T.StructField("pair_id", T.LongType(), False),
-    T.StructField("src_text", T.StringType(), True),
-    T.StructField("trg_text", T.StringType(), True),
-])
+NEVER_SMALL = 1 << 62  # a row count that no broadcast bound admits
+
+# turns of a conversation that an id leaves room for (31 bits: every int turn)
+TURN_ROOM = 1 << 31
+
+
+def turn_id(conv_id: Column, turn: Column) -> Column:
+    """One id for a conversation turn; distinct for every 32-bit pair."""
+    return (conv_id.cast("long") * F.lit(TURN_ROOM) + turn).cast("long")
 
 
 def to_pairs(corpus: DataFrame, src: str, trg: str, id_col: str = "pair_id",
@@ -31,19 +36,33 @@ def to_pairs(corpus: DataFrame, src: str, trg: str, id_col: str = "pair_id",
     return corpus.select(F.col(id_col).cast("long").alias("pair_id"), *texts, *keep)
 
 
+def corpus_schema(src: str, trg: str, fmt: str, id_col: str = "pair_id") -> T.StructType:
+    """The schema a corpus file has when none is given: an id, the two texts
+    (nested in ``translation``, or flat for CSV) and the split. Nothing is
+    inferred, so no format is read twice."""
+    texts = [T.StructField(x, T.StringType()) for x in (src, trg)]
+    body = texts if fmt == "csv" else [T.StructField("translation", T.StructType(texts))]
+    return T.StructType([T.StructField(id_col, T.LongType()), *body, T.StructField("split", T.StringType())])
+
+
 def read_pairs(spark: SparkSession, path: str, src: str, trg: str, split: str | None = None,
                fmt: str = "parquet", schema: T.StructType | str | None = None,
-               id_col: str = "pair_id") -> DataFrame:
+               id_col: str = "pair_id", multi_line: bool = False) -> DataFrame:
     """Load a parallel corpus by language pair and split (A1).
 
     ``split=None`` or ``"all"`` reads every split; any other value becomes a
     filter on the ``split`` column, which is a partition filter when the corpus
     is laid out as ``.../split=<name>/``. Rows need a stable ``id_col``:
-    DataFrames have no order, so a position is not an identity.
+    DataFrames have no order, so a position is not an identity. ``multi_line``
+    allows line breaks inside quoted CSV fields, at the price of one task per file.
     """
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", "true").option("multiLine", "true").option("escape", '"')
+        reader = reader.option("header", "true").option("escape", '"')
+        if multi_line:
+            reader = reader.option("multiLine", "true")
+    if schema is None and fmt != "parquet":  # Parquet files carry their own
+        schema = corpus_schema(src, trg, fmt, id_col)
     if schema is not None:
         reader = reader.schema(schema)
     corpus = reader.load(path)
@@ -64,7 +83,7 @@ def conversation_pairs(conversations: DataFrame) -> DataFrame:
     a = conversations.where(F.col("role") == "assistant").select(
         "conv_id", "turn", F.col("text").alias("trg_text"))
     return u.join(a, ["conv_id", "turn"], "inner").select(
-        (F.col("conv_id") * 1000 + F.col("u_turn")).cast("long").alias("pair_id"),
+        turn_id(F.col("conv_id"), F.col("u_turn")).alias("pair_id"),
         "src_text", "trg_text")
 
 
@@ -87,7 +106,12 @@ def pairs_by_ids(pairs: DataFrame, ids: DataFrame, id_col: str = "pair_id") -> D
     wanted = broadcast_checked(ids.select(F.col(id_col).alias("pair_id"))
                                .where(F.col("pair_id").isNotNull()).distinct())
     hits = pairs.select("pair_id", "src_text", "trg_text").join(wanted, "pair_id", "left_semi")
-    return ids.join(hits.withColumnRenamed("pair_id", id_col), id_col, "left")
+    # a popular id is spread over salts; the request rows get a number to tell
+    # them apart. Texts are never broadcast: their size is not bounded.
+    asked = ids.where(F.col(id_col).isNotNull()).withColumn("_ask", F.monotonically_increasing_id())
+    found = lookup_join(asked, F.col(id_col), hits.withColumnRenamed("pair_id", "_hit"), "_hit", "left",
+                        small_rows=NEVER_SMALL, salt_source=F.col("_ask")).drop("_ask", "_hit")
+    return found.unionByName(ids.where(F.col(id_col).isNull()), allowMissingColumns=True)
 
 
 def preview(pairs: DataFrame, n: int = 1) -> DataFrame:

@@ -59,12 +59,19 @@ def artifacts_from_files(spark: SparkSession, folder: str, opts: Options = Optio
     ``content`` column of the binary-file source is pruned."""
     pat = f"{opts.model_basename}([0-9]+)\\.pt$"
     files = (spark.read.format("binaryFile").option("pathGlobFilter", f"{opts.model_basename}*")
-             .load(folder).select("path"))
+             .load(folder).select("path").where(F.col("path").rlike(pat)))
     return files.select(F.lit(run).alias("run"),
-                        F.regexp_extract("path", pat, 1).cast("int").alias("epoch"),
+                        F.regexp_extract("path", pat, 1).try_cast("int").alias("epoch"),
                         F.lit(None).cast("long").alias("global_step"), "path")
 
 
+def with_steps(files: DataFrame, steps_per_epoch: int) -> DataFrame:
+    """A listing has no step counter; a file of epoch ``e`` was written after
+    ``(e + 1) * steps_per_epoch`` steps."""
+    derived = ((F.col("epoch") + 1) * F.lit(steps_per_epoch)).cast("long")
+    return files.withColumn("global_step", F.coalesce("global_step", derived))
+
+
 def latest_artifact(log: DataFrame, preload: str | None = "latest",
                     by: tuple[str, ...] = ("run",)) -> DataFrame:
     """The artifact to resume from, per run: the highest epoch (numeric order,
@@ -72,7 +79,7 @@ def latest_artifact(log: DataFrame, preload: str | None = "latest",
     if preload is None:
         return log.limit(0)
     if preload != "latest":
-        return log.where(F.col("epoch") == int(preload))
+        log = log.where(F.col("epoch") == int(preload))  # the last record of that epoch
     rec = F.struct("epoch", "global_step", "path")
     best = log.groupBy(*by).agg(F.max_by(rec, F.struct("epoch", "global_step")).alias("_a"))
     return best.select(*by, "_a.epoch", "_a.global_step", "_a.path")
@@ -80,10 +87,13 @@ def latest_artifact(log: DataFrame, preload: str | None = "latest",
 
 def resume_point(runs: DataFrame, latest: DataFrame, by: tuple[str, ...] = ("run",)) -> DataFrame:
     """``initial_epoch = epoch + 1`` and the saved ``global_step``; 0 and 0 for a
-    run with nothing to resume."""
+    run with nothing to resume. A record without a step counter (a bare file
+    listing, see ``with_steps``) cannot be resumed from and is an error."""
+    missing = F.when(F.col("epoch").isNotNull() & F.col("global_step").isNull(), F.raise_error(
+        F.lit("the artifact to resume from has no global_step; derive it with with_steps")).cast("long"))
     j = runs.select(*by).distinct().join(latest, list(by), "left")
     return j.select(*by, F.coalesce(F.col("epoch") + 1, F.lit(0)).alias("initial_epoch"),
-                    F.coalesce(F.col("global_step"), F.lit(0).cast("long")).alias("global_step"))
+                    F.coalesce(F.col("global_step"), missing, F.lit(0).cast("long")).alias("global_step"))
 
 
 def append_metrics(metrics: DataFrame, path: str) -> None:
@@ -96,9 +106,9 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 
 def metric_summary(log: DataFrame) -> DataFrame:
-    """Per tag: entries, last step and the value written last at that step."""
-    order = F.struct("step", "ts") if "ts" in log.columns else F.struct("step")
-    return log.groupBy("tag").agg(F.count(F.lit(1)).cast("long").alias("n"),
+    """Per run and tag: entries, last step and the value written last at that step."""
+    order = F.struct("step", "ts", "value")
+    return log.groupBy("run", "tag").agg(F.count(F.lit(1)).cast("long").alias("n"),
                                   F.max("step").alias("last_step"),
                                   F.max_by("value", order).alias("last_value"))
 
@@ -118,9 +128,8 @@ def comparison_report(ev: DataFrame, key: str = "pair_id", source: str = "source
     lines, as ``(key, line_no, line)``."""
     src_l, trg_l, pred_l = VAL_LABELS
     lines = F.array(F.lit("-" * RULE_WIDTH),
-                    F.concat(F.lit(src_l), F.col(source)),
-                    F.concat(F.lit(trg_l), F.col(expected)),
-                    F.concat(F.lit(pred_l), F.col(predicted)))
+                    *[F.concat(F.lit(label), F.coalesce(F.col(c), F.lit("")))
+                      for label, c in ((src_l, source), (trg_l, expected), (pred_l, predicted))])
     return ev.select(key, F.posexplode(lines).alias("line_no", "line"))
 
 
