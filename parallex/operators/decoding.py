@@ -177,16 +177,15 @@ def decode_rows(prompts: DataFrame, step: Callable, max_len: int, eos: int = EOS
     rows = prompts.select(key, F.col(ids).cast("array<int>").alias(ids), *extra)
     schema = T.StructType([*rows.schema, T.StructField("steps", T.IntegerType())])
     reads = [rows.columns.index(c) for c in getattr(step, "columns", ())]
-    sent = prompts.sparkSession.sparkContext.broadcast(step)
 
+    # Spark broadcasts a function of this size with its model
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nxt = sent.value
         for batch in batches:
             done, added = [], []
             for start, *state in zip(batch.column(1).to_pylist(), *[batch.column(i).to_pylist() for i in reads], strict=True):
                 got = list(start or ())
                 while got and got[-1] != eos and len(got) < max_len:
-                    follow = nxt(got, *state)
+                    follow = step(got, *state)
                     if follow is None:
                         break
                     got.append(follow)

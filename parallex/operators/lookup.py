@@ -46,7 +46,9 @@ def lookup_join(big: DataFrame, big_key: Column, small: DataFrame, small_key: st
         return big.join(F.broadcast(small), big_key == F.col(small_key), how)
     parts = partitions or work_partitions(big.sparkSession)
     b = big.withColumn("_k", big_key)
-    hot = F.broadcast(hot_keys(b, "_k", parts))  # at most ``parts`` rows
+    # at most ``parts`` rows, found once: the plan below mentions ``big`` once
+    found = hot_keys(b, "_k", parts)
+    hot = F.broadcast(big.sparkSession.createDataFrame(found.collect(), found.schema))
     src = salt_source if salt_source is not None else F.monotonically_increasing_id()
     b = b.join(hot, "_k", "left").withColumn(
         "_salt", F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(

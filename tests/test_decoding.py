@@ -14,9 +14,9 @@ def prompts_df(spark, rows):
 
 
 def plain(scorer):
-    """Same scorer without the first-order marker: forces the step loop."""
+    """Same scorer used as joins only: forces the step loop."""
     def run(frontier):
-        return scorer(frontier)
+        return scorer(scorer.prepare(frontier))
     return run
 
 

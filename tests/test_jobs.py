@@ -16,7 +16,7 @@ def test_prepare_writes_consistent_tables(spark, tmp_dir):
     p = pairs(spark, SF001)
     n = p.count()
     summary = {r["split"]: r for r in prepare(spark, p, tmp_dir, opts).collect()}
-    rejected = spark.read.parquet(f"{tmp_dir}/rejected")
+    rejected = read_prepared(spark, tmp_dir, status="rejected")
     kept = read_prepared(spark, tmp_dir)
     assert kept.count() + rejected.count() == n
     assert set(r["reason"] for r in rejected.collect()) <= {"src_too_long", "trg_too_long"}

@@ -1,4 +1,5 @@
 import os
+from datetime import datetime
 
 
 from parallex.config import Options
@@ -39,8 +40,8 @@ def test_artifacts_from_file_listing(spark, tmp_dir):
 
 
 def metric_rows(spark):
-    rows = [("run", "train loss", s, float(10 - s % 7), None) for s in range(30)]
-    rows += [("run", "validation loss", 10 * (e + 1), float(e), None) for e in range(3)]
+    rows = [("run", "train loss", s, float(10 - s % 7), datetime(2024, 1, 1)) for s in range(30)]
+    rows += [("run", "validation loss", 10 * (e + 1), float(e), datetime(2024, 1, 1)) for e in range(3)]
     return spark.createDataFrame(rows, "run string, tag string, step long, value double, ts timestamp")
 
 

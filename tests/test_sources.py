@@ -67,6 +67,6 @@ def test_read_pairs_flat_csv(spark, tmp_dir):
         w.writerow([1, "test", "hello, world", "こんにちは"])
         w.writerow([2, "train", "two\nlines", "二行"])
     got = read_pairs(spark, path, "en", "ja", "all", fmt="csv",
-                     schema="pair_id long, split string, en string, ja string")
+                     schema="pair_id long, split string, en string, ja string", multi_line=True)
     rows = {r["pair_id"]: (r["src_text"], r["trg_text"], r["split"]) for r in got.collect()}
     assert rows == {1: ("hello, world", "こんにちは", "test"), 2: ("two\nlines", "二行", "train")}

@@ -83,17 +83,3 @@ def test_literal_special_strings_are_unknown(spark):
     ids = encode(df, {"ids": "text"}, v, "word").first()["ids"]
     a = v.where("token = 'a'").first()["id"]
     assert ids == [a, 0, 0, a]
-
-
-def test_encode_shuffles_texts_once_and_keeps_null_keys(spark):
-    df = spark.createDataFrame([(1, "a b"), (None, "a"), (2, "")], "pair_id long, text string")
-    v = build_vocab(df, "text", "word", min_count=1)
-    enc = encode(df, {"ids": "text"}, v)
-    rows = sorted(((r["pair_id"] is None, r["pair_id"] or 0), tuple(r["ids"])) for r in enc.collect())
-    assert len(rows) == 3 and rows[-1][1] == () and rows[0][1] != ()
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:  # the static plan of a fresh frame
-        plan = encode(df, {"ids": "text"}, v)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert plan.count("Exchange hashpartitioning(pair_id") - plan.count("ReusedExchange") == 1
