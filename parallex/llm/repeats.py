@@ -8,8 +8,8 @@ symbols (words or bytes) whose symbols also start anywhere else.
    share one, so a text is a few runs ``(anchor, first window, windows)``.
 3. Only anchors found at two places can hold a repeated window. Their runs are cut
    out as pieces (the symbols of all windows of a run, as one string) and dealt
-   by a prefix key: the anchor, or, for an anchor with more than ``hot`` runs,
-   the longer stretch that all windows of a narrow cell have in common. The key
+   by a prefix key: the anchor, or, for an anchor with more runs than fit in
+   ``CHUNK_BYTES``, the longer stretch that all windows of a narrow cell share. The key
    of a piece is thus a context of variable length, extended until its group
    fits in memory. Equal pieces of a task are sent at most twice.
 4. A task sorts its pieces by key, takes as many whole keys at a time as fit in
@@ -35,7 +35,6 @@ from parallex.llm.common import slices, text_key
 
 CHUNK_BYTES = 2 << 20    # piece bytes solved together
 CHUNK_SYMBOLS = 1 << 20  # symbols of one text hashed together
-HOT = 512                # runs of an anchor beyond which its key is extended
 _BASE = 0x9E3779B97F4A7C15
 _powers: dict[str, np.ndarray] = {}
 
@@ -80,6 +79,12 @@ class Codec:
     gram: int
     cell: int
 
+    symbol_bytes = 1  # expected bytes of a symbol
+
+    def hot(self) -> int:
+        """Runs of an anchor whose pieces would no longer fit in one chunk."""
+        return max(2, CHUNK_BYTES // (self.symbol_bytes * (self.window + (self.window - self.gram) // 2)))
+
     def parse(self, text: bytes):
         """The text as something ``hashed`` and ``cut`` understand, with ``len()``."""
         raise NotImplementedError
@@ -226,14 +231,14 @@ def _solve(pieces: DataFrame, codec: Codec) -> DataFrame:
             .mapInArrow(run, "piece binary, a int, b int"))
 
 
-def repeated(docs: DataFrame, codec: Codec, text: str = "text", hot: int = HOT) -> DataFrame:
+def repeated(docs: DataFrame, codec: Codec, text: str = "text") -> DataFrame:
     """``(key, text, n, spans)`` for every distinct text: ``spans`` are the ranges
     of first symbols of repeated windows (NULL: none; not yet joined or sorted).
     With ``n > 1`` every window of the text is repeated, listed or not."""
     t = texts(docs, text)
     runs = _runs(t, codec)
     places = F.count(F.lit(1)) + F.count_if("moves")
-    often = runs.groupBy("anchor").agg(places.alias("n")).where("n > 1").select("anchor", (F.col("n") > hot).alias("hot"))
+    often = runs.groupBy("anchor").agg(places.alias("n")).where("n > 1").select("anchor", (F.col("n") > codec.hot()).alias("hot"))
     marked = runs.join(often, "anchor").groupBy("key").agg(
         F.collect_list(F.struct("first", "windows", "anchor", "hot")).alias("todo"))
     found = _solve(_cut(t, marked, codec, True), codec).distinct()

@@ -32,6 +32,8 @@ WINDOW = 35
 
 
 class Words(repeats.Codec):
+    symbol_bytes = 6
+
     def __init__(self, window: int = WINDOW, gram: int = 12, cell: int = 2):
         self.window, self.gram, self.cell = window, min(gram, window), cell
 
@@ -68,10 +70,10 @@ def dedup(docs: DataFrame, window: int = WINDOW, text: str = "text") -> DataFram
     """``docs`` with the repeated words cut out of ``text`` (the words that stay,
     joined by one space), plus ``n_words`` and ``n_removed``. Columns with these
     names are replaced."""
-    cut = _cut_texts(docs, window, text, True)
-    kept = without(docs, ["n_words", "n_removed", text, "_key", "kept", "kept_sha256"])
-    return (docs.select(*kept, text_key(F.col(text)).alias("_key")).join(cut.withColumnRenamed("key", "_key"), "_key")
-            .select(*kept, F.col("kept").alias(text), "n_words", "n_removed"))
+    cut = _cut_texts(docs, window, text, True).select(F.col("key").alias("_key"), F.col("kept").alias("_text"), "n_words", "n_removed")
+    kept = without(docs, ["n_words", "n_removed", text, "_key", "_text"])
+    return (docs.select(*kept, text_key(F.col(text)).alias("_key")).join(cut, "_key")
+            .select(*kept, F.col("_text").alias(text), "n_words", "n_removed"))
 
 
 def _cut_texts(docs: DataFrame, window: int, text: str, whole: bool) -> DataFrame:
