@@ -36,6 +36,22 @@ def without(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in low]
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns named ``_in0``, ``_in1``, ...: whatever an operator
+    adds or replaces then cannot clash with them."""
+    return docs.select(*[F.col(c).alias(f"_in{i}") for i, c in enumerate(docs.columns)])
+
+
+def at(docs: DataFrame, name: str) -> str:
+    """The name that ``numbered`` gives to a column."""
+    return f"_in{docs.columns.index(name)}"
+
+
+def named(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` under their own names again."""
+    return out.select(*[F.col(f"_in{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def binary(column: pa.Array) -> list:
     """The UTF-8 bytes (or None) of a string column."""
     return column.cast(pa.large_binary()).to_pylist()

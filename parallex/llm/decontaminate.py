@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parallex.llm.common import add_columns, documents, without
+from parallex.llm.common import add_columns, at, documents, named, numbered, without
 
 WINDOW = 10
 BLOCK_BYTES = 1 << 20  # UTF-8 bytes of item texts in one automaton (about 100 MB in a worker)
@@ -157,9 +157,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents without any benchmark window."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    marked = docs.select(*[F.col(c).alias(f"_in{i}") for i, c in enumerate(docs.columns)], F.col("text").alias("_scan"))
-    found = hits(marked, items, text="_scan", drop=("_scan",)).where("not contaminated")
-    return found.select(*[F.col(f"_in{i}").alias(c) for i, c in enumerate(docs.columns)])
+    return named(hits(numbered(docs), items, text=at(docs, "text")).where("not contaminated"), docs)
 
 
 ORACLE = r"""

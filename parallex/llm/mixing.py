@@ -26,7 +26,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parallex.llm.common import WORD, documents, stored, without
+from parallex.llm.common import WORD, at, documents, named, numbered, stored, without
 from parallex.session import broadcast_checked, pin
 
 MAX_REPEATS = 2.0
@@ -132,4 +132,4 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents in the mix, repeated as often as they are read."""
-    return mix(docs.select([F.col(c) for c in docs.columns])).select(*docs.columns)
+    return named(mix(numbered(docs), at(docs, "source"), at(docs, "text")), docs)

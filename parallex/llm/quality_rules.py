@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parallex.llm.common import add_columns, documents
+from parallex.llm.common import add_columns, at, documents, named, numbered
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8          # words in a window of the repetition measure
@@ -201,7 +201,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that no rule rejects."""
-    return verdict(docs).where("kept").select(*docs.columns)
+    return named(verdict(numbered(docs), text=at(docs, "text")).where("kept"), docs)
 
 
 ORACLE = r"""

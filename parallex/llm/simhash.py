@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
-from parallex.llm.common import add_columns, documents, without
+from parallex.llm.common import add_columns, documents, named
 from parallex.llm.components import components
 from parallex.session import pin
 
@@ -180,6 +180,5 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     first = fps.groupBy("fp").agg(F.min(order).alias("o")).join(known, "fp")
     keep = first.groupBy("root").agg(F.min("o").alias("o")).select(F.col("o.row").alias("_row"))
-    cols = without(docs, ["_row"])
-    return (docs.select(*cols).withColumn("_row", ident).join(keep, "_row", "left_semi")
-            .dropDuplicates(["_row"]).select(*cols))
+    marked = docs.select(*[F.col(c).alias(f"_in{i}") for i, c in enumerate(docs.columns)], ident.alias("_row"))
+    return named(marked.join(keep, "_row", "left_semi").dropDuplicates(["_row"]), docs)
