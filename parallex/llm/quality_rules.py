@@ -18,6 +18,7 @@ import time
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -97,6 +98,10 @@ class Measures:
                 edge[i + WINDOW] -= 1
         return int((np.cumsum(edge[:-1]) > 0).sum())
 
+    def n_stutter(self) -> int:
+        """Words equal to the word before."""
+        return sum(map(eq, self["words"], self["words"][1:]))
+
     def n_wordy(self) -> int:
         """Words with at least one letter."""
         texts = [w.decode("utf-8", "replace") for w in self["words"]]
@@ -118,6 +123,7 @@ RULES = (
     *BASE,
     Rule("symbols", lambda m: 10 * m["n_symbols"] > m["n_words"]),
     Rule("repeated_lines", lambda m: 2 * m["n_dup_lines"] > m["n_lines"]),
+    Rule("stutter", lambda m: 10 * m["n_stutter"] > 3 * m["n_words"]),
     Rule("word_length", lambda m: not 2 * m["n_words"] <= m["word_chars"] <= 12 * m["n_words"]),
     Rule("letters", lambda m: 10 * m["n_wordy"] < 7 * m["n_words"]),
 )
@@ -216,11 +222,13 @@ m AS (SELECT w.r, doc_id, len(ws)::BIGINT AS n_words, coalesce(length(array_to_s
              length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
              (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, len(ls) AS n_lines,
              coalesce(p.n, 0)::BIGINT AS n_repeat_words,
-             len(list_filter(ws, lambda x: regexp_matches(x, '\p{L}'))) AS n_wordy
+             len(list_filter(ws, lambda x: regexp_matches(x, '\p{L}'))) AS n_wordy,
+             len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS n_stutter
       FROM w LEFT JOIN p USING (r)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines
-            OR word_chars < 2 * n_words OR word_chars > 12 * n_words OR 10 * n_wordy < 7 * n_words) AS kept
+            OR word_chars < 2 * n_words OR word_chars > 12 * n_words OR 10 * n_wordy < 7 * n_words
+            OR 10 * n_stutter > 3 * n_words) AS kept
 FROM b
 """

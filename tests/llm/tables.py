@@ -27,7 +27,7 @@ def texts(seed=1):
     out += [out[0]] * 4
     out += ["footer line\n" + prose(40) + "\n  footer line \t"] * 1 + [f"footer line\n{prose(40)}" for _ in range(12)]
     out += ["Schöne Grüße über 日本語 " * 30, "one two three", "\n".join(["the same line again and again"] * 40),
-            "# $ % & " * 30 + prose(25), "12 34 56 " * 20, prose(20_000), "x" * 3000, "aaaa " * 900]
+            "# $ % & " * 30 + prose(25), "12 34 56 " * 20, " ".join(w for w in vocab[:30] for _ in range(5)), prose(20_000), "x" * 3000, "aaaa " * 900]
     return out
 
 
