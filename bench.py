@@ -19,7 +19,8 @@ from parallex.session import get_spark  # noqa: E402
 
 HEADLINE = [
     "examples", "encode_word", "vocab_build", "vocab_by_lang", "split_exact", "epoch_schedule", "masked_ce",
-    "smoothed_ce", "cer", "wer", "bleu", "greedy_decode", "translate_batch", "loss_curves",
+    "smoothed_ce", "cer", "wer", "bleu", "greedy_decode", "translate_batch", "validation_metrics", "decoder_mask",
+    "train_batches", "loss_curves",
 ]
 
 

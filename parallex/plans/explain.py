@@ -75,10 +75,10 @@ def main(argv) -> int:
            "Static physical plans of the registered queries (`python -m parallex.plans.explain`),",
            "AQE off. Shuffles: hash / range / round-robin / single-partition (the last only",
            "gathers one partial row per task for a global aggregate or a bounded offset table).",
-           "Joins: broadcast / sort-merge / nested-loop (the nested-loop joins are the",
-           "decoding lookups of prompts that all end in the literal [SOS]: the key folds to",
-           "a constant and the broadcast side is filtered to one row). Reused: exchanges",
-           "whose output an identical subplan already produced (computed once). Cached:",
+           "Joins: broadcast / sort-merge / nested-loop (nested-loop: an equality that",
+           "Catalyst folded with a constant, with a broadcast side of bounded size).",
+           "A query that writes or checkpoints a table shows the plan above the last one.",
+           "Reused: exchanges whose output an identical subplan already produced (computed once). Cached:",
            "reads of a cached relation, whose plan is counted once. Scans list the columns",
            "read and the filters pushed into Parquet.", "",
            "| query | shuffles h/r/rr/1 | joins b/smj/nl | reused | cached | scans (table: columns; pushed filters) |",
@@ -92,10 +92,9 @@ def main(argv) -> int:
                    f"{s['nested_loop_joins']} | {s['reused']} | {s['cached_reads']} | {scans} |")
     out += ["", "## Plan trees of key operators", "",
             "The tree part of `explain(\"formatted\")` (AQE off) for operators whose plan",
-            "shape is the point: encode (the texts are exchanged once on the key; the",
-            "per-key regroup of token ids reads that exchange without one of its own; the",
-            "join back exchanges only the input's remaining columns, here just the key;",
-            "the two round-robin exchanges under the scans spread the one-row-group test",
+            "shape is the point: encode (the rows are exchanged once on a generated row id;",
+            "tokens and rows are one stream, and the regroup needs no exchange and no join",
+            "back; the round-robin exchanges under the scans spread the one-row-group test",
             "files), BLEU n-gram counts (the per-(pair, n, gram) aggregate needs no",
             "exchange of its own), and the exact split (hash-prefix buckets, bounded offsets)."]
     for name in ("encode_word", "bleu_ngrams", "split_exact"):
