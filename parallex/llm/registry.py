@@ -17,6 +17,8 @@ QUERIES = {
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 ORACLE = {
+    "op1_substring_dedup": substring_dedup.ORACLE,
+    "op8_suffix_array_dedup": suffix_dedup.ORACLE,
     "op2_line_dedup": line_dedup.ORACLE,
     "op4_quality_rules": quality_rules.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,

@@ -104,3 +104,17 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = _cut_texts(docs, WINDOW, "text", False)
     return docs.select("doc_id", text_key(F.col("text")).alias("key")).join(cut, "key").select(
         "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT r, ws, unnest(range(1, len(ws) - 33)) AS i FROM d WHERE len(ws) >= 35),
+k AS (SELECT r, i, md5(array_to_string(ws[i:i + 34], ' ')) AS g FROM w),
+c AS (SELECT r, i FROM k QUALIFY count(*) OVER (PARTITION BY g) > 1),
+p AS (SELECT DISTINCT r, i + j AS pos FROM c, range(0, 35) AS x(j)),
+n AS (SELECT r, count(*) AS gone FROM p GROUP BY r),
+t AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM d),
+s AS (SELECT t.r, string_agg(word, ' ' ORDER BY t.pos) AS kept FROM t ANTI JOIN p ON t.r = p.r AND t.pos = p.pos GROUP BY t.r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN s USING (r)
+"""

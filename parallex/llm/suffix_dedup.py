@@ -162,3 +162,21 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = _cut_texts(docs, WINDOW, "text", False)
     return docs.select("doc_id", text_key(F.col("text")).alias("key")).join(cut, "key").select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, h, unnest(range(0, len(h) // 2 - 399)) AS i FROM d WHERE len(h) >= 800),
+k AS (SELECT r, i, md5(substr(h, 2 * i + 1, 800)) AS g FROM w),
+c AS (SELECT r, i FROM k QUALIFY count(*) OVER (PARTITION BY g) > 1),
+e AS (SELECT r, i, coalesce(i - lag(i) OVER (PARTITION BY r ORDER BY i) > 400, true) AS starts FROM c),
+u AS (SELECT r, i, count(*) FILTER (starts) OVER (PARTITION BY r ORDER BY i) AS run FROM e),
+v AS (SELECT r, min(i) AS a, max(i) + 400 AS b FROM u GROUP BY r, run),
+x AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM v),
+y AS (SELECT r, any_value(h) AS h, sum(b - a) AS gone, count(*) AS runs, max(b) AS tail,
+             string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+      FROM x JOIN d USING (r) GROUP BY r)
+SELECT doc_id, (len(d.h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(runs, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN y.r IS NULL THEN d.h ELSE kept || substr(d.h, 2 * tail + 1) END)) AS kept_sha256
+FROM d LEFT JOIN y USING (r)
+"""
