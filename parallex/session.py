@@ -7,7 +7,6 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,13 +59,16 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
         # checkpoint files of frames no longer referenced are removed
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     } | (extra_conf or {})
-    submitted = SparkConf() if os.environ.get("PYSPARK_GATEWAY_PORT") else None
-    if submitted is not None:
-        # the application was given a master; its other settings come with it
-        local_only = {"spark.sql.shuffle.partitions", "spark.driver.memory", "spark.app.name"}
-        settings = {k: v for k, v in settings.items() if not submitted.contains(k) and k not in local_only}
-    builder = SparkSession.builder.config(map=settings)
-    spark = builder.getOrCreate()
+    if os.environ.get("PYSPARK_GATEWAY_PORT"):  # started by spark-submit
+        spark = SparkSession.builder.getOrCreate()
+        given = spark.sparkContext.getConf()
+        for k, v in settings.items():
+            # partition counts come with the cluster; other SQL settings only fill gaps
+            mine = k != "spark.sql.shuffle.partitions" or k in (extra_conf or {})
+            if k.startswith("spark.sql.") and mine and not given.contains(k):
+                spark.conf.set(k, v)
+    else:
+        spark = SparkSession.builder.config(map=settings).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
