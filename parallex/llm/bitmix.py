@@ -2,12 +2,11 @@
 
 A text is cut into units: up to 62 bytes of a word and the white-space byte (or
 the end mark ``\\xff``, which UTF-8 never holds) that ends it, or 63 bytes of a
-longer word. A unit carries a class, made of what the unit before it ended with.
-Both are fixed by the bytes seen so far, so a text's probability is the product
-of its units' and sums to one over all texts. A unit's bytes are coded bit by
-bit, highest first, and every bit is predicted from counts in five contexts
-hashed with the bits already known: class and place; last byte; last two bytes;
-the unit's whole prefix; prefix and class.
+longer word, whose rest is marked as going on. Both are fixed by the bytes seen
+so far, so a text's probability is the product of its units' and sums to one
+over all texts. A unit's bytes are coded bit by bit, highest first, and every
+bit is predicted from counts in four contexts hashed with the bits already
+known: place in the unit; last byte; last two bytes; the unit's whole prefix.
 
 The counts become stretched probabilities and are mixed by weights that a gate
 (how often the prefix and the last two bytes were seen here) selects. Weights are
@@ -25,13 +24,13 @@ import numpy as np
 LONG = 63
 _UNIT = re.compile(rb"[^\x20\x09-\x0D\xff]{0,62}[\x20\x09-\x0D\xff]|[^\x20\x09-\x0D\xff]{63}")
 _ENDS = frozenset(b" \t\n\r\x0b\x0c\xff")
-START, OTHER, STOP, PAUSE, CUT, BREAK = (bytes([i]) for i in range(1, 7))
+CUT = b"\xfd"        # leads a unit that goes on with a cut word (no UTF-8 text holds it)
 WORD_MARK = b"\xfe"  # leads the key of a word too long for one unit
 
-N_GLOBAL, N_LOCAL = 3, 2
-GLOBAL_BITS = (14, 18, 20)  # slots of the tables for class and place, last byte, last two bytes
+N_GLOBAL, N_LOCAL = 3, 1
+GLOBAL_BITS = (14, 18, 20)  # slots of the tables for place, last byte, last two bytes
 LOCAL_BITS = 22             # slots of a partition's tables for prefixes
-LOCAL_FROM = 3              # bytes a prefix needs: units are dealt by their first three
+LOCAL_FROM = 3              # bytes a prefix needs at least: units are dealt by their first bytes
 PRIOR = 0.05
 GATES = 18
 INPUTS = N_GLOBAL + N_LOCAL + 1
@@ -39,61 +38,39 @@ CELLS = 33
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
-class _Tails(dict):
-    """Class of a unit by the last two bytes of the unit before it."""
-
-    def __missing__(self, tail: bytes) -> bytes:
-        end = tail[-1]
-        if end not in _ENDS:
-            got = CUT
-        elif end == 10 or len(tail) < 2 or tail[0] in _ENDS:
-            got = BREAK
-        else:
-            got = STOP if tail[0] in b".!?" else PAUSE if tail[0] in b",;:" else OTHER
-        self[tail] = got
-        return got
-
-
-_TAILS = _Tails()
-
-
 def keys(text: bytes | None) -> list[bytes]:
-    """Class and bytes of every unit of the text."""
+    """The units of the text and the words that span several of them, as keys."""
     units = _UNIT.findall((text or b"") + b"\xff")
-    return [START + units[0], *[_TAILS[a[-2:]] + b for a, b in zip(units, units[1:], strict=False)]]
-
-
-def long_words(text: bytes | None, found: list[bytes]) -> list[bytes]:
-    """Keys of the words that span several units."""
-    if max(map(len, found)) <= LONG:
-        return []
-    return [WORD_MARK + w.lower() for w in text.split() if len(w) >= LONG]
+    if max(map(len, units)) < LONG:
+        return units
+    cut = [len(u) == LONG and u[-1] not in _ENDS for u in units]
+    out = [units[0], *[CUT + u if c else u for u, c in zip(units[1:], cut, strict=False)]]
+    return out + [WORD_MARK + w.lower() for w in (text or b"").split() if len(w) >= LONG]
 
 
 def word_of(key: bytes) -> bytes | None:
     """The word (A-Z lower-cased) that a key stands for, if it holds a whole one."""
     if key[:1] == WORD_MARK:
         return key[1:]
-    if key[:1] == CUT or key[-1] not in _ENDS or len(key) < 3:
+    if key[:1] == CUT or key[-1] not in _ENDS or len(key) < 2:
         return None
-    return key[1:-1].lower()
-
-
-def is_unit(key: bytes) -> bool:
-    return key[:1] != WORD_MARK
+    return key[:-1].lower()
 
 
 class Units:
     """Units in arrays, longest first, with the walk over their bits."""
 
-    def __init__(self, found: list[bytes], counts: np.ndarray):
-        size = np.array([len(k) - 1 for k in found])
+    def __init__(self, found: list[bytes], counts: np.ndarray, deep: int = LOCAL_FROM):
+        self.deep = deep  # prefixes of so many bytes are whole in this partition
+        kind = np.array([k[:1] == CUT for k in found], bool)
+        found = [k[1:] if c else k for k, c in zip(found, kind.tolist(), strict=True)]
+        size = np.array([len(k) for k in found], np.int64)
         self.order = np.argsort(-size, kind="stable")
         self.size = size[self.order]
         self.count = np.asarray(counts, np.float64)[self.order]
-        self.kind = np.array([k[0] for k in found], np.uint64)[self.order]
+        self.kind = kind.astype(np.uint64)[self.order]
         width = int(self.size[0]) if len(found) else 0
-        flat = b"".join([found[i][1:].ljust(width, b"\0") for i in self.order])
+        flat = b"".join([found[i].ljust(width, b"\0") for i in self.order])
         self.data = np.frombuffer(flat, np.uint8).reshape(len(found), width)
 
     def walk(self):
@@ -110,8 +87,8 @@ class Units:
             byte = self.data[:n, t].astype(np.uint64)
             contexts = [kind * np.uint64(8) + np.uint64(min(t, 3)), one * np.uint64(4) + np.uint64(min(t, 2)),
                         two * np.uint64(4) + np.uint64(min(t, 3))]
-            if t >= LOCAL_FROM:
-                contexts += [prefix, prefix ^ (kind * _K[4])]
+            if t >= self.deep:
+                contexts.append(prefix + kind)
             contexts = [(c + np.uint64(1)) * k for c, k in zip(contexts, _K, strict=False)]
             shifts = [64 - b for b in GLOBAL_BITS] + [64 - LOCAL_BITS] * N_LOCAL
             node = np.ones(n, np.uint64)

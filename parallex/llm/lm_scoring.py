@@ -7,9 +7,10 @@ the work is done once per distinct unit:
 1. Distinct units of all texts with their counts in the training texts, and from
    them the counts of the training words (for the base score).
 2. Counts of the low-order contexts: one small table per task, summed.
-3. Units are dealt by class-free prefix (three bytes), so the counts of every
-   longer prefix are whole within a partition. There the mixing weights are
-   learned online on the frequent units and every eighth of the others (a hash
+3. Units are dealt by their first three bytes (by more, if more than
+   ``GROUP_UNITS`` units share three), so the counts of every longer prefix are
+   whole within a partition. There the mixing weights are learned
+   online on the frequent units and every sixteenth of the others (a hash
    decides); weights and refinement counts of the partitions are averaged.
 4. Every unit is scored with the counts of all training units.
 5. Texts are dealt into blocks of about ``BLOCK_BYTES``. A block's distinct units
@@ -39,12 +40,16 @@ from pyspark.sql import functions as F
 
 from parallex.llm import bitmix
 from parallex.llm.common import binary, documents, slices, stored
+from parallex.session import work_partitions
 
 HOLD_OUT = 10            # one in so many doc_ids
-BLOCK_BYTES = 12 << 20   # texts whose units are looked up together
-SEND_KEYS = 300_000      # distinct units a task gathers before it sends them
-LEARN_ALL = 64           # training count from which a unit takes part in learning weights
-LEARN_PART = 8           # of the others, one in so many
+BLOCK_BYTES = 32 << 20   # texts whose units are looked up together
+GROUP_UNITS = 1 << 20    # units of one dealing prefix that a task can hold
+PART_UNITS = 1 << 18     # units of a partition, on average
+MAX_DEPTH = 12           # bytes of a dealing prefix at most
+SEND_KEYS = 600_000      # distinct units a task gathers before it sends them
+LEARN_ALL = 256          # training count from which a unit takes part in learning weights
+LEARN_PART = 16          # of the others, one in so many
 _BATCH, _SMALL = 32_768, 4_096
 _PRIOR = 0.1
 
@@ -53,16 +58,13 @@ def held_out(doc_id) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % HOLD_OUT == 0
 
 
-def _keys(text: bytes | None) -> list[bytes]:
-    found = bitmix.keys(text)
-    return found + bitmix.long_words(text, found)
-
-
 def _units(docs: DataFrame) -> DataFrame:
     """``(key, train)``: every distinct unit and its count in the training texts."""
     def send(train: Counter, seen: set) -> pa.RecordBatch:
+        for k in seen:
+            train.setdefault(k, 0)  # only in held-out texts
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.binary()), pa.array([train.get(k, 0) for k in seen], pa.int64())], names=["key", "train"])
+            [pa.array(list(train), pa.binary()), pa.array(list(train.values()), pa.int64())], names=["key", "train"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         train: Counter = Counter()
@@ -70,14 +72,11 @@ def _units(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, 1):
                 for doc, text in zip(part.column(0).to_pylist(), binary(part.column(1)), strict=True):
-                    found = _keys(text)
-                    if not held_out(doc):
-                        train.update(found)
-                    seen.update(found)
-                if len(seen) > SEND_KEYS:
+                    (seen if held_out(doc) else train).update(bitmix.keys(text))
+                if len(seen) + len(train) > SEND_KEYS:
                     yield send(train, seen)
                     train, seen = Counter(), set()
-        if seen:
+        if seen or train:
             yield send(train, seen)
 
     found = docs.mapInArrow(run, "key binary, train long").groupBy("key").agg(F.sum("train").alias("train"))
@@ -90,8 +89,23 @@ def _units(docs: DataFrame) -> DataFrame:
     return stored(found.mapInArrow(words, "key binary, train long, word binary"))
 
 
-def _partitions(units: DataFrame) -> DataFrame:
-    return units.where(F.substring("key", 1, 1) != F.lit(bitmix.WORD_MARK)).select("key", "train").repartition(F.substring("key", 2, 3))
+def _only_units(units: DataFrame) -> DataFrame:
+    return units.where(F.substring("key", 1, 1) != F.lit(bitmix.WORD_MARK)).select("key", "train")
+
+
+def _depth(units: DataFrame) -> tuple[int, int]:
+    """Bytes of the dealing prefix, and how many partitions it is dealt to."""
+    for d in range(bitmix.LOCAL_FROM, MAX_DEPTH + 1):
+        sizes = _only_units(units).groupBy(F.substring("key", 1, d).alias("p")).count()
+        most, total = sizes.agg(F.max("count"), F.sum("count")).first()
+        if (most or 0) <= GROUP_UNITS:
+            break
+    return d, max(work_partitions(units.sparkSession), -(-(total or 0) // PART_UNITS))
+
+
+def _partitions(units: DataFrame, depth: tuple[int, int]) -> DataFrame:
+    d, parts = depth
+    return _only_units(units).repartition(parts, F.substring("key", 1, d))
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[list[bytes], np.ndarray]:
@@ -105,9 +119,9 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[list[bytes], np.ndarra
     return [keys[i] for i in order], np.array([counts[i] for i in order], np.int64)
 
 
-def _chunks(keys: list[bytes], counts: np.ndarray, size: int) -> Iterator[bitmix.Units]:
+def _chunks(keys: list[bytes], counts: np.ndarray, size: int, deep: int = bitmix.LOCAL_FROM) -> Iterator[bitmix.Units]:
     for i in range(0, len(keys), size):
-        yield bitmix.Units(keys[i:i + size], counts[i:i + size])
+        yield bitmix.Units(keys[i:i + size], counts[i:i + size], deep)
 
 
 def _summed(parts: DataFrame) -> dict[str, np.ndarray]:
@@ -159,54 +173,54 @@ def _low_orders(units: DataFrame) -> list[np.ndarray]:
                 bitmix.learn_counts(u, [*tables, *[None] * bitmix.N_LOCAL])
         yield _sent([r for i, t in enumerate(tables) for r in _rows(str(i), t)])
 
-    train = units.where((F.col("train") > 0) & (F.substring("key", 1, 1) != F.lit(bitmix.WORD_MARK))).select("key", "train")
+    train = _only_units(units).where("train > 0")
     got = _summed(train.mapInArrow(run, "name string, place int, cells binary"))
     return [_filled(got.get(str(i)), t).astype(np.float32) for i, t in enumerate(bitmix.new_global())]
 
 
-def _tables(low: list[np.ndarray], keys: list[bytes], counts: np.ndarray) -> list[np.ndarray]:
+def _tables(low: list[np.ndarray], keys: list[bytes], counts: np.ndarray, deep: int) -> list[np.ndarray]:
     """The low-order tables and this partition's prefix tables."""
     local = bitmix.new_local()
     trained = np.flatnonzero(counts > 0)
-    for u in _chunks([keys[i] for i in trained], counts[trained], _BATCH):
+    for u in _chunks([keys[i] for i in trained], counts[trained], _BATCH, deep):
         bitmix.learn_counts(u, [*[None] * bitmix.N_GLOBAL, *local])
     return [*low, *local]
 
 
-def _mixer(units: DataFrame, low) -> tuple[np.ndarray, np.ndarray]:
+def _mixer(units: DataFrame, low, depth: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Mixing weights (mean of the partitions', by training count) and refinement counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = _gathered(batches)
-        tables = _tables(low.value, keys, counts)
+        tables = _tables(low.value, keys, counts, depth[0])
         chosen = [i for i, (k, c) in enumerate(zip(keys, counts.tolist(), strict=True))
                   if c >= LEARN_ALL or c and zlib.crc32(k) % LEARN_PART == 0]
         weights = bitmix.new_weights()
         moved, refine = np.zeros_like(weights), np.zeros((256, bitmix.CELLS, 2))
-        for u in _chunks([keys[i] for i in chosen], counts[chosen], _SMALL):
+        for u in _chunks([keys[i] for i in chosen], counts[chosen], _SMALL, depth[0]):
             bitmix.learn_weights(u, tables, weights, moved, refine)
         mass = float(counts[chosen].sum())
         if mass:
             yield _sent([*_rows("weights", weights * mass), *_rows("mass", np.array([mass])), *_rows("refine", refine)])
 
-    got = _summed(_partitions(units).mapInArrow(run, "name string, place int, cells binary"))
+    got = _summed(_partitions(units, depth).mapInArrow(run, "name string, place int, cells binary"))
     weights, refine = bitmix.new_weights(), np.zeros((256, bitmix.CELLS, 2))
     if "mass" in got:
         weights = _filled(got["weights"], weights) / got["mass"][0][0]
     return weights, _filled(got.get("refine"), refine)
 
 
-def _scored(units: DataFrame, low, mixer) -> DataFrame:
+def _scored(units: DataFrame, low, mixer, depth: tuple[int, int]) -> DataFrame:
     """``(key, score)``: log10 probability of every unit."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = _gathered(batches)
         if keys:
-            model = bitmix.Scorer(_tables(low.value, keys, counts), *mixer.value)
+            model = bitmix.Scorer(_tables(low.value, keys, counts, depth[0]), *mixer.value)
             for i in range(0, len(keys), _BATCH):
-                u = bitmix.Units(keys[i:i + _BATCH], counts[i:i + _BATCH])
+                u = bitmix.Units(keys[i:i + _BATCH], counts[i:i + _BATCH], depth[0])
                 yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + _BATCH], pa.binary()), pa.array(model.log_probability(u))],
                                                  names=["key", "score"])
 
-    return _partitions(units).mapInArrow(run, "key binary, score double")
+    return _partitions(units, depth).mapInArrow(run, "key binary, score double")
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -222,9 +236,12 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     known = words.where("c > 0").agg(F.count(F.lit(1)), F.sum("c")).first()
     n, v = int(known[1] or 0) + ends, known[0] + (1 if ends else 0)
     low = spark.sparkContext.broadcast(_low_orders(units))
-    mixer = spark.sparkContext.broadcast(_mixer(units, low))
-    table = (units.join(_scored(units, low, mixer), "key", "left").join(words, "word", "left")
-             .select("key", "score", F.coalesce("c", F.lit(0).cast("long")).alias("c")))
+    depth = _depth(units)
+    mixer = spark.sparkContext.broadcast(_mixer(units, low, depth))
+    # units and words are spread by hash: a partition's table is small, no sort is needed
+    table = (units.join(_scored(units, low, mixer, depth).hint("shuffle_hash"), "key", "left")
+             .join(words.hint("shuffle_hash"), "word", "left")
+             .select("key", F.col("score").cast("float").alias("score"), F.coalesce("c", F.lit(0).cast("long")).alias("c")))
     total = light.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES) or 1
     dealt = light.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("long"))
@@ -232,25 +249,25 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     def ask(key, rows):
         seen: set = set()
         for text in binary(rows.column("text").combine_chunks()):
-            seen.update(_keys(text))
+            seen.update(bitmix.keys(text))
         return pa.table({"block": pa.array([key[0].as_py()] * len(seen), pa.int64()), "key": pa.array(list(seen), pa.binary())})
 
     asked = dealt.groupBy("block").applyInArrow(ask, "block long, key binary")
-    answers = asked.join(table, "key").select("block", "key", "score", "c")
+    answers = asked.join(table.hint("shuffle_hash"), "key").select("block", "key", "score", "c")
     floor, below = math.log10(_PRIOR), math.log10(n + _PRIOR * (v + 1))
 
     def add_up(rows, found):
         keys = found.column("key").to_pylist()
         c = found.column("c").to_numpy()
         place = {k: i for i, k in enumerate(keys)}
-        unit = np.nan_to_num(found.column("score").to_numpy(zero_copy_only=False).astype(np.float64))
+        unit = np.nan_to_num(found.column("score").to_numpy().astype(np.float64))
         word = np.array([bitmix.word_of(k) is not None for k in keys], bool)
         base = np.where(word, np.log10(c + _PRIOR) - below, 0.0)
         known = word & (c > 0)
         end = (math.log10(ends + _PRIOR) if ends else floor) - below
         out = []
         for doc, text in zip(rows.column("doc_id").to_pylist(), binary(rows.column("text").combine_chunks()), strict=True):
-            at = np.array([place[k] for k in _keys(text)], np.int64)
+            at = np.array([place[k] for k in bitmix.keys(text)], np.int64)
             total = float(unit[at].sum())
             out.append((doc, held_out(doc), int(word[at].sum()) + 1, int(known[at].sum()) + (1 if ends else 0), n,
                         float(base[at].sum()) + end, total, -total * math.log2(10) / (len(text or b"") + 1)))
