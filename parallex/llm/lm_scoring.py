@@ -238,9 +238,10 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     low = spark.sparkContext.broadcast(_low_orders(units))
     depth = _depth(units)
     mixer = spark.sparkContext.broadcast(_mixer(units, low, depth))
-    # units and words are spread by hash: a partition's table is small, no sort is needed
-    table = (units.join(_scored(units, low, mixer, depth).hint("shuffle_hash"), "key", "left")
-             .join(words.hint("shuffle_hash"), "word", "left")
+    # units and words are spread by hash: a partition's table is small, no sort is
+    # needed. Words first: what follows is partitioned by unit, as the lookup below.
+    counted = units.select("key", "word").join(words.hint("shuffle_hash"), "word", "left").select("key", "c")
+    table = (counted.join(_scored(units, low, mixer, depth).hint("shuffle_hash"), "key", "left")
              .select("key", F.col("score").cast("float").alias("score"), F.coalesce("c", F.lit(0).cast("long")).alias("c")))
     total = light.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES) or 1
@@ -248,8 +249,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
     def ask(key, rows):
         seen: set = set()
-        for text in binary(rows.column("text").combine_chunks()):
-            seen.update(bitmix.keys(text))
+        for chunk in rows.column("text").chunks:
+            for text in binary(chunk):
+                seen.update(bitmix.keys(text))
         return pa.table({"block": pa.array([key[0].as_py()] * len(seen), pa.int64()), "key": pa.array(list(seen), pa.binary())})
 
     asked = dealt.groupBy("block").applyInArrow(ask, "block long, key binary")
@@ -266,7 +268,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
         known = word & (c > 0)
         end = (math.log10(ends + _PRIOR) if ends else floor) - below
         out = []
-        for doc, text in zip(rows.column("doc_id").to_pylist(), binary(rows.column("text").combine_chunks()), strict=True):
+        texts = (text for chunk in rows.column("text").chunks for text in binary(chunk))
+        for doc, text in zip(rows.column("doc_id").to_pylist(), texts, strict=True):
             at = np.array([place[k] for k in bitmix.keys(text)], np.int64)
             total = float(unit[at].sum())
             out.append((doc, held_out(doc), int(word[at].sum()) + 1, int(known[at].sum()) + (1 if ends else 0), n,
