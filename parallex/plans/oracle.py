@@ -538,3 +538,5 @@ SELECT tc.run, tc.epoch, round(train_loss, 9) AS train_loss, train_steps, vc.val
 FROM tc LEFT JOIN vc USING (run, epoch)""",
 }
 
+# the same batches at the production length
+ORACLE["train_batches_480"] = ORACLE["train_batches"].replace(examples_cte(CHECK_SEQ_LEN), examples_cte(L))

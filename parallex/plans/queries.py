@@ -273,17 +273,27 @@ def q_val_sample(spark, d):
     return sampling.first_shuffled(val, ["pair_id"], SEED, 0, OPTS.val_examples).select("pair_id", "rank")
 
 
-def q_train_batches(spark, d):
+def _train_batches(spark, d, seq_len):
     """The stacked batches of all epochs over the training pairs that fit."""
     enc = pin(encoded_shared(spark, d).join(split_df(spark, d).select("pair_id", "split"), "pair_id")
-              .where((F.col("split") == "train") & lengths.length_reason(CHECK_SEQ_LEN).isNull()))
+              .where((F.col("split") == "train") & lengths.length_reason(seq_len).isNull()))
     schedule = sampling.epoch_schedule(enc.select("pair_id"), ["pair_id"], SEED, OPTS.batch_size, 0, OPTS.num_epochs)
-    b = training_batches(enc, schedule, CHECK_SEQ_LEN)
+    b = training_batches(enc, schedule, seq_len)
     fields = ("encoder_input", "decoder_input", "label", "encoder_mask", "dec_valid")
     return b.select("epoch", "batch_id", "global_step", render(F.col("pair_id")).alias("pair_ids"),
                     *[F.md5(F.array_join(F.transform(f, lambda x: render(x)), ";")).alias(f) for f in fields])
 
 
+def q_train_batches(spark, d):
+    """At the length that rejects pairs."""
+    return _train_batches(spark, d, CHECK_SEQ_LEN)
+
+
+def q_train_batches_480(spark, d):
+    """At the production length: every training pair that fits the model."""
+    return _train_batches(spark, d, OPTS.seq_len)
+
+
 # ---- G: scores --------------------------------------------------------------------
 
 def q_log_softmax(spark, d):
@@ -512,6 +522,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_collate": q_batch_collate,
     "epoch_schedule": q_epoch_schedule,
     "train_batches": q_train_batches,
+    "train_batches_480": q_train_batches_480,
     "val_sample": q_val_sample,
     "log_softmax": q_log_softmax,
     "top1_token": q_top1_token,

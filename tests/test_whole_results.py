@@ -207,3 +207,15 @@ def test_json_needs_no_schema_pass(spark, tmp_dir):
         fh.write('{"pair_id": 1, "translation": {"en": "a", "ja": "b", "fr": "c"}, "split": "test"}\n')
     got = read_pairs(spark, f"{tmp_dir}/c.json", "en", "ja", "test", fmt="json")
     assert [tuple(r) for r in got.collect()] == [(1, "a", "b", "test")]
+
+
+def test_pairs_up_to_the_production_length_are_batched(spark, tmp_path):
+    rows = [(c, t, ("user", "assistant")[t], " ".join(["w"] * (n if t == 0 else 3)))
+            for c, n in enumerate([5, 127, 200, 300, 478, 479, 600] * 3) for t in (0, 1)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    train = {r.pair_id for r in queries.split_df(spark, str(tmp_path)).where("split = 'train'").collect()}
+    fits = {r.pair_id for r in queries.q_length_quarantine(spark, str(tmp_path)).where("reason is null").collect()}
+    got = queries.q_train_batches_480(spark, str(tmp_path)).select("epoch", "pair_ids").collect()
+    seen = sorted((r.epoch, int(i)) for r in got for i in r.pair_ids.split(","))
+    assert seen == sorted((e, i) for e in range(queries.OPTS.num_epochs) for i in train & fits)
+    assert {i for _, i in seen} >= {i for i in train if rows[2 * (i >> 31)][3].count("w") in (200, 300, 478)}
