@@ -29,8 +29,9 @@ WORD_MARK = b"\xfe"  # leads the key of a word too long for one unit
 
 N_GLOBAL, N_LOCAL = 3, 1
 GLOBAL_BITS = (14, 18, 20)  # slots of the tables for place, last byte, last two bytes
-LOCAL_BITS = 22             # slots of a partition's tables for prefixes
-LOCAL_FROM = 3              # bytes a prefix needs at least: units are dealt by their first bytes
+LOCAL_BITS = 22             # slots of a partition's tables for prefixes, at least
+UNIT_SLOTS = 16             # of them, for every unit of the partition
+LOCAL_FROM = 3              # bytes a prefix needs at least: units are dealt by their first bytes or more
 PRIOR = 0.05
 GATES = 18
 INPUTS = N_GLOBAL + N_LOCAL + 1
@@ -60,8 +61,9 @@ def word_of(key: bytes) -> bytes | None:
 class Units:
     """Units in arrays, longest first, with the walk over their bits."""
 
-    def __init__(self, found: list[bytes], counts: np.ndarray, deep: int = LOCAL_FROM):
-        self.deep = deep  # prefixes of so many bytes are whole in this partition
+    def __init__(self, found: list[bytes], counts: np.ndarray, bits: int = LOCAL_BITS, whole: np.ndarray | None = None):
+        """``whole``: bytes of its key from which a unit counts for its prefixes (default: all)."""
+        self.bits = bits
         kind = np.array([k[:1] == CUT for k in found], bool)
         found = [k[1:] if c else k for k, c in zip(found, kind.tolist(), strict=True)]
         size = np.array([len(k) for k in found], np.int64)
@@ -69,6 +71,7 @@ class Units:
         self.size = size[self.order]
         self.count = np.asarray(counts, np.float64)[self.order]
         self.kind = kind.astype(np.uint64)[self.order]
+        self.whole = None if whole is None else (np.asarray(whole, np.int64) - kind)[self.order]
         width = int(self.size[0]) if len(found) else 0
         flat = b"".join([found[i].ljust(width, b"\0") for i in self.order])
         self.data = np.frombuffer(flat, np.uint8).reshape(len(found), width)
@@ -76,7 +79,7 @@ class Units:
     def walk(self):
         """Yields ``(n, bit, node, slots)`` for every bit of the first ``n`` units;
         ``slots`` are the rows of the tables with both counts, None for a prefix
-        that is too short to be whole in this partition."""
+        of less than ``LOCAL_FROM`` bytes."""
         kind = self.kind
         prefix = np.full(len(kind), 0x243F6A8885A308D3, np.uint64)
         one = np.zeros(len(kind), np.uint64)
@@ -87,10 +90,10 @@ class Units:
             byte = self.data[:n, t].astype(np.uint64)
             contexts = [kind * np.uint64(8) + np.uint64(min(t, 3)), one * np.uint64(4) + np.uint64(min(t, 2)),
                         two * np.uint64(4) + np.uint64(min(t, 3))]
-            if t >= self.deep:
+            if t >= LOCAL_FROM:
                 contexts.append(prefix + kind)
             contexts = [(c + np.uint64(1)) * k for c, k in zip(contexts, _K, strict=False)]
-            shifts = [64 - b for b in GLOBAL_BITS] + [64 - LOCAL_BITS] * N_LOCAL
+            shifts = [64 - b for b in GLOBAL_BITS] + [64 - self.bits] * N_LOCAL
             node = np.ones(n, np.uint64)
             for b in range(7, -1, -1):
                 bit = (byte >> np.uint64(b)) & np.uint64(1)
@@ -112,17 +115,23 @@ def new_global() -> list[np.ndarray]:
     return [np.zeros((1 << b, 2), np.float32) for b in GLOBAL_BITS]
 
 
-def new_local() -> list[np.ndarray]:
-    return [np.zeros((1 << LOCAL_BITS, 2), np.float32) for _ in range(N_LOCAL)]
+def local_bits(n: int) -> int:
+    """Size of the prefix tables of a partition with ``n`` units."""
+    return max(LOCAL_BITS, (UNIT_SLOTS * n - 1).bit_length())
+
+
+def new_local(bits: int = LOCAL_BITS) -> list[np.ndarray]:
+    return [np.zeros((1 << bits, 2), np.float32) for _ in range(N_LOCAL)]
 
 
 def learn_counts(units: Units, tables: list[np.ndarray | None]) -> None:
     """Add the units' counts to the tables that are given."""
-    for n, bit, _, slots in units.walk():
+    for i, (n, bit, _, slots) in enumerate(units.walk()):
         w = units.count[:n].astype(np.float32)
-        for table, s in zip(tables, slots, strict=True):
+        whole = w if units.whole is None else w * (units.whole[:n] <= i // 8)
+        for k, (table, s) in enumerate(zip(tables, slots, strict=True)):
             if table is not None and s is not None:
-                np.add.at(table.reshape(-1), 2 * s + bit, w)
+                np.add.at(table.reshape(-1), 2 * s + bit, w if k < N_GLOBAL else whole)
 
 
 def new_weights() -> np.ndarray:

@@ -7,9 +7,11 @@ the work is done once per distinct unit:
 1. Distinct units of all texts with their counts in the training texts, and from
    them the counts of the training words (for the base score).
 2. Counts of the low-order contexts: one small table per task, summed.
-3. Units are dealt by their first three bytes (by more, if more than
-   ``GROUP_UNITS`` units share three), so the counts of every longer prefix are
-   whole within a partition. There the mixing weights are learned
+3. Units are dealt by their first three bytes, so the counts of every longer
+   prefix are whole within a partition. A prefix that more than ``GROUP_UNITS``
+   units share is hot: its units are dealt by a byte more, and so on; what
+   follows a hot prefix is counted over all partitions beforehand (at most 256
+   counts each). No prefix count depends on the dealing. There the mixing weights are learned
    online on the frequent units and every sixteenth of the others (a hash
    decides); weights and refinement counts of the partitions are averaged.
 4. Every unit is scored with the counts of all training units.
@@ -46,7 +48,6 @@ HOLD_OUT = 10            # one in so many doc_ids
 BLOCK_BYTES = 32 << 20   # texts whose units are looked up together
 GROUP_UNITS = 1 << 20    # units of one dealing prefix that a task can hold
 PART_UNITS = 1 << 18     # units of a partition, on average
-MAX_DEPTH = 12           # bytes of a dealing prefix at most
 SEND_KEYS = 600_000      # distinct units a task gathers before it sends them
 LEARN_ALL = 256          # training count from which a unit takes part in learning weights
 LEARN_PART = 16          # of the others, one in so many
@@ -93,19 +94,63 @@ def _only_units(units: DataFrame) -> DataFrame:
     return units.where(F.substring("key", 1, 1) != F.lit(bitmix.WORD_MARK)).select("key", "train")
 
 
-def _depth(units: DataFrame) -> tuple[int, int]:
-    """Bytes of the dealing prefix, and how many partitions it is dealt to."""
-    for d in range(bitmix.LOCAL_FROM, MAX_DEPTH + 1):
-        sizes = _only_units(units).groupBy(F.substring("key", 1, d).alias("p")).count()
-        most, total = sizes.agg(F.max("count"), F.sum("count")).first()
-        if (most or 0) <= GROUP_UNITS:
+def _hot(units: DataFrame) -> tuple[frozenset[bytes], int]:
+    """Prefixes shared by more units than a task can hold, and how many partitions
+    the units are dealt to. There are at most ``LONG + 1`` times units / GROUP_UNITS."""
+    hot: set[bytes] = set()
+    level = _only_units(units)
+    for d in range(bitmix.LOCAL_FROM, bitmix.LONG + 2):
+        sizes = level.where(F.length("key") >= d).groupBy(F.substring("key", 1, d).alias("p")).count()
+        found = [bytes(r["p"]) for r in sizes.where(F.col("count") > GROUP_UNITS).select("p").collect()]
+        if not found:
             break
-    return d, max(work_partitions(units.sparkSession), -(-(total or 0) // PART_UNITS))
+        hot.update(found)
+        over = units.sparkSession.createDataFrame([(bytearray(p),) for p in found], "p binary")
+        level = _only_units(units).join(F.broadcast(over), F.substring("key", 1, d) == F.col("p"), "left_semi")
+    total = _only_units(units).count()
+    return frozenset(hot), max(work_partitions(units.sparkSession), -(-total // PART_UNITS))
 
 
-def _partitions(units: DataFrame, depth: tuple[int, int]) -> DataFrame:
-    d, parts = depth
-    return _only_units(units).repartition(parts, F.substring("key", 1, d))
+def _dealt_by(key: bytes, hot: frozenset[bytes]) -> int:
+    """Bytes of the key that decide its partition: no longer prefix is hot."""
+    d = bitmix.LOCAL_FROM
+    while d < len(key) and key[:d] in hot:
+        d += 1
+    return d
+
+
+def _after_hot(units: DataFrame, hot: frozenset[bytes]) -> dict[bytes, list[tuple[bytes, int]]]:
+    """For every hot prefix, itself with each next byte and how often that is in the training texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()  # at most 256 for every hot prefix
+        for batch in batches:
+            for key, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for d in range(bitmix.LOCAL_FROM, len(key)):
+                    if key[:d] not in hot:
+                        break
+                    seen[key[:d + 1]] += n
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["key", "n"])
+
+    out: dict[bytes, list[tuple[bytes, int]]] = {}
+    if hot:
+        train = _only_units(units).where("train > 0")
+        for r in train.mapInArrow(run, "key binary, n long").groupBy("key").agg(F.sum("n").alias("n")).collect():
+            out.setdefault(bytes(r["key"])[:-1], []).append((bytes(r["key"]), r["n"]))
+    return out
+
+
+def _partitions(units: DataFrame, dealing: tuple[frozenset[bytes], int]) -> DataFrame:
+    hot, parts = dealing
+    if not hot:
+        return _only_units(units).repartition(parts, F.substring("key", 1, bitmix.LOCAL_FROM))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            by = [k[:_dealt_by(k, hot)] for k in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(by, pa.binary())], names=["key", "train", "by"])
+
+    return (_only_units(units).mapInArrow(run, "key binary, train long, by binary")
+            .repartition(parts, "by").select("key", "train"))
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[list[bytes], np.ndarray]:
@@ -119,9 +164,10 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[list[bytes], np.ndarra
     return [keys[i] for i in order], np.array([counts[i] for i in order], np.int64)
 
 
-def _chunks(keys: list[bytes], counts: np.ndarray, size: int, deep: int = bitmix.LOCAL_FROM) -> Iterator[bitmix.Units]:
+def _chunks(keys: list[bytes], counts: np.ndarray, size: int, bits: int = bitmix.LOCAL_BITS,
+            whole: np.ndarray | None = None) -> Iterator[bitmix.Units]:
     for i in range(0, len(keys), size):
-        yield bitmix.Units(keys[i:i + size], counts[i:i + size], deep)
+        yield bitmix.Units(keys[i:i + size], counts[i:i + size], bits, None if whole is None else whole[i:i + size])
 
 
 def _summed(parts: DataFrame) -> dict[str, np.ndarray]:
@@ -178,49 +224,61 @@ def _low_orders(units: DataFrame) -> list[np.ndarray]:
     return [_filled(got.get(str(i)), t).astype(np.float32) for i, t in enumerate(bitmix.new_global())]
 
 
-def _tables(low: list[np.ndarray], keys: list[bytes], counts: np.ndarray, deep: int) -> list[np.ndarray]:
-    """The low-order tables and this partition's prefix tables."""
-    local = bitmix.new_local()
+def _tables(low: list[np.ndarray], keys: list[bytes], counts: np.ndarray,
+            after: dict[bytes, list[tuple[bytes, int]]], bits: int) -> list[np.ndarray]:
+    """The low-order tables and this partition's prefix tables. What follows a hot
+    prefix comes from ``after``, counted over all partitions."""
+    local = bitmix.new_local(bits)
+    add = [*[None] * bitmix.N_GLOBAL, *local]
     trained = np.flatnonzero(counts > 0)
-    for u in _chunks([keys[i] for i in trained], counts[trained], _BATCH, deep):
-        bitmix.learn_counts(u, [*[None] * bitmix.N_GLOBAL, *local])
+    hot = frozenset(after)
+    whole = np.array([_dealt_by(keys[i], hot) for i in trained], np.int64) if hot else None
+    for u in _chunks([keys[i] for i in trained], counts[trained], _BATCH, bits, whole):
+        bitmix.learn_counts(u, add)
+    here = sorted({k[:d] for k in keys for d in range(bitmix.LOCAL_FROM, _dealt_by(k, hot) + 1)} & hot) if hot else []
+    more = [x for p in here for x in after[p]]
+    for u in _chunks([k for k, _ in more], np.array([n for _, n in more], np.int64), _BATCH, bits,
+                     np.array([len(k) - 1 for k, _ in more], np.int64)):
+        bitmix.learn_counts(u, add)  # each for its last byte only
     return [*low, *local]
 
 
-def _mixer(units: DataFrame, low, depth: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+def _mixer(units: DataFrame, low, after, dealing: tuple[frozenset[bytes], int]) -> tuple[np.ndarray, np.ndarray]:
     """Mixing weights (mean of the partitions', by training count) and refinement counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = _gathered(batches)
-        tables = _tables(low.value, keys, counts, depth[0])
+        bits = bitmix.local_bits(len(keys))
+        tables = _tables(low.value, keys, counts, after.value, bits)
         chosen = [i for i, (k, c) in enumerate(zip(keys, counts.tolist(), strict=True))
                   if c >= LEARN_ALL or c and zlib.crc32(k) % LEARN_PART == 0]
         weights = bitmix.new_weights()
         moved, refine = np.zeros_like(weights), np.zeros((256, bitmix.CELLS, 2))
-        for u in _chunks([keys[i] for i in chosen], counts[chosen], _SMALL, depth[0]):
+        for u in _chunks([keys[i] for i in chosen], counts[chosen], _SMALL, bits):
             bitmix.learn_weights(u, tables, weights, moved, refine)
         mass = float(counts[chosen].sum())
         if mass:
             yield _sent([*_rows("weights", weights * mass), *_rows("mass", np.array([mass])), *_rows("refine", refine)])
 
-    got = _summed(_partitions(units, depth).mapInArrow(run, "name string, place int, cells binary"))
+    got = _summed(_partitions(units, dealing).mapInArrow(run, "name string, place int, cells binary"))
     weights, refine = bitmix.new_weights(), np.zeros((256, bitmix.CELLS, 2))
     if "mass" in got:
         weights = _filled(got["weights"], weights) / got["mass"][0][0]
     return weights, _filled(got.get("refine"), refine)
 
 
-def _scored(units: DataFrame, low, mixer, depth: tuple[int, int]) -> DataFrame:
+def _scored(units: DataFrame, low, mixer, after, dealing: tuple[frozenset[bytes], int]) -> DataFrame:
     """``(key, score)``: log10 probability of every unit."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = _gathered(batches)
         if keys:
-            model = bitmix.Scorer(_tables(low.value, keys, counts, depth[0]), *mixer.value)
+            bits = bitmix.local_bits(len(keys))
+            model = bitmix.Scorer(_tables(low.value, keys, counts, after.value, bits), *mixer.value)
             for i in range(0, len(keys), _BATCH):
-                u = bitmix.Units(keys[i:i + _BATCH], counts[i:i + _BATCH], depth[0])
+                u = bitmix.Units(keys[i:i + _BATCH], counts[i:i + _BATCH], bits)
                 yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + _BATCH], pa.binary()), pa.array(model.log_probability(u))],
                                                  names=["key", "score"])
 
-    return _partitions(units, depth).mapInArrow(run, "key binary, score double")
+    return _partitions(units, dealing).mapInArrow(run, "key binary, score double")
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -236,12 +294,13 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     known = words.where("c > 0").agg(F.count(F.lit(1)), F.sum("c")).first()
     n, v = int(known[1] or 0) + ends, known[0] + (1 if ends else 0)
     low = spark.sparkContext.broadcast(_low_orders(units))
-    depth = _depth(units)
-    mixer = spark.sparkContext.broadcast(_mixer(units, low, depth))
+    dealing = _hot(units)
+    after = spark.sparkContext.broadcast(_after_hot(units, dealing[0]))
+    mixer = spark.sparkContext.broadcast(_mixer(units, low, after, dealing))
     # units and words are spread by hash: a partition's table is small, no sort is
     # needed. Words first: what follows is partitioned by unit, as the lookup below.
     counted = units.select("key", "word").join(words.hint("shuffle_hash"), "word", "left").select("key", "c")
-    table = (counted.join(_scored(units, low, mixer, depth).hint("shuffle_hash"), "key", "left")
+    table = (counted.join(_scored(units, low, mixer, after, dealing).hint("shuffle_hash"), "key", "left")
              .select("key", F.col("score").cast("float").alias("score"), F.coalesce("c", F.lit(0).cast("long")).alias("c")))
     total = light.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES) or 1

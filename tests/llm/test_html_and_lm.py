@@ -1,10 +1,12 @@
 import math
+import random
 import sys
 import zlib
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 
 sys.path.insert(0, str(Path(__file__).parent))
 import tables  # noqa: E402
@@ -138,3 +140,42 @@ def test_units_cover_the_text_and_sum_to_one():
         p = 10 ** model.log_probability(bitmix.Units(every, np.zeros(256)))
         whole = 1.0 if not prefix else float(10 ** model.log_probability(bitmix.Units([prefix], np.zeros(1)))[0])
         assert abs(p.sum() / whole - 1) < 0.02
+
+
+def test_prefix_counts_do_not_depend_on_the_dealing(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "GROUP_UNITS", 4)
+    monkeypatch.setattr(lm_scoring, "PART_UNITS", 4)
+    rng = random.Random(5)
+    found = {b"https://www." + bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 4))) + b" " for _ in range(60)}
+    found |= {bitmix.CUT + b"https" + bytes(rng.choice(b"abc") for _ in range(3)) + b"\xff" for _ in range(40)}
+    found |= {b"htt ", b"http ", b"ab ", b"a ", b"htt", b"x" * 63}
+    counts = {k: rng.choice([0, 1, 2, 70]) for k in sorted(found)}
+    units = spark.createDataFrame([(bytearray(k), n) for k, n in counts.items()], "key binary, train long")
+    true = Counter()
+    for k, n in counts.items():
+        kind, k = k[:1] == bitmix.CUT, k.removeprefix(bitmix.CUT)
+        for t, byte in enumerate(k):
+            for b in range(8):
+                true[kind, k[:t], (256 | byte) >> (8 - b), byte >> (7 - b) & 1] += n
+    dealing = lm_scoring._hot(units)
+    assert max(map(len, dealing[0])) >= 12  # deeper than any prefix that units are dealt by as a rule
+    after = lm_scoring._after_hot(units, dealing[0])
+
+    def parts(batches):
+        keys, n = lm_scoring._gathered(batches)
+        yield pa.RecordBatch.from_arrays([pa.array([keys], pa.list_(pa.binary())), pa.array([n.tolist()], pa.list_(pa.int64()))], names=["k", "n"])
+    got = [r for r in lm_scoring._partitions(units, dealing).mapInArrow(parts, "k array<binary>, n array<long>").collect() if r.k]
+    assert len(got) > 2 and sorted(bytes(k) for r in got for k in r.k) == sorted(counts)
+    for r in got:
+        keys = [bytes(k) for k in r.k]
+        table = lm_scoring._tables([], keys, np.array(r.n), after, 26)[-1]  # few slots are shared by chance
+        u = bitmix.Units(keys, np.array(r.n), 26)
+        names = [keys[i] for i in u.order]
+        for i, (n, _, node, slots) in enumerate(u.walk()):
+            for j in range(n if i // 8 >= bitmix.LOCAL_FROM else 0):
+                kind, k = names[j][:1] == bitmix.CUT, names[j].removeprefix(bitmix.CUT)
+                assert table[slots[3][j]].tolist() == [true[kind, k[:i // 8], int(node[j]), b] for b in (0, 1)]
+
+
+def test_prefix_tables_grow_with_the_units():
+    assert [bitmix.local_bits(n) for n in (0, 1 << 18, (1 << 18) + 1, 1 << 20)] == [22, 22, 23, 24]
