@@ -12,13 +12,13 @@ the work is done once per distinct unit:
    units share is hot: its units are dealt by a byte more, and so on; what
    follows a hot prefix is counted over all partitions beforehand (at most 256
    counts each). No prefix count depends on the dealing. There the mixing weights are learned
-   online on the frequent units and every sixteenth of the others (a hash
-   decides); weights and refinement counts of the partitions are averaged.
+   online on every training unit, in an order that a hash fixes; weights and
+   refinement counts of the partitions are averaged.
 4. Every unit is scored with the counts of all training units.
 5. Texts are dealt into blocks of about ``BLOCK_BYTES``. A block's distinct units
    are looked up once, and its texts add up the scores of their units.
 
-Tables have fixed sizes; what grows with the corpus (units, words, lookups) is
+Tables that are sent around have fixed sizes; what grows with the corpus (units, words, lookups) is
 spread by hash and never meets in one task or in the driver.
 
 Training texts are those whose CRC-32 of the doc_id's digits is not a multiple of
@@ -49,8 +49,6 @@ BLOCK_BYTES = 32 << 20   # texts whose units are looked up together
 GROUP_UNITS = 1 << 20    # units of one dealing prefix that a task can hold
 PART_UNITS = 1 << 18     # units of a partition, on average
 SEND_KEYS = 600_000      # distinct units a task gathers before it sends them
-LEARN_ALL = 256          # training count from which a unit takes part in learning weights
-LEARN_PART = 16          # of the others, one in so many
 _BATCH, _SMALL = 32_768, 4_096
 _PRIOR = 0.1
 
@@ -249,13 +247,12 @@ def _mixer(units: DataFrame, low, after, dealing: tuple[frozenset[bytes], int])
         keys, counts = _gathered(batches)
         bits = bitmix.local_bits(len(keys))
         tables = _tables(low.value, keys, counts, after.value, bits)
-        chosen = [i for i, (k, c) in enumerate(zip(keys, counts.tolist(), strict=True))
-                  if c >= LEARN_ALL or c and zlib.crc32(k) % LEARN_PART == 0]
+        trained = np.flatnonzero(counts > 0)
         weights = bitmix.new_weights()
         moved, refine = np.zeros_like(weights), np.zeros((256, bitmix.CELLS, 2))
-        for u in _chunks([keys[i] for i in chosen], counts[chosen], _SMALL, bits):
+        for u in _chunks([keys[i] for i in trained], counts[trained], _SMALL, bits):
             bitmix.learn_weights(u, tables, weights, moved, refine)
-        mass = float(counts[chosen].sum())
+        mass = float(counts[trained].sum())
         if mass:
             yield _sent([*_rows("weights", weights * mass), *_rows("mass", np.array([mass])), *_rows("refine", refine)])
 

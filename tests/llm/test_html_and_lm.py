@@ -179,3 +179,12 @@ def test_prefix_counts_do_not_depend_on_the_dealing(spark, monkeypatch):
 
 def test_prefix_tables_grow_with_the_units():
     assert [bitmix.local_bits(n) for n in (0, 1 << 18, (1 << 18) + 1, 1 << 20)] == [22, 22, 23, 24]
+
+
+def test_every_training_unit_takes_part_in_learning_weights(spark):
+    counts = {b"u%03d " % i: (0, 1, 2, 300)[i % 4] for i in range(200)}
+    units = spark.createDataFrame([(bytearray(k), n) for k, n in counts.items()], "key binary, train long")
+    send = spark.sparkContext.broadcast
+    weights, refine = lm_scoring._mixer(units, send(bitmix.new_global()), send({}), (frozenset(), 3))
+    assert refine[1].sum() == sum(len(k) * n for k, n in counts.items())  # each byte's first bit, by training count
+    assert np.isfinite(weights).all()
