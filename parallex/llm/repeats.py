@@ -9,9 +9,11 @@ symbols (words or bytes) whose symbols also start anywhere else.
 3. Only anchors found at two places can hold a repeated window. Their runs are cut
    out as pieces (the symbols of all windows of a run, as one string) and dealt
    by a prefix key: the anchor, or, for an anchor with more runs than fit in
-   ``CHUNK_BYTES``, the longer stretch that all windows of a narrow cell share. The key
-   of a piece is thus a context of variable length, extended until its group
-   fits in memory. Equal pieces of a task are sent at most twice.
+   ``CHUNK_BYTES``, the longer stretch that all windows of a narrow cell share. If the
+   distinct pieces of such a stretch do not fit either, they are cut into single
+   windows, each keyed by the whole window. The key of a piece is thus a context
+   of variable length, extended until its group fits in memory or holds equal
+   windows only. Equal pieces of a task are sent at most twice.
 4. A task sorts its pieces by key, takes as many whole keys at a time as fit in
    ``CHUNK_BYTES`` and lets the operator's solver find the repeated windows.
 5. Runs of repeated windows go back to the texts by piece digest.
@@ -72,6 +74,10 @@ def window_min(h: np.ndarray, width: int) -> np.ndarray:
     return least
 
 
+def _short(content: bytes) -> int:
+    return int.from_bytes(md5(content).digest()[:8], "big", signed=True)
+
+
 class Codec:
     """What the plan needs to know about symbols; see the operators."""
 
@@ -85,6 +91,10 @@ class Codec:
         """Runs of an anchor whose pieces would no longer fit in one chunk."""
         return max(2, CHUNK_BYTES // (self.symbol_bytes * (self.window + (self.window - self.gram) // 2)))
 
+    def full(self) -> int:
+        """Distinct pieces of a cell that would no longer fit in one chunk."""
+        return max(2, CHUNK_BYTES // (self.symbol_bytes * (self.window + self.cell - 1)))
+
     def parse(self, text: bytes):
         """The text as something ``hashed`` and ``cut`` understand, with ``len()``."""
         raise NotImplementedError
@@ -119,9 +129,11 @@ class Codec:
             return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
-    def pieces(self, parsed, anchor: int, first: int, count: int, hot: bool) -> Iterator[tuple[int, int, bytes]]:
+    def pieces(self, parsed, anchor: int, first: int, count: int, hot: bool,
+               deep: frozenset[int] = frozenset()) -> Iterator[tuple[int, int, bytes]]:
         """``(key, first window, content)`` of a run; of a hot anchor, one for each
-        cell of neighbouring windows, keyed by what all windows of the cell share."""
+        cell of neighbouring windows, keyed by what all windows of the cell share;
+        where that key is in ``deep``, one for each window, keyed by all of it."""
         if not hot:
             yield anchor, first, self.cut(parsed, first, first + count + self.window - 1)
             return
@@ -133,8 +145,13 @@ class Codec:
         for i, j in zip(start.tolist(), [*start[1:].tolist(), count], strict=True):
             a = int(place[i]) - int(cell[i]) * self.cell  # the cell's last possible start
             core = self.cut(parsed, first + a, first + a - self.cell + 1 + self.window)
-            key = int.from_bytes(md5(core + b"|%d" % cell[i]).digest()[:8], "big", signed=True)
-            yield key, first + i, self.cut(parsed, first + i, first + j + self.window - 1)
+            key = _short(core + b"|%d" % cell[i])
+            if key not in deep:
+                yield key, first + i, self.cut(parsed, first + i, first + j + self.window - 1)
+                continue
+            for k in range(first + i, first + j):
+                whole = self.cut(parsed, k, k + self.window)
+                yield _short(whole), k, whole
 
 
 def texts(docs: DataFrame, text: str) -> DataFrame:
@@ -180,10 +197,10 @@ def _cut(t: DataFrame, marked: DataFrame, codec: Codec, content: bool) -> DataFr
         for batch in batches:
             for rows in _rows(batch):
                 out = []
-                for key, text, _, todo in rows:
-                    parsed = codec.parse(text)
+                for key, text, _, todo, deep in rows:
+                    parsed, full = codec.parse(text), frozenset(deep.as_py() or ())
                     for r in todo.as_py():
-                        for prefix, first, body in codec.pieces(parsed, r["anchor"], r["first"], r["windows"], r["hot"]):
+                        for prefix, first, body in codec.pieces(parsed, r["anchor"], r["first"], r["windows"], r["hot"], full):
                             name = md5(body).digest()
                             if not content:
                                 out.append((name, key, first))
@@ -196,10 +213,37 @@ def _cut(t: DataFrame, marked: DataFrame, codec: Codec, content: bool) -> DataFr
                                   if f.dataType == T.IntegerType() else pa.binary()) for i, f in enumerate(schema)],
                         names=schema.names)
 
-    joined = t.select("key", "text", "n").join(marked, "key").select("key", "text", "n", "todo")
+    joined = t.select("key", "text", "n").join(marked, "key").select("key", "text", "n", "todo", "deep")
     return joined.mapInArrow(run, schema)
 
 
+def _cells(t: DataFrame, marked: DataFrame, codec: Codec) -> DataFrame:
+    """``(prefix, key, name)``: the pieces of hot anchors, without content."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in _rows(batch):
+                out = []
+                for key, text, _, todo in rows:
+                    parsed = codec.parse(text)
+                    out += [(prefix, key, _short(body)) for r in todo.as_py()
+                            for prefix, _, body in codec.pieces(parsed, r["anchor"], r["first"], r["windows"], True)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in
+                                                  enumerate((pa.int64(), pa.binary(), pa.int64()))], names=["prefix", "key", "name"])
+
+    hot = marked.select("key", F.filter("todo", lambda r: r["hot"]).alias("todo")).where(F.size("todo") > 0)
+    joined = t.select("key", "text", "n").join(hot, "key").select("key", "text", "n", "todo")
+    return joined.mapInArrow(run, "prefix long, key binary, name long")
+
+
+def _with_deep(t: DataFrame, marked: DataFrame, codec: Codec) -> DataFrame:
+    """``marked`` with the cells of the text whose distinct pieces do not fit in a chunk."""
+    cells = _cells(t, marked, codec)
+    full = (cells.groupBy("prefix").agg(F.approx_count_distinct("name").alias("pieces"))
+            .where(F.col("pieces") > codec.full()).select("prefix"))
+    deep = cells.select("prefix", "key").join(full, "prefix", "left_semi").groupBy("key").agg(F.collect_set("prefix").alias("deep"))
+    return marked.join(deep, "key", "left")
+
+
 def _solve(pieces: DataFrame, codec: Codec) -> DataFrame:
     """``(piece, a, b)``: runs ``a..b`` of repeated windows within a piece."""
     def flush(held: dict[bytes, int]) -> pa.RecordBatch:
@@ -241,6 +285,7 @@ def repeated(docs: DataFrame, codec: Codec, text: str = "text") -> DataFrame:
     often = runs.groupBy("anchor").agg(places.alias("n")).where("n > 1").select("anchor", (F.col("n") > codec.hot()).alias("hot"))
     marked = runs.join(often, "anchor").groupBy("key").agg(
         F.collect_list(F.struct("first", "windows", "anchor", "hot")).alias("todo"))
+    marked = _with_deep(t, marked, codec)
     found = _solve(_cut(t, marked, codec, True), codec).distinct()
     where = _cut(t, marked, codec, False)
     spans = (where.join(found, "piece")

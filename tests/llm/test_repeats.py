@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 import tables  # noqa: E402
@@ -93,3 +94,25 @@ def test_cover_and_solver():
                 seen[p[i:i + window]] += c
         for p, got in zip(pieces, suffix_dedup.Bytes(window).solve(pieces, counts), strict=True):
             assert got.tolist() == [seen[p[i:i + window]] > 1 for i in range(len(p) - window + 1)]
+
+
+@pytest.mark.parametrize("codec", [substring_dedup.Words(), suffix_dedup.Bytes()])
+def test_a_core_in_many_differing_texts_makes_no_large_group(spark, monkeypatch, codec):
+    monkeypatch.setattr(repeats, "CHUNK_BYTES", 1 << 14)
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    passage = " ".join(word() for _ in range(35 if codec.symbol_bytes > 1 else 50))[:397]
+    data = [(" ".join(word() for _ in range(40)) + " " + passage + " " + " ".join(word() for _ in range(40)),) for _ in range(300)]
+    docs = spark.createDataFrame(data + data[:2], "text string")
+    t = repeats.texts(docs, "text")
+    runs = repeats._runs(t, codec)
+    often = runs.groupBy("anchor").agg((F.count(F.lit(1)) + F.count_if("moves")).alias("n")).where("n > 1")
+    marked = runs.join(often.select("anchor", (F.col("n") > codec.hot()).alias("hot")), "anchor").groupBy("key").agg(
+        F.collect_list(F.struct("first", "windows", "anchor", "hot")).alias("todo"))
+    pieces = repeats._cut(t, repeats._with_deep(t, marked, codec), codec, True)
+    sizes = pieces.groupBy("prefix").agg(F.sum(F.length("content")).alias("size"), F.count_distinct("content").alias("n")).collect()
+    assert sizes and all(r["size"] < 3 * repeats.CHUNK_BYTES or r["n"] == 1 for r in sizes)
+    units = [r[0].encode().split() if codec.symbol_bytes > 1 else r[0].encode() for r in data + data[:2]]
+    want = sorted(int(gone.sum()) for _, gone in covered(units, codec.window))
+    module = substring_dedup if codec.symbol_bytes > 1 else suffix_dedup
+    assert sorted(r.n_removed for r in module.dedup(docs).collect()) == want
