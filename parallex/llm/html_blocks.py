@@ -14,6 +14,7 @@ BLOCK = frozenset(
     "optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("iframe noembed noframes noscript script style svg template textarea title xmp".split())
+PARSED = frozenset(("svg", "template"))  # of them, those that do not swallow the page without an end tag
 #: start tags that end an open element of the same group
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
          "option": ("option",), "optgroup": ("option", "optgroup"), "tbody": ("thead", "tbody", "tr", "td", "th"),
@@ -24,6 +25,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_UNQUOTED_SLASH = re.compile(r"=\s*[^\s\"']*/$")  # belongs to an attribute's value
 _PART = re.compile(r"[a-z]+")
 
 
@@ -54,6 +56,7 @@ def blocks(page: str | None) -> list[Block]:
     stack: list[tuple[str, list[str]]] = []
     text: list[str] = []
     depth = linked = pos = 0
+    endless: set[str] = set()  # raw elements without an end tag from here on
 
     def flush() -> None:
         nonlocal linked
@@ -87,9 +90,16 @@ def blocks(page: str | None) -> list[Block]:
             continue
         ending = bool(m[1] or m[4])
         if tag in RAW:
-            if not ending:
+            attributes = m[3] or m[6] or ""
+            closed = tag == "svg" and attributes.endswith("/") and not _UNQUOTED_SLASH.search(attributes)
+            if not ending and not closed and tag not in endless:
                 end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, pos)
-                pos = end.end() if end else len(page)
+                if end:
+                    pos = end.end()
+                elif tag in PARSED:
+                    endless.add(tag)
+                else:
+                    pos = len(page)
         elif tag == "br":
             text.append(" ")
         elif tag == "a":

@@ -188,3 +188,11 @@ def test_every_training_unit_takes_part_in_learning_weights(spark):
     weights, refine = lm_scoring._mixer(units, send(bitmix.new_global()), send({}), (frozenset(), 3))
     assert refine[1].sum() == sum(len(k) * n for k, n in counts.items())  # each byte's first bit, by training count
     assert np.isfinite(weights).all()
+
+
+def test_svg_without_an_end_tag_keeps_the_rest_of_the_page():
+    for svg in ("<svg viewBox='0 0 1 1'/>", "<svg/>", "<svg a />", "<svg a=b/>", "<svg><path d='M0'/>", "<template>"):
+        assert [b.text for b in blocks(f"<p>one</p>{svg}<p>two</p>")] == ["one", "two"], svg
+    assert [b.text for b in blocks("<p>one<svg/> two</p><p>three<svg><text>in</text></svg> four</p>")] == ["one two", "three four"]
+    assert [b.text for b in blocks("<p>one</p><svg a=b/><text>in</text></svg><p>two</p>")] == ["one", "two"]
+    assert [b.text for b in blocks("<p>one</p><script>x <p>two</p>")] == ["one"]
