@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from parallex.llm import decontaminate, html_extract, line_dedup, lm_scoring, mixing, quality_rules, sharding, simhash, substring_dedup, suffix_dedup
+from parallex.llm import (
+    conversation_trie,
+    decontaminate,
+    html_extract,
+    line_dedup,
+    lm_scoring,
+    merkle,
+    mixing,
+    packing,
+    quality_rules,
+    sharding,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+)
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_suffix_array_dedup": suffix_dedup.op8_suffix_array_dedup,
     "op9_simhash": simhash.op9_simhash,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_conversation_trie": conversation_trie.op11_conversation_trie,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_packing": packing.op13_packing,
 }
 ORACLE = {
     "op1_substring_dedup": substring_dedup.ORACLE,
@@ -22,4 +39,6 @@ ORACLE = {
     "op2_line_dedup": line_dedup.ORACLE,
     "op4_quality_rules": quality_rules.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op11_conversation_trie": conversation_trie.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
 }
