@@ -46,6 +46,13 @@ def encoder_mask(encoder_ids: Column, pad: int = PAD_ID) -> Column:
     return non_pad(encoder_ids, pad)
 
 
+def filled(n: Column, seq_len: int) -> Column:
+    """``n`` ones, then zeros up to ``seq_len``: the mask of a row of ``n`` ids."""
+    def cells(x: int, k: Column) -> Column:
+        return F.array_repeat(F.lit(x).cast("int"), k)
+    return F.concat(cells(1, n), cells(0, F.lit(seq_len) - n))
+
+
 def expand_decoder_mask(dec_valid: Column) -> Column:
     """Decoder mask ``m[i][j] = valid[j] AND j <= i`` as ``array<array<int>>``.
 

@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parallex.config import PAD_ID, Options
+from parallex.functions import arrays as A
 from parallex.operators.curves import train_epoch
 from parallex.operators.decoding import Scorer, greedy_decode, source_prompts
 from parallex.operators.encode import decode, encode_sides
-from parallex.operators.examples import build_examples
 from parallex.operators.lengths import check_lengths
 from parallex.operators.metrics import bleu, char_count, char_edits, with_word_edits
 from parallex.operators.sampling import collate, epoch_schedule, first_shuffled, split_exact
@@ -42,9 +42,9 @@ def prepare(spark: SparkSession, pairs: DataFrame, out_dir: str, opts: Options =
     ``encoded`` (every pair once: unpadded ids, lengths, and the ``reason`` of a
     pair that does not fit ``opts.seq_len``, partitioned by ``status`` and
     ``split``; examples are padded on read with ``build_examples``) and
-    ``schedule`` (train rows per epoch with batch and global step). Rows whose
-    ``pair_id`` is NULL are split and kept like any other. Returns a summary per
-    split.
+    ``schedule`` (train rows per epoch with batch and global step). Both name a
+    row by ``row_id``, so rows whose ``pair_id`` is NULL or repeated are split,
+    scheduled and batched like any other. Returns a summary per split.
     """
     path = vocab_path or f"{out_dir}/vocab"
     sides = {"src": pairs.select(F.col("src_text").alias("text")), "trg": pairs.select(F.col("trg_text").alias("text"))}
@@ -53,16 +53,18 @@ def prepare(spark: SparkSession, pairs: DataFrame, out_dir: str, opts: Options =
         vocabs = {"src_ids": both, "trg_ids": both}
     else:
         vocabs = {f"{s}_ids": get_or_build_vocab(spark, f"{path}_{s}", t, "text", mode, min_count) for s, t in sides.items()}
-    split = split_exact(pairs, ["pair_id", "src_text", "trg_text"], opts.train_fraction, opts.seed).drop("split_rank")
-    annotated = check_lengths(encode_sides(split, SIDES, vocabs, mode), opts.seq_len, "annotate")
-    (annotated.select("pair_id", "src_text", "trg_text", "src_ids", "trg_ids", F.size("src_ids").alias("n_src"),
+    # the rank in the split's order names a row; its pair_id may be NULL or repeated
+    named = split_exact(pairs.select("pair_id", "src_text", "trg_text"), ["pair_id", "src_text", "trg_text"],
+                        opts.train_fraction, opts.seed).withColumnRenamed("split_rank", "row_id")
+    annotated = check_lengths(encode_sides(named, SIDES, vocabs, mode), opts.seq_len, "annotate")
+    (annotated.select("row_id", "pair_id", "src_text", "trg_text", "src_ids", "trg_ids", F.size("src_ids").alias("n_src"),
                       F.size("trg_ids").alias("n_trg"), "reason",
                       F.when(F.col("reason").isNull(), "kept").otherwise("rejected").alias("status"), "split")
      .write.mode("overwrite").partitionBy("status", "split").parquet(f"{out_dir}/encoded"))
     encoded = read_prepared(spark, out_dir)
-    train = encoded.where(F.col("split") == "train").select("pair_id")
-    (epoch_schedule(train, ["pair_id"], opts.seed, opts.batch_size, initial_epoch, opts.num_epochs, start_step)
-     .select("epoch", "batch_id", "global_step", "rank", "pair_id")
+    train = encoded.where(F.col("split") == "train").select("row_id", "pair_id")
+    (epoch_schedule(train, ["row_id"], opts.seed, opts.batch_size, initial_epoch, opts.num_epochs, start_step)
+     .select("epoch", "batch_id", "global_step", "rank", "row_id", "pair_id")
      .write.mode("overwrite").partitionBy("epoch").parquet(f"{out_dir}/schedule"))
     return encoded.groupBy("split").agg(
         F.count(F.lit(1)).cast("long").alias("pairs"),
@@ -70,7 +72,7 @@ def prepare(spark: SparkSession, pairs: DataFrame, out_dir: str, opts: Options =
         F.max("n_trg").cast("long").alias("max_trg"))
 
 
-ENCODED_SCHEMA = ("pair_id bigint, src_text string, trg_text string, src_ids array<int>, "
+ENCODED_SCHEMA = ("row_id bigint, pair_id bigint, src_text string, trg_text string, src_ids array<int>, "
                   "trg_ids array<int>, n_src int, n_trg int, reason string, status string, split string")
 
 
@@ -85,18 +87,24 @@ def read_prepared(spark: SparkSession, out_dir: str, split: str | None = None, s
 BATCH_FIELDS = ("encoder_input", "decoder_input", "label", "encoder_mask", "dec_valid")
 
 
-def training_batches(encoded: DataFrame, schedule: DataFrame, seq_len: int) -> DataFrame:
+def training_batches(encoded: DataFrame, schedule: DataFrame, seq_len: int, key: str = "row_id") -> DataFrame:
     """The batches that training reads: ``(epoch, batch_id, global_step, pair_id,
     *BATCH_FIELDS)``, each field the stacked rows of the batch in their order.
-    Ids stay unpadded through the join; padding is the last projection before
-    the rows of a batch are stacked."""
-    rows = schedule.select("epoch", "batch_id", "global_step", "rank", "pair_id").join(
-        encoded.select("pair_id", "src_text", "trg_text", "src_ids", "trg_ids"), "pair_id")
+
+    Rows are matched by ``key``, one that names a row in both tables. The ids
+    travel unpadded through the join and into the batches; padding is the last
+    projection, over the at most ``batch_size`` rows of a batch.
+    """
+    fits = check_lengths(encoded.select(key, "pair_id", "src_ids", "trg_ids"), seq_len)
     by = ["epoch", "batch_id", "global_step"]
-    packed = rows.select(*by, "rank", F.struct("pair_id", "src_text", "trg_text", "src_ids", "trg_ids").alias("p"))
-    padded = build_examples(packed.select(*by, "rank", "p.*").withColumn("_k", F.struct(*by, "rank", "pair_id")),
-                            seq_len, key="_k").select("_k.*", *BATCH_FIELDS)
-    return collate(padded, ["pair_id", *BATCH_FIELDS], by)
+    rows = schedule.select(*by, "rank", key).join(fits, key)
+    stacked = collate(rows, ["pair_id", "src_ids", "trg_ids"], by)
+    fields = {"encoder_input": F.transform("src_ids", lambda x: A.encoder_input(x, seq_len)),
+              "decoder_input": F.transform("trg_ids", lambda x: A.decoder_input(x, seq_len)),
+              "label": F.transform("trg_ids", lambda x: A.label(x, seq_len)),
+              "encoder_mask": F.transform("src_ids", lambda x: A.filled(F.size(x) + 2, seq_len)),
+              "dec_valid": F.transform("trg_ids", lambda x: A.filled(F.size(x) + 1, seq_len))}
+    return stacked.select(*by, "pair_id", *[fields[f].alias(f) for f in BATCH_FIELDS])
 
 
 def log_losses(scores: DataFrame, metric_log: str, run: str, steps_per_epoch: int, pad: int = PAD_ID,
@@ -118,17 +126,17 @@ def log_losses(scores: DataFrame, metric_log: str, run: str, steps_per_epoch: in
     append_metrics(train.unionByName(val).withColumn("ts", F.current_timestamp()), metric_log)
 
 
-def evaluate(ev: DataFrame, pred: str = "predicted", exp: str = "expected", key: str = "pair_id",
+def evaluate(ev: DataFrame, pred: str = "predicted", exp: str = "expected",
              metric_log: str | None = None, step: int = 0, run: str = "default") -> DataFrame:
     """CER, WER and BLEU of an evaluation table in one row; with ``metric_log``,
     the three values are appended to it at ``step``."""
-    scored = with_word_edits(ev.select(key, pred, exp), pred, exp, "_wedits", "_wlen").select(
+    scored = with_word_edits(ev.select(pred, exp), pred, exp, "_wedits", "_wlen").select(
         "_wedits", "_wlen", char_edits(F.col(pred), F.col(exp)).alias("_cedits"), char_count(F.col(exp)).alias("_clen"))
     rates = scored.agg(
         (F.sum("_cedits") / F.nullif(F.sum("_clen"), F.lit(0))).alias("cer"),
         (F.sum("_wedits") / F.nullif(F.sum("_wlen"), F.lit(0))).alias("wer"),
         F.lit(None).cast("double").alias("bleu"))
-    b = bleu(ev, pred, exp, key=key).select(
+    b = bleu(ev, pred, exp).select(
         F.lit(None).cast("double").alias("cer"), F.lit(None).cast("double").alias("wer"), "bleu")
     # two one-row results stacked and folded, instead of a join on a constant
     out = rates.unionByName(b).agg(*[F.max(c).alias(c) for c in ("cer", "wer", "bleu")])
@@ -152,7 +160,8 @@ def validate(val_pairs: DataFrame, vocab: DataFrame, scorer: Scorer, opts: Optio
     their encoder input, decode the ids to text, and score the predictions
     against the targets.
 
-    ``val_pairs`` holds ``(pair_id, src_text, trg_text, src_ids)``. A pair whose
+    ``val_pairs`` holds ``(pair_id, src_text, trg_text, src_ids)``; rows are named
+    by a generated id, so a pair_id may be NULL or repeated. A pair whose
     source does not fit ``opts.seq_len`` keeps its row, without a prediction,
     and counts as one in full error.
     ``num_examples`` keeps only the first rows of the epoch's shuffled order (the
@@ -163,15 +172,15 @@ def validate(val_pairs: DataFrame, vocab: DataFrame, scorer: Scorer, opts: Optio
     appended to ``metric_log`` and the report written to ``report_path`` when
     given.
     """
-    rows = val_pairs
+    rows = pin(val_pairs.select("pair_id", "src_text", "trg_text", "src_ids").withColumn("_row", F.monotonically_increasing_id()))
     if num_examples is not None:
-        first = first_shuffled(val_pairs.select("pair_id"), ["pair_id"], opts.seed, epoch, num_examples)
-        rows = val_pairs.join(first, "pair_id", "left_semi")
-    out = greedy_decode(source_prompts(rows, opts.seq_len, "pair_id"), scorer, opts.seq_len, key="pair_id")
-    text = decode(out.select("pair_id", "ids"), {"predicted": "ids"}, vocab, mode, strip_special=strip_special)
+        first = first_shuffled(rows.drop("src_ids"), ["pair_id", "src_text", "trg_text"], opts.seed, epoch, num_examples)
+        rows = rows.join(F.broadcast(first.select("_row")), "_row", "left_semi")  # num_examples rows
+    out = greedy_decode(source_prompts(rows, opts.seq_len, "_row"), scorer, opts.seq_len, key="_row")
+    text = decode(out.select("_row", "ids"), {"predicted": "ids"}, vocab, mode, strip_special=strip_special)
     # written once to the shared folder: the metrics and the report both read it
-    ev = pin(rows.select("pair_id", F.col("src_text").alias("source"), F.col("trg_text").alias("expected"))
-             .join(text.drop("ids"), "pair_id", "left"))
+    ev = pin(rows.select("_row", "pair_id", F.col("src_text").alias("source"), F.col("trg_text").alias("expected"))
+             .join(text.drop("ids"), "_row", "left").drop("_row"))
     metrics = evaluate(ev, metric_log=metric_log, step=step, run=run)
     if scores is not None:
         per_example = masked_ce(scores, smoothing=0.0, by=["example_id"])

@@ -7,8 +7,11 @@ Greedy decoding keeps the best candidate per sequence (ties: lowest id),
 appends it, and stops a sequence on [EOS] (kept) or when it reaches
 ``max_len`` tokens, [SOS] included.
 
-Two plans:
+Three plans:
 
+* a scorer with ``walk`` decodes whole sequences by joins of its own: a scorer
+  whose next id follows from a bounded state goes by path doubling, one that
+  reads the source word by word translates all places at once;
 * a *row-local* scorer (``row_local``: a step function of one sequence, with a
   model small enough to broadcast) decodes every sequence to its end inside its
   Arrow batch: one pass over the prompts, no shuffle;
@@ -115,6 +118,49 @@ class BigramScorer:
             return None
         return BigramStep({(r[0], r[1]): r[2] for r in best.collect()})
 
+    def jumps(self) -> DataFrame:
+        """``(src_class, prev_id, next_id)`` for every class and id: the class's own
+        next id, else the one that holds for every source."""
+        best = self.best()
+        own = best.where(F.col("src_class") != BACK_OFF).withColumnRenamed("next_id", "_own")
+        classes = F.array(*[F.lit(c) for c in (BACK_OFF, *range(SOURCE_CLASSES))])
+        every = best.where(F.col("src_class") == BACK_OFF).select(F.explode(classes).alias("src_class"), "prev_id", "next_id")
+        return every.join(own, ["src_class", "prev_id"], "left").select(
+            "src_class", "prev_id", F.coalesce("_own", "next_id").alias("next_id"))
+
+    def walk(self, prompts: DataFrame, max_len: int, eos: int = EOS_ID, key: str = "seq_id", ids: str = "ids") -> DataFrame:
+        """Decode by path doubling on the graph of states (class, last id).
+
+        Only distinct states are decoded. When the first ``2**k`` places of their
+        paths are known, one join with the jumps of ``2**k`` steps gives as many
+        more, and one join of the jumps with themselves doubles them: about
+        ``log2(max_len)`` rounds, whatever the size of the score table.
+        """
+        state = F.coalesce("src_class", F.lit(BACK_OFF))
+        last = F.try_element_at(ids, F.lit(-1))
+        goes = (F.size(ids) > 0) & (F.size(ids) < max_len) & (last != eos)
+        open_ = prompts.withColumn("_state", F.when(goes, F.struct(state.alias("src_class"), last.alias("start"))))
+        paths = pin(open_.where("_state IS NOT NULL").select("_state.*").distinct().select(
+            "src_class", "start", F.lit(0).alias("place"), F.col("start").alias("id")))
+        jump, k = pin(self.jumps()), 1
+        while k < max_len:
+            further = paths.join(jump, (paths["src_class"] == jump["src_class"]) & (paths["id"] == jump["prev_id"])).where(
+                F.col("place") + k < max_len).select(paths["src_class"], "start", (F.col("place") + k).alias("place"), F.col("next_id").alias("id"))
+            paths = pin(paths.unionByName(further))
+            if 2 * k < max_len:
+                then = jump.select(F.col("src_class").alias("_c"), F.col("prev_id").alias("_p"), F.col("next_id").alias("_n"))
+                jump = pin(jump.join(then, (F.col("src_class") == F.col("_c")) & (F.col("next_id") == F.col("_p"))).select(
+                    "src_class", "prev_id", F.col("_n").alias("next_id")))
+            k *= 2
+        tails = paths.where("place > 0").groupBy("src_class", "start").agg(
+            F.array_sort(F.collect_list(F.struct("place", "id"))).alias("t")).select(
+            F.struct("src_class", "start").alias("_from"), F.transform("t", lambda r: r["id"]).alias("_tail"))
+        # all prompts share a few states: a row holds a path of up to max_len ids
+        out = lookup_join(open_, F.col("_state"), tails, "_from", "left", row_bytes=8 * max_len + 64, salt_source=F.col(key))
+        added = F.coalesce(F.slice("_tail", 1, F.greatest(F.lit(max_len) - F.size(ids), F.lit(0))), F.array().cast("array<int>"))
+        extra = [c for c in prompts.columns if c not in (key, ids)]
+        return out.select(key, F.concat(ids, added).alias(ids), *extra, F.size(added).alias("steps"))
+
     def __call__(self, frontier: DataFrame) -> DataFrame:
         best = self.best()
         n = best.count()
@@ -167,6 +213,8 @@ def greedy_decode(prompts: DataFrame, scorer: Scorer, max_len: int, eos: int = E
     step = scorer.row_local() if hasattr(scorer, "row_local") else None
     if step is not None:
         return decode_rows(prompts, step, max_len, eos, key, ids)
+    if hasattr(scorer, "walk"):
+        return scorer.walk(prompts, max_len, eos, key, ids)
     return decode_loop(prompts, scorer, max_len, eos, key, ids, checkpoint_every)
 
 
@@ -245,7 +293,7 @@ def source_prompts(encoded: DataFrame, seq_len: int, key: str, sos: int = SOS_ID
 
 
 def translate_batch(routed: DataFrame, vocab: DataFrame, scorer: Scorer, seq_len: int,
-                    mode: str = "word", key: str = "input_id", sos: int = SOS_ID,
+                    mode: str = "word", sos: int = SOS_ID,
                     eos: int = EOS_ID, vocab_stats: tuple[int, int] | None = None,
                     trg_vocab: DataFrame | None = None) -> DataFrame:
     """Translate routed inputs ``(key, source, expected, found, ...)``.
@@ -262,6 +310,9 @@ def translate_batch(routed: DataFrame, vocab: DataFrame, scorer: Scorer, seq_len
 
     if vocab_stats is None:
         vocab_stats = measure(vocab)
+    # inputs are named by a generated id: theirs may be NULL or repeated
+    given, key = routed, "_row"
+    routed = pin(routed.withColumn(key, F.monotonically_increasing_id()))
     ok = routed.where(F.col("found"))
     # written once: the prompts and the reasons both read it
     enc = pin(encode(ok.select(key, "source"), {"src_ids": "source"}, vocab, mode, vocab_stats=vocab_stats).drop("source"))
@@ -274,4 +325,5 @@ def translate_batch(routed: DataFrame, vocab: DataFrame, scorer: Scorer, seq_len
     # then join the inputs once
     results = enc.select(key, "reason").join(text, key, "left")
     return (routed.join(results, key, "left")
-            .withColumn("reason", F.when(~F.col("found"), F.lit("unknown_id")).otherwise(F.col("reason"))))
+            .withColumn("reason", F.when(~F.col("found"), F.lit("unknown_id")).otherwise(F.col("reason")))
+            .select(*given.columns, *[c for c in results.columns if c != key]))

@@ -78,15 +78,16 @@ def _tagged(tokens: Column, n: int, side: int) -> Column:
 
 
 def bleu_ngrams(ev: DataFrame, pred: str = "predicted", exp: str = "expected",
-                max_n: int = 4, key: str = "pair_id", by: Sequence[str] = ()) -> DataFrame:
+                max_n: int = 4, by: Sequence[str] = ()) -> DataFrame:
     """Clipped n-gram matches and candidate counts per ``n`` (and ``by``).
 
-    Rows are hash-partitioned on ``key`` once; the per-(row, n, gram) count is
-    then a local aggregate (the partitioning on ``key`` already satisfies it),
-    counting hypothesis and reference occurrences in one pass, so no join is
-    needed to clip.
+    Every row gets a generated id (its own may be NULL or repeated) and is
+    hash-partitioned on it once; the per-(row, n, gram) count is then a local
+    aggregate, counting hypothesis and reference occurrences in one pass, so no
+    join is needed to clip.
     """
-    parted = by_key(ev, key).select(key, *by, words(F.col(pred)).alias("_h"),
+    key = "_rid"
+    parted = by_key(ev.withColumn(key, F.monotonically_increasing_id()), key).select(key, *by, words(F.col(pred)).alias("_h"),
                                         words(F.col(exp)).alias("_r"))
     h, r = F.col("_h"), F.col("_r")  # column references: the n-gram lambdas capture them
     tagged = F.concat(*[_tagged(toks, n, side)
@@ -101,7 +102,7 @@ def bleu_ngrams(ev: DataFrame, pred: str = "predicted", exp: str = "expected",
 
 
 def bleu(ev: DataFrame, pred: str = "predicted", exp: str = "expected", max_n: int = 4,
-         key: str = "pair_id", by: Sequence[str] = ()) -> DataFrame:
+         by: Sequence[str] = ()) -> DataFrame:
     """Corpus BLEU with uniform weights, no smoothing (0 when any n has no
     match) and brevity penalty ``1`` if ``c > r`` else ``exp(1 - r / c)``.
 
@@ -109,7 +110,7 @@ def bleu(ev: DataFrame, pred: str = "predicted", exp: str = "expected", max_n: i
     reduced by a single aggregate, so the final step needs no join.
     """
     by = list(by)
-    stats = bleu_ngrams(ev, pred, exp, max_n, key, by).select(
+    stats = bleu_ngrams(ev, pred, exp, max_n, by).select(
         *by, F.col("n").cast("int").alias("n"), "matches", "candidates",
         F.lit(0).cast("long").alias("hyp_len"), F.lit(0).cast("long").alias("ref_len"))
     lens = ev.select(

@@ -252,25 +252,41 @@ VAL_CURVE = f"""vc AS (
   FROM lps WHERE tag = '{T.VAL_TAG}' GROUP BY 1, 2)"""
 
 
-TRANSLATE = f"""{SHARED.replace('WITH ', 'WITH RECURSIVE ', 1)},
-{BIGRAM},
+ROUNDS = 3  # of expectation-maximisation
+
+
+def _round(k: int) -> str:
+    """Shares of every link under the table before, and the table they make."""
+    weight, source = ("ns", "lnk") if k == 0 else ("ns * p", f"lnk JOIN p{k - 1} USING (s, t)")
+    return f"""e{k} AS (SELECT s, t, sum(nt * w / d) AS c FROM (
+  SELECT s, t, nt, {weight} AS w, sum({weight}) OVER (PARTITION BY pair_id, t) AS d FROM {source}) GROUP BY ALL),
+p{k} AS (SELECT s, t, c / sum(c) OVER (PARTITION BY s) AS p FROM e{k})"""
+
+
+EM = f"""lnk AS (SELECT pair_id, s, t, a.n AS ns, b.n AS nt FROM (
+    SELECT pair_id, s, count(*) AS n FROM (SELECT pair_id, unnest(src_ids) AS s FROM enc) GROUP BY ALL
+    UNION ALL SELECT pair_id, -1, 1 FROM enc) a
+  JOIN (SELECT pair_id, t, count(*) AS n FROM (SELECT pair_id, unnest(trg_ids) AS t FROM enc) GROUP BY ALL) b USING (pair_id)),
+{(',' + chr(10)).join(_round(k) for k in range(ROUNDS))},
+tr_best AS (SELECT s, t, p FROM p{ROUNDS - 1} WHERE s <> -1
+            QUALIFY row_number() OVER (PARTITION BY s ORDER BY round(ln(p), 9) DESC, t) = 1)"""
+
+TRANSLATE = f"""{SHARED},
+{EM},
 {ROUTING},
-{decode_rec()},
-chain AS (SELECT c, string_agg(coalesce(v.token, '[UNK]'), ' ' ORDER BY t.pos) AS text,
-                 coalesce(string_agg(coalesce(v.token, '[UNK]'), ' ' ORDER BY t.pos) FILTER (WHERE t.pos > 1), '') AS gen
-          FROM (SELECT c, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM decoded) t
-          LEFT JOIN svocab v ON v.id = t.id GROUP BY c),
 rid AS (SELECT *, row_number() OVER () AS rid FROM routed),
-stok AS (SELECT rid, unnest({words('source')}) AS token FROM rid),
-scls AS (SELECT rid, CAST((5 + sum(coalesce(v.id, 0))) % {CLASSES} AS INTEGER) AS c, count(*) AS n
-         FROM stok s LEFT JOIN svocab v ON v.token = s.token AND NOT v.is_special GROUP BY rid),
-chk AS (SELECT r.*, coalesce(s.c, 5) AS c, coalesce(s.n, 0) > {L - 2} AS too_long FROM rid r LEFT JOIN scls s USING (rid)),
+stok AS (SELECT rid, pos, coalesce(v.id, 0) AS id FROM (
+           SELECT rid, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM (SELECT rid, {words('source')} AS w FROM rid)) s
+         LEFT JOIN svocab v ON v.token = s.token AND NOT v.is_special),
+said AS (SELECT rid, count(*) AS n, string_agg(coalesce(v.token, '[UNK]'), ' ' ORDER BY pos) AS words
+         FROM stok LEFT JOIN tr_best b ON b.s = stok.id LEFT JOIN svocab v ON v.id = coalesce(b.t, stok.id) GROUP BY rid),
 tr AS (
   SELECT input_id, input, is_row_id, found, source, expected,
-         CASE WHEN found AND NOT too_long THEN chain.text END AS predicted,
-         CASE WHEN found AND NOT too_long THEN chain.gen END AS generated,
+         CASE WHEN found AND NOT too_long THEN '[SOS] ' || generated END AS predicted,
+         CASE WHEN found AND NOT too_long THEN generated END AS generated,
          CASE WHEN NOT found THEN 'unknown_id' WHEN too_long THEN 'src_too_long' END AS reason
-  FROM chk JOIN chain ON chain.c = chk.c)"""
+  FROM (SELECT r.*, coalesce(n, 0) > {L - 2} AS too_long, coalesce(words || ' ', '') || '[EOS]' AS generated
+        FROM rid r LEFT JOIN said USING (rid)))"""
 
 
 CER_SUMS = f"""cs AS (
@@ -430,7 +446,7 @@ SELECT pair_id, epoch, CAST(rank AS BIGINT) AS rank, CAST((rank - 1) // {B} AS B
        CAST(epoch * CAST(ceil(epoch_rows / {B}) AS BIGINT) + (rank - 1) // {B} AS BIGINT) AS global_step
 FROM ranked""",
     "train_batches": f"""{SHARED},
-{SPLIT.replace(PAIRS + ',', '', 1)}{examples_cte(CHECK_SEQ_LEN)},
+{SPLIT.replace(PAIRS + ',', '', 1)}{examples_cte(L)},
 fit AS (SELECT e.* FROM exm e JOIN split s USING (pair_id) WHERE s.split = 'train' AND reason IS NULL),
 rk AS (SELECT f.*, CAST(e.epoch AS INTEGER) AS epoch, row_number() OVER (PARTITION BY e.epoch ORDER BY
          md5(CAST(pair_id AS VARCHAR) || '|{SEED}|' || CAST(e.epoch AS VARCHAR)), pair_id) AS rank,
@@ -500,6 +516,8 @@ SELECT pair_id, CAST(k AS INTEGER) AS line_no, line FROM (
          unnest(range(4)) AS k FROM ev)""",
     "greedy_decode": decoded_pairs(L),
     "decode_loop": decoded_pairs(LOOP_LEN),
+    "decode_paths": decoded_pairs(L),
+    "translation_table": f"{SHARED},\n{EM}\nSELECT s, t, round(p, 6) AS p FROM tr_best",
     "translate_batch": f"""{TRANSLATE}
 SELECT input_id, is_row_id, found, predicted, reason FROM tr""",
     "translation_report": f"""{TRANSLATE}
@@ -538,5 +556,20 @@ SELECT tc.run, tc.epoch, round(train_loss, 9) AS train_loss, train_steps, vc.val
 FROM tc LEFT JOIN vc USING (run, epoch)""",
 }
 
-# the same batches at the production length
-ORACLE["train_batches_480"] = ORACLE["train_batches"].replace(examples_cte(CHECK_SEQ_LEN), examples_cte(L))
+ORACLE["train_batches_480"] = ORACLE["train_batches"]  # its name when the other one ran at a shorter length
+# the preparation job splits by the whole pair, names rows by that rank and shuffles by the name
+ORACLE["train_batches_prepared"] = f"""{SHARED}{examples_cte(L)},
+sp AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', pair_id, src_text, trg_text, '{SEED}')), pair_id) AS row_id,
+              count(*) OVER () AS total FROM exm),
+fit AS (SELECT * FROM sp WHERE row_id <= floor({OPTS.train_fraction}::DOUBLE * total) AND reason IS NULL),
+rk AS (SELECT f.*, CAST(e.epoch AS INTEGER) AS epoch, row_number() OVER (PARTITION BY e.epoch ORDER BY
+         md5(CAST(row_id AS VARCHAR) || '|{SEED}|' || CAST(e.epoch AS VARCHAR)), row_id) AS rank,
+         count(*) OVER (PARTITION BY e.epoch) AS n
+       FROM fit f, (SELECT unnest(range({OPTS.num_epochs})) AS epoch) e)
+SELECT epoch, CAST((rank - 1) // {B} AS BIGINT) AS batch_id,
+       CAST(epoch * CAST(ceil(any_value(n) / {B}) AS BIGINT) + (rank - 1) // {B} AS BIGINT) AS global_step,
+       string_agg(CAST(pair_id AS VARCHAR), ',' ORDER BY rank) AS pair_ids,
+       {', '.join(f"md5(string_agg(array_to_string({f}, ','), ';' ORDER BY rank)) AS {f}" for f in ('encoder_input', 'label'))}
+FROM rk GROUP BY epoch, (rank - 1) // {B}"""
+for _name in ("log_softmax", "masked_ce", "smoothed_ce"):  # the long forms give the same rows
+    ORACLE[f"{_name}_long"] = ORACLE[_name]

@@ -17,8 +17,8 @@ from parallex.config import Options
 from parallex.functions import scores as S
 from parallex.functions.arrays import render
 from parallex.functions import arrays as A
-from parallex.jobs import log_losses, training_batches, validate
-from parallex.operators import curves, examples, lengths, metrics, sampling, scoring
+from parallex.jobs import log_losses, prepare, read_prepared, training_batches, validate
+from parallex.operators import curves, examples, lengths, metrics, sampling, scoring, translation
 from parallex.operators.decoding import (BigramScorer, bigram_scores, decode_loop, greedy_decode, source_class,
                                          source_prompts, translate_batch)
 from parallex.operators.encode import decode, encode, encode_sides
@@ -35,6 +35,7 @@ CHECK_SEQ_LEN = 128  # a second length-check setting that rejects pairs in the s
 MASK_SEQ_LEN = 64    # a setting at which whole decoder masks are compared
 LOOP_LEN = 8         # tokens decoded by the general step loop
 PREVIEW_ROWS = 5
+LONG_CHUNK = 24      # scores a task holds together, so that the 64 of a position come in three parts
 SIDES = {"src_ids": "src_text", "trg_ids": "trg_text"}
 
 
@@ -273,25 +274,28 @@ def q_val_sample(spark, d):
     return sampling.first_shuffled(val, ["pair_id"], SEED, 0, OPTS.val_examples).select("pair_id", "rank")
 
 
-def _train_batches(spark, d, seq_len):
-    """The stacked batches of all epochs over the training pairs that fit."""
-    enc = pin(encoded_shared(spark, d).join(split_df(spark, d).select("pair_id", "split"), "pair_id")
-              .where((F.col("split") == "train") & lengths.length_reason(seq_len).isNull()))
-    schedule = sampling.epoch_schedule(enc.select("pair_id"), ["pair_id"], SEED, OPTS.batch_size, 0, OPTS.num_epochs)
-    b = training_batches(enc, schedule, seq_len)
+def q_train_batches(spark, d):
+    """The stacked batches of all epochs, at the production length, over the
+    training pairs that fit; rows are named by their rank in the split."""
+    split = split_df(spark, d).select("pair_id", "split", F.col("split_rank").alias("row_id"))
+    enc = pin(encoded_shared(spark, d).join(split, "pair_id")
+              .where((F.col("split") == "train") & lengths.length_reason(OPTS.seq_len).isNull()))
+    schedule = sampling.epoch_schedule(enc.select("row_id", "pair_id"), ["pair_id"], SEED, OPTS.batch_size, 0, OPTS.num_epochs)
+    b = training_batches(enc, schedule, OPTS.seq_len)
     fields = ("encoder_input", "decoder_input", "label", "encoder_mask", "dec_valid")
     return b.select("epoch", "batch_id", "global_step", render(F.col("pair_id")).alias("pair_ids"),
                     *[F.md5(F.array_join(F.transform(f, lambda x: render(x)), ";")).alias(f) for f in fields])
 
 
-def q_train_batches(spark, d):
-    """At the length that rejects pairs."""
-    return _train_batches(spark, d, CHECK_SEQ_LEN)
-
-
-def q_train_batches_480(spark, d):
-    """At the production length: every training pair that fits the model."""
-    return _train_batches(spark, d, OPTS.seq_len)
+def q_train_batches_prepared(spark, d):
+    """The same batches from the tables that the preparation job writes: its row
+    ids, its split, its length check and its schedule."""
+    folder = _folder(spark, "prepared")
+    prepare(spark, T.pairs(spark, d), folder, OPTS)
+    b = training_batches(read_prepared(spark, folder, "train"), spark.read.parquet(f"{folder}/schedule"), OPTS.seq_len)
+    return b.select("epoch", "batch_id", "global_step", render(F.col("pair_id")).alias("pair_ids"),
+                    F.md5(F.array_join(F.transform("encoder_input", lambda x: render(x)), ";")).alias("encoder_input"),
+                    F.md5(F.array_join(F.transform("label", lambda x: render(x)), ";")).alias("label"))
 
 
 # ---- G: scores --------------------------------------------------------------------
@@ -337,6 +341,24 @@ def q_mean_val_loss(spark, d):
     return r.select(_r(F.col("mean_loss")).alias("mean_loss"), "n_batches")
 
 
+def _long(spark, d):
+    s = T.scores(spark, d)
+    return scoring.to_long(s, ["vec_id"]), s.select("vec_id", "label")
+
+
+def q_log_softmax_long(spark, d):
+    r = scoring.log_softmax_long(_long(spark, d)[0], ["vec_id"], chunk=LONG_CHUNK)
+    return r.select("vec_id", F.col("token_id").alias("k"), _r(F.col("log_prob")).alias("log_prob"))
+
+
+def _ce_long(smoothing):
+    def q(spark, d):
+        long, labels = _long(spark, d)
+        r = scoring.masked_ce_long(long, labels, ["vec_id"], T.SCORE_PAD, smoothing, chunk=LONG_CHUNK)
+        return r.select(_r(F.col("loss")).alias("loss"), "n_positions")
+    return q
+
+
 # ---- H: text metrics ---------------------------------------------------------------
 
 def q_cer(spark, d):
@@ -385,29 +407,42 @@ def _bigram(enc):
 
 def _decoded(spark, d, decode_with, max_len):
     """Every pair with its decoded ids, or none and the reason."""
-    enc = pin(encoded_shared(spark, d).select("pair_id", "src_ids", "trg_ids"))
+    enc = pin(encoded_shared(spark, d).select("pair_id", "src_ids", "trg_ids").withColumn("_row", F.monotonically_increasing_id()))
     scorer = _bigram(enc)
-    out = decode_with(source_prompts(enc, OPTS.seq_len, "pair_id"), scorer, max_len)
+    out = decode_with(source_prompts(enc, OPTS.seq_len, "_row"), scorer, max_len)
     reason = lengths.length_reason(OPTS.seq_len, texts=())
-    return enc.select("pair_id", reason.alias("reason")).join(out, "pair_id", "left").select(
+    return enc.select("_row", "pair_id", reason.alias("reason")).join(out, "_row", "left").select(
         "pair_id", render(F.when(F.col("reason").isNull(), F.col("ids"))).alias("ids"),
         F.when(F.col("reason").isNull(), F.col("steps")).cast("int").alias("steps"), "reason")
 
 
 def q_greedy_decode(spark, d):
-    return _decoded(spark, d, lambda p, s, n: greedy_decode(p, s, n, key="pair_id"), OPTS.seq_len)
+    return _decoded(spark, d, lambda p, s, n: greedy_decode(p, s, n, key="_row"), OPTS.seq_len)
 
 
 def q_decode_loop(spark, d):
     """The general step loop, over the same scorer used as joins."""
-    return _decoded(spark, d, lambda p, s, n: decode_loop(s.prepare(p), s, n, key="pair_id"), LOOP_LEN)
+    return _decoded(spark, d, lambda p, s, n: decode_loop(s.prepare(p), s, n, key="_row"), LOOP_LEN)
+
+
+def q_decode_paths(spark, d):
+    """The same sequences by path doubling, as above the broadcast bound."""
+    return _decoded(spark, d, lambda p, s, n: s.walk(s.prepare(p), n, key="_row"), OPTS.seq_len)
+
+
+def q_translation_table(spark, d):
+    """The best translation of every source token, and its probability."""
+    enc = encoded_shared(spark, d).select("src_ids", "trg_ids")
+    table = translation.translation_table(translation.links(enc))
+    return translation.best_translations(table).join(table, ["s", "t"]).select("s", "t", _r(F.col("p")).alias("p"))
 
 
 def _translated(spark, d):
     v = pin(shared_vocab(spark, d))
     stats = vocab_stats(v)  # measured once, reused by every lookup below
     pairs = pin(T.pairs(spark, d))
-    scorer = _bigram(pin(encode(pairs, SIDES, v, "word", vocab_stats=stats).select("src_ids", "trg_ids")))
+    enc = encode(pairs, SIDES, v, "word", vocab_stats=stats).select("src_ids", "trg_ids")
+    scorer = translation.TranslationScorer(translation.translation_table(translation.links(enc)))
     routed = pin(corpus.route_inputs(T.routing_inputs(spark, d), pairs))
     return translate_batch(routed, v, scorer, OPTS.seq_len, vocab_stats=stats)
 
@@ -522,7 +557,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_collate": q_batch_collate,
     "epoch_schedule": q_epoch_schedule,
     "train_batches": q_train_batches,
-    "train_batches_480": q_train_batches_480,
+    "train_batches_480": q_train_batches,
+    "train_batches_prepared": q_train_batches_prepared,
     "val_sample": q_val_sample,
     "log_softmax": q_log_softmax,
     "top1_token": q_top1_token,
@@ -531,6 +567,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "masked_ce": q_masked_ce,
     "smoothed_ce": q_smoothed_ce,
     "mean_val_loss": q_mean_val_loss,
+    "log_softmax_long": q_log_softmax_long,
+    "masked_ce_long": _ce_long(0.0),
+    "smoothed_ce_long": _ce_long(OPTS.label_smoothing),
     "cer": q_cer,
     "wer": q_wer,
     "bleu_ngrams": q_bleu_ngrams,
@@ -539,6 +578,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "comparison_report": q_comparison_report,
     "greedy_decode": q_greedy_decode,
     "decode_loop": q_decode_loop,
+    "decode_paths": q_decode_paths,
+    "translation_table": q_translation_table,
     "translate_batch": q_translate_batch,
     "translation_report": q_translation_report,
     "validation_metrics": q_validation_metrics,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import parallex.session as session
 from parallex.config import Options
-from parallex.jobs import evaluate, log_losses, prepare, read_prepared, training_batches
+from parallex.jobs import evaluate, log_losses, prepare, read_prepared, training_batches, validate
 from parallex.operators import curves
 from parallex.operators.decoding import BigramScorer, bigram_scores, greedy_decode, row_local
 from parallex.operators.encode import decode, encode, encode_sides
@@ -172,13 +172,33 @@ def test_training_batches(spark):
     enc = spark.createDataFrame([(i, "s", "t", [4, 5], [6] * (i % 3)) for i in range(7)],
                                 "pair_id long, src_text string, trg_text string, src_ids array<int>, trg_ids array<int>")
     sched = epoch_schedule(enc.select("pair_id"), ["pair_id"], 1, 3, 0, 2)
-    got = training_batches(enc, sched, 6).collect()
+    got = training_batches(enc, sched, 6, key="pair_id").collect()
     assert len(got) == 6 and sorted(r.global_step for r in got) == list(range(6))
     ex = {r.pair_id: r for r in build_examples(enc, 6).collect()}
     for r in got:
         assert r.label == [ex[p].label for p in r.pair_id] and r.encoder_input == [ex[p].encoder_input for p in r.pair_id]
 
 
+def test_batches_and_validation_keep_null_and_repeated_ids(spark, tmp_dir):
+    rows = [(None, "a b", "c")] * 2 + [(None, "x", "y")] + [(7, "a b", "c d")] * 4 + [(i, f"w{i} b", "c") for i in range(10, 23)]
+    p = spark.createDataFrame(rows, "pair_id long, src_text string, trg_text string")
+    opts = Options(seq_len=8, num_epochs=2)
+    prepare(spark, p, tmp_dir, opts)
+    train = read_prepared(spark, tmp_dir, "train").collect()
+    assert len(train) == 18
+    got = training_batches(read_prepared(spark, tmp_dir, "train"), spark.read.parquet(f"{tmp_dir}/schedule"), 8).collect()
+    assert len(got) == 2 * 3 and all(len(r.pair_id) == len(r.label) == 6 for r in got)
+    for epoch in range(2):
+        ids = sorted(str(i) for r in got if r.epoch == epoch for i in r.pair_id)
+        assert ids == sorted(str(r.pair_id) for r in train)
+    v = spark.read.parquet(f"{tmp_dir}/vocab")
+    enc = encode(p, {"src_ids": "src_text", "trg_ids": "trg_text"}, v)
+    ev = validate(enc, v, BigramScorer(bigram_scores(enc)), opts)["eval"].collect()
+    assert len(ev) == len(rows) and all(r.predicted is not None for r in ev)
+    some = validate(enc, v, BigramScorer(bigram_scores(enc)), opts, num_examples=20)["eval"].collect()
+    assert len(some) == len(rows)
+
+
 def test_loss_log(spark, tmp_dir):
     scores = spark.createDataFrame([(e, p, [0.0, float(e), 1.0], 1 + p % 2) for e in range(6) for p in range(2)],
                                    "example_id long, pos int, logits array<double>, label int")
@@ -215,7 +235,7 @@ def test_pairs_up_to_the_production_length_are_batched(spark, tmp_path):
     spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
     train = {r.pair_id for r in queries.split_df(spark, str(tmp_path)).where("split = 'train'").collect()}
     fits = {r.pair_id for r in queries.q_length_quarantine(spark, str(tmp_path)).where("reason is null").collect()}
-    got = queries.q_train_batches_480(spark, str(tmp_path)).select("epoch", "pair_ids").collect()
+    got = queries.q_train_batches(spark, str(tmp_path)).select("epoch", "pair_ids").collect()
     seen = sorted((r.epoch, int(i)) for r in got for i in r.pair_ids.split(","))
     assert seen == sorted((e, i) for e in range(queries.OPTS.num_epochs) for i in train & fits)
     assert {i for _, i in seen} >= {i for i in train if rows[2 * (i >> 31)][3].count("w") in (200, 300, 478)}
