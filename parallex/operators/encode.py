@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from parallex.config import UNK_ID
 from parallex.functions.text import joiner, tokenize
 from parallex.operators.lookup import lookup_join
+from parallex.operators.subword import joined
 from parallex.operators.vocab import VOCAB_SCHEMA
 from parallex.operators.vocab import vocab_stats as measure
 from parallex.session import by_key, is_broadcastable
@@ -115,7 +116,8 @@ def decode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: st
            vocab_stats: tuple[int, int] | None = None) -> DataFrame:
     """Add one text column per ``{out_col: ids_col}``. Special tokens are kept
     unless ``strip_special``; an id missing from the vocabulary decodes to [UNK];
-    a NULL array decodes to an empty text."""
+    a NULL array decodes to an empty text. ``mode`` is that of the encoding, or
+    ``subword``."""
     _check_groups(vocab, by)
     outs = list(columns)
     stats = vocab_stats or measure(vocab, by)
@@ -125,8 +127,8 @@ def decode(df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, mode: st
     if strip_special:
         looked = looked.where((F.col("side") == _ROW) | ~F.coalesce(F.col("_special"), F.lit(False)))
     toks = _regroup(looked, F.coalesce("_tok", F.lit("[UNK]")), df.columns, outs)
-    return toks.select(*[c for c in toks.columns if c not in outs],
-                       *[F.array_join(o, joiner(mode)).alias(o) for o in outs])
+    back = joined if mode == "subword" else lambda o: F.array_join(o, joiner(mode))
+    return toks.select(*[c for c in toks.columns if c not in outs], *[back(F.col(o)).alias(o) for o in outs])
 
 
 def encode_with(df: DataFrame, columns: Mapping[str, str], tokenizer) -> DataFrame:

@@ -517,6 +517,7 @@ SELECT pair_id, CAST(k AS INTEGER) AS line_no, line FROM (
     "greedy_decode": decoded_pairs(L),
     "decode_loop": decoded_pairs(LOOP_LEN),
     "decode_paths": decoded_pairs(L),
+    "subword_roundtrip": f"SELECT doc_id, array_to_string({words('text')}, ' ') AS back FROM documents",
     "translation_table": f"{SHARED},\n{EM}\nSELECT s, t, round(p, 6) AS p FROM tr_best",
     "translate_batch": f"""{TRANSLATE}
 SELECT input_id, is_row_id, found, predicted, reason FROM tr""",

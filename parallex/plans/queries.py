@@ -18,10 +18,10 @@ from parallex.functions import scores as S
 from parallex.functions.arrays import render
 from parallex.functions import arrays as A
 from parallex.jobs import log_losses, prepare, read_prepared, training_batches, validate
-from parallex.operators import curves, examples, lengths, metrics, sampling, scoring, translation
+from parallex.operators import curves, examples, lengths, metrics, sampling, scoring, subword, translation
 from parallex.operators.decoding import (BigramScorer, bigram_scores, decode_loop, greedy_decode, source_class,
                                          source_prompts, translate_batch)
-from parallex.operators.encode import decode, encode, encode_sides
+from parallex.operators.encode import decode, encode, encode_sides, encode_with
 from parallex.operators.examples import build_examples
 from parallex.operators.vocab import build_vocab, vocab_size, vocab_stats
 from parallex.plans import standins as T
@@ -35,6 +35,7 @@ CHECK_SEQ_LEN = 128  # a second length-check setting that rejects pairs in the s
 MASK_SEQ_LEN = 64    # a setting at which whole decoder masks are compared
 LOOP_LEN = 8         # tokens decoded by the general step loop
 PREVIEW_ROWS = 5
+SUBWORD_MERGES = 256
 LONG_CHUNK = 24      # scores a task holds together, so that the 64 of a position come in three parts
 SIDES = {"src_ids": "src_text", "trg_ids": "trg_text"}
 
@@ -181,6 +182,32 @@ def q_decode_roundtrip(spark, d):
         "pair_id", "src_back", "trg_back")
 
 
+def _subword_texts(spark, d):
+    p = T.pairs(spark, d)
+    return p.select(F.col("src_text").alias("text")).unionByName(p.select(F.col("trg_text").alias("text")))
+
+
+def q_subword_merges(spark, d):
+    """Merges learned on both sides of the corpus, in their order."""
+    merges, _ = subword.train(_subword_texts(spark, d), SUBWORD_MERGES)
+    return subword.merges_frame(spark, merges)
+
+
+def q_subword_encode(spark, d):
+    """Both sides by the shared subword vocabulary."""
+    v = pin(subword.subword_vocab(_subword_texts(spark, d), SUBWORD_MERGES))
+    e = encode_with(T.pairs(spark, d), SIDES, subword.subword_tokenizer(v))
+    return e.select("pair_id", render(F.col("src_ids")).alias("src_ids"), render(F.col("trg_ids")).alias("trg_ids"))
+
+
+def q_subword_roundtrip(spark, d):
+    """Every document cut by a vocabulary learned on all of them, and decoded."""
+    docs = T.table(spark, d, "documents").select("doc_id", "text")
+    v = pin(subword.subword_vocab(docs, SUBWORD_MERGES // 4))
+    e = encode_with(docs, {"ids": "text"}, subword.subword_tokenizer(v))
+    return decode(e, {"back": "ids"}, v, "subword").select("doc_id", "back")
+
+
 # ---- D: lengths -------------------------------------------------------------------
 
 def q_token_lengths(spark, d):
@@ -538,6 +565,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "encode_by_lang": q_encode_by_lang,
     "encode_char": q_encode_char,
     "decode_roundtrip": q_decode_roundtrip,
+    "subword_merges": q_subword_merges,
+    "subword_encode": q_subword_encode,
+    "subword_roundtrip": q_subword_roundtrip,
     "token_lengths": q_token_lengths,
     "max_lengths": q_max_lengths,
     "length_quarantine": q_length_quarantine,
