@@ -55,10 +55,9 @@ def is_row_id(text: Column) -> Column:
 
 # Code points used as one-character stand-ins for words. They start after
 # Latin-1 and skip the UTF-16 surrogate block, so any index below ~1.1 million
-# maps to exactly one code point.
+# maps to exactly one code point (a pair that long is cut into blocks before).
 _SYMBOL_BASE = 0x100
 _SURROGATE_LO, _SURROGATE_HI = 0xD800, 0xDFFF
-MAX_SYMBOLS = 0x10FFFF - _SYMBOL_BASE - (_SURROGATE_HI - _SURROGATE_LO + 1)
 
 
 def symbol(index: Column) -> Column:

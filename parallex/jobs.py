@@ -19,7 +19,7 @@ from parallex.operators.curves import train_epoch
 from parallex.operators.decoding import Scorer, greedy_decode, source_prompts
 from parallex.operators.encode import decode, encode_sides
 from parallex.operators.lengths import check_lengths
-from parallex.operators.metrics import bleu, char_count, char_edits, with_word_edits
+from parallex.operators.metrics import bleu, char_count, with_char_edits, with_word_edits
 from parallex.operators.sampling import collate, epoch_schedule, first_shuffled, split_exact
 from parallex.operators.scoring import masked_ce, mean_val_loss
 from parallex.session import pin
@@ -130,8 +130,8 @@ def evaluate(ev: DataFrame, pred: str = "predicted", exp: str = "expected",
              metric_log: str | None = None, step: int = 0, run: str = "default") -> DataFrame:
     """CER, WER and BLEU of an evaluation table in one row; with ``metric_log``,
     the three values are appended to it at ``step``."""
-    scored = with_word_edits(ev.select(pred, exp), pred, exp, "_wedits", "_wlen").select(
-        "_wedits", "_wlen", char_edits(F.col(pred), F.col(exp)).alias("_cedits"), char_count(F.col(exp)).alias("_clen"))
+    scored = with_char_edits(with_word_edits(ev.select(pred, exp), pred, exp, "_wedits", "_wlen"), pred, exp, "_cedits").select(
+        "_wedits", "_wlen", "_cedits", char_count(F.col(exp)).alias("_clen"))
     rates = scored.agg(
         (F.sum("_cedits") / F.nullif(F.sum("_clen"), F.lit(0))).alias("cer"),
         (F.sum("_wedits") / F.nullif(F.sum("_wlen"), F.lit(0))).alias("wer"),

@@ -3,18 +3,24 @@
 Each metric sums numerators and denominators over all rows (optionally per
 ``by`` group) and divides once. Edit distances are Spark's built-in
 ``levenshtein`` (code points, inside codegen); words are mapped to one
-character each first so the same built-in gives word-level distances.
+character each first so the same built-in gives word-level distances. Pairs too
+long for one task are cut into blocks (``operators.edits``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parallex.functions.text import MAX_SYMBOLS, as_symbols, words
-from parallex.session import by_key
+from parallex.functions.text import as_symbols, chars, words
+from parallex.operators.edits import long_edits
+from parallex.session import by_key, pin
+
+# Longest side, in tokens, that the built-in distance takes in one task; beyond it
+# a pair is cut into blocks of this size.
+WORD_BLOCK, CHAR_BLOCK = 4096, 1 << 14
 
 
 def char_edits(pred: Column, exp: Column) -> Column:
@@ -26,24 +32,46 @@ def char_count(exp: Column) -> Column:
     return F.coalesce(F.length(exp), F.lit(0))
 
 
-def with_word_edits(df: DataFrame, pred: str, exp: str, out: str = "word_edits",
-                    ref_len: str | None = None) -> DataFrame:
-    """Add the word-level edit distance of two text columns, and ``{out}_reason``.
+def _with_edits(df: DataFrame, n_pred: Column, n_exp: Column, tokens: Sequence[Column], short: Callable[[DataFrame], DataFrame],
+                out: str, block: int) -> DataFrame:
+    """``df`` with the distance ``out``: ``short`` adds it to pairs of at most ``block``
+    tokens a side; longer ones, if there are any, go by blocks."""
+    sized = df.withColumn("_most", F.greatest(n_pred, n_exp))
+    if (sized.agg(F.max("_most")).first()[0] or 0) <= block:
+        return short(df)
+    rows = pin(sized.withColumn("_rid", F.monotonically_increasing_id()))
+    long = rows.where(F.col("_most") > block)
+    found = long_edits(long.select("_rid", tokens[0].alias("_p"), tokens[1].alias("_e")), "_p", "_e", block)
+    near = short(rows.where(F.col("_most") <= block).select(*df.columns))
+    far = long.join(found, "_rid").select(*df.columns, F.col("edits").cast("int").alias(out))
+    return near.unionByName(far.select(*near.columns))
+
+
+def with_char_edits(df: DataFrame, pred: str, exp: str, out: str = "char_edits", block: int = CHAR_BLOCK) -> DataFrame:
+    """Add the character edit distance of two text columns."""
+    return _with_edits(df, char_count(F.col(pred)), char_count(F.col(exp)), [chars(F.col(pred)), chars(F.col(exp))],
+                       lambda d: d.withColumn(out, char_edits(F.col(pred), F.col(exp))), out, block)
 
-    Exact up to ~1.1M distinct words in one pair; beyond that the distance and
-    the length are NULL (the rates leave the pair out) and the reason says so.
 
-    Word arrays and the per-row alphabet are projected first, as columns, so the
-    lambdas that map words to symbols only reference columns.
+def with_word_edits(df: DataFrame, pred: str, exp: str, out: str = "word_edits",
+                    ref_len: str | None = None, block: int = WORD_BLOCK) -> DataFrame:
+    """Add the word-level edit distance of two text columns (and the reference's
+    word count), exact for pairs of any length.
+
+    For pairs of at most ``block`` words a side, word arrays and the per-row
+    alphabet are projected first, as columns, so the lambdas that map words to
+    symbols only reference columns.
     """
     keep = df.columns
-    w = df.select(*keep, words(F.col(pred)).alias("_h"), words(F.col(exp)).alias("_r"))
-    w = w.select(*keep, "_h", "_r", F.array_distinct(F.concat("_h", "_r")).alias("_a"))
-    fits = F.size("_a") <= MAX_SYMBOLS
-    dist = F.levenshtein(as_symbols(F.col("_h"), F.col("_a")), as_symbols(F.col("_r"), F.col("_a")))
-    extra = [F.when(fits, F.size("_r")).alias(ref_len)] if ref_len else []
-    return w.select(*keep, F.when(fits, dist).alias(out), *extra,
-                    F.when(~fits, F.lit("too_many_words")).alias(f"{out}_reason"))
+
+    def short(rows: DataFrame) -> DataFrame:
+        w = rows.select(*keep, words(F.col(pred)).alias("_h"), words(F.col(exp)).alias("_r"))
+        w = w.select(*keep, "_h", "_r", F.array_distinct(F.concat("_h", "_r")).alias("_a"))
+        return w.select(*keep, F.levenshtein(as_symbols(F.col("_h"), F.col("_a")), as_symbols(F.col("_r"), F.col("_a"))).alias(out))
+
+    both = [words(F.col(pred)), words(F.col(exp))]
+    edits = _with_edits(df, F.size(both[0]), F.size(both[1]), both, short, out, block)
+    return edits.withColumn(ref_len, F.size(words(F.col(exp)))) if ref_len else edits
 
 
 def _rate(df: DataFrame, edits: Column, total: Column, by: Sequence[str], name: str) -> DataFrame:
@@ -55,7 +83,8 @@ def _rate(df: DataFrame, edits: Column, total: Column, by: Sequence[str], name:
 def char_error_rate(ev: DataFrame, pred: str = "predicted", exp: str = "expected",
                     by: Sequence[str] = ()) -> DataFrame:
     """CER = sum of character edits / sum of expected characters."""
-    return _rate(ev, char_edits(F.col(pred), F.col(exp)), char_count(F.col(exp)), by, "cer")
+    scored = with_char_edits(ev.select(*by, pred, exp), pred, exp, "_edits")
+    return _rate(scored, F.col("_edits"), char_count(F.col(exp)), by, "cer")
 
 
 def word_error_rate(ev: DataFrame, pred: str = "predicted", exp: str = "expected",

@@ -517,6 +517,10 @@ SELECT pair_id, CAST(k AS INTEGER) AS line_no, line FROM (
     "greedy_decode": decoded_pairs(L),
     "decode_loop": decoded_pairs(LOOP_LEN),
     "decode_paths": decoded_pairs(L),
+    "causal_mask": f"""{SHARED},
+n AS (SELECT max(len(trg_ids)) + 1 AS n FROM enc)
+SELECT i, count(*) FILTER (j <= i) AS allowed, max(j) FILTER (j <= i) AS last, count(*) AS cells
+FROM n, unnest(range(n)) AS a(i), unnest(range(n)) AS b(j) GROUP BY i""",
     "subword_roundtrip": f"SELECT doc_id, array_to_string({words('text')}, ' ') AS back FROM documents",
     "translation_table": f"{SHARED},\n{EM}\nSELECT s, t, round(p, 6) AS p FROM tr_best",
     "translate_batch": f"""{TRANSLATE}

@@ -265,6 +265,14 @@ def q_decoder_mask_cells(spark, d):
     return m.select("pair_id", F.array_join(F.transform("decoder_mask", lambda r: F.array_join(r, "")), ";").alias("cells"))
 
 
+def q_causal_mask(spark, d):
+    """The mask that the longest target of the corpus needs, row by row."""
+    n = lengths.max_lengths(encoded_shared(spark, d)).first()["max_trg"]
+    cells = examples.causal_mask(spark, n + 1)
+    return cells.groupBy("i").agg(F.sum(F.col("allowed").cast("long")).alias("allowed"), F.max(F.when(F.col("allowed"), F.col("j"))).alias("last"),
+                                  F.count(F.lit(1)).alias("cells"))
+
+
 def q_example_sizes(spark, d):
     return examples.assert_example_sizes(examples_df(spark, d), OPTS.seq_len)
 
@@ -398,6 +406,14 @@ def q_wer(spark, d):
     return r.select("edits", "total", _r(F.col("wer")).alias("wer"))
 
 
+def q_document_edits(spark, d):
+    """Word edits from every document to the one with the next id, whatever their lengths."""
+    docs = T.table(spark, d, "documents").select("doc_id", "text")
+    after = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("next"))
+    r = metrics.with_word_edits(docs.join(after, "doc_id"), "next", "text", "word_edits", "n_words")
+    return r.select("doc_id", "word_edits", "n_words")
+
+
 def q_bleu_ngrams(spark, d):
     return metrics.bleu_ngrams(T.eval_set(spark, d)).select(F.col("n").cast("int").alias("n"),
                                                              "matches", "candidates")
@@ -581,6 +597,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decoder_mask": q_decoder_mask,
     "decoder_mask_cells": q_decoder_mask_cells,
     "example_sizes": q_example_sizes,
+    "causal_mask": q_causal_mask,
     "split_exact": q_split_exact,
     "shuffle_rank": q_shuffle_rank,
     "batch_assign": q_batch_assign,
@@ -602,6 +619,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "smoothed_ce_long": _ce_long(OPTS.label_smoothing),
     "cer": q_cer,
     "wer": q_wer,
+    "document_edits": q_document_edits,
     "bleu_ngrams": q_bleu_ngrams,
     "bleu": q_bleu,
     "metrics_by_turn": q_metrics_by_turn,

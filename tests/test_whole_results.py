@@ -2,7 +2,9 @@
 repeated keys, missing predictions, several runs, hot keys."""
 
 import math
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from parallex.operators.decoding import BigramScorer, bigram_scores, greedy_deco
 from parallex.operators.encode import decode, encode, encode_sides
 from parallex.operators.examples import build_examples
 from parallex.operators.lookup import lookup_join
-from parallex.operators.metrics import char_error_rate, with_word_edits
+from parallex.operators.metrics import char_error_rate, with_char_edits, with_word_edits
 from parallex.operators.sampling import epoch_schedule, first_shuffled, shuffle_rank
 from parallex.operators.vocab import build_vocab
 from parallex.plans import queries
@@ -119,11 +121,47 @@ def test_missing_predictions_count(spark, tmp_dir):
     assert [r.value for r in runlog.read_metrics(spark, f"{tmp_dir}/none").where("tag like '%cer'").collect()] == [None]
 
 
-def test_a_pair_with_too_many_words_has_a_reason(spark, monkeypatch):
-    monkeypatch.setattr("parallex.operators.metrics.MAX_SYMBOLS", 3)
-    ev = spark.createDataFrame([("a b c d", "a"), ("a", "b")], "p string, e string")
-    got = {r.p: (r.word_edits, r.word_edits_reason) for r in with_word_edits(ev, "p", "e").collect()}
-    assert got == {"a b c d": (None, "too_many_words"), "a": (1, None)}
+def _distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_long_pairs_go_by_blocks(spark):
+    rng = random.Random(6)
+    pairs = [(" ".join(rng.choice("abcd") for _ in range(rng.randint(0, 40))), " ".join(rng.choice("abcd") for _ in range(rng.randint(0, 40))))
+             for _ in range(25)]
+    pairs += [(None, "a " * 30), ("a " * 30, ""), ("", None), pairs[0], pairs[0], ("日本 語 " * 9, "語 日本 " * 8)]
+    ev = spark.createDataFrame([(*p, "x") for p in pairs], "p string, e string, _most string").repartition(3)
+    got = with_word_edits(ev, "p", "e", "d", "n", block=7).collect()
+    want = [(p, e, _distance((p or "").split(), (e or "").split()), len((e or "").split())) for p, e in pairs]
+    assert sorted(map(str, ((r.p, r.e, r.d, r.n) for r in got))) == sorted(map(str, want))
+    got = with_char_edits(ev, "p", "e", "d", block=9).collect()
+    assert sorted(str((r.p, r.e, r.d)) for r in got) == sorted(str((p, e, _distance(p or "", e or ""))) for p, e in pairs)
+
+
+def test_a_pair_of_20000_words(spark):
+    rng = np.random.default_rng(8)
+    a = rng.integers(0, 30_000, 20_000)
+    b = np.concatenate([a[:5000], rng.integers(0, 30_000, 400), a[5600:]])  # 600 words replaced by 400
+    b[::50] = 30_001
+    df = spark.createDataFrame([(" ".join(map(str, a)), " ".join(map(str, b))), ("x y", "x z")], "p string, e string")
+    row, step = np.arange(len(b) + 1), np.arange(len(b) + 1)
+    for i, x in enumerate(a, 1):
+        new = np.concatenate([[i], np.minimum(row[1:] + 1, row[:-1] + (b != x))])
+        row = np.minimum.accumulate(new - step) + step
+    assert sorted(r.d for r in with_word_edits(df, "p", "e", "d").collect()) == [1, int(row[-1])]
+
+
+def test_document_edits_query(spark, tmp_path):
+    texts = ["a b c", "a c", None, "", "b " * 5000, "b " * 4990 + "c"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.word_edits, r.n_words) for r in queries.q_document_edits(spark, str(tmp_path)).collect()}
+    assert got == {0: (1, 3), 1: (2, 2), 2: (0, 0), 3: (5000, 0), 4: (10, 5000)}
 
 
 def test_runs_are_kept_apart_and_last_is_by_time(spark):
