@@ -8,9 +8,11 @@ the symbol 0, so a text is scanned once, word by word, and all windows that
 occur anywhere are reported. Hits are mapped back to code point offsets of the
 original text.
 
-The automaton is broadcast only in blocks of bounded size: a benchmark larger
-than ``BLOCK_BYTES`` is dealt into several blocks, each with an automaton of its
-own, and every text is scanned against each of them.
+The automaton is broadcast only in blocks of bounded size: a benchmark whose
+distinct texts hold more than ``BLOCK_BYTES`` is dealt into several blocks, each
+with an automaton of its own, and every text is scanned against each of them. The
+dealt texts are written once; the driver holds one block at a time, on its way
+into a broadcast. Items with equal texts are one text with several ids.
 
 NULL and empty texts have no words and are never contaminated. NULL or wordless
 items have no window. Items that share a window are all reported; repeated
@@ -20,14 +22,14 @@ item rows count once; an item with a NULL id taints text but has no id to list.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parallex.llm.common import add_columns, at, documents, named, numbered, without
+from parallex.llm.common import add_columns, at, documents, named, numbered, stored, without
 
 WINDOW = 10
 BLOCK_BYTES = 1 << 20  # UTF-8 bytes of item texts in one automaton (about 100 MB in a worker)
@@ -48,16 +50,19 @@ def windows(text: bytes | None, window: int = WINDOW) -> list[tuple[bytes, ...]]
 class Automaton:
     """Windows of some items as one Aho-Corasick automaton over word symbols."""
 
-    def __init__(self, items: Sequence[tuple[str | None, bytes | None]], window: int = WINDOW):
-        owners: dict[tuple, set] = {}
+    def __init__(self, items: Iterable[tuple[str | None, bytes | None]], window: int = WINDOW):
+        self.ids: dict[bytes | None, set] = {}  # of each distinct text
         for item, text in items:
+            self.ids.setdefault(text, set()).add(item)
+        owners: dict[tuple, set] = {}
+        for text in self.ids:
             for w in windows(text, window):
-                owners.setdefault(w, set()).add(item)
+                owners.setdefault(w, set()).add(text)
         self.symbol: dict[bytes, str] = {}
         self.machine = ahocorasick.Automaton()
-        for w, ids in owners.items():
+        for w, texts in owners.items():
             key = "".join([self.symbol.setdefault(x, chr(len(self.symbol) + 1)) for x in w])
-            self.machine.add_word(key, (len(w), ids - {None}))
+            self.machine.add_word(key, (len(w), texts))
         if owners:
             self.machine.make_automaton()
         self.empty = not owners
@@ -74,11 +79,12 @@ class Automaton:
         if not found:
             return len(words), [], [], []
         edge = np.zeros(len(words) + 1, np.int64)
-        ids: set = set()
+        texts: set = set()
         for end, (n, owners) in found:
             edge[end + 1 - n] += 1
             edge[end + 1] -= 1
-            ids |= owners
+            texts |= owners
+        ids = set().union(*(self.ids[t] for t in texts)) - {None}
         hit = np.diff(np.concatenate([[0], np.cumsum(edge[:-1]) > 0, [0]]).astype(np.int8))
         runs = list(zip(np.flatnonzero(hit == 1).tolist(), np.flatnonzero(hit == -1).tolist(), strict=True))
         raw = np.frombuffer(flat, np.uint8)
@@ -91,13 +97,18 @@ class Automaton:
 
 
 def blocks(items: DataFrame, item_id: str = "item_id", text: str = "text",
-           block_bytes: int = BLOCK_BYTES) -> list[list[tuple[str | None, bytes | None]]]:
-    """The items dealt into lists of about ``block_bytes``."""
-    light = items.select(F.col(item_id).cast("string").alias("i"), F.encode(F.col(text), "utf-8").alias("t")).distinct()
-    size = light.agg(F.sum(F.length("t"))).first()[0] or 0
-    n = -(-size // block_bytes)
-    dealt = light.withColumn("b", F.pmod(F.xxhash64("t"), F.lit(max(n, 1))))
-    return [[(r["i"], bytes(r["t"])) for r in dealt.where(F.col("b") == k).where("t is not null").collect()] for k in range(n)]
+           block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[bytes, list[str | None]]]]:
+    """The distinct item texts with their ids, dealt into lists of about
+    ``block_bytes`` of text, one after the other."""
+    light = items.where(F.col(text).isNotNull()).select(
+        F.col(item_id).cast("string").alias("i"), F.encode(F.col(text), "utf-8").alias("t"))
+    # a NULL id stands in the list as NULL, so that its text is still looked for
+    texts = stored(light.groupBy("t").agg(F.collect_set(F.struct("i")).alias("ids")))
+    size = texts.agg(F.sum(F.length("t"))).first()[0] or 0
+    n = max(-(-size // block_bytes), 1)
+    dealt = stored(texts.withColumn("b", F.pmod(F.xxhash64("t"), F.lit(n))).repartitionByRange("b", "t")) if n > 1 else texts.withColumn("b", F.lit(0))
+    for k in range(n):
+        yield [(bytes(r["t"]), [x["i"] for x in r["ids"]]) for r in dealt.where(F.col("b") == k).collect()]
 
 
 def hits(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW,
@@ -109,15 +120,15 @@ def hits(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WI
     spark = docs.sparkSession
     names = ["n_words", "n_hit", "spans", "items", "contaminated"]
     out = docs.select(*without(docs, [n for n in names if n != text]))
-    parts = blocks(items, text="text", block_bytes=block_bytes) or [[]]
-    for k, part in enumerate(parts):
-        sent = spark.sparkContext.broadcast(part)
-        out = add_columns(out, text, _scanner(sent, window),
+    # the driver lets go of a block once it is broadcast
+    sent = [spark.sparkContext.broadcast(part) for part in blocks(items, text="text", block_bytes=block_bytes)]
+    for k, part in enumerate(sent):
+        out = add_columns(out, text, _scanner(part, window),
                           f"_n{k} long, _r{k} array<struct<a:int,b:int>>, _s{k} array<struct<start:int,end:int>>, _i{k} array<string>",
-                          drop=drop if k == len(parts) - 1 else ())
-    every = range(len(parts))
+                          drop=drop if k == len(sent) - 1 else ())
+    every = range(len(sent))
     gather = lambda c: F.concat(*[F.col(f"_{c}{k}") for k in every])
-    if len(parts) == 1:  # runs of one automaton do not overlap
+    if len(sent) == 1:  # runs of one automaton do not overlap
         n_hit = F.aggregate("_r0", F.lit(0).cast("long"), lambda x, r: x + r["b"] - r["a"])
     else:
         n_hit = F.size(F.array_distinct(F.flatten(F.transform(gather("r"), lambda r: F.sequence(r["a"], r["b"] - 1))))).cast("long")
@@ -143,7 +154,7 @@ def _machine(name: str, sent, window: int) -> Automaton:
     """The automaton of a block; a worker holds one at a time."""
     if name not in _machines:
         _machines.clear()
-        _machines[name] = Automaton(sent.value, window)
+        _machines[name] = Automaton(((i, text) for text, ids in sent.value for i in ids), window)
     return _machines[name]
 
 

@@ -1,10 +1,12 @@
-"""Temperature mixing of sources under a repetition limit or a target entropy.
+"""Temperature mixing of sources under a repetition limit and a target entropy.
 
 Source ``s`` with token share ``p_s`` gets the weight ``p_s ** a``, normalised.
 ``a = 1`` keeps the shares and ``a = 0`` makes them equal; the entropy of the
 weights and the largest number of passes over a source both fall as ``a`` grows,
-so ``a`` is bisected (32 intervals a round, one aggregation over the table of
-sources) until the target is met. Unless a budget in tokens is given, it is the
+so the smallest ``a`` that meets the targets is bisected (32 intervals a round, one
+aggregation over the table of sources). The target entropy may be given in bits or
+as a place between that of the shares and the greatest one (equal weights), which
+binds on any table whose sources differ in size. Unless a budget in tokens is given, it is the
 one under which the largest source is read exactly once: no document is lost and
 smaller sources repeat.
 
@@ -30,6 +32,7 @@ from parallex.llm.common import WORD, at, documents, named, numbered, stored, wi
 from parallex.session import broadcast_checked, pin
 
 MAX_REPEATS = 2.0
+ENTROPY_PLACE = 0.5  # 0: the entropy of the shares, 1: that of equal weights
 BLOCK_TOKENS = 1 << 20
 MAX_BLOCKS = 1 << 20
 SEED = 50
@@ -44,19 +47,23 @@ def source_tokens(rows: DataFrame) -> DataFrame:
 
 
 def exponent(sources: DataFrame, max_repeats: float | None = MAX_REPEATS, target_entropy: float | None = None,
-             budget: int | None = None) -> float:
+             budget: int | None = None, entropy_place: float | None = None) -> float:
     """The smallest exponent in [0, 1] under which no source is read more than
-    ``max_repeats`` times, or whose weights have ``target_entropy`` bits."""
-    top = sources.agg(F.max("share"), F.sum("tokens")).first()
+    ``max_repeats`` times and the weights have at most ``target_entropy`` bits (or
+    the entropy at ``entropy_place``); a target that is ``None`` is no limit. Without
+    any exponent that meets them it is 1."""
+    top = sources.agg(F.max("share"), F.sum("tokens"), -F.sum(F.col("share") * F.log2("share")), F.count(F.lit(1))).first()
     if top[0] is None:
         return 1.0
+    if entropy_place is not None:
+        target_entropy = top[2] + entropy_place * (math.log2(top[3]) - top[2])
 
     def meets(a: float, z: float, s: float, most: float) -> bool:
-        if target_entropy is not None:
-            return (math.log(z) - s / z) / math.log(2) <= target_entropy
+        if target_entropy is not None and (math.log(z) - s / z) / math.log(2) > target_entropy:
+            return False
         # passes over a source: weight / share * budget / all tokens
         passes = most / (top[0] ** (a - 1)) if budget is None else most / z * budget / top[1]
-        return passes <= max_repeats
+        return max_repeats is None or passes <= max_repeats
 
     low, high = 0.0, 1.0
     for r in range(_ROUNDS):
@@ -87,11 +94,12 @@ def budgets(sources: DataFrame, a: float, budget: int | None = None) -> DataFram
 
 
 def draw(rows: DataFrame, max_repeats: float | None = MAX_REPEATS, target_entropy: float | None = None,
-         budget: int | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = SEED) -> DataFrame:
+         budget: int | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = SEED,
+         entropy_place: float | None = None) -> DataFrame:
     """``(_rid, _s, weight, epoch, block_rank, position)``: one row for each time a
     document is read. ``rows`` has a frozen ``_rid``, a non-NULL ``_s`` and ``_t``."""
     sources = source_tokens(rows)
-    plan = pin(budgets(sources, exponent(sources, max_repeats, target_entropy, budget), budget))
+    plan = pin(budgets(sources, exponent(sources, max_repeats, target_entropy, budget, entropy_place), budget))
     total = plan.agg(F.sum("tokens")).first()[0] or 0
     per_block = max(block_tokens, total // MAX_BLOCKS)
     blocks_of = plan.select("_s", F.ceil(F.col("tokens") / F.lit(per_block)).alias("_n"))
@@ -115,21 +123,22 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", keep: list[
     """The documents of the mix: columns ``keep`` of ``docs`` (all by default) plus
     ``n_tokens``, ``weight`` (of the source), ``epoch`` (0 for the first pass),
     ``block_rank`` and ``position``. Columns with these names are replaced."""
-    names = ["n_tokens", "weight", "epoch", "block_rank", "position", "_rid", "_s", "_t"]
+    names = ["n_tokens", "weight", "epoch", "block_rank", "position"]
     kept = [c for c in without(docs, names) if keep is None or c in keep]
-    tokens = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long") + 1
-    frozen = stored(docs.select(
-        *kept, tokens.alias("_t"), F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")).alias("_s"),
+    rows, body, group = numbered(docs), F.col(at(docs, text)), F.col(at(docs, source)).cast("string")
+    tokens = F.regexp_count(F.coalesce(body, F.lit("")), F.lit(WORD)).cast("long") + 1
+    frozen = stored(rows.select(
+        *[at(docs, c) for c in kept], tokens.alias("_t"), F.coalesce(F.concat(F.lit("="), group), F.lit("")).alias("_s"),
         F.monotonically_increasing_id().alias("_rid")))
     drawn = draw(frozen.select("_rid", "_s", "_t"), **how)
     return frozen.drop("_s").join(drawn.drop("_s"), "_rid").select(
-        *kept, F.col("_t").alias("n_tokens"), "weight", "epoch", "block_rank", "position")
+        *[F.col(at(docs, c)).alias(c) for c in kept], F.col("_t").alias("n_tokens"), "weight", "epoch", "block_rank", "position")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(documents(spark, sf_dir), keep=["doc_id", "source"]).withColumn("weight", F.round("weight", 9))
+    return mix(documents(spark, sf_dir), keep=["doc_id", "source"], entropy_place=ENTROPY_PLACE).withColumn("weight", F.round("weight", 9))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents in the mix, repeated as often as they are read."""
-    return named(mix(numbered(docs), at(docs, "source"), at(docs, "text")), docs)
+    return named(mix(numbered(docs), at(docs, "source"), at(docs, "text"), entropy_place=ENTROPY_PLACE), docs)

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parallex.llm.common import documents, stored, without
+from parallex.llm.common import at, documents, numbered, stored, without
 from parallex.session import pin
 
 SHARDS = 16
@@ -97,8 +97,10 @@ def assign(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_rows:
 
 def shuffle(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``rows`` plus ``shard`` and ``slot`` (position in the shard, from 0)."""
-    frozen = stored(rows.select(*without(rows, ["shard", "slot", "_rid"])).withColumn("_rid", F.monotonically_increasing_id()))
-    return frozen.join(assign(frozen, shards, seed, bucket_rows), "_rid").drop("_rid")
+    kept = without(rows, ["shard", "slot"])
+    frozen = stored(numbered(rows).select(*[at(rows, c) for c in kept], F.monotonically_increasing_id().alias("_rid")))
+    out = frozen.join(assign(frozen, shards, seed, bucket_rows), "_rid")
+    return out.select(*[F.col(at(rows, c)).alias(c) for c in kept], "shard", "slot")
 
 
 def _digest(docs: DataFrame) -> DataFrame:

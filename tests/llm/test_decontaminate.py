@@ -38,7 +38,7 @@ def test_blocks_find_the_same(spark, folder):
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
     cols = ["doc_id", "n_words", "n_hit", "items", "contaminated"]
     one = decontaminate.hits(docs, items).select(*cols)
-    assert len(decontaminate.blocks(items, block_bytes=40)) > 3
+    assert len(list(decontaminate.blocks(items, block_bytes=40))) > 3
     assert tables.result(one) == tables.result(decontaminate.hits(docs, items, block_bytes=40).select(*cols))
 
 

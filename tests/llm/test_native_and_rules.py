@@ -1,6 +1,7 @@
 """Quality rules, line dedup, sharding and mixing."""
 
 import math
+import random
 import sys
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -166,3 +167,82 @@ def test_target_entropy(spark, target):
 
 def test_mix_of_an_empty_table(spark, empty):
     assert mixing.op5_mixing(spark, empty).count() == 0
+
+
+def _hash(*values):
+    """Spark's xxhash64 of longs, ints (tagged) and strings."""
+    import struct
+
+    import xxhash
+    h = 42
+    for v in values:
+        raw = v.encode() if isinstance(v, str) else struct.pack("<i", v[0]) if isinstance(v, tuple) else struct.pack("<q", v)
+        h = xxhash.xxh64(raw, seed=h & (2 ** 64 - 1)).intdigest()
+    return h - 2 ** 64 if h >= 2 ** 63 else h
+
+
+def brute_draw(rows, repeats, place, per_block, seed):
+    """Exponent by a plain bisection, then every read of every row."""
+    tokens = Counter()
+    for _, s, t in rows:
+        tokens[s] += t
+    total, top = sum(tokens.values()), max(tokens.values())
+    share = {s: n / total for s, n in tokens.items()}
+
+    def weights(a):
+        z = sum(x ** a for x in share.values())
+        return {s: x ** a / z for s, x in share.items()}
+
+    def bits(w):
+        return -sum(x * math.log2(x) for x in w.values())
+    target = bits(share) + place * (math.log2(len(share)) - bits(share))
+
+    def meets(a):
+        w = weights(a)
+        return bits(w) <= target and max(w[s] / max(w.values()) * top / tokens[s] for s in w) <= repeats
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (low, mid) if meets(mid) else (mid, high)
+    w, out = weights(high), []
+    for s, n in tokens.items():
+        budget = round(top * w[s] / max(w.values()))
+        blocks = {}
+        for rid, _, t in (r for r in rows if r[1] == s):
+            blocks.setdefault(_hash(rid, (seed,)) % -(-n // per_block), []).append((rid, t))
+        for epoch in range(budget // n + 1):
+            at = 0
+            order = sorted(blocks, key=lambda b: (_hash(s, b, epoch, (seed + 1,)), b))
+            for rank, b in enumerate(order):
+                if epoch == budget // n and at >= budget % n:
+                    break
+                here = at
+                for place_, (rid, t) in enumerate(sorted(blocks[b], key=lambda x: (_hash(x[0], epoch, (seed + 2,)), x[0]))):
+                    if epoch < budget // n or here < budget % n:
+                        out.append((rid, s, epoch, rank, place_))
+                    here += t
+                at = here
+    return high, w, out
+
+
+@pytest.mark.parametrize("repeats,place", [(50.0, 0.5), (50.0, 0.9), (2.0, 0.5), (3.3, 0.1)])
+def test_weights_and_drawn_rows_equal_brute_force(spark, repeats, place):
+    rng = random.Random(int(repeats * 10 + place * 7))
+    rows = [(i * 7, f"={'abcdef'[min(int(rng.expovariate(0.8)), 5)]}", rng.randint(1, 30)) for i in range(300)]
+    df = spark.createDataFrame(rows, "_rid long, _s string, _t long")
+    a, w, want = brute_draw(rows, repeats, place, 200, 50)
+    assert mixing.exponent(mixing.source_tokens(df), repeats, entropy_place=place) == pytest.approx(a, abs=1e-8) and 0 < a < 1
+    got = mixing.draw(df, repeats, block_tokens=200, entropy_place=place).collect()
+    assert all(r.weight == pytest.approx(w[r._s], abs=1e-7) for r in got)
+    assert sorted((r._rid, r._s, r.epoch, r.block_rank, r.position) for r in got) == sorted(want)
+
+
+def test_the_registered_target_binds(spark, folder):
+    rows = mixing.op5_mixing(spark, folder).select("source", "weight").distinct().collect()
+    assert len({r.weight for r in rows}) > 1
+
+
+def test_internal_names_of_the_input_stay(spark):
+    docs = spark.createDataFrame([(i, "a b", "s", "r", "t", "k") for i in range(5)], "doc_id long, text string, source string, _rid string, _s string, _t string")
+    for out in (mixing.mix(docs, max_repeats=None), sharding.shuffle(docs)):
+        assert out.columns[:6] == docs.columns and {(r["_rid"], r["_s"], r["_t"]) for r in out.collect()} == {("r", "t", "k")}
