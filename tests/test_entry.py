@@ -24,6 +24,7 @@ def test_every_query_has_an_oracle():
     mod = load_entry()
     q, o = mod.queries(), mod.oracle_sql()
     assert set(o) <= set(q)
-    # of the optional operators, those that SQL cannot express have none
-    assert set(q) - set(mod.LLM_QUERIES) == set(o) - set(mod.LLM_ORACLE)
+    # those that SQL cannot express (or not on whole tables) have none; tests hold them against plain Python
+    core = set(q) - set(mod.LLM_QUERIES)
+    assert core - set(o) == {"subword_merges", "subword_encode", "document_edits"}
     assert set(mod.LLM_ORACLE) <= set(mod.LLM_QUERIES)
