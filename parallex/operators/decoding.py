@@ -175,6 +175,64 @@ class BigramScorer:
         return out.select(key, F.coalesce("_own", "_every").alias("next_id"), F.lit(0.0).alias("score")).where("next_id is not null")
 
 
+def ngram_scores(encoded: DataFrame, ids: str = "trg_ids", order: int = 3, sos: int = SOS_ID, eos: int = EOS_ID) -> DataFrame:
+    """``(context, next_id, n)``: counts of every id after each of its contexts, the
+    last ``0`` to ``order - 1`` ids before it in ``[SOS] + ids + [EOS]``."""
+    seq = F.col("_seq")
+    at = F.sequence(F.lit(2), F.size(seq))
+
+    def after(k: int) -> Callable[[Column], Column]:
+        return lambda i: F.struct(F.slice(seq, F.greatest(i - k, F.lit(1)), k).alias("context"), (i > k).alias("whole"),
+                                  F.element_at(seq, i).alias("next_id"))
+    seen = [F.transform(at, after(k)) for k in range(order)]
+    return (encoded.select(F.concat(F.array(F.lit(sos)), F.col(ids), F.array(F.lit(eos))).alias("_seq"))
+            .select(F.inline(F.concat(*seen))).where("whole").groupBy("context", "next_id").agg(F.count(F.lit(1)).alias("n")))
+
+
+class NgramStep:
+    """The next id of one sequence: the most frequent one after the longest context
+    of it that was seen."""
+
+    columns = ()
+
+    def __init__(self, table: dict[tuple[int, ...], int], order: int):
+        self.table, self.order = table, order
+
+    def __call__(self, ids: list[int]) -> int | None:
+        for k in range(min(self.order - 1, len(ids)), -1, -1):
+            found = self.table.get(tuple(ids[len(ids) - k:]))
+            if found is not None:
+                return found
+        return None
+
+
+class NgramScorer:
+    """Scorer over n-gram counts with back-off. The frontier carries the whole
+    prefix; a step reads its last ``order - 1`` ids and falls back to shorter
+    contexts, down to the most frequent id of all."""
+
+    def __init__(self, counts: DataFrame, order: int = 3):
+        self.order = order
+        # most frequent next id of each context; ties to the lowest id
+        self.best = pin(counts.groupBy("context").agg(F.max_by("next_id", F.struct("n", -F.col("next_id"))).alias("next_id")))
+
+    def row_local(self) -> NgramStep | None:
+        if not is_broadcastable(self.best.count(), row_bytes=200 + 40 * self.order):  # as Python objects
+            return None
+        return NgramStep({tuple(r["context"]): r["next_id"] for r in self.best.collect()}, self.order)
+
+    def __call__(self, frontier: DataFrame) -> DataFrame:
+        key, ids = frontier.columns[0], frontier.columns[1]
+        n, out, names = self.best.count(), frontier.select(key, ids), []
+        for k in range(self.order - 1, -1, -1):
+            # a context longer than the prefix matches nothing
+            context = F.when(F.size(ids) >= k, F.slice(ids, F.greatest(F.size(ids) - k + 1, F.lit(1)), k))
+            small = self.best.where(F.size("context") == k).select(F.col("context").alias(f"_c{k}"), F.col("next_id").alias(f"_n{k}"))
+            out = lookup_join(out, context, small, f"_c{k}", "left", small_rows=n, salt_source=F.col(key))
+            names.append(f"_n{k}")
+        return out.select(key, F.coalesce(*names).alias("next_id"), F.lit(0.0).alias("score")).where("next_id is not null")
+
+
 def row_local(step: Callable, columns: Sequence[str] = ()) -> Scorer:
     """Declare ``step(ids, *values of columns) -> next id or None`` a row-local
     scorer. The function, with whatever model it holds, is broadcast."""

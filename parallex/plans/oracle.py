@@ -289,6 +289,28 @@ tr AS (
         FROM rid r LEFT JOIN said USING (rid)))"""
 
 
+NGRAMS_DECODED = f"""{SHARED.replace('WITH ', 'WITH RECURSIVE ', 1)},
+seqs AS (SELECT [2] || trg_ids || [3] AS s FROM enc),
+grams AS (SELECT s[i - k:i - 1] AS ctx, s[i] AS next_id, count(*) AS n
+          FROM (SELECT s, unnest(range(2, len(s) + 1)) AS i FROM seqs), (SELECT unnest([1, 2, 3]) AS k) WHERE i > k GROUP BY ALL
+          UNION ALL SELECT [], s[i], count(*) FROM (SELECT s, unnest(range(2, len(s) + 1)) AS i FROM seqs) GROUP BY 2),
+best AS (SELECT array_to_string(ctx, ',') AS ctx, next_id FROM grams
+         QUALIFY row_number() OVER (PARTITION BY ctx ORDER BY n DESC, next_id) = 1),
+start AS (SELECT DISTINCT [2] || trg_ids[1:2] AS ids FROM enc),
+dec AS (
+  SELECT ids AS head, ids, len(ids) >= {L} AS done FROM start
+  UNION ALL
+  SELECT head, ids || [next_id], next_id = 3 OR len(ids) + 1 >= {L}
+  FROM (SELECT head, ids, coalesce(b3.next_id, b2.next_id, b1.next_id, b0.next_id) AS next_id FROM dec
+        LEFT JOIN best b3 ON len(ids) >= 3 AND b3.ctx = array_to_string(ids[-3:], ',')
+        LEFT JOIN best b2 ON len(ids) >= 2 AND b2.ctx = array_to_string(ids[-2:], ',')
+        LEFT JOIN best b1 ON b1.ctx = array_to_string(ids[-1:], ',')
+        LEFT JOIN best b0 ON b0.ctx = '' WHERE NOT done)),
+full_ AS (SELECT head, arg_max(ids, len(ids)) AS ids FROM dec GROUP BY head)
+SELECT pair_id, array_to_string(f.ids, ',') AS ids, CAST(len(f.ids) - len(f.head) AS INTEGER) AS steps
+FROM enc JOIN full_ f ON f.head = [2] || trg_ids[1:2]"""
+
+
 CER_SUMS = f"""cs AS (
   SELECT sum(levenshtein(array_to_string(list_transform(h, lambda x: chr(list_position(a, x))), ''),
                          array_to_string(list_transform(r, lambda x: chr(list_position(a, x))), ''))) AS edits,
@@ -517,6 +539,10 @@ SELECT pair_id, CAST(k AS INTEGER) AS line_no, line FROM (
     "greedy_decode": decoded_pairs(L),
     "decode_loop": decoded_pairs(LOOP_LEN),
     "decode_paths": decoded_pairs(L),
+    "decode_ngrams": NGRAMS_DECODED,
+    "metric_stream": """SELECT CAST(user_id % 7 AS VARCHAR) AS run, event_type AS tag, CAST(event_id // 50 AS BIGINT) AS step,
+       CAST(value AS DOUBLE) AS value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id % 7, event_type, event_id // 50 ORDER BY ts DESC, value DESC) = 1""",
     "causal_mask": f"""{SHARED},
 n AS (SELECT max(len(trg_ids)) + 1 AS n FROM enc)
 SELECT i, count(*) FILTER (j <= i) AS allowed, max(j) FILTER (j <= i) AS last, count(*) AS cells

@@ -13,13 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parallex.config import Options
+from parallex.config import SOS_ID, Options
 from parallex.functions import scores as S
 from parallex.functions.arrays import render
 from parallex.functions import arrays as A
 from parallex.jobs import log_losses, prepare, read_prepared, training_batches, validate
 from parallex.operators import curves, examples, lengths, metrics, sampling, scoring, subword, translation
-from parallex.operators.decoding import (BigramScorer, bigram_scores, decode_loop, greedy_decode, source_class,
+from parallex.operators.decoding import (BigramScorer, NgramScorer, bigram_scores, decode_loop, greedy_decode, ngram_scores, source_class,
                                          source_prompts, translate_batch)
 from parallex.operators.encode import decode, encode, encode_sides, encode_with
 from parallex.operators.examples import build_examples
@@ -28,6 +28,7 @@ from parallex.plans import standins as T
 from parallex.session import ensure_checkpoint_dir, pin
 from parallex.sources import corpus, runlog
 from parallex.sources.vocab_store import get_or_build_vocab
+from parallex.streaming.metrics import last_values_stream, read_last_values
 
 OPTS = Options()
 SEED = OPTS.seed
@@ -35,6 +36,9 @@ CHECK_SEQ_LEN = 128  # a second length-check setting that rejects pairs in the s
 MASK_SEQ_LEN = 64    # a setting at which whole decoder masks are compared
 LOOP_LEN = 8         # tokens decoded by the general step loop
 PREVIEW_ROWS = 5
+EVENTS_PER_STEP = 50  # events that share a step, so that steps are logged more than once
+NGRAM_ORDER = 4
+PROMPT_WORDS = 2     # of a target, from which its continuation is decoded
 SUBWORD_MERGES = 256
 LONG_CHUNK = 24      # scores a task holds together, so that the 64 of a position come in three parts
 SIDES = {"src_ids": "src_text", "trg_ids": "trg_text"}
@@ -473,6 +477,15 @@ def q_decode_paths(spark, d):
     return _decoded(spark, d, lambda p, s, n: s.walk(s.prepare(p), n, key="_row"), OPTS.seq_len)
 
 
+def q_decode_ngrams(spark, d):
+    """Every target continued from its first words by n-grams with back-off."""
+    enc = pin(encoded_shared(spark, d).select("pair_id", "trg_ids").withColumn("_row", F.monotonically_increasing_id()))
+    scorer = NgramScorer(ngram_scores(enc, order=NGRAM_ORDER), NGRAM_ORDER)
+    prompts = enc.select("_row", F.concat(F.array(F.lit(SOS_ID)), F.slice("trg_ids", 1, PROMPT_WORDS)).alias("ids"), "pair_id")
+    out = greedy_decode(prompts, scorer, OPTS.seq_len, key="_row")
+    return out.select("pair_id", render(F.col("ids")).alias("ids"), "steps")
+
+
 def q_translation_table(spark, d):
     """The best translation of every source token, and its probability."""
     enc = encoded_shared(spark, d).select("src_ids", "trg_ids")
@@ -542,6 +555,17 @@ def q_metric_log_by_tag(spark, d):
     return r.select("run", "tag", "n", "last_step", "last_value")
 
 
+def q_metric_stream(spark, d):
+    """The log as a stream of files in which steps occur more than once: the last
+    value of each, kept in state over several micro-batches."""
+    folder = _folder(spark, "stream")
+    log = T.metric_log(spark, d).withColumn("step", F.expr(f"step div {EVENTS_PER_STEP}"))
+    log.repartition(4, "ts").write.parquet(f"{folder}/log")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/log")
+    last_values_stream(stream, f"{folder}/out", f"{folder}/state").awaitTermination()
+    return read_last_values(spark, f"{folder}/out").select("run", "tag", "step", "value")
+
+
 def q_loss_log(spark, d):
     """Losses computed, logged under their fixed tags, read back as curves."""
     path = _folder(spark, "losses")
@@ -627,6 +651,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "greedy_decode": q_greedy_decode,
     "decode_loop": q_decode_loop,
     "decode_paths": q_decode_paths,
+    "decode_ngrams": q_decode_ngrams,
     "translation_table": q_translation_table,
     "translate_batch": q_translate_batch,
     "translation_report": q_translation_report,
@@ -635,6 +660,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "artifact_latest": q_artifact_latest,
     "resume_point": q_resume_point,
     "metric_log_by_tag": q_metric_log_by_tag,
+    "metric_stream": q_metric_stream,
     "loss_log": q_loss_log,
     "train_curve": q_train_curve,
     "val_curve": q_val_curve,

@@ -109,3 +109,30 @@ def test_file_listing_reads_no_content(spark, tmp_dir):
     plan = files._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<path:string>" in plan
     assert files.first()["epoch"] == 3
+
+
+def test_last_values_over_replays_and_restarts(spark, tmp_dir):
+    import datetime
+
+    from parallex.streaming.metrics import last_values_stream, read_last_values
+    at = [datetime.datetime(2024, 1, 1, 0, m) for m in range(60)]
+    schema = "run string, tag string, step long, value double, ts timestamp"
+    first = [("r", "loss", 1, 5.0, at[3]), ("r", "loss", 1, 4.0, at[9]), ("r", "loss", 2, 3.0, at[1]), ("r", "cer", 1, None, at[2])]
+    later = [("r", "loss", 1, 9.0, at[5]), ("r", "loss", 2, 2.0, at[8]), ("q", "loss", 1, 1.0, at[0]), ("r", "cer", 1, 0.5, at[2])]
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/log")
+        last_values_stream(stream, f"{tmp_dir}/out", f"{tmp_dir}/state").awaitTermination()
+        return {(r.run, r.tag, r.step): r.value for r in read_last_values(spark, f"{tmp_dir}/out").collect()}
+    spark.createDataFrame(first, schema).repartition(3).write.parquet(f"{tmp_dir}/log")
+    assert run() == {("r", "loss", 1): 4.0, ("r", "loss", 2): 3.0, ("r", "cer", 1): None}
+    spark.createDataFrame(later, schema).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/log")
+    want = {("r", "loss", 1): 4.0, ("r", "loss", 2): 2.0, ("r", "cer", 1): 0.5, ("q", "loss", 1): 1.0}
+    assert run() == want
+    # the last batch again, as after a failure between its output and its commit
+    last = max(int(f) for f in os.listdir(f"{tmp_dir}/state/commits") if f.isdigit())
+    for f in (str(last), f".{last}.crc"):
+        if os.path.exists(f"{tmp_dir}/state/commits/{f}"):
+            os.remove(f"{tmp_dir}/state/commits/{f}")
+    before = spark.read.parquet(f"{tmp_dir}/out").count()
+    assert run() == want and spark.read.parquet(f"{tmp_dir}/out").count() == before

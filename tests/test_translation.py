@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import parallex.session as session
 from parallex.config import EOS_ID, SOS_ID
-from parallex.operators.decoding import BigramScorer, bigram_scores, decode_loop, decode_rows, greedy_decode, source_prompts
+from parallex.operators.decoding import (BigramScorer, NgramScorer, bigram_scores, decode_loop, decode_rows, greedy_decode,
+                                         ngram_scores, source_prompts)
 from parallex.operators.scoring import log_softmax_long, masked_ce, masked_ce_long, to_long
 from parallex.operators.translation import EMPTY_WORD, TranslationScorer, best_translations, links, log_likelihood, translation_table
 
@@ -111,3 +112,28 @@ def test_long_scores_equal_array_scores(spark):
             b = {r.g: (r.loss, r.n_positions) for r in masked_ce_long(long, arrays.select("k", "g", "label"), ["k", "g"], 0, eps, ["g"], chunk=chunk).collect()}
             assert a.keys() == b.keys() and all(a[g] == (pytest.approx(b[g][0], abs=1e-9), b[g][1]) for g in a)
     assert long.where(F.lit(False)).count() == 0 and log_softmax_long(long.where(F.lit(False)), ["k"]).collect() == []
+
+
+def test_ngram_decoding_equals_plain_python_and_the_step_loop(spark):
+    rng = random.Random(12)
+    seqs = [[rng.randint(4, 9) for _ in range(rng.randint(0, 14))] for _ in range(60)]
+    order = 3
+    counts = defaultdict(Counter)
+    for s in seqs:
+        s = [SOS_ID, *s, EOS_ID]
+        for i in range(1, len(s)):
+            for k in range(min(order - 1, i) + 1):
+                counts[tuple(s[i - k:i])][s[i]] += 1
+    best = {c: min(n, key=lambda x: (-n[x], x)) for c, n in counts.items()}
+
+    def decoded(ids):
+        ids = list(ids)
+        while ids and ids[-1] != EOS_ID and len(ids) < 20:
+            ids.append(next(best[c] for k in range(min(order - 1, len(ids)), -1, -1) if (c := tuple(ids[len(ids) - k:])) in best))
+        return ids
+    scorer = NgramScorer(ngram_scores(spark.createDataFrame([(s,) for s in seqs], "trg_ids array<int>"), order=order), order)
+    heads = [[SOS_ID], [SOS_ID, 5], [SOS_ID, 777], [SOS_ID, 777, 6], [], [SOS_ID, EOS_ID]]
+    prompts = spark.createDataFrame(list(enumerate(heads)), "seq_id long, ids array<int>")
+    want = {i: decoded(h) for i, h in enumerate(heads)}
+    assert {r.seq_id: r.ids for r in greedy_decode(prompts, scorer, 20).collect()} == want
+    assert {r.seq_id: r.ids for r in decode_loop(prompts, scorer, 20).collect()} == want
