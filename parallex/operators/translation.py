@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from parallex.config import EOS_ID
 from parallex.operators.lookup import lookup_join
-from parallex.session import by_key, pin
+from parallex.session import by_key, pin, stored
 
 EMPTY_WORD = -1
 ROUNDS = 3
@@ -37,13 +37,13 @@ def links(encoded: DataFrame, src: str = "src_ids", trg: str = "trg_ids") -> Dat
     s = rows.select("pair", F.explode(F.concat(F.array(F.lit(EMPTY_WORD)), src)).alias("s")).groupBy("pair", "s").agg(
         F.count(F.lit(1)).alias("n_s"))
     t = rows.select("pair", F.explode(trg).alias("t")).groupBy("pair", "t").agg(F.count(F.lit(1)).alias("n_t"))
-    return s.join(t, "pair").select("pair", "s", "t", "n_s", "n_t")
+    return s.join(t, "pair").select("pair", F.col("s").cast("int"), F.col("t").cast("int"), F.col("n_s").cast("int"), F.col("n_t").cast("int"))
 
 
 def _shares(linked: DataFrame, table: DataFrame | None) -> DataFrame:
     """Links with ``w``, the weight of the source token, and ``d``, that of all source
     tokens of the pair for the same target token."""
-    weighted = linked.withColumn("w", F.col("n_s").cast("double")) if table is None else linked.join(table, ["s", "t"]).withColumn(
+    weighted = linked.withColumn("w", F.col("n_s").cast("double")) if table is None else linked.join(table.hint("shuffle_hash"), ["s", "t"]).withColumn(
         "w", F.col("n_s") * F.col("p"))
     return weighted.withColumn("d", F.sum("w").over(Window.partitionBy("pair", "t")))
 
@@ -56,16 +56,15 @@ def log_likelihood(linked: DataFrame, table: DataFrame | None) -> float:
 
 
 def translation_table(linked: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``(s, t, p)`` after ``rounds`` rounds over ``links`` (written once)."""
-    linked, table = pin(linked), None
+    """``(s, t, p)`` after ``rounds`` rounds over ``links`` (written once, as are the
+    shares of each round)."""
+    linked, table = stored(linked), None
     for _ in range(rounds):
-        shares = _shares(linked, table).groupBy("s", "t").agg(F.sum(F.col("n_t") * F.col("w") / F.col("d")).alias("c"))
-        shares = pin(shares)
+        shares = stored(_shares(linked, table).groupBy("s", "t").agg(F.sum(F.col("n_t") * F.col("w") / F.col("d")).alias("c")))
         # a source token's shares are summed map-side first: the empty word has one for every target token
-        whole = shares.groupBy("s").agg(F.sum("c").alias("whole"))
-        table = lookup_join(shares, F.col("s"), whole.withColumnRenamed("s", "_s"), "_s", "inner", salt_source=F.col("t")).select(
+        whole = pin(shares.groupBy(F.col("s").alias("_s")).agg(F.sum("c").alias("whole")))
+        table = lookup_join(shares, F.col("s"), whole, "_s", "inner", salt_source=F.col("t")).select(
             "s", "t", (F.col("c") / F.col("whole")).alias("p"))
-        table = pin(table)
     return table
 
 

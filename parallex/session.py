@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,6 +103,14 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet to a new folder in the shared checkpoint folder and
+    read it back: like ``pin``, but columnar, for large tables of few small columns."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 # Largest table we hand to a broadcast join, in bytes, judged from a row count
 # times a per-row size bound given by the caller.
 MAX_BROADCAST_BYTES = 256 << 20
