@@ -1,5 +1,6 @@
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from parallex.config import SPECIAL_TOKENS
@@ -83,3 +84,17 @@ def test_literal_special_strings_are_unknown(spark):
     ids = encode(df, {"ids": "text"}, v, "word").first()["ids"]
     a = v.where("token = 'a'").first()["id"]
     assert ids == [a, 0, 0, a]
+
+
+def test_two_builders_leave_one_vocabulary(spark, tmp_dir):
+    import os
+    from concurrent.futures import ThreadPoolExecutor
+    path = f"{tmp_dir}/vocab"
+    corpora = [spark.createDataFrame([(f"only{i} word " * 3,)], "text string") for i in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda t: sorted(map(tuple, get_or_build_vocab(spark, path, t).collect())), corpora))
+    assert all(g == got[0] for g in got) and len(got[0]) == 6
+    assert os.listdir(tmp_dir) == ["vocab"]  # the others dropped theirs
+    os.makedirs(f"{tmp_dir}/other/folder")
+    with pytest.raises(FileExistsError):
+        get_or_build_vocab(spark, f"{tmp_dir}/other", corpora[0])
