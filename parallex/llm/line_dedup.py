@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parallex.llm.common import documents, text_key, without
+from parallex.llm.common import at, documents, numbered, text_key, without
 from parallex.session import pin
 
 MIN_SITES = 8
@@ -59,20 +59,19 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", text: str = "text"
     """``docs`` with the boilerplate lines cut out of ``text``, plus ``n_lines``
     (non-blank lines before) and ``n_removed``. Columns with these names are
     replaced; a NULL text stays NULL."""
-    found = pin(boilerplate(docs, site, text, min_sites))
-    hits = (_exploded(docs, site, text).select("key", "pos", "line").join(found, "line")
-            .groupBy("key").agg(F.collect_set("pos").alias("_gone")).withColumnRenamed("key", "_key"))
-    names = without(docs, ["n_lines", "n_removed", "_gone", "_key"])
-    joined = docs.select(*names).withColumn("_key", text_key(F.col(text))).join(hits, "_key", "left")
-    lines = _lines(F.col(text))
+    rows, site, column = numbered(docs), at(docs, site), at(docs, text)
+    found = pin(boilerplate(rows, site, column, min_sites))
+    hits = (_exploded(rows, site, column).select("key", "pos", "line").join(found, "line")
+            .groupBy("key").agg(F.collect_set("pos").alias("gone")))
+    joined = rows.withColumn("key", text_key(F.col(column))).join(hits, "key", "left").withColumn("lines", _lines(F.col(column)))
     # positions that stay, by set difference: linear in the number of lines
-    stay = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone")))
-    cleaned = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.get(F.col("_lines"), i)), "\n"))
-    return (joined.withColumn("_lines", lines)
-            .withColumn("n_lines", F.size(F.filter("_lines", lambda x: _bare(x) != "")).cast("long"))
-            .withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
-            .withColumn(text, cleaned).select(*names, "n_lines", "n_removed"))
+    stay = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone")))
+    cleaned = F.when(F.col("gone").isNull(), F.col(column)).otherwise(
+        F.array_join(F.transform(stay, lambda i: F.get(F.col("lines"), i)), "\n"))
+    return joined.select(
+        *[(cleaned if c == text else F.col(at(docs, c))).alias(c) for c in without(docs, ["n_lines", "n_removed"])],
+        F.size(F.filter("lines", lambda x: _bare(x) != "")).cast("long").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,17 +3,18 @@ symbols (words or bytes) whose symbols also start anywhere else.
 
 1. Equal texts are one row with a count (``texts``); the text is shuffled once,
    and every later step reads that exchange.
-2. Each window is represented by the least hash of its ``gram``-symbol parts (its
-   anchor). Equal windows have equal anchors, and neighbouring windows mostly
-   share one, so a text is a few runs ``(anchor, first window, windows)``.
-3. Only anchors found at two places can hold a repeated window. Their runs are cut
-   out as pieces (the symbols of all windows of a run, as one string) and dealt
-   by a prefix key: the anchor, or, for an anchor with more runs than fit in
-   ``CHUNK_BYTES``, the longer stretch that all windows of a narrow cell share. If the
-   distinct pieces of such a stretch do not fit either, they are cut into single
-   windows, each keyed by the whole window. The key of a piece is thus a context
-   of variable length, extended until its group fits in memory or holds equal
-   windows only. Equal pieces of a task are sent at most twice.
+2. Suffixes are sampled: of the suffixes that start within a window, the one whose
+   first ``gram`` symbols have the least hash (its anchor) stands for the window.
+   Equal windows sample equal places, and neighbouring windows mostly the same, so
+   a text is a few runs ``(anchor, first window, windows)``.
+3. Only prefixes found at two places can hold a repeated window. Their runs are cut
+   out as pieces (the symbols of all windows of a run, as one string) and dealt by
+   a prefix of variable length: the first ``gram`` symbols of the sampled suffix; for
+   a prefix with more runs than fit in ``CHUNK_BYTES``, the first symbols of the suffix
+   at the last start of a narrow cell of windows, as many as all its windows share;
+   and where the distinct pieces of that do not fit either, single windows by all
+   their symbols. A prefix is thus lengthened until its group fits in memory or
+   holds equal windows only. Equal pieces of a task are sent at most twice.
 4. A task sorts its pieces by key, takes as many whole keys at a time as fit in
    ``CHUNK_BYTES`` and lets the operator's solver find the repeated windows.
 5. Runs of repeated windows go back to the texts by piece digest.
@@ -108,7 +109,8 @@ class Codec:
         raise NotImplementedError
 
     def solve(self, pieces: list[bytes], counts: list[int]) -> list[np.ndarray]:
-        """For each distinct piece, which of its windows start twice or more."""
+        """For each distinct piece, which of its windows start twice or more, as a
+        depth (the symbols that the window's repeat reaches; 0: none) or as a flag."""
         raise NotImplementedError
 
     def runs(self, parsed) -> tuple[np.ndarray, ...]:
@@ -245,16 +247,18 @@ def _with_deep(t: DataFrame, marked: DataFrame, codec: Codec) -> DataFrame:
 
 
 def _solve(pieces: DataFrame, codec: Codec) -> DataFrame:
-    """``(piece, a, b)``: runs ``a..b`` of repeated windows within a piece."""
+    """``(piece, a, b, depth)``: runs ``a..b`` of repeated windows within a piece."""
     def flush(held: dict[bytes, int]) -> pa.RecordBatch:
         bodies, out = list(held), []
         for body, twice in zip(bodies, codec.solve(bodies, list(held.values())), strict=True):
-            step = np.diff(np.concatenate([[0], twice, [0]]).astype(np.int8))
-            name = md5(body).digest()
-            out += [(name, a, b) for a, b in zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist(), strict=True)]
+            step = np.diff(np.concatenate([[0], twice > 0, [0]]).astype(np.int8))
+            start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+            if len(start):
+                depth, name = np.maximum.reduceat(twice.astype(np.int32), start), md5(body).digest()
+                out += [(name, *x) for x in zip(start.tolist(), end.tolist(), depth.tolist(), strict=True)]
         return pa.RecordBatch.from_arrays(
-            [pa.array([x[i] for x in out], t) for i, t in enumerate((pa.binary(), pa.int32(), pa.int32()))],
-            names=["piece", "a", "b"])
+            [pa.array([x[i] for x in out], t) for i, t in enumerate((pa.binary(), pa.int32(), pa.int32(), pa.int32()))],
+            names=["piece", "a", "b", "depth"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, int] = {}
@@ -272,7 +276,7 @@ def _solve(pieces: DataFrame, codec: Codec) -> DataFrame:
             yield flush(held)
 
     return (pieces.repartition("prefix").sortWithinPartitions("prefix")
-            .mapInArrow(run, "piece binary, a int, b int"))
+            .mapInArrow(run, "piece binary, a int, b int, depth int"))
 
 
 def repeated(docs: DataFrame, codec: Codec, text: str = "text") -> DataFrame:
@@ -286,11 +290,11 @@ def repeated(docs: DataFrame, codec: Codec, text: str = "text") -> DataFrame:
     marked = runs.join(often, "anchor").groupBy("key").agg(
         F.collect_list(F.struct("first", "windows", "anchor", "hot")).alias("todo"))
     marked = _with_deep(t, marked, codec)
-    found = _solve(_cut(t, marked, codec, True), codec).distinct()
+    found = _solve(_cut(t, marked, codec, True), codec).groupBy("piece", "a", "b").agg(F.max("depth").alias("depth"))
     where = _cut(t, marked, codec, False)
     spans = (where.join(found, "piece")
              .groupBy("key").agg(F.collect_list(F.struct((F.col("first") + F.col("a")).alias("a"),
-                                                         (F.col("first") + F.col("b")).alias("b"))).alias("spans")))
+                                                         (F.col("first") + F.col("b")).alias("b"), "depth")).alias("spans")))
     return t.select("key", "text", "n").join(spans, "key", "left")
 
 

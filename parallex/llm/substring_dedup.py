@@ -1,13 +1,13 @@
 """Substring dedup over words by prefix-partitioned suffix trees.
 
 Every word covered by a window of 35 words that also starts anywhere else is
-removed. ``repeats`` deals the suffixes (windows to their depth) into groups by
-prefixes of variable length; here, each group's suffix tree is built top down.
-A node is a set of suffixes with equal first words: its depth doubles step by
-step (the words from a node's depth on are named by the node that another
-suffix has there), and a node of one suffix is cut off. The internal nodes that
-remain at the window's depth are the repeats; a maximal repeat is a maximal run
-of their windows.
+removed. ``repeats`` samples suffixes (one for each run of windows) and deals them,
+with the words around that their windows need, into groups by their first words:
+12 of them, or 34, or a whole window where fewer give too large a group. In each
+group the suffixes of all windows are sorted, neighbours' common prefixes are
+taken, and from these the internal nodes of the group's suffix tree are built. The
+windows below a node of depth 35 or more are the repeats; a maximal repeat is a
+maximal run of them.
 
 NULL, empty and blank texts have no words. A text of fewer words than a window
 keeps all of them. Equal texts (repeated rows too) are repeats of each other.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
 from parallex.llm import repeats
-from parallex.llm.common import documents, text_key, without
+from parallex.llm.common import at, documents, numbered, text_key, without
 
 WINDOW = 35
 
@@ -47,37 +47,95 @@ class Words(repeats.Codec):
         return b" ".join(parsed[a:b])
 
     def solve(self, pieces: list[bytes], counts: list[int]) -> list[np.ndarray]:
+        """For each window of each piece, the depth of the node it hangs under in the
+        pieces' suffix tree, 0 if that is less than the window."""
         seen: dict[bytes, int] = {}
         split = [p.split() for p in pieces]
-        sizes = np.array([len(w) for w in split])
-        node = np.array([seen.setdefault(w, len(seen)) for words in split for w in words], np.int64)
-        starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+        sizes = np.array([len(w) for w in split], np.int64)
+        words = np.array([seen.setdefault(w, len(seen)) for part in split for w in part], np.int64)
+        # every piece ends with a symbol of its own, so no two suffixes are equal
+        ends = np.cumsum(sizes)
+        symbols = np.insert(words, ends, len(seen) + np.arange(len(sizes)))
+        starts = ends - sizes + np.arange(len(sizes))
         windows = sizes - self.window + 1
-        at = np.repeat(starts - np.concatenate([[0], np.cumsum(windows)])[:-1], windows) + np.arange(windows.sum())
-        depth = 1
-        while depth < self.window:
-            step = min(depth, self.window - depth)
-            # the node ``step`` words on, of the same depth: together depth + step words
-            below = np.concatenate([node[step:], np.zeros(step, np.int64)])
-            node = np.unique(node * (int(node.max(initial=0)) + 1) + below, return_inverse=True)[1]
-            depth += step
-        leaves = np.bincount(node[at])
-        twice = (leaves[node[at]] > 1) | (np.repeat(np.array(counts), windows) > 1)
-        return np.split(twice, np.cumsum(windows)[:-1])
+        before = np.cumsum(windows) - windows
+        first = np.repeat(starts - before, windows) + np.arange(windows.sum())
+        depth = np.zeros(len(first), np.int64)
+        leaves, common = suffix_leaves(symbols, first)
+        node_depth, left, right = deep_nodes(common, self.window)
+        edge = np.zeros(len(first) + 1, np.int64)
+        np.add.at(edge, left, 1)
+        np.add.at(edge, right + 1, -1)
+        under = np.cumsum(edge[:-1]) > 0
+        # of the nodes above a leaf, the deepest starts or ends a common prefix beside it
+        beside = np.maximum(common, np.append(common[1:], 0))
+        depth[leaves] = np.where(under, beside, 0)
+        # a piece found twice is in the tree once: each of its suffixes is a node with two leaves
+        rest = np.repeat(ends + np.arange(len(sizes)), windows) - first
+        twice = np.repeat(np.array(counts) > 1, windows)
+        return np.split(np.where(twice, rest, depth), np.cumsum(windows)[:-1])
+
+
+def suffix_leaves(symbols: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes that start ``at``, sorted (as places in ``at``), and the common
+    prefix of each with the one before (0 for the first). Symbols are numbers below
+    their count, and the last one is found once. Ranks by 1, 2, 4, ... symbols sort; compared from the longest down,
+    they give the common prefixes."""
+    rank = symbols.astype(np.int32)
+    ranks = [rank]
+    while np.bincount(rank[at]).max(initial=0) > 1:
+        step = 1 << (len(ranks) - 1)
+        below = np.concatenate([rank[step:], np.zeros(step, np.int32)])
+        rank = np.unique(rank.astype(np.int64) * len(symbols) + below, return_inverse=True)[1].astype(np.int32)
+        ranks.append(rank)
+    order = np.argsort(rank[at], kind="stable")
+    one, two = at[order[:-1]].copy(), at[order[1:]].copy()
+    common = np.zeros(len(at), np.int64)
+    for k in range(len(ranks) - 1, -1, -1):
+        same = (ranks[k][one] == ranks[k][two]).astype(np.int64) << k
+        one, two = one + same, two + same
+        common[1:] += same
+    return order, common
+
+
+def deep_nodes(common: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The internal nodes of depth ``least`` or more of the suffix tree whose sorted
+    leaves have these common prefixes: depth, first and last leaf."""
+    out: list[tuple[int, int, int]] = []
+    path: list[tuple[int, int]] = []  # depth and first leaf of the nodes that are still open
+    last = -1
+    places = np.flatnonzero(common >= least)
+    for leaf, depth in zip(places.tolist(), common[places].tolist(), strict=True):
+        first = leaf - 1
+        if first != last:
+            out += [(d, a, last) for d, a in path]
+            path = []
+        while path and path[-1][0] > depth:
+            closed, first = path.pop()
+            out.append((closed, first, leaf - 1))
+        if not path or path[-1][0] < depth:
+            path.append((depth, first))
+        last = leaf
+    out += [(d, a, last) for d, a in path]
+    nodes = np.array(out, np.int64).reshape(-1, 3)
+    return nodes[:, 0], nodes[:, 1], nodes[:, 2]
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, text: str = "text") -> DataFrame:
     """``docs`` with the repeated words cut out of ``text`` (the words that stay,
-    joined by one space), plus ``n_words`` and ``n_removed``. Columns with these
-    names are replaced."""
-    cut = _cut_texts(docs, window, text, True).select(F.col("key").alias("_key"), F.col("kept").alias("_text"), "n_words", "n_removed")
-    kept = without(docs, ["n_words", "n_removed", text, "_key", "_text"])
-    return (docs.select(*kept, text_key(F.col(text)).alias("_key")).join(cut, "_key")
-            .select(*kept, F.col("_text").alias(text), "n_words", "n_removed"))
+    joined by one space), plus ``n_words``, ``n_removed`` and ``deepest``: the depth
+    in words of the deepest node that a window hangs under, as far as its piece
+    reaches (all words of a repeated text; 0: no repeat). Columns with these names
+    are replaced; any others keep their names and values."""
+    rows, column = numbered(docs), at(docs, text)
+    cut = _cut_texts(rows, window, column, True)
+    kept = without(docs, ["n_words", "n_removed", "deepest", text])
+    return (rows.withColumn("key", text_key(F.col(column))).join(cut, "key")
+            .select(*[F.col(at(docs, c)).alias(c) for c in kept], F.col("kept").alias(text), "n_words", "n_removed", "deepest"))
 
 
 def _cut_texts(docs: DataFrame, window: int, text: str, whole: bool) -> DataFrame:
-    """Per distinct text: counts and the words that stay, or their digest."""
+    """Per distinct text: counts, the words that stay or their digest, depth of the deepest node."""
     codec = Words(window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,14 +147,16 @@ def _cut_texts(docs: DataFrame, window: int, text: str, whole: bool) -> DataFram
                     gone = repeats.covered(len(words), window, n.as_py(), spans.as_py())
                     removed = int(gone.sum())
                     kept = b" ".join(words if not removed else [w for w, g in zip(words, gone.tolist(), strict=True) if not g])
-                    out.append((key, len(words), removed, sha256(kept).hexdigest(), kept.decode() if whole else None))
+                    twice = n.as_py() > 1 and len(words) >= window
+                    deepest = len(words) if twice else max((x["depth"] for x in spans.as_py() or ()), default=0)
+                    out.append((key, len(words), removed, sha256(kept).hexdigest(), kept.decode() if whole else None, deepest))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x[i] for x in out], t) for i, t in
-                     enumerate((pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string()))],
-                    names=["key", "n_words", "n_removed", "kept_sha256", "kept"])
+                     enumerate((pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()))],
+                    names=["key", "n_words", "n_removed", "kept_sha256", "kept", "deepest"])
 
     return repeats.repeated(docs, codec, text).select("key", "text", "n", "spans").mapInArrow(
-        run, "key binary, n_words long, n_removed long, kept_sha256 string, kept string")
+        run, "key binary, n_words long, n_removed long, kept_sha256 string, kept string, deepest long")
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

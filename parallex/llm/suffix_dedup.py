@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parallex.llm import repeats
-from parallex.llm.common import documents, text_key, without
+from parallex.llm.common import at, documents, numbered, text_key, without
 
 WINDOW = 400
 PERIOD = 16
@@ -152,9 +152,10 @@ def dedup(docs: DataFrame, window: int = WINDOW, text: str = "text") -> DataFram
     """``docs`` with ``kept`` (the bytes that stay), ``n_bytes``, ``n_removed`` and
     ``n_spans``. Columns with these names are replaced."""
     names = ["kept", "n_bytes", "n_removed", "n_spans"]
-    cut = _cut_texts(docs, window, text, True).withColumnRenamed("key", "_key")
-    kept = without(docs, [*names, "_key"])
-    return docs.select(*kept).withColumn("_key", text_key(F.col(text))).join(cut, "_key").select(*kept, *names)
+    rows, column = numbered(docs), at(docs, text)
+    cut = _cut_texts(rows, window, column, True)
+    return (rows.withColumn("key", text_key(F.col(column))).join(cut, "key")
+            .select(*[F.col(at(docs, c)).alias(c) for c in without(docs, names)], *names))
 
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,6 +71,15 @@ def test_threshold_is_exact(spark, min_sites):
         assert r.text.startswith("own") == (k >= min_sites)
 
 
+def test_lines_leave_other_columns_alone(spark):
+    names = ("_lines", "lines", "key", "gone", "_key", "_in0")
+    docs = spark.createDataFrame([(1, "a\nb", "s"), (2, None, None)], "doc_id long, text string, source string").selectExpr(
+        "*", *[f"'x' AS {c}" for c in names])
+    out = line_dedup.remove_boilerplate(docs).collect()
+    assert out[0].asDict().keys() == {*docs.columns, "n_lines", "n_removed"}
+    assert all(r[c] == "x" for r in out for c in names) and {r.text for r in out} == {"a\nb", None}
+
+
 def test_lines_of_an_empty_table(spark, empty):
     assert line_dedup.op2_line_dedup(spark, empty).count() == 0
 

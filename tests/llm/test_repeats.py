@@ -96,6 +96,43 @@ def test_cover_and_solver():
             assert got.tolist() == [seen[p[i:i + window]] > 1 for i in range(len(p) - window + 1)]
 
 
+def common_prefix(a, b):
+    return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+
+def test_suffix_tree_nodes():
+    rng = random.Random(11)
+    for trial in range(80):
+        window = rng.choice([1, 3, 6])
+        base = [rng.choice([b"a", b"b"]) for _ in range(60)]
+        pieces = list({b" ".join(base[(a := rng.randrange(40)):a + window + rng.randrange(12)]) for _ in range(6)})
+        counts = [rng.choice([1, 1, 2]) for _ in pieces]
+        suffixes = [(i, j, p.split()[j:]) for i, p in enumerate(pieces) for j in range(len(p.split()) - window + 1)]
+        got = substring_dedup.Words(window).solve(pieces, counts)
+        for i, j, s in suffixes:
+            best = max([common_prefix(s, o) for k, m, o in suffixes if (k, m) != (i, j)] + [len(s) if counts[i] > 1 else 0], default=0)
+            assert got[i][j] == (best if best >= window else 0)
+        symbols = np.append([rng.randrange(3) for _ in range(40)], 40)
+        order, common = substring_dedup.suffix_leaves(symbols, np.arange(40))
+        rows = sorted(symbols[i:].tolist() for i in range(40))
+        assert [symbols[i:].tolist() for i in order] == rows
+        assert common.tolist() == [0] + [common_prefix(a, b) for a, b in zip(rows, rows[1:], strict=False)]
+        nodes = {(d, a, b) for a in range(40) for b in range(a + 1, 40) if (d := common_prefix(rows[a], rows[b])) >= window
+                 and (a == 0 or common[a] < d) and (b == 39 or common[b + 1] < d)}
+        assert set(zip(*(x.tolist() for x in substring_dedup.deep_nodes(common, window)), strict=True)) == nodes
+
+
+def test_depth_and_clashing_names(spark):
+    passage = " ".join(f"w{i}" for i in range(40))
+    data = [("x " + passage + " y",), ("z " + passage,), ("n m",), (None,), ("q r s " + passage.replace("w", "v"),)] + [("r " * 50,)] * 2
+    docs = spark.createDataFrame(data, "text string").selectExpr("*", *[f"'s' AS {c}" for c in ("_key", "key", "_text", "_in0", "kept", "n")])
+    out = {r.n_words: r for r in substring_dedup.dedup(docs).collect()}
+    assert {n: r.n_removed for n, r in out.items()} == {42: 40, 41: 40, 2: 0, 0: 0, 43: 0, 50: 50}
+    assert 35 <= out[42].deepest <= 40 and out[2].deepest == 0 and out[0].deepest == 0 and out[50].deepest == 50
+    assert all(r[c] == "s" for r in out.values() for c in ("_key", "key", "_text", "_in0", "kept", "n"))
+    assert all(r["_key"] == r["key"] == r["n"] == "s" for r in suffix_dedup.dedup(docs).collect())
+
+
 @pytest.mark.parametrize("codec", [substring_dedup.Words(), suffix_dedup.Bytes()])
 def test_a_core_in_many_differing_texts_makes_no_large_group(spark, monkeypatch, codec):
     monkeypatch.setattr(repeats, "CHUNK_BYTES", 1 << 14)
