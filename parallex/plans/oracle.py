@@ -395,6 +395,8 @@ ORACLE: dict[str, str] = {
 SELECT i.pair_id, p.src_text, p.trg_text, p.src_text IS NOT NULL AS found
 FROM (SELECT CAST(conv_id::BIGINT * {TURN} + turn AS BIGINT) AS pair_id FROM conversations) i
 LEFT JOIN pairs p USING (pair_id)""",
+    "pair_positions": f"""WITH {PAIRS}
+SELECT CAST(row_number() OVER (ORDER BY pair_id) - 1 AS BIGINT) AS position, pair_id, src_text, trg_text FROM pairs""",
     "input_routing": f"WITH {PAIRS},\n{ROUTING}\nSELECT * FROM routed",
     "sentences_lang": f"SELECT doc_id AS id, text AS sentence FROM documents WHERE lang = '{OPTS.src_lang}'",
     "vocab_build": f"WITH {PAIRS},\n{SPECIALS},\n{SRC_VOCAB}\nSELECT token, id, n, is_special FROM vocab",

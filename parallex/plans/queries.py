@@ -26,7 +26,7 @@ from parallex.operators.examples import build_examples
 from parallex.operators.vocab import build_vocab, vocab_size, vocab_stats
 from parallex.plans import standins as T
 from parallex.session import ensure_checkpoint_dir, pin
-from parallex.sources import corpus, runlog
+from parallex.sources import clustered, corpus, runlog
 from parallex.sources.vocab_store import get_or_build_vocab
 from parallex.streaming.metrics import last_values_stream, read_last_values
 
@@ -116,6 +116,17 @@ def q_pair_lookup(spark, d):
     return got.select("pair_id", "src_text", "trg_text", F.col("src_text").isNotNull().alias("found"))
 
 
+def _clustered(spark, d) -> str:
+    path = _folder(spark, "clustered")
+    clustered.write_clustered(T.pairs(spark, d), path)
+    return path
+
+
+def q_pair_positions(spark, d):
+    """Every pair of the corpus stored in id order, with its position."""
+    return clustered.with_positions(spark, _clustered(spark, d)).select("position", "pair_id", "src_text", "trg_text")
+
+
 def q_input_routing(spark, d):
     return corpus.route_inputs(T.routing_inputs(spark, d), T.pairs(spark, d))
 
@@ -593,6 +604,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pairs_count": q_pairs_count,
     "pair_preview": q_pair_preview,
     "pair_lookup": q_pair_lookup,
+    "pair_positions": q_pair_positions,
     "input_routing": q_input_routing,
     "sentences_lang": q_sentences_lang,
     "vocab_build": q_vocab_build,
