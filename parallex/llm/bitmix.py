@@ -4,9 +4,13 @@ A text is cut into units: up to 62 bytes of a word and the white-space byte (or
 the end mark ``\\xff``, which UTF-8 never holds) that ends it, or 63 bytes of a
 longer word, whose rest is marked as going on. Both are fixed by the bytes seen
 so far, so a text's probability is the product of its units' and sums to one
-over all texts. A unit's bytes are coded bit by bit, highest first, and every
-bit is predicted from counts in four contexts hashed with the bits already
-known: place in the unit; last byte; last two bytes; the unit's whole prefix.
+over all texts. A unit's bytes are coded bit by bit, highest first. Every bit
+after the first byte is predicted from counts in four contexts hashed with the
+bits already known: place in the unit; last byte; last two bytes; the unit's whole
+prefix. These do not reach back over the unit's start, so a unit's probability
+after its first byte is the same wherever it stands. The first byte is predicted
+from what came before (``Firsts``): the previous unit's word, hashed; the last two
+bytes of that word, hashed; and whether a cut word goes on.
 
 The counts become stretched probabilities and are mixed by weights that a gate
 (how often the prefix and the last two bytes were seen here) selects. Weights are
@@ -18,6 +22,7 @@ learns. During learning a unit's own occurrence is taken out of the counts.
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 
@@ -36,6 +41,8 @@ PRIOR = 0.05
 GATES = 18
 INPUTS = N_GLOBAL + N_LOCAL + 1
 CELLS = 33
+FIRST = 1                   # bytes of a unit that are predicted from the unit before
+WORD_CLASSES, END_CLASSES = 1 << 12, 1 << 11  # hashed contexts of the first byte
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
@@ -58,6 +65,58 @@ def word_of(key: bytes) -> bytes | None:
     return key[:-1].lower()
 
 
+def _lead(word: bytes) -> int:
+    return (zlib.crc32(word) % WORD_CLASSES) * END_CLASSES + zlib.crc32(word[-2:]) % END_CLASSES
+
+
+START = _lead(b"\xff")  # before a text's first unit
+
+
+def traits(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """For every key what it is as the unit before another (its hashed contexts), and
+    its own first byte with 256 for a unit that goes on with a cut word; -1 for the
+    key of a long word, which is no unit."""
+    lead = [_lead((k[1:] if k[:1] == CUT else k).rstrip(b" \t\n\r\x0b\x0c\xff").lower()) for k in found]
+    first = [-1 if k[:1] == WORD_MARK else 256 + k[1] if k[:1] == CUT else k[0] for k in found]
+    return np.array(lead, np.int64), np.array(first, np.int64)
+
+
+def first_codes(at: list[np.ndarray], lead: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts are given by the positions of their keys. One code for every unit of all
+    texts (contexts of the unit before, own first byte), and the text it stands in."""
+    text = np.repeat(np.arange(len(at)), np.array([len(a) for a in at], np.int64))
+    flat = np.concatenate([*at, np.zeros(0, np.int64)])
+    unit = first[flat] >= 0
+    flat, text = flat[unit], text[unit]
+    before = np.full(len(flat), START, np.int64)
+    before[1:] = lead[flat[:-1]]
+    before[1:][text[1:] != text[:-1]] = START
+    return before * 512 + first[flat], text
+
+
+class Firsts:
+    """Distinct codes of first bytes with the walk over their bits. Tables are those of
+    ``Units`` by number: kind alone; none; ending of the word before; word before."""
+
+    SLOTS = (512, 1, END_CLASSES * 256, WORD_CLASSES * 256)
+
+    def __init__(self, codes: np.ndarray, counts: np.ndarray):
+        self.codes, self.count, self.whole = codes, np.asarray(counts, np.float64), None
+
+    @classmethod
+    def tables(cls) -> list[np.ndarray]:
+        return [np.zeros((n, 2), np.float32) for n in cls.SLOTS]
+
+    def walk(self):
+        byte, kind, lead = self.codes & 255, self.codes >> 8 & 1, self.codes >> 9
+        word, end = (lead // END_CLASSES ^ kind * 0xA5A) * 256, (lead % END_CLASSES ^ kind * 0x2D5) * 256
+        node = np.ones(len(byte), np.int64)
+        for b in range(7, -1, -1):
+            bit = byte >> b & 1
+            yield len(byte), bit, node, [kind * 256 + node, None, end + node, word + node]
+            node = node << 1 | bit
+
+
 class Units:
     """Units in arrays, longest first, with the walk over their bits."""
 
@@ -77,8 +136,8 @@ class Units:
         self.data = np.frombuffer(flat, np.uint8).reshape(len(found), width)
 
     def walk(self):
-        """Yields ``(n, bit, node, slots)`` for every bit of the first ``n`` units;
-        ``slots`` are the rows of the tables with both counts, None for a prefix
+        """Yields ``(n, bit, node, slots)`` for every bit of the first ``n`` units, from
+        byte ``FIRST`` on; ``slots`` are the rows of the tables with both counts, None for a prefix
         of less than ``LOCAL_FROM`` bytes."""
         kind = self.kind
         prefix = np.full(len(kind), 0x243F6A8885A308D3, np.uint64)
@@ -95,7 +154,7 @@ class Units:
             contexts = [(c + np.uint64(1)) * k for c, k in zip(contexts, _K, strict=False)]
             shifts = [64 - b for b in GLOBAL_BITS] + [64 - self.bits] * N_LOCAL
             node = np.ones(n, np.uint64)
-            for b in range(7, -1, -1):
+            for b in range(7, -1, -1) if t >= FIRST else ():
                 bit = (byte >> np.uint64(b)) & np.uint64(1)
                 mixed = node * _K[2]
                 slots = []
@@ -124,11 +183,11 @@ def new_local(bits: int = LOCAL_BITS) -> list[np.ndarray]:
     return [np.zeros((1 << bits, 2), np.float32) for _ in range(N_LOCAL)]
 
 
-def learn_counts(units: Units, tables: list[np.ndarray | None]) -> None:
+def learn_counts(units: Units | Firsts, tables: list[np.ndarray | None]) -> None:
     """Add the units' counts to the tables that are given."""
     for i, (n, bit, _, slots) in enumerate(units.walk()):
         w = units.count[:n].astype(np.float32)
-        whole = w if units.whole is None else w * (units.whole[:n] <= i // 8)
+        whole = w if units.whole is None else w * (units.whole[:n] <= FIRST + i // 8)
         for k, (table, s) in enumerate(zip(tables, slots, strict=True)):
             if table is not None and s is not None:
                 np.add.at(table.reshape(-1), 2 * s + bit, w if k < N_GLOBAL else whole)
@@ -140,27 +199,20 @@ def new_weights() -> np.ndarray:
     return w
 
 
-def _inputs(tables, slots, bit, own):
-    """Stretched predictions and the gate; ``own`` occurrences are taken out."""
-    n = len(bit)
-    x = np.zeros((INPUTS, n), np.float32)
-    x[-1] = 0.3
-    seen = {}
+def _inputs(tables, slots, bit):
+    """Stretched predictions of the contexts that a unit has here, and the gate; every
+    unit's own occurrence is taken out."""
+    sign = (2 * bit - 1).astype(np.float32)
+    x, gate = [], 0
     for i, (table, s) in enumerate(zip(tables, slots, strict=True)):
         if s is None:
             continue
-        pair = table[s]
-        if own:
-            pair[np.arange(n), bit] -= 1
-            np.maximum(pair, 0, out=pair)
+        flat, at = table.reshape(-1), 2 * s + bit
+        same, other = np.maximum(flat.take(at) - 1, 0), flat.take(at ^ 1)
         if i in (2, 3):
-            seen[i] = pair.sum(axis=1)
-        pair = np.log(pair + np.float32(PRIOR))
-        x[i] = pair[:, 1] - pair[:, 0]
-    np.clip(x, -12, 12, out=x)
-    gate = _gate(2, seen[2])
-    if 3 in seen:
-        gate = gate + _gate(3, seen[3])
+            gate = gate + _gate(i, same + other)
+        stretched = np.log((same + np.float32(PRIOR)) / (other + np.float32(PRIOR))) * sign
+        x.append((i, np.clip(stretched, -12, 12, out=stretched)))
     return x, gate
 
 
@@ -175,21 +227,28 @@ def _cell(dot):
     return np.rint((np.clip(dot, -8, 8) + 8) * 2).astype(np.int64)
 
 
-def learn_weights(units: Units, tables, weights: np.ndarray, moved: np.ndarray, refine: np.ndarray, rate: float = 0.02) -> None:
+def learn_weights(units: Units | Firsts, tables, weights: np.ndarray, moved: np.ndarray, refine: np.ndarray, rate: float = 0.02) -> None:
     """One online pass: ``weights``, their gradient sums ``moved`` and the
     refinement counts (node, cell, bit) change in place."""
+    cells = refine.reshape(-1)
     for n, bit, node, slots in units.walk():
-        x, gate = _inputs(tables, slots, bit, True)
-        dot = (weights.T[:, gate] * x).sum(axis=0)
+        x, gate = _inputs(tables, slots, bit)
+        mix = np.ascontiguousarray(weights.T, np.float32)
+        dot = mix[-1].take(gate) * np.float32(0.3)
+        for i, xi in x:
+            dot += mix[i].take(gate) * xi
         p = 1 / (1 + np.exp(-np.clip(dot, -30, 30)))
         w = units.count[:n]
         error = (bit - p) * w
         mass = np.bincount(gate, w, GATES)
-        step = np.stack([np.bincount(gate, error * x[i], GATES) for i in range(INPUTS)], axis=1)
+        step = np.zeros((GATES, INPUTS))
+        step[:, -1] = 0.3 * np.bincount(gate, error, GATES)
+        for i, xi in x:
+            step[:, i] = np.bincount(gate, error * xi, GATES)
         step /= np.maximum(mass, 1e-9)[:, None]
         moved += step * step
         weights += rate * step / np.sqrt(moved + 1e-6)
-        np.add.at(refine, (node, _cell(dot), bit), w)
+        np.add.at(cells, 2 * (node * CELLS + _cell(dot)) + bit, w)
 
 
 class Scorer:
@@ -208,9 +267,10 @@ class Scorer:
         self.base = (0.5 * ones / (zero + ones + trust)).astype(np.float32)
         self.slope = (0.5 + 0.5 * trust / (zero + ones + trust)).astype(np.float32)
 
-    def log_probability(self, units: Units) -> np.ndarray:
-        """log10 probability of every unit, in the order in which they were given."""
-        total = np.zeros(len(units.size))
+    def log_probability(self, units: Units | Firsts) -> np.ndarray:
+        """log10 probability of every unit after its first byte, or of every first byte,
+        in the order in which they were given."""
+        total = np.zeros(len(units.count))
         for n, bit, node, slots in units.walk():
             gate = self.gates[2][slots[2]].astype(np.int64)
             if slots[3] is not None:
@@ -223,6 +283,8 @@ class Scorer:
             at = node * CELLS + _cell(dot)
             p = self.base[at] + self.slope[at] / (1 + np.exp(-dot))
             total[:n] += np.log10(np.clip(np.where(bit == 1, p, 1 - p), 1e-6, 1))
+        if isinstance(units, Firsts):
+            return total
         out = np.empty_like(total)
         out[units.order] = total
         return out

@@ -1,8 +1,8 @@
 """Language-model scoring by online logistic context mixing.
 
-The model (``bitmix``) codes a text unit by unit and a unit bit by bit. Given the
-units' classes, a unit's probability does not depend on the rest of the text, so
-the work is done once per distinct unit:
+The model (``bitmix``) codes a text unit by unit and a unit bit by bit. A unit's
+first byte is predicted from the unit before; the rest does not depend on the other
+units of the text, so that work is done once per distinct unit:
 
 1. Distinct units of all texts with their counts in the training texts, and from
    them the counts of the training words (for the base score).
@@ -15,8 +15,12 @@ the work is done once per distinct unit:
    online on every training unit, in an order that a hash fixes; weights and
    refinement counts of the partitions are averaged.
 4. Every unit is scored with the counts of all training units.
-5. Texts are dealt into blocks of about ``BLOCK_BYTES``. A block's distinct units
-   are looked up once, and its texts add up the scores of their units.
+5. First bytes: each task counts the contexts of its training texts slice by slice and
+   learns their mixing weights on the way, every occurrence without itself; counts are
+   summed and weights averaged.
+6. Texts are dealt into blocks of about ``BLOCK_BYTES``. A block's distinct units
+   are looked up once, and its texts add up the scores of their units and those of
+   the first bytes, each distinct pair of context and byte once.
 
 Tables that are sent around have fixed sizes; what grows with the corpus (units, words, lookups) is
 spread by hash and never meets in one task or in the driver.
@@ -49,7 +53,7 @@ BLOCK_BYTES = 32 << 20   # texts whose units are looked up together
 GROUP_UNITS = 1 << 20    # units of one dealing prefix that a task can hold
 PART_UNITS = 1 << 18     # units of a partition, on average
 SEND_KEYS = 600_000      # distinct units a task gathers before it sends them
-_BATCH, _SMALL = 32_768, 4_096
+_BATCH, _SMALL = 32_768, 8_192
 _PRIOR = 0.1
 
 
@@ -256,13 +260,47 @@ def _mixer(units: DataFrame, low, after, dealing: tuple[frozenset[bytes], int])
         if mass:
             yield _sent([*_rows("weights", weights * mass), *_rows("mass", np.array([mass])), *_rows("refine", refine)])
 
-    got = _summed(_partitions(units, dealing).mapInArrow(run, "name string, place int, cells binary"))
+    return _mixed(_summed(_partitions(units, dealing).mapInArrow(run, "name string, place int, cells binary")))
+
+
+def _places(keys: list[bytes], place: dict[bytes, int]) -> np.ndarray:
+    return np.fromiter(map(place.__getitem__, keys), np.int64, len(keys))
+
+
+def _mixed(got: dict[str, dict[int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (mean of the partitions', by training count) and refinement counts."""
     weights, refine = bitmix.new_weights(), np.zeros((256, bitmix.CELLS, 2))
     if "mass" in got:
         weights = _filled(got["weights"], weights) / got["mass"][0][0]
     return weights, _filled(got.get("refine"), refine)
 
 
+def _firsts(docs: DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Count tables, mixing weights and refinement counts of the units' first bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, weights, mass = bitmix.Firsts.tables(), bitmix.new_weights(), 0.0
+        moved, refine = np.zeros_like(weights), np.zeros((256, bitmix.CELLS, 2))
+        for batch in batches:
+            for part in slices(batch, 1):
+                texts = [t for d, t in zip(part.column(0).to_pylist(), binary(part.column(1)), strict=True) if not held_out(d)]
+                found = [bitmix.keys(t) for t in texts]
+                place = {k: i for i, k in enumerate(set().union(*found))}
+                at = [_places(ks, place) for ks in found]
+                codes, n = np.unique(bitmix.first_codes(at, *bitmix.traits(list(place)))[0], return_counts=True)
+                order = np.random.default_rng(len(codes)).permutation(len(codes))
+                codes, n = codes[order], n[order]
+                mass += float(n.sum())
+                bitmix.learn_counts(bitmix.Firsts(codes, n), [tables[0], None, *tables[2:]])
+                for i in range(0, len(codes), _SMALL):
+                    bitmix.learn_weights(bitmix.Firsts(codes[i:i + _SMALL], n[i:i + _SMALL]), tables, weights, moved, refine)
+        if mass:
+            yield _sent([r for i, t in enumerate(tables) for r in _rows(str(i), t)])
+            yield _sent([*_rows("weights", weights * mass), *_rows("mass", np.array([mass])), *_rows("refine", refine)])
+
+    got = _summed(docs.mapInArrow(run, "name string, place int, cells binary"))
+    return [_filled(got.get(str(i)), t).astype(np.float32) for i, t in enumerate(bitmix.Firsts.tables())], *_mixed(got)
+
+
 def _scored(units: DataFrame, low, mixer, after, dealing: tuple[frozenset[bytes], int]) -> DataFrame:
     """``(key, score)``: log10 probability of every unit."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,6 +332,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     dealing = _hot(units)
     after = spark.sparkContext.broadcast(_after_hot(units, dealing[0]))
     mixer = spark.sparkContext.broadcast(_mixer(units, low, after, dealing))
+    firsts = spark.sparkContext.broadcast(_firsts(light))
     # units and words are spread by hash: a partition's table is small, no sort is
     # needed. Words first: what follows is partitioned by unit, as the lookup below.
     counted = units.select("key", "word").join(words.hint("shuffle_hash"), "word", "left").select("key", "c")
@@ -323,11 +362,18 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
         base = np.where(word, np.log10(c + _PRIOR) - below, 0.0)
         known = word & (c > 0)
         end = (math.log10(ends + _PRIOR) if ends else floor) - below
+        texts = [text for chunk in rows.column("text").chunks for text in binary(chunk)]
+        places = [_places(bitmix.keys(text), place) for text in texts]
+        codes, of = bitmix.first_codes(places, *bitmix.traits(keys))
+        codes, which = np.unique(codes, return_inverse=True)
+        tables, *mix = firsts.value
+        model = bitmix.Scorer(tables, *mix)
+        each = np.concatenate([np.zeros(0), *[model.log_probability(bitmix.Firsts(codes[i:i + _BATCH], np.ones(len(codes[i:i + _BATCH]))))
+                                              for i in range(0, len(codes), _BATCH)]])
+        first = np.bincount(of, each[which], len(texts))
         out = []
-        texts = (text for chunk in rows.column("text").chunks for text in binary(chunk))
-        for doc, text in zip(rows.column("doc_id").to_pylist(), texts, strict=True):
-            at = np.array([place[k] for k in bitmix.keys(text)], np.int64)
-            total = float(unit[at].sum())
+        for i, (doc, text, at) in enumerate(zip(rows.column("doc_id").to_pylist(), texts, places, strict=True)):
+            total = float(unit[at].sum() + first[i])
             out.append((doc, held_out(doc), int(word[at].sum()) + 1, int(known[at].sum()) + (1 if ends else 0), n,
                         float(base[at].sum()) + end, total, -total * math.log2(10) / (len(text or b"") + 1)))
         names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 import sys
 import zlib
 from collections import Counter
@@ -135,13 +136,118 @@ def test_units_cover_the_text_and_sum_to_one():
     weights, refine = bitmix.new_weights(), np.zeros((256, bitmix.CELLS, 2))
     bitmix.learn_weights(bitmix.Units(found, np.array([50, 3, 4, 9])), tabs, weights, np.zeros_like(weights), refine)
     model = bitmix.Scorer(tabs, weights, refine)
-    for prefix in (b"", b"t", b"the", b"othe"):
+    for prefix in (b"t", b"the", b"othe"):
         every = [prefix + bytes([b]) for b in range(0xfd)]  # marks aside: their share is nearly zero
         p = 10 ** model.log_probability(bitmix.Units(every, np.zeros(256)))
-        whole = 1.0 if not prefix else float(10 ** model.log_probability(bitmix.Units([prefix], np.zeros(1)))[0])
+        whole = float(10 ** model.log_probability(bitmix.Units([prefix], np.zeros(1)))[0])
         assert abs(p.sum() / whole - 1) < 0.02
 
 
+def test_first_bytes_sum_to_one_after_any_word():
+    found = [b"the ", b"then ", b"other ", b"a\n", b"\xff", b"x" * 63, bitmix.CUT + b"x\xff", bitmix.WORD_MARK + b"x" * 64]
+    lead, first = bitmix.traits(found)
+    codes, text = bitmix.first_codes([np.array(a, np.int64) for a in ([0, 3, 1, 0, 2, 4], [], [5, 6, 7], [4])], lead, first)
+    assert text.tolist() == [0] * 6 + [2] * 2 + [3]  # the long word's own key is no unit
+    assert (codes >> 9).tolist() == [bitmix.START, *lead[[0, 3, 1, 0, 2]], bitmix.START, lead[5], bitmix.START]
+    assert (codes & 511).tolist() == [*b"tatto\xffx", 256 + ord("x"), 0xff]
+    tabs, weights, refine = bitmix.Firsts.tables(), bitmix.new_weights(), np.zeros((256, bitmix.CELLS, 2))
+    bitmix.learn_counts(bitmix.Firsts(codes, np.full(len(codes), 7)), tabs)
+    bitmix.learn_weights(bitmix.Firsts(codes, np.full(len(codes), 7)), tabs, weights, np.zeros_like(weights), refine)
+    model = bitmix.Scorer(tabs, weights, refine)
+    for before in {*codes >> 9, 12345}:
+        p = 10 ** model.log_probability(bitmix.Firsts(before * 512 + np.arange(256), np.zeros(256)))
+        assert abs(p.sum() - 1) < 0.001
+
+
+def _plain_slots(kind: int, unit: bytes, t: int, node: int, bits: int) -> list[int]:
+    """The four table rows of a bit, from the hashing rule, with Python integers."""
+    full = (1 << 64) - 1
+    k = [int(x) for x in bitmix._K]
+    prefix = 0x243F6A8885A308D3
+    for byte in unit[:t]:
+        prefix = (prefix ^ (byte + 1)) * k[0] & full
+        prefix ^= prefix >> 32
+    one = unit[t - 1] + 1 if t else 0
+    two = (unit[t - 2] + 1 if t > 1 else 0) * 257 + one if t else 0
+    contexts = [kind * 8 + min(t, 3), one * 4 + min(t, 2), two * 4 + min(t, 3), (prefix + kind) & full]
+    out = []
+    for c, factor, width in zip(contexts, k, [*bitmix.GLOBAL_BITS, bits], strict=False):
+        h = ((c + 1) * factor & full ^ (node * k[2] & full)) * k[3] & full
+        h ^= h >> 29
+        out.append((h * k[1] & full) >> (64 - width))
+    return out
+
+
+def test_usual_word_order_scores_higher(spark, tmp_dir):
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"{a} {b}" for a, b in rng.choices([("red", "apple"), ("blue", "sky"), ("old", "tree")], k=20)), "en", "s", 1, *tables.CLASH)
+            for i in range(60)]
+    rows += [(60, "red apple blue sky old tree", "en", "s", 1, *tables.CLASH), (61, "red sky blue tree old apple", "en", "s", 1, *tables.CLASH)]
+    tables.documents(spark, tmp_dir, data=rows)
+    got = {r.doc_id: r.score for r in lm_scoring.op7_lm_scoring(spark, tmp_dir).collect()}
+    assert got[60] > got[61] + 1
+
+
+def test_scores_equal_a_plain_model(spark, tmp_dir):
+    """Counts, gates, mixing, refinement, dealing and lookups against a loop over bits;
+    mixing weights and refinement counts are those that were learned."""
+    rng = random.Random(3)
+    vocabulary = ["the", "cat", "sat", "mat", "Über", "on", "x" * 70, "then", "catalogue", ""]
+    rows = [(i, rng.choice([" ", "\n", "  "]).join(rng.choices(vocabulary, k=rng.randint(0, 30))), "en", "s", 1, *tables.CLASH) for i in range(30)]
+    rows += [(30, "the cat sat on the mat", "en", "s", 1, *tables.CLASH), (31, "cat the the sat on mat", "en", "s", 1, *tables.CLASH),
+             (None, None, "en", "s", 1, *tables.CLASH), (30, "the cat", "en", "s", 1, *tables.CLASH)]
+    tables.documents(spark, tmp_dir, data=rows)
+    docs = spark.read.parquet(f"{tmp_dir}/documents.parquet").select("doc_id", "text")
+    got = sorted((str(r.doc_id), r.score) for r in lm_scoring.score(docs).collect())
+
+    units, send = lm_scoring._units(docs), spark.sparkContext.broadcast
+    low, dealing = send(lm_scoring._low_orders(units)), lm_scoring._hot(units)
+    mixer = lm_scoring._mixer(units, low, send({}), dealing)
+    _, *first_mixer = lm_scoring._firsts(docs)
+
+    def pieces(text):
+        found = [k for k in bitmix.keys((text or "").encode()) if k[:1] != bitmix.WORD_MARK]
+        return [(k[:1] == bitmix.CUT, k.removeprefix(bitmix.CUT)) for k in found]
+
+    def bits(text):
+        """(model, slots, node, bit) of every bit of the text."""
+        word = b"\xff"
+        for kind, unit in pieces(text):
+            end = zlib.crc32(word[-2:]) % bitmix.END_CLASSES ^ kind * 0x2D5
+            lead = zlib.crc32(word) % bitmix.WORD_CLASSES ^ kind * 0xA5A
+            for t, byte in enumerate(unit):
+                for b in range(8):
+                    node = (256 | byte) >> (8 - b)
+                    if t == 0:
+                        yield 0, [int(kind) * 256 + node, None, end * 256 + node, lead * 256 + node], node, byte >> (7 - b) & 1
+                    else:
+                        found = _plain_slots(int(kind), unit, t, node, bitmix.LOCAL_BITS)
+                        yield 1, found if t >= bitmix.LOCAL_FROM else [*found[:3], None], node, byte >> (7 - b) & 1
+            word = re.sub(rb"[\s\xff]", b"", unit).lower()
+    seen = Counter()
+    for r in rows:
+        if zlib.crc32(b"" if r[0] is None else str(r[0]).encode()) % 10:
+            seen.update((m, i, s, bit) for m, slots, _, bit in bits(r[1]) for i, s in enumerate(slots))
+    want = []
+    for r in rows:
+        total = 0.0
+        for m, slots, node, bit in bits(r[1]):
+            weights, refine = (first_mixer, mixer)[m]
+            n = {i: [seen[m, i, s, b] for b in (0, 1)] for i, s in enumerate(slots) if s is not None}
+            gate = (sum(n[2]) > 30) + (sum(n[2]) > 3000)
+            if 3 in n:
+                gate += 3 * (1 + sum(sum(n[3]) > x for x in (0, 2, 15, 255)))
+            dot = weights[gate][-1] * 0.3 + sum(
+                weights[gate][i] * max(-12, min(12, math.log((one + 0.05) / (zero + 0.05)))) for i, (zero, one) in n.items())
+            zero, one = refine[node][round((max(-8, min(8, dot)) + 8) * 2)]
+            p = 0.5 / (1 + math.exp(-dot)) + 0.5 * (one + 50 / (1 + math.exp(-dot))) / (zero + one + 50)
+            total += math.log10(p if bit else 1 - p)
+        want.append((str(r[0]), total))
+    for (a, x), (b, y) in zip(got, sorted(want), strict=True):
+        assert a == b and abs(x - y) < 2e-3 * max(1, abs(y)), (a, x, y)
+    assert abs(dict(got)["31"] - next(y for a, y in got if a == "30" and y < -5)) > 0.02  # other order, other score
+
+
 def test_prefix_counts_do_not_depend_on_the_dealing(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "GROUP_UNITS", 4)
     monkeypatch.setattr(lm_scoring, "PART_UNITS", 4)
@@ -172,9 +278,9 @@ def test_prefix_counts_do_not_depend_on_the_dealing(spark, monkeypatch):
         u = bitmix.Units(keys, np.array(r.n), 26)
         names = [keys[i] for i in u.order]
         for i, (n, _, node, slots) in enumerate(u.walk()):
-            for j in range(n if i // 8 >= bitmix.LOCAL_FROM else 0):
+            for j in range(n if bitmix.FIRST + i // 8 >= bitmix.LOCAL_FROM else 0):
                 kind, k = names[j][:1] == bitmix.CUT, names[j].removeprefix(bitmix.CUT)
-                assert table[slots[3][j]].tolist() == [true[kind, k[:i // 8], int(node[j]), b] for b in (0, 1)]
+                assert table[slots[3][j]].tolist() == [true[kind, k[:bitmix.FIRST + i // 8], int(node[j]), b] for b in (0, 1)]
 
 
 def test_prefix_tables_grow_with_the_units():
@@ -186,7 +292,7 @@ def test_every_training_unit_takes_part_in_learning_weights(spark):
     units = spark.createDataFrame([(bytearray(k), n) for k, n in counts.items()], "key binary, train long")
     send = spark.sparkContext.broadcast
     weights, refine = lm_scoring._mixer(units, send(bitmix.new_global()), send({}), (frozenset(), 3))
-    assert refine[1].sum() == sum(len(k) * n for k, n in counts.items())  # each byte's first bit, by training count
+    assert refine[1].sum() == sum((len(k) - bitmix.FIRST) * n for k, n in counts.items())  # first bit of each byte that units predict, by training count
     assert np.isfinite(weights).all()
 
 
