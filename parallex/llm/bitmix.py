@@ -76,9 +76,9 @@ def traits(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """For every key what it is as the unit before another (its hashed contexts), and
     its own first byte with 256 for a unit that goes on with a cut word; -1 for the
     key of a long word, which is no unit."""
-    lead = [_lead((k[1:] if k[:1] == CUT else k).rstrip(b" \t\n\r\x0b\x0c\xff").lower()) for k in found]
-    first = [-1 if k[:1] == WORD_MARK else 256 + k[1] if k[:1] == CUT else k[0] for k in found]
-    return np.array(lead, np.int64), np.array(first, np.int64)
+    lead = (_lead((k[1:] if k[:1] == CUT else k).rstrip(b" \t\n\r\x0b\x0c\xff").lower()) for k in found)
+    first = (-1 if k[:1] == WORD_MARK else 256 + k[1] if k[:1] == CUT else k[0] for k in found)
+    return np.fromiter(lead, np.int64, len(found)), np.fromiter(first, np.int64, len(found))
 
 
 def first_codes(at: list[np.ndarray], lead: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -15,7 +15,7 @@ units of the text, so that work is done once per distinct unit:
    online on every training unit, in an order that a hash fixes; weights and
    refinement counts of the partitions are averaged.
 4. Every unit is scored with the counts of all training units.
-5. First bytes: each task counts the contexts of its training texts slice by slice and
+5. First bytes: each task counts the contexts of its training texts piece by piece and
    learns their mixing weights on the way, every occurrence without itself; counts are
    summed and weights averaged.
 6. Texts are dealt into blocks of about ``BLOCK_BYTES``. A block's distinct units
@@ -53,6 +53,7 @@ BLOCK_BYTES = 32 << 20   # texts whose units are looked up together
 GROUP_UNITS = 1 << 20    # units of one dealing prefix that a task can hold
 PART_UNITS = 1 << 18     # units of a partition, on average
 SEND_KEYS = 600_000      # distinct units a task gathers before it sends them
+FIRST_CODES = 1 << 21    # first bytes of units that are gathered before they are learned
 _BATCH, _SMALL = 32_768, 8_192
 _PRIOR = 0.1
 
@@ -280,19 +281,34 @@ def _firsts(docs: DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, weights, mass = bitmix.Firsts.tables(), bitmix.new_weights(), 0.0
         moved, refine = np.zeros_like(weights), np.zeros((256, bitmix.CELLS, 2))
+        place: dict[bytes, int] = {}
+        lead = first = np.zeros(0, np.int64)
+        waiting: list[np.ndarray] = []
+
+        def learn() -> float:
+            codes, n = np.unique(np.concatenate(waiting), return_counts=True)
+            order = np.random.default_rng(len(codes)).permutation(len(codes))
+            codes, n = codes[order], n[order]
+            bitmix.learn_counts(bitmix.Firsts(codes, n), [tables[0], None, *tables[2:]])
+            for i in range(0, len(codes), _SMALL):
+                bitmix.learn_weights(bitmix.Firsts(codes[i:i + _SMALL], n[i:i + _SMALL]), tables, weights, moved, refine)
+            return float(n.sum())
+
         for batch in batches:
             for part in slices(batch, 1):
-                texts = [t for d, t in zip(part.column(0).to_pylist(), binary(part.column(1)), strict=True) if not held_out(d)]
-                found = [bitmix.keys(t) for t in texts]
-                place = {k: i for i, k in enumerate(set().union(*found))}
-                at = [_places(ks, place) for ks in found]
-                codes, n = np.unique(bitmix.first_codes(at, *bitmix.traits(list(place)))[0], return_counts=True)
-                order = np.random.default_rng(len(codes)).permutation(len(codes))
-                codes, n = codes[order], n[order]
-                mass += float(n.sum())
-                bitmix.learn_counts(bitmix.Firsts(codes, n), [tables[0], None, *tables[2:]])
-                for i in range(0, len(codes), _SMALL):
-                    bitmix.learn_weights(bitmix.Firsts(codes[i:i + _SMALL], n[i:i + _SMALL]), tables, weights, moved, refine)
+                found = [bitmix.keys(t) for d, t in zip(part.column(0).to_pylist(), binary(part.column(1)), strict=True) if not held_out(d)]
+                if len(place) > SEND_KEYS:
+                    place, lead, first = {}, lead[:0], first[:0]
+                new = list(set().union(*found).difference(place))
+                place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
+                more = bitmix.traits(new)
+                lead, first = np.concatenate([lead, more[0]]), np.concatenate([first, more[1]])
+                waiting.append(bitmix.first_codes([_places(ks, place) for ks in found], lead, first)[0])
+                if sum(map(len, waiting)) > FIRST_CODES:
+                    mass += learn()
+                    waiting.clear()
+        if waiting:
+            mass += learn()
         if mass:
             yield _sent([r for i, t in enumerate(tables) for r in _rows(str(i), t)])
             yield _sent([*_rows("weights", weights * mass), *_rows("mass", np.array([mass])), *_rows("refine", refine)])
@@ -362,20 +378,26 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
         base = np.where(word, np.log10(c + _PRIOR) - below, 0.0)
         known = word & (c > 0)
         end = (math.log10(ends + _PRIOR) if ends else floor) - below
-        texts = [text for chunk in rows.column("text").chunks for text in binary(chunk)]
-        places = [_places(bitmix.keys(text), place) for text in texts]
-        codes, of = bitmix.first_codes(places, *bitmix.traits(keys))
-        codes, which = np.unique(codes, return_inverse=True)
         tables, *mix = firsts.value
-        model = bitmix.Scorer(tables, *mix)
-        each = np.concatenate([np.zeros(0), *[model.log_probability(bitmix.Firsts(codes[i:i + _BATCH], np.ones(len(codes[i:i + _BATCH]))))
-                                              for i in range(0, len(codes), _BATCH)]])
-        first = np.bincount(of, each[which], len(texts))
+        model, (lead, first) = bitmix.Scorer(tables, *mix), bitmix.traits(keys)
+
+        def first_bytes(places: list[np.ndarray]) -> np.ndarray:
+            codes, of = bitmix.first_codes(places, lead, first)
+            codes, which = np.unique(codes, return_inverse=True)
+            each = np.zeros(len(codes))
+            for i in range(0, len(codes), _BATCH):
+                each[i:i + _BATCH] = model.log_probability(bitmix.Firsts(codes[i:i + _BATCH], np.ones(len(codes[i:i + _BATCH]))))
+            return np.bincount(of, each[which], len(places))
+
         out = []
-        for i, (doc, text, at) in enumerate(zip(rows.column("doc_id").to_pylist(), texts, places, strict=True)):
-            total = float(unit[at].sum() + first[i])
-            out.append((doc, held_out(doc), int(word[at].sum()) + 1, int(known[at].sum()) + (1 if ends else 0), n,
-                        float(base[at].sum()) + end, total, -total * math.log2(10) / (len(text or b"") + 1)))
+        for batch in rows.select(["doc_id", "text"]).to_batches():
+            for part in slices(batch, 1):  # arrays over tokens stay small
+                texts = binary(part.column(1))
+                places = [_places(bitmix.keys(text), place) for text in texts]
+                for doc, text, at, start in zip(part.column(0).to_pylist(), texts, places, first_bytes(places), strict=True):
+                    total = float(unit[at].sum() + start)
+                    out.append((doc, held_out(doc), int(word[at].sum()) + 1, int(known[at].sum()) + (1 if ends else 0), n,
+                                float(base[at].sum()) + end, total, -total * math.log2(10) / (len(text or b"") + 1)))
         names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
         kinds = [rows.schema.field("doc_id").type, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
         return pa.table({k: pa.array([r[i] for r in out], t) for i, (k, t) in enumerate(zip(names, kinds, strict=True))})
