@@ -4,9 +4,11 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import parallex.operators.translation as translation
 import parallex.session as session
 from parallex.config import EOS_ID, SOS_ID
 from parallex.operators.decoding import (BigramScorer, NgramScorer, bigram_scores, decode_loop, decode_rows, greedy_decode,
@@ -137,3 +139,29 @@ def test_ngram_decoding_equals_plain_python_and_the_step_loop(spark):
     want = {i: decoded(h) for i, h in enumerate(heads)}
     assert {r.seq_id: r.ids for r in greedy_decode(prompts, scorer, 20).collect()} == want
     assert {r.seq_id: r.ids for r in decode_loop(prompts, scorer, 20).collect()} == want
+
+
+def test_table_by_target_token_equals_joins_in_small_runs(spark, monkeypatch):
+    rng = random.Random(5)
+    pairs = [([rng.randint(4, 30) for _ in range(rng.randint(0, 9))], [rng.randint(4, 9) for _ in range(rng.randint(0, 9))]) for _ in range(60)]
+    df = spark.createDataFrame([*pairs, (None, [5]), ([5], None)], SCHEMA)
+    linked = links(df)
+    assert linked.columns == ["pair", "t", "n_t", "sources"]  # a pair's source tokens are not multiplied into rows
+    monkeypatch.setattr(translation, "TASK_LINKS", 64)
+    want, got = em(pairs, 3), {(r.s, r.t): r.p for r in translation_table(linked, 3).collect()}
+    monkeypatch.setattr(session, "MAX_BROADCAST_BYTES", 0)
+    joined = {(r.s, r.t): r.p for r in translation_table(linked, 3).collect()}
+    for t in (got, joined):
+        assert t.keys() == want.keys() and all(t[k] == pytest.approx(want[k], rel=1e-9) for k in want)
+
+
+def test_runs_never_part_a_target_token(monkeypatch):
+    monkeypatch.setattr(translation, "RUN_LINKS", 5)
+    rows = [(t, n, [EMPTY_WORD, *range(n)]) for n in range(1, 6) for t in (7, 3, 9)]
+    batches = [pa.RecordBatch.from_pydict({"t": [r[0] for r in part], "n_t": [r[1] for r in part], "sources": [r[2] for r in part]},
+                                          schema=pa.schema({"t": pa.int32(), "n_t": pa.int32(), "sources": pa.list_(pa.int32())}))
+               for part in (rows[:4], [], rows[4:])]
+    runs = list(translation._runs(iter(batches)))
+    assert len(runs) > 1 and all(len(set(a[0]) & set(b[0])) == 0 for a, b in zip(runs, runs[1:], strict=False))
+    back = [(t, n, run[2][a:b].tolist()) for run in runs for t, n, a, b in zip(run[0], run[1], run[3], [*run[3][1:], len(run[2])], strict=True)]
+    assert sorted(back) == sorted(rows)
