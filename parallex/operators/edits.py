@@ -8,7 +8,8 @@ independent tasks, and only their borders travel to the next diagonal. A pair of
 ``min(n, m)/BLOCK`` tasks at once, and no task ever holds more than two blocks of
 tokens and four borders.
 
-Tokens are compared by a 64-bit hash.
+Tokens of such pairs are compared by a 64-bit hash; ``bit_edits``, for pairs that one
+task takes whole, compares the tokens.
 """
 
 from __future__ import annotations
@@ -26,6 +27,34 @@ from parallex.session import pin, work_partitions
 BLOCK = 4096
 
 
+def bit_edits(a: list, b: list) -> int:
+    """Edit distance of two token lists. A column of the dynamic program is held as
+    two bit vectors, where it rises and where it falls (Myers 1999, Hyyrö 2003): a
+    token of ``b`` takes a few operations on integers of ``len(a)`` bits."""
+    lo, hi_a, hi_b = 0, len(a), len(b)
+    while lo < hi_a and lo < hi_b and a[lo] == b[lo]:
+        lo += 1
+    while lo < hi_a and lo < hi_b and a[hi_a - 1] == b[hi_b - 1]:
+        hi_a, hi_b = hi_a - 1, hi_b - 1
+    a, b = a[lo:hi_a], b[lo:hi_b]
+    if not a or not b:
+        return len(a) + len(b)
+    both, at = set(b), {}
+    for i, x in enumerate(a):
+        if x in both:
+            at[x] = at.get(x, 0) | 1 << i
+    every, last, found = (1 << len(a)) - 1, 1 << (len(a) - 1), len(a)
+    rises, falls = every, 0
+    for x in b:
+        same = at.get(x, 0)
+        level = (((same & rises) + rises) ^ rises) | same
+        up, down = falls | ~(level | rises) & every, rises & level
+        found += 1 if up & last else -1 if down & last else 0
+        up, down, held = up << 1 | 1, down << 1, same | falls
+        rises, falls = (down | ~(held | up)) & every, up & held & every
+    return found
+
+
 def block_borders(a: np.ndarray, b: np.ndarray, top: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The last row and the last column of a block from its first ones (both with
     the corner)."""

@@ -1,26 +1,33 @@
 """Corpus-level text metrics: CER (H1), WER (H2), BLEU (H3).
 
 Each metric sums numerators and denominators over all rows (optionally per
-``by`` group) and divides once. Edit distances are Spark's built-in
-``levenshtein`` (code points, inside codegen); words are mapped to one
-character each first so the same built-in gives word-level distances. Pairs too
-long for one task are cut into blocks (``operators.edits``).
+``by`` group) and divides once. Character distances are Spark's built-in
+``levenshtein`` (code points, inside codegen); word distances go by bit vectors,
+a column of the table at once (``operators.edits``). Pairs too long for one task
+are cut into blocks (``operators.edits``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
-from parallex.functions.text import as_symbols, chars, words
-from parallex.operators.edits import long_edits
+from parallex.functions.text import chars, words
+from parallex.operators.edits import BLOCK, bit_edits, long_edits
 from parallex.session import by_key, pin
 
-# Longest side, in tokens, that the built-in distance takes in one task; beyond it
-# a pair is cut into blocks of this size.
-WORD_BLOCK, CHAR_BLOCK = 4096, 1 << 14
+# Longest side, in tokens, that one task takes whole; beyond it a pair is cut into
+# blocks of this size, or of ``BLOCK`` if that is less.
+WORD_BLOCK, CHAR_BLOCK = 1 << 14, 1 << 14
+
+
+@F.pandas_udf(IntegerType())
+def _bit_edits(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([bit_edits(list(x), list(y)) for x, y in zip(a, b, strict=True)], dtype="int32")
 
 
 def char_edits(pred: Column, exp: Column) -> Column:
@@ -41,7 +48,7 @@ def _with_edits(df: DataFrame, n_pred: Column, n_exp: Column, tokens: Sequence[C
         return short(df)
     rows = pin(sized.withColumn("_rid", F.monotonically_increasing_id()))
     long = rows.where(F.col("_most") > block)
-    found = long_edits(long.select("_rid", tokens[0].alias("_p"), tokens[1].alias("_e")), "_p", "_e", block)
+    found = long_edits(long.select("_rid", tokens[0].alias("_p"), tokens[1].alias("_e")), "_p", "_e", min(block, BLOCK))
     near = short(rows.where(F.col("_most") <= block).select(*df.columns))
     far = long.join(found, "_rid").select(*df.columns, F.col("edits").cast("int").alias(out))
     return near.unionByName(far.select(*near.columns))
@@ -57,17 +64,12 @@ def with_word_edits(df: DataFrame, pred: str, exp: str, out: str = "word_edits",
                     ref_len: str | None = None, block: int = WORD_BLOCK) -> DataFrame:
     """Add the word-level edit distance of two text columns (and the reference's
     word count), exact for pairs of any length.
-
-    For pairs of at most ``block`` words a side, word arrays and the per-row
-    alphabet are projected first, as columns, so the lambdas that map words to
-    symbols only reference columns.
     """
     keep = df.columns
 
     def short(rows: DataFrame) -> DataFrame:
         w = rows.select(*keep, words(F.col(pred)).alias("_h"), words(F.col(exp)).alias("_r"))
-        w = w.select(*keep, "_h", "_r", F.array_distinct(F.concat("_h", "_r")).alias("_a"))
-        return w.select(*keep, F.levenshtein(as_symbols(F.col("_h"), F.col("_a")), as_symbols(F.col("_r"), F.col("_a"))).alias(out))
+        return w.select(*keep, _bit_edits("_h", "_r").alias(out))
 
     both = [words(F.col(pred)), words(F.col(exp))]
     edits = _with_edits(df, F.size(both[0]), F.size(both[1]), both, short, out, block)

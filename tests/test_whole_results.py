@@ -13,6 +13,7 @@ from parallex.config import Options
 from parallex.jobs import evaluate, log_losses, prepare, read_prepared, training_batches, validate
 from parallex.operators import curves
 from parallex.operators.decoding import BigramScorer, bigram_scores, greedy_decode, row_local
+from parallex.operators.edits import bit_edits
 from parallex.operators.encode import decode, encode, encode_sides
 from parallex.operators.examples import build_examples
 from parallex.operators.lookup import lookup_join
@@ -277,3 +278,23 @@ def test_pairs_up_to_the_production_length_are_batched(spark, tmp_path):
     seen = sorted((r.epoch, int(i)) for r in got for i in r.pair_ids.split(","))
     assert seen == sorted((e, i) for e in range(queries.OPTS.num_epochs) for i in train & fits)
     assert {i for _, i in seen} >= {i for i in train if rows[2 * (i >> 31)][3].count("w") in (200, 300, 478)}
+
+
+def test_word_edits_by_bit_vectors(spark):
+    rng = random.Random(12)
+    for n in (0, 1, 3, 40, 64, 65, 200):
+        for _ in range(8):
+            a, b = [[rng.choice("abcdefgh") for _ in range(rng.randint(0, n))] for _ in range(2)]
+            assert bit_edits(a, b) == _distance(a, b)
+    # a pair of 9,000 words a side is one row of one task: no rounds of blocks, and few seconds for many
+    a = [str(rng.randint(0, 3000)) for _ in range(9000)]
+    b = a[:1000] + [str(rng.randint(0, 3000)) for _ in range(7000)] + a[8000:]
+    df = spark.createDataFrame([(" ".join(a), " ".join(b))] * 3, "p string, e string")
+    out = with_word_edits(df, "p", "e", "d")
+    assert "levenshtein" not in out._jdf.queryExecution().toString()
+    right = np.arange(len(b) + 1)
+    step = np.arange(len(b) + 1)
+    for i, x in enumerate(a, 1):
+        new = np.concatenate([[i], np.minimum(right[1:] + 1, right[:-1] + (np.array(b) != x))])
+        right = np.minimum.accumulate(new - step) + step
+    assert {r.d for r in out.collect()} == {int(right[-1])}
