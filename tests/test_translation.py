@@ -165,3 +165,22 @@ def test_runs_never_part_a_target_token(monkeypatch):
     assert len(runs) > 1 and all(len(set(a[0]) & set(b[0])) == 0 for a, b in zip(runs, runs[1:], strict=False))
     back = [(t, n, run[2][a:b].tolist()) for run in runs for t, n, a, b in zip(run[0], run[1], run[3], [*run[3][1:], len(run[2])], strict=True)]
     assert sorted(back) == sorted(rows)
+
+
+def test_few_start_states_walk_without_all_jumps(spark, monkeypatch):
+    rng = random.Random(3)
+    enc = spark.createDataFrame([(rng.randint(0, 5), [rng.randint(4, 60) for _ in range(rng.randint(0, 30))]) for _ in range(200)],
+                                "src_class int, trg_ids array<int>")
+    scorer = BigramScorer(bigram_scores(enc, by=["src_class"]))
+    prompts = spark.createDataFrame([(i, [SOS_ID] if i % 3 else [SOS_ID, 5], i % 8 if i % 7 else None) for i in range(40)],
+                                    "seq_id long, ids array<int>, src_class int")
+    rows = sorted(map(str, decode_rows(scorer.prepare(prompts), scorer.row_local(), 50).collect()))
+    monkeypatch.setattr(scorer, "jumps", lambda: pytest.fail("the jumps of all states are not needed"))
+    assert sorted(map(str, scorer.walk(scorer.prepare(prompts), 50).collect())) == rows
+    # in the step loop the states travel to a table that is too large to broadcast, once for all sequences
+    monkeypatch.setattr(session, "MAX_BROADCAST_BYTES", 128 * 40)
+    assert scorer.best().count() > 40
+    step = scorer(scorer.prepare(prompts).select("seq_id", "ids", "src_class"))
+    plan = step._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert sorted(map(str, decode_loop(scorer.prepare(prompts), scorer, 50).select("seq_id", "ids", "src_class", "steps").collect())) == rows
