@@ -184,3 +184,20 @@ def test_few_start_states_walk_without_all_jumps(spark, monkeypatch):
     plan = step._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
     assert sorted(map(str, decode_loop(scorer.prepare(prompts), scorer, 50).select("seq_id", "ids", "src_class", "steps").collect())) == rows
+
+
+@pytest.mark.parametrize("max_len", [3, 20, 100])
+def test_ngram_paths_equal_rows_above_the_broadcast_bound(spark, monkeypatch, max_len):
+    rng = random.Random(max_len)
+    seqs = [[rng.randint(4, 9 + max_len) for _ in range(rng.randint(0, 2 * max_len))] for _ in range(80)]
+    counts = ngram_scores(spark.createDataFrame([(s,) for s in seqs], "trg_ids array<int>"), order=4)
+    heads = [[SOS_ID, *s[:2]] for s in seqs] + [[SOS_ID], [SOS_ID, 777, 6], [777], [], [SOS_ID, EOS_ID], None]
+    prompts = spark.createDataFrame([(None if i == 1 else i, h, "x") for i, h in enumerate(heads)], "seq_id long, ids array<int>, more string")
+    for table in (counts, counts.where("size(context) != 3 OR context[0] % 3 != 0")):  # the second lacks contexts that jumps lead to
+        scorer = NgramScorer(table, 4)
+        monkeypatch.undo()
+        want = sorted(map(str, greedy_decode(prompts.where("ids IS NOT NULL"), scorer, max_len).collect()))
+        monkeypatch.setattr(scorer, "row_local", lambda: None)
+        monkeypatch.setattr("parallex.operators.decoding.decode_loop", lambda *a, **k: pytest.fail("one job per step"))
+        got = greedy_decode(prompts, scorer, max_len).where("ids IS NOT NULL")
+        assert sorted(map(str, got.collect())) == want
