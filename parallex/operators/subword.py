@@ -155,7 +155,7 @@ def subword_tokenizer(vocab: DataFrame) -> Callable[[Column], Column]:
     entries = [(r["token"], r["id"], r["n"]) for r in vocab.where("NOT is_special").select("token", "id", "n").orderBy("id").collect()]
     shared = vocab.sparkSession.sparkContext.broadcast(entries)
 
-    @F.pandas_udf("array<array<int>>")
+    @F.pandas_udf("array<int>")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         lattice, known = Lattice(shared.value), {}
 
@@ -167,9 +167,9 @@ def subword_tokenizer(vocab: DataFrame) -> Callable[[Column], Column]:
                 got = known[word] = lattice.cut(" " + word)
             return got
         for texts in batches:
-            yield texts.map(lambda ws: [ids(w) for w in ws])
+            yield texts.map(lambda ws: [i for w in ws for i in ids(w)])
 
-    return lambda text: F.flatten(cut(words(text)))
+    return lambda text: cut(words(text))
 
 
 def joined(tokens: Column) -> Column:

@@ -123,3 +123,10 @@ def test_empty_corpus(spark):
     none = spark.createDataFrame([(None,), ("",)], "text string")
     assert train(none, 5)[0] == []
     assert subword_vocab(none, 5).count() == 4
+
+
+def test_ids_leave_the_task_as_one_list(spark):
+    df = spark.createDataFrame([("ab ab b",), (None,), ("",)], "text string")
+    e = df.select(subword_tokenizer(subword_vocab(df, 4))(F.col("text")).alias("ids"))
+    assert "flatten" not in e._jdf.queryExecution().toString()  # not a list for every word
+    assert sorted(len(r.ids) > 0 for r in e.collect()) == [False, False, True]
