@@ -37,10 +37,11 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,26 +63,50 @@ def held_out(doc_id) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % HOLD_OUT == 0
 
 
+def _coded(keys: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The distinct keys, in the order in which they first come, and for each key which of them it is."""
+    coded = keys.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy()
+
+
+def _finder(keys: pa.Array) -> Callable[[pa.Array], np.ndarray]:
+    """Gives the places of keys among ``keys``, which are distinct and hold all that are asked for."""
+    found = bitmix.hashes(keys)
+    order = np.argsort(found)
+    found = found[order]
+    if (found[1:] == found[:-1]).any():  # two keys of one hash
+        return lambda asked: pc.index_in(asked, value_set=keys).to_numpy()
+    return lambda asked: order[np.searchsorted(found, bitmix.hashes(asked))]
+
+
 def _units(docs: DataFrame) -> DataFrame:
     """``(key, train)``: every distinct unit and its count in the training texts."""
-    def send(train: Counter, seen: set) -> pa.RecordBatch:
-        for k in seen:
-            train.setdefault(k, 0)  # only in held-out texts
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(train), pa.binary()), pa.array(list(train.values()), pa.int64())], names=["key", "train"])
+    def send(found: list[pa.Array], train: list[np.ndarray]) -> pa.RecordBatch:
+        keys, at = _coded(pa.concat_arrays(found))
+        n = np.bincount(at, np.concatenate(train), len(keys))  # 0: only in held-out texts
+        return pa.RecordBatch.from_arrays([keys.cast(pa.binary()), pa.array(n.astype(np.int64))], names=["key", "train"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        train: Counter = Counter()
-        seen: set = set()
+        found: list[pa.Array] = []
+        train: list[np.ndarray] = []
+        waiting = 0
         for batch in batches:
             for part in slices(batch, 1):
-                for doc, text in zip(part.column(0).to_pylist(), binary(part.column(1)), strict=True):
-                    (seen if held_out(doc) else train).update(bitmix.keys(text))
-                if len(seen) + len(train) > SEND_KEYS:
-                    yield send(train, seen)
-                    train, seen = Counter(), set()
-        if seen or train:
-            yield send(train, seen)
+                keys, of = bitmix.split(binary(part.column(1)))
+                keys, at = _coded(keys)
+                trained = np.array([not held_out(d) for d in part.column(0).to_pylist()], float)
+                found.append(keys)
+                train.append(np.bincount(at, trained[of], len(keys)))
+                waiting += len(keys)
+                if waiting > SEND_KEYS:
+                    sent, waiting = send(found, train), 0
+                    if sent.num_rows > SEND_KEYS:
+                        yield sent
+                        found, train = [], []
+                    else:
+                        found, train = [sent.column(0).cast(pa.large_binary())], [sent.column(1).to_numpy()]
+        if found:
+            yield send(found, train)
 
     found = docs.mapInArrow(run, "key binary, train long").groupBy("key").agg(F.sum("train").alias("train"))
 
@@ -158,13 +183,14 @@ def _partitions(units: DataFrame, dealing: tuple[frozenset[bytes], int]) -> Data
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[list[bytes], np.ndarray]:
     """All units of a partition, in an order that a hash fixes."""
-    keys: list[bytes] = []
-    counts: list[int] = []
+    keys, counts = [pa.array([], pa.large_binary())], [np.zeros(0, np.int64)]
     for batch in batches:
-        keys += batch.column(0).to_pylist()
-        counts += batch.column(1).to_pylist()
-    order = sorted(range(len(keys)), key=lambda i: (zlib.crc32(keys[i]), keys[i]))
-    return [keys[i] for i in order], np.array([counts[i] for i in order], np.int64)
+        keys.append(batch.column(0).cast(pa.large_binary()))
+        counts.append(batch.column(1).to_numpy())
+    found = pa.concat_arrays(keys)
+    found, n = found.take(order := pc.sort_indices(found)), np.concatenate(counts)[order.to_numpy()]
+    by_hash = np.argsort(bitmix.crc(found), kind="stable")
+    return found.take(pa.array(by_hash)).to_pylist(), n[by_hash]
 
 
 def _chunks(keys: list[bytes], counts: np.ndarray, size: int, bits: int = bitmix.LOCAL_BITS,
@@ -217,9 +243,7 @@ def _low_orders(units: DataFrame) -> list[np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = bitmix.new_global()
         for batch in batches:
-            keys, counts = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-            for u in _chunks(keys, counts, _BATCH):
-                bitmix.learn_counts(u, [*tables, *[None] * bitmix.N_LOCAL])
+            bitmix.learn_low_counts(bitmix.Grams(batch.column(0).to_pylist(), batch.column(1).to_numpy()), tables)
         yield _sent([r for i, t in enumerate(tables) for r in _rows(str(i), t)])
 
     train = _only_units(units).where("train > 0")
@@ -236,8 +260,7 @@ def _tables(low: list[np.ndarray], keys: list[bytes], counts: np.ndarray,
     trained = np.flatnonzero(counts > 0)
     hot = frozenset(after)
     whole = np.array([_dealt_by(keys[i], hot) for i in trained], np.int64) if hot else None
-    for u in _chunks([keys[i] for i in trained], counts[trained], _BATCH, bits, whole):
-        bitmix.learn_counts(u, add)
+    bitmix.learn_prefix_counts(bitmix.Paths([keys[i] for i in trained], counts[trained], bits, whole), local)
     here = sorted({k[:d] for k in keys for d in range(bitmix.LOCAL_FROM, _dealt_by(k, hot) + 1)} & hot) if hot else []
     more = [x for p in here for x in after[p]]
     for u in _chunks([k for k, _ in more], np.array([n for _, n in more], np.int64), _BATCH, bits,
@@ -264,10 +287,6 @@ def _mixer(units: DataFrame, low, after, dealing: tuple[frozenset[bytes], int])
     return _mixed(_summed(_partitions(units, dealing).mapInArrow(run, "name string, place int, cells binary")))
 
 
-def _places(keys: list[bytes], place: dict[bytes, int]) -> np.ndarray:
-    return np.fromiter(map(place.__getitem__, keys), np.int64, len(keys))
-
-
 def _mixed(got: dict[str, dict[int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Weights (mean of the partitions', by training count) and refinement counts."""
     weights, refine = bitmix.new_weights(), np.zeros((256, bitmix.CELLS, 2))
@@ -281,8 +300,6 @@ def _firsts(docs: DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, weights, mass = bitmix.Firsts.tables(), bitmix.new_weights(), 0.0
         moved, refine = np.zeros_like(weights), np.zeros((256, bitmix.CELLS, 2))
-        place: dict[bytes, int] = {}
-        lead = first = np.zeros(0, np.int64)
         waiting: list[np.ndarray] = []
 
         def learn() -> float:
@@ -296,14 +313,9 @@ def _firsts(docs: DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
 
         for batch in batches:
             for part in slices(batch, 1):
-                found = [bitmix.keys(t) for d, t in zip(part.column(0).to_pylist(), binary(part.column(1)), strict=True) if not held_out(d)]
-                if len(place) > SEND_KEYS:
-                    place, lead, first = {}, lead[:0], first[:0]
-                new = list(set().union(*found).difference(place))
-                place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
-                more = bitmix.traits(new)
-                lead, first = np.concatenate([lead, more[0]]), np.concatenate([first, more[1]])
-                waiting.append(bitmix.first_codes([_places(ks, place) for ks in found], lead, first)[0])
+                keys, of = bitmix.split([t for d, t in zip(part.column(0).to_pylist(), binary(part.column(1)), strict=True) if not held_out(d)])
+                keys, at = _coded(keys)
+                waiting.append(bitmix.first_codes(at, *bitmix.traits(keys), of)[0])
                 if sum(map(len, waiting)) > FIRST_CODES:
                     mass += learn()
                     waiting.clear()
@@ -324,10 +336,9 @@ def _scored(units: DataFrame, low, mixer, after, dealing: tuple[frozenset[bytes]
         if keys:
             bits = bitmix.local_bits(len(keys))
             model = bitmix.Scorer(_tables(low.value, keys, counts, after.value, bits), *mixer.value)
+            scores = model.log_probability(bitmix.Paths(keys, counts, bits))
             for i in range(0, len(keys), _BATCH):
-                u = bitmix.Units(keys[i:i + _BATCH], counts[i:i + _BATCH], bits)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + _BATCH], pa.binary()), pa.array(model.log_probability(u))],
-                                                 names=["key", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + _BATCH], pa.binary()), pa.array(scores[i:i + _BATCH])], names=["key", "score"])
 
     return _partitions(units, dealing).mapInArrow(run, "key binary, score double")
 
@@ -353,54 +364,56 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     # needed. Words first: what follows is partitioned by unit, as the lookup below.
     counted = units.select("key", "word").join(words.hint("shuffle_hash"), "word", "left").select("key", "c")
     table = (counted.join(_scored(units, low, mixer, after, dealing).hint("shuffle_hash"), "key", "left")
-             .select("key", F.col("score").cast("float").alias("score"), F.coalesce("c", F.lit(0).cast("long")).alias("c")))
+             .select("key", F.col("score").cast("float").alias("score"), "c"))  # no c: no word
     total = light.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES) or 1
     dealt = light.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("long"))
 
     def ask(key, rows):
-        seen: set = set()
-        for chunk in rows.column("text").chunks:
-            for text in binary(chunk):
-                seen.update(bitmix.keys(text))
-        return pa.table({"block": pa.array([key[0].as_py()] * len(seen), pa.int64()), "key": pa.array(list(seen), pa.binary())})
+        found = [_coded(bitmix.split(binary(part.column(0)))[0])[0]
+                 for batch in rows.select(["text"]).to_batches() for part in slices(batch, 0)]
+        keys = pa.concat_arrays(found).unique().cast(pa.binary())
+        return pa.table({"block": pa.array(np.full(len(keys), key[0].as_py(), np.int64)), "key": keys})
 
     asked = dealt.groupBy("block").applyInArrow(ask, "block long, key binary")
     answers = asked.join(table.hint("shuffle_hash"), "key").select("block", "key", "score", "c")
     floor, below = math.log10(_PRIOR), math.log10(n + _PRIOR * (v + 1))
 
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
+
     def add_up(rows, found):
-        keys = found.column("key").to_pylist()
-        c = found.column("c").to_numpy()
-        place = {k: i for i, k in enumerate(keys)}
+        keys = pa.concat_arrays([pa.array([], pa.large_binary()), *[k.cast(pa.large_binary()) for k in found.column("key").chunks]])
+        word, c = found.column("c").is_valid().to_numpy(), found.column("c").fill_null(0).to_numpy()
         unit = np.nan_to_num(found.column("score").to_numpy().astype(np.float64))
-        word = np.array([bitmix.word_of(k) is not None for k in keys], bool)
         base = np.where(word, np.log10(c + _PRIOR) - below, 0.0)
         known = word & (c > 0)
         end = (math.log10(ends + _PRIOR) if ends else floor) - below
         tables, *mix = firsts.value
-        model, (lead, first) = bitmix.Scorer(tables, *mix), bitmix.traits(keys)
+        model, traits, places = bitmix.Scorer(tables, *mix), bitmix.traits(keys), _finder(keys)
 
-        def first_bytes(places: list[np.ndarray]) -> np.ndarray:
-            codes, of = bitmix.first_codes(places, lead, first)
+        def first_bytes(at: np.ndarray, of: np.ndarray, texts: int) -> np.ndarray:
+            codes, of = bitmix.first_codes(at, *traits, of)
             codes, which = np.unique(codes, return_inverse=True)
             each = np.zeros(len(codes))
             for i in range(0, len(codes), _BATCH):
                 each[i:i + _BATCH] = model.log_probability(bitmix.Firsts(codes[i:i + _BATCH], np.ones(len(codes[i:i + _BATCH]))))
-            return np.bincount(of, each[which], len(places))
+            return np.bincount(of, each[which], texts)
 
         out = []
         for batch in rows.select(["doc_id", "text"]).to_batches():
             for part in slices(batch, 1):  # arrays over tokens stay small
-                texts = binary(part.column(1))
-                places = [_places(bitmix.keys(text), place) for text in texts]
-                for doc, text, at, start in zip(part.column(0).to_pylist(), texts, places, first_bytes(places), strict=True):
-                    total = float(unit[at].sum() + start)
-                    out.append((doc, held_out(doc), int(word[at].sum()) + 1, int(known[at].sum()) + (1 if ends else 0), n,
-                                float(base[at].sum()) + end, total, -total * math.log2(10) / (len(text or b"") + 1)))
-        names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
-        kinds = [rows.schema.field("doc_id").type, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-        return pa.table({k: pa.array([r[i] for r in out], t) for i, (k, t) in enumerate(zip(names, kinds, strict=True))})
+                docs, texts = part.column(0), binary(part.column(1))
+                size = np.array([len(t or b"") for t in texts])
+                mine, of = bitmix.split(texts)
+                mine, at = _coded(mine)
+                at = places(mine)[at]
+                n_tokens, n_known, bases, units = (np.bincount(of, x[at], len(size)) for x in (word, known, base, unit))
+                total = units + first_bytes(at, of, len(size))
+                out.append(pa.RecordBatch.from_arrays(
+                    [docs, pa.array([held_out(d) for d in docs.to_pylist()], pa.bool_()), pa.array(n_tokens.astype(np.int64) + 1),
+                     pa.array(n_known.astype(np.int64) + (1 if ends else 0)), pa.array(np.full(len(size), n, np.int64)), pa.array(bases + end),
+                     pa.array(total), pa.array(-total * math.log2(10) / (size + 1))], names=names))
+        return pa.Table.from_batches(out)
 
     kind = light.schema["doc_id"].dataType.simpleString()
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(

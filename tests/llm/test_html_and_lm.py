@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 import tables  # noqa: E402
@@ -248,6 +249,66 @@ def test_scores_equal_a_plain_model(spark, tmp_dir):
     assert abs(dict(got)["31"] - next(y for a, y in got if a == "30" and y < -5)) > 0.02  # other order, other score
 
 
+def test_split_equals_a_plain_scan_of_each_text():
+    rng = random.Random(7)
+    words = [rng.choice(["Ab", "é\0", "x"]) * n for n in (0, 1, 3, 20, 31, 32, 62, 63, 64, 125, 126, 127, 300)]
+    texts = [None, b"", b" "] + ["".join(rng.choice(words) + rng.choice([*" \t\n\r\x0b\x0c", "  "]) for _ in range(rng.randint(0, 9))).encode()
+                                 + rng.choice([b"", b"end"]) for _ in range(200)]
+    unit = re.compile(rb"[^\x20\x09-\x0D\xff]{0,62}[\x20\x09-\x0D\xff]|[^\x20\x09-\x0D\xff]{63}")
+    want = []
+    for text in texts:
+        found, on = [], False
+        for u in unit.findall((text or b"") + b"\xff"):
+            found.append(bitmix.CUT + u if on else u)
+            on = len(u) == 63 and u[-1:] not in b" \t\n\r\x0b\x0c\xff"
+        want.append(found + [bitmix.WORD_MARK + w.lower() for w in (text or b"").split() if len(w) >= 63])
+    keys, of = bitmix.split(texts)
+    got = [[] for _ in texts]
+    for k, i in zip(keys.to_pylist(), of, strict=True):
+        got[i].append(k)
+    assert got == want
+    keys = sorted({k for found in want for k in found})
+    lead, first = bitmix.traits(keys)
+    assert bitmix.crc(keys).tolist() == [zlib.crc32(k) for k in keys]
+    for k, a, b in zip(keys, lead.tolist(), first.tolist(), strict=True):
+        cut = k[:1] == bitmix.CUT
+        assert b == (-1 if k[:1] == bitmix.WORD_MARK else k.removeprefix(bitmix.CUT)[0] + 256 * cut)
+        assert b < 0 or a == bitmix._lead(k[cut:].rstrip(b" \t\n\r\x0b\x0c\xff").lower())
+
+
+@pytest.mark.parametrize("same_hash", [False, True])
+def test_places_of_keys(monkeypatch, same_hash):
+    keys = [b"a ", b"b\n", b"", b"\xff", bitmix.CUT + b"a ", b"y" * 63, bitmix.WORD_MARK + b"y" * 63, bitmix.WORD_MARK + b"y" * 90]
+    if same_hash:
+        monkeypatch.setattr(bitmix, "hashes", lambda found: np.ones(len(found), np.uint64))
+    places = lm_scoring._finder(pa.array(keys, pa.large_binary()))
+    assert places(pa.array([keys[i] for i in (7, 0, 3, 0, 6, 5, 2)], pa.large_binary())).tolist() == [7, 0, 3, 0, 6, 5, 2]
+
+
+def test_bits_that_units_share_are_walked_once():
+    """A unit took a step for each of its bits in every pass; what units share from
+    their start is now one step, with the same counts and scores."""
+    rng = random.Random(9)
+    keys = list({rng.choice([b"", bitmix.CUT]) + b"pre" + bytes(rng.choices(b"ab\0", k=rng.randint(0, 9))) + rng.choice([b" ", b"\n", b"\xff"]) for _ in range(400)})
+    counts = np.array([rng.choice([0, 1, 40]) for _ in keys])
+    units, paths = bitmix.Units(keys, counts), bitmix.Paths(keys, counts)
+    whole = [f"{k[0] == 0xfd}" + "".join(f"{x:08b}" for x in k.removeprefix(bitmix.CUT)) for k in keys]
+    edges = {w[:i] for w in whole for i in range(len(w) - len(w.lstrip("TrueFalse")) + 8 * bitmix.FIRST + 1, len(w) + 1)}
+    walked = sum(len(lead) for _, _, lead, *_ in paths.walk())
+    assert walked == len(edges) < sum(n for n, *_ in units.walk()) / 2
+    plain = [*bitmix.new_global(), *bitmix.new_local()]
+    bitmix.learn_counts(units, plain)
+    low, prefixes = bitmix.new_global(), bitmix.new_local()
+    bitmix.learn_low_counts(bitmix.Grams(keys, counts), low)
+    bitmix.learn_prefix_counts(paths, prefixes)
+    assert all((a == b).all() for a, b in zip(plain, [*low, *prefixes], strict=True))
+    weights, refine = bitmix.new_weights(), np.zeros((256, bitmix.CELLS, 2))
+    bitmix.learn_weights(units, plain, weights, np.zeros_like(weights), refine)
+    model = bitmix.Scorer(plain, weights, refine)
+    assert (model.log_probability(paths) == model.log_probability(units)).all()
+    assert len(model.log_probability(bitmix.Paths([], np.zeros(0)))) == 0
+
+
 def test_prefix_counts_do_not_depend_on_the_dealing(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "GROUP_UNITS", 4)
     monkeypatch.setattr(lm_scoring, "PART_UNITS", 4)
