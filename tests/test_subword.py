@@ -4,10 +4,14 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from parallex.config import UNK_ID
+from parallex.functions.text import arrow_words, stretches, words
+from parallex.operators import encode as encode_module
+from parallex.operators import subword
 from parallex.operators.encode import decode, encode_with
 from parallex.operators.subword import PER_ROUND, SHARE, Lattice, subword_tokenizer, subword_vocab, train
 
@@ -130,3 +134,72 @@ def test_ids_leave_the_task_as_one_list(spark):
     e = df.select(subword_tokenizer(subword_vocab(df, 4))(F.col("text")).alias("ids"))
     assert "flatten" not in e._jdf.queryExecution().toString()  # not a list for every word
     assert sorted(len(r.ids) > 0 for r in e.collect()) == [False, False, True]
+
+
+def test_words_side_by_side_are_cut_as_one_by_one(monkeypatch):
+    rng = random.Random(4)
+    for trial in range(120):
+        monkeypatch.setattr(subword, "CELLS", rng.choice([64, 1 << 18]))
+        monkeypatch.setattr(subword, "FEW", rng.choice([1, 16]))
+        entries = {"".join(rng.choice(" abc🙂é") for _ in range(rng.randint(1, 5))): rng.choice([0, 0, 1, 3, 50]) for _ in range(trial % 25)}
+        lattice = Lattice([(t, 4 + i, n) for i, (t, n) in enumerate(entries.items())])
+        words = ["".join(rng.choice("abcd 🙂é") for _ in range(rng.randint(1, 20))) for _ in range(rng.randint(0, 60))]
+        ids, at, many = lattice.cut_all(pa.array(words, pa.string()))
+        assert [ids[a:a + n].tolist() for a, n in zip(at, many, strict=True)] == [lattice.cut(w) for w in words]
+
+
+def test_arrow_words_are_those_of_spark(spark):
+    spaces = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    rows = [None, "", " \t ", "a", "　a ", None, *[f"a{s}{s}b{s}" for s in spaces], "a​b﻿᠎c"]
+    found, n = arrow_words(pa.array([""] + rows).slice(1))  # a slice has an offset
+    want = spark.createDataFrame(list(enumerate(rows)), "i int, t string").orderBy("i").select(words(F.col("t")).alias("w")).collect()
+    assert n.tolist() == [len(r.w) for r in want] and found.to_pylist() == [w for r in want for w in r.w]
+
+
+def test_merges_that_spell_the_same_are_one_symbol(spark):
+    rows = ["xabc"] * 9 + ["yabc"] * 8 + ["xab"] * 30 + ["ybc"] * 30 + ["zabcabcabc"] * 5
+    df = spark.createDataFrame([(t,) for t in rows], "text string")
+    for n in (3, 6, 12):
+        merges, table = train(df, n)
+        want, cut = brute(rows, n, 2)
+        assert merges == want
+        assert {tuple(r["symbols"].split("\x1f")): r["n"] for r in table.collect()} == dict(cut)
+
+
+def test_words_over_several_blocks(spark, corpus, monkeypatch):
+    real = subword._first_blocks
+    monkeypatch.setattr(subword, "_first_blocks", lambda counted: real(counted.repartition(100)))
+    merges, table = train(corpus, 20)
+    want, cut = brute(texts(), 20, 2)
+    assert merges == want
+    assert sum((Counter({tuple(r["symbols"].split("\x1f")): r["n"]}) for r in table.collect()), Counter()) == cut
+
+
+def test_stretches():
+    sizes = [5_000_000, 0, 4_000_000, 9_000_000, 1]
+    assert [len(x) for x in stretches(pa.array(["a" * n for n in sizes]))] == [2, 1, 1, 1]
+    assert [x.to_pylist() for x in stretches(pa.array([None, "a"]))] == [[None, "a"]]
+
+
+def test_decoding_deals_no_tokens(spark, corpus, monkeypatch):
+    """By a vocabulary of checked size texts are joined where they lie, with the rows of the join."""
+    v = spark.createDataFrame([("[PAD]", 0, 0, True), (" a", 1, 5, False), ("b", 2, 5, False), (None, 3, 1, False), (" é🙂", 5, 1, False)],
+                              "token string, id int, n long, is_special boolean")
+    rows = [(1, [1, 2, 0, 5]), (2, None), (3, []), (None, [None, 1, 4, 9, -1, 3]), (1, [2, 1, 2, 2147483647]), (1, [1, 2, 0, 5])]
+    monkeypatch.setattr(encode_module, "TOGETHER", 2)
+    for kind in ("array<int>", "array<bigint>"):
+        df = spark.createDataFrame(rows, f"id int, ids {kind}").repartition(2)
+        for mode in ("subword", "word", "char"):
+            for strip in (False, True):
+                got = decode(df, {"t": "ids"}, v, mode, strip_special=strip)
+                assert "ObjectHashAggregate" not in got._jdf.queryExecution().toString()
+                with monkeypatch.context() as m:
+                    m.setattr(encode_module, "_row_local", lambda *a: None)
+                    want = decode(df, {"t": "ids"}, v, mode, strip_special=strip)
+                assert got.schema.names == want.schema.names
+                assert Counter(map(str, got.collect())) == Counter(map(str, want.collect()))
+    # an id with two tokens keeps both
+    twice = v.unionByName(spark.createDataFrame([("c", 2, 1, False)], v.schema))
+    one = spark.createDataFrame([(1, [1, 2])], "id int, ids array<int>")
+    assert decode(one, {"t": "ids"}, twice, "subword").first()["t"] == "abc"
+    assert decode(corpus.limit(0).select("id", F.array(F.lit(1)).alias("ids")), {"t": "ids"}, v).count() == 0
