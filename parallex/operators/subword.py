@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parallex.config import SPECIAL_TOKENS, UNK_ID
-from parallex.functions.text import arrow_words, chars, stretches
+from parallex.functions.text import arrow_words, chars, cuts, for_arrow, stretches
 from parallex.operators.ranking import exact_rank
 from parallex.operators.vocab import specials_frame, vocab_stats
 from parallex.session import is_broadcastable, pin
@@ -44,7 +44,7 @@ SEP = "\x1f"  # between the symbols of a word; white space, so it is in no word
 CANDIDATES = 1000
 PER_ROUND = 48
 SHARE = 0.5
-BLOCK = 1 << 20  # characters of a block of words
+BLOCK = 1 << 20  # bytes of the words of a block
 CELLS = 1 << 18  # characters that are cut side by side
 FEW = 128  # words that are cut one by one: side by side, a place costs the same for any number of them
 
@@ -157,7 +157,7 @@ def _counted(texts: DataFrame, text_col: str) -> DataFrame:
             for part in stretches(batch.column(0)):
                 found = arrow_words(part)[0].value_counts()
                 yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "n"])
-    return (texts.select(F.make_valid_utf8(text_col).alias("text")).mapInArrow(run, "word string, n bigint")
+    return (texts.select(for_arrow(F.col(text_col)).alias("text")).mapInArrow(run, "word string, n bigint")
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
@@ -172,10 +172,10 @@ def _first_blocks(counted: DataFrame) -> DataFrame:
             ids[np.cumsum(sizes) - sizes] += FIRST
             return _block(ids, sizes, n.to_numpy(), symbols)
         for batch in batches:
-            for at in range(0, len(batch), 10_000):
-                part = batch.slice(at, 10_000)
-                kept.append(part)
-                held += pc.sum(pc.binary_length(part.column("word"))).as_py() or 0
+            ends = np.cumsum(pc.binary_length(batch.column("word")).to_numpy(), dtype=np.int64)
+            for at, to in cuts(ends, BLOCK):
+                kept.append(batch.slice(at, to - at))
+                held += int(ends[to - 1] - (ends[at - 1] if at else 0))
                 if held >= BLOCK:
                     yield block()
                     kept, held = [], 0
@@ -403,7 +403,7 @@ def subword_tokenizer(vocab: DataFrame) -> Callable[[Column], Column]:
                 offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(of_text)])]
                 yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids[places], pa.int32()))
 
-    return lambda text: cut(F.make_valid_utf8(text))
+    return lambda text: cut(for_arrow(text))
 
 
 def joined(tokens: Column) -> Column:

@@ -129,6 +129,17 @@ def test_empty_corpus(spark):
     assert subword_vocab(none, 5).count() == 4
 
 
+def test_bytes_that_are_no_utf8(spark):
+    rng = random.Random(5)
+    pieces = ["61", "62", "20", "80", "c3", "a9", "e282ac", "eda080", "f09f9982", "f490", "ff"]
+    rows = [(i, "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, hex string").select("id", F.unhex("hex").cast("string").alias("text")).cache()
+    v = subword_vocab(df, 20)
+    back = decode(encode_with(df, {"ids": "text"}, subword_tokenizer(v)), {"back": "ids"}, v, "subword").select("id", "back")
+    want = df.select("id", F.array_join(words(F.col("text")), " "))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_ids_leave_the_task_as_one_list(spark):
     df = spark.createDataFrame([("ab ab b",), (None,), ("",)], "text string")
     e = df.select(subword_tokenizer(subword_vocab(df, 4))(F.col("text")).alias("ids"))
