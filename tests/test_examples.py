@@ -1,5 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
+from parallex.functions.arrays import render, render_rows
 from parallex.operators.examples import assert_example_sizes, build_examples, causal_mask, decoder_mask
 from parallex.operators.lengths import check_lengths, max_lengths, token_lengths
 
@@ -91,3 +93,13 @@ def test_collate_stacks_example_tensors(spark):
     by_id = {r["pair_id"]: r for r in ex.collect()}
     for b in got:
         assert [list(x) for x in b["encoder_input"]] == [by_id[i]["encoder_input"] for i in b["pair_id"]]
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+def test_rows_are_rendered_as_row_by_row(spark, kind):
+    rows = [[], [[]], [[], []], [[0]], [[], [1], []], [[-5, 10], [2147483647, -2147483648, 0], [7]], [list(range(L))] * 6, None]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], f"i int, a array<array<{kind}>>")
+    got = df.select("i", render_rows(F.col("a")).cast("string").alias("text"),
+                    F.array_join(F.transform("a", lambda x: render(x)), ";").alias("want")).orderBy("i").collect()
+    assert [r.text for r in got] == [r.want for r in got]
+    assert got[1].text == "" and got[4].text == ";1;" and got[-1].text is None

@@ -280,6 +280,14 @@ def test_pairs_up_to_the_production_length_are_batched(spark, tmp_path):
     assert {i for _, i in seen} >= {i for i in train if rows[2 * (i >> 31)][3].count("w") in (200, 300, 478)}
 
 
+@pytest.mark.parametrize("query", [queries.q_train_batches, queries.q_train_batches_prepared])
+def test_no_cell_of_a_batch_becomes_a_string_of_its_own(spark, tmp_path, query):
+    rows = [(c, t, ("user", "assistant")[t], f"a{c} b") for c in range(30) for t in (0, 1)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    plan = query(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("as array<string>") == 1  # the few pair ids
+
+
 def test_word_edits_by_bit_vectors(spark):
     rng = random.Random(12)
     for n in (0, 1, 3, 40, 64, 65, 200):
