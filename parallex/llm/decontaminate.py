op10_decontaminate: the automaton's words share 32 symbols, hits are confirmed word by word

Symptom: op10_decontaminate spent 244 Python seconds per GB of documents (12 JVM, 1 GC) at 0.51 GB, nearly all in the stage that scans the texts.
Evidence: of 16.8 s for scanning 67 MB in one process, 14.6 s were steps of the automaton and 2.8 s cutting words and looking them up; with a symbol for each word the root has 3,905 edges, and a step searches them one by one.
Fix: words are dealt over 32 symbols, so no node has more edges; a window found by its symbols counts only if its words are the same. Windows of one text share one owner set, so a 1 MB block peaks at 69 + 36 MB (Python objects + automaton) where it took 119 + 47.
Effect: at 0.6 GB of input CPU 259 -> 152 s, shuffle 0.00 -> 0.00 GB, spill 0.00 -> 0.00 GB, read 0.60 -> 0.60 GB, longest task 17 -> 7 s, most memory of a task 0 -> 0 MB; at 6 GB of input CPU 1777 -> 469 s, shuffle 0.00 -> 0.00 GB, spill 0.00 -> 0.00 GB, read 6.04 -> 6.04 GB, longest task 43 -> 12 s, most memory of a task 0 -> 0 MB; with hot keys, at 0.6 GB of input CPU 149 -> 130 s, shuffle 0.00 -> 0.00 GB, spill 0.00 -> 0.00 GB, read 0.18 -> 0.18 GB, longest task 9 -> 6 s, most memory of a task 0 -> 0 MB.

@@ -3,10 +3,13 @@
 Texts and benchmark items are normalised alike: A-Z lower-cased, words are runs
 of ASCII letters, digits and non-ASCII characters. A pattern is a window of 10
 consecutive item words; an item with fewer words, but not none, is one pattern.
-Every word of the benchmark is one symbol of the automaton and every other word
-the symbol 0, so a text is scanned once, word by word, and all windows that
-occur anywhere are reported. Hits are mapped back to code point offsets of the
-original text.
+Every word of the benchmark has one of ``SYMBOLS`` symbols of the automaton and
+every other word the symbol 0, so a text is scanned once, word by word, and all
+windows that may occur anywhere are reported; those whose words are not the
+window's own, only of the same symbols, are left out. A step looks through a
+node's edges one by one, which a symbol for each word would make as many as the
+benchmark has words. Hits are mapped back to code point offsets of the original
+text.
 
 The automaton is broadcast only in blocks of bounded size: a benchmark whose
 distinct texts hold more than ``BLOCK_BYTES`` is dealt into several blocks, each
@@ -23,6 +26,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -32,6 +36,7 @@ from pyspark.sql import functions as F
 from parallex.llm.common import add_columns, at, documents, named, numbered, stored, without
 
 WINDOW = 10
+SYMBOLS = 32  # most edges of a node; fewer make short windows look alike, to be told apart word by word
 BLOCK_BYTES = 1 << 20  # UTF-8 bytes of item texts in one automaton (about 100 MB in a worker)
 _WORD = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256))
 _TABLE = bytes(c if c in _WORD else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
@@ -54,35 +59,39 @@ class Automaton:
         self.ids: dict[bytes | None, set] = {}  # of each distinct text
         for item, text in items:
             self.ids.setdefault(text, set()).add(item)
-        owners: dict[tuple, set] = {}
+        self.owners: dict[tuple, set] = {}  # texts of each window
         for text in self.ids:
+            alone = {text}  # one set for all windows of this text only
             for w in windows(text, window):
-                owners.setdefault(w, set()).add(text)
+                texts = self.owners.setdefault(w, alone)
+                if len(texts) > 1:
+                    texts.add(text)
+                elif text not in texts:
+                    self.owners[w] = texts | alone
         self.symbol: dict[bytes, str] = {}
         self.machine = ahocorasick.Automaton()
-        for w, texts in owners.items():
-            key = "".join([self.symbol.setdefault(x, chr(len(self.symbol) + 1)) for x in w])
-            self.machine.add_word(key, (len(w), texts))
-        if owners:
+        for w in self.owners:
+            key = "".join([self.symbol.setdefault(x, chr(len(self.symbol) % SYMBOLS + 1)) for x in w])
+            self.machine.add_word(key, len(w))
+        if self.owners:
             self.machine.make_automaton()
-        self.empty = not owners
 
     def scan(self, text: bytes | None) -> tuple[int, list, list, list]:
         """Number of words; maximal runs of hit words as word positions and as
         code point offsets of the original (end exclusive); ids of the items hit."""
         flat = normalised(text)
         words = flat.split()
-        if self.empty or not words:
+        if not self.owners or not words:
             return len(words), [], [], []
-        get = self.symbol.get
-        found = list(self.machine.iter("".join([get(w, "\0") for w in words])))
+        may = self.machine.iter("".join(map(self.symbol.get, words, repeat("\0"))))
+        found = [(end + 1 - n, end + 1, owners) for end, n in may if (owners := self.owners.get(tuple(words[end + 1 - n:end + 1])))]
         if not found:
             return len(words), [], [], []
         edge = np.zeros(len(words) + 1, np.int64)
         texts: set = set()
-        for end, (n, owners) in found:
-            edge[end + 1 - n] += 1
-            edge[end + 1] -= 1
+        for start, end, owners in found:
+            edge[start] += 1
+            edge[end] -= 1
             texts |= owners
         ids = set().union(*(self.ids[t] for t in texts)) - {None}
         hit = np.diff(np.concatenate([[0], np.cumsum(edge[:-1]) > 0, [0]]).astype(np.int8))

@@ -1,3 +1,4 @@
+import random
 import sys
 from pathlib import Path
 
@@ -63,3 +64,29 @@ def test_empty_tables(spark, tmp_dir):
     docs = tables.documents(spark)
     none = decontaminate.hits(docs, spark.read.parquet(f"{tmp_dir}/benchmark.parquet"))
     assert none.where("contaminated").count() == 0 and none.count() == len(tables.rows())
+
+
+def _plain(items, text, window):
+    words = decontaminate.normalised(text).split()
+    hit, ids = set(), set()
+    for i, item in items:
+        for w in decontaminate.windows(item, window):
+            at = [p for p in range(len(words) - len(w) + 1) if tuple(words[p:p + len(w)]) == w]
+            hit |= {x for p in at for x in range(p, p + len(w))}
+            ids |= {i} if at and i is not None else set()
+    return len(words), hit, sorted(ids)
+
+
+@pytest.mark.parametrize("window", [1, 2, 10])
+def test_windows_of_the_same_symbols_are_told_apart(window):
+    rng = random.Random(window)
+    vocab = [b"w%d" % k for k in range(200)]
+    draw = lambda n: b" ".join(rng.choices(vocab + vocab[:5] * 30, k=n))
+    items = [(rng.choice([None, "a", "b", "c"]), draw(rng.randint(0, 14))) for _ in range(80)] + [("d", b""), ("e", None), (None, b"w1 w1")] * 2
+    machine = decontaminate.Automaton(items, window)
+    # a node of the automaton is searched edge by edge: few symbols, however many words
+    assert len(machine.symbol) > 3 * len(set(machine.symbol.values()))
+    for text in [None, b"", b"zz", vocab[0] + b" zz " + vocab[199], *[draw(40) + b" zz " + (items[k][1] or b"") + b", " + draw(30) for k in range(40)]]:
+        n, runs, spans, ids = machine.scan(text)
+        assert (n, {x for a, b in runs for x in range(a, b)}, ids) == _plain(items, text, window)
+        assert [len(decontaminate.normalised(text[a:b]).split()) for a, b in spans] == [b - a for a, b in runs]
